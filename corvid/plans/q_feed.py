@@ -1 +1,102 @@
-"""Registered queries (filled in below)."""
+"""Registered feed queries (edges and tweets derived from ``events``)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corvid.functions.time import epoch_micros
+from corvid.operators import feed
+from corvid.plans.registry import register
+from corvid.plans.standins import EDGES_SQL, TWEETS_SQL, follow_edges, tweets
+
+# The user whose followers / followees are looked up.
+LOOKUP_USER = 7
+# Tweets before this instant form the stored timeline; the rest arrive as an update.
+UPSERT_CUTOFF = "2024-01-15 00:00:00"
+
+_CTES = f"""
+WITH edges AS ({EDGES_SQL}),
+tw AS ({TWEETS_SQL}),
+posts AS (SELECT user_id, tweet_text, max(score) AS score FROM tw GROUP BY user_id, tweet_text),
+fan AS (SELECT e.user_id AS reader, p.tweet_text, p.score
+        FROM posts p JOIN (SELECT DISTINCT user_id, follows_id FROM edges) e ON p.user_id = e.follows_id),
+push AS (SELECT reader AS user_id, tweet_text, max(score) AS score FROM fan GROUP BY reader, tweet_text)
+"""
+
+
+def _inputs(spark, sf_dir):
+    return tweets(spark, sf_dir), follow_edges(spark, sf_dir)
+
+
+@register("followers_sets", sql=_CTES + """SELECT DISTINCT follows_id AS user_id,
+    user_id AS follower_id FROM edges""")
+def followers_sets(spark, sf_dir):
+    """Set of followers per user, one row per (user, follower)."""
+    return feed.follower_sets(follow_edges(spark, sf_dir))
+
+
+@register("following_sets", sql=_CTES + """SELECT DISTINCT user_id, follows_id AS followee_id
+    FROM edges""")
+def following_sets(spark, sf_dir):
+    """Set of followees per user, one row per (user, followee)."""
+    return feed.following_sets(follow_edges(spark, sf_dir))
+
+
+@register("followers_packed", sql=_CTES + """SELECT follows_id AS user_id, CAST(0 AS BIGINT) AS chunk,
+    list_sort(list(DISTINCT user_id)) AS members FROM edges GROUP BY follows_id""")
+def followers_packed(spark, sf_dir):
+    """A8 as arrays: sorted follower arrays per user, split into bounded chunks."""
+    return feed.pack_sets(feed.follower_sets(follow_edges(spark, sf_dir)), "user_id", "follower_id")
+
+
+@register("followers_of", sql=_CTES + f"""SELECT DISTINCT user_id AS follower_id FROM edges
+    WHERE follows_id = {LOOKUP_USER}""")
+def followers_of(spark, sf_dir):
+    """Followers of one user (key lookup)."""
+    return feed.followers_of(follow_edges(spark, sf_dir), LOOKUP_USER)
+
+
+@register("followees_of", sql=_CTES + f"""SELECT DISTINCT follows_id AS followee_id FROM edges
+    WHERE user_id = {LOOKUP_USER}""")
+def followees_of(spark, sf_dir):
+    """Users one user follows (key lookup)."""
+    return feed.followees_of(follow_edges(spark, sf_dir), LOOKUP_USER)
+
+
+@register("posts_by_author", sql=_CTES + "SELECT user_id, tweet_text, score FROM posts")
+def posts_by_author(spark, sf_dir):
+    """A10: each author's sorted set of posts, newest score per text."""
+    return feed.posts_by_author(tweets(spark, sf_dir))
+
+
+@register("timeline_push", sql=_CTES + "SELECT user_id, tweet_text, score FROM push")
+def timeline_push(spark, sf_dir):
+    """J2+A10: fan-out on write, every follower's timeline, newest score per text."""
+    tw, edges = _inputs(spark, sf_dir)
+    return feed.timeline_push(tw, edges)
+
+
+@register("timeline_pull", sql=_CTES + """SELECT reader AS user_id, tweet_text,
+    sum(CAST(score AS DECIMAL(38,0))) AS score FROM fan GROUP BY reader, tweet_text""")
+def timeline_pull(spark, sf_dir):
+    """J3+A11+U1: union on read for every reader, equal texts' scores summed."""
+    tw, edges = _inputs(spark, sf_dir)
+    return feed.timeline_pull(tw, edges, combine="sum")
+
+
+@register("timeline_ordered", sql=_CTES + """SELECT user_id, tweet_text, score,
+    row_number() OVER (PARTITION BY user_id ORDER BY score, tweet_text) AS rank FROM push""")
+def timeline_ordered(spark, sf_dir):
+    """O1: read order of every pushed timeline (rank by score, ties by text)."""
+    tw, edges = _inputs(spark, sf_dir)
+    return feed.timeline_ordered(feed.timeline_push(tw, edges))
+
+
+@register("feed_upsert", sql=_CTES + "SELECT user_id, tweet_text, score FROM push")
+def feed_upsert(spark, sf_dir):
+    """K2: stored timeline (tweets before a cutoff) upserted with the later tweets' fan-out."""
+    tw, edges = _inputs(spark, sf_dir)
+    cutoff = epoch_micros(F.lit(UPSERT_CUTOFF).cast("timestamp_ntz"))
+    stored = feed.timeline_push(tw.filter(F.col("score") < cutoff), edges)
+    updates = feed.fan_out_updates(tw.filter(F.col("score") >= cutoff), edges)
+    return feed.upsert_sorted_set(stored, updates)

@@ -1 +1,58 @@
-"""Registered queries (filled in below)."""
+"""Registered profile queries: the whole ``lineitem`` table read as text."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corvid.operators import profile
+from corvid.plans.registry import register
+from corvid.plans.standins import table
+
+PROFILE_TABLE = "lineitem"
+PROFILE_COLUMNS = ("l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice "
+                   "l_discount l_tax l_returnflag l_linestatus l_shipdate").split()
+
+
+def _text(c: str) -> str:
+    return f"CAST({c} AS VARCHAR)"
+
+
+def _nonempty(c: str) -> str:
+    return f"({_text(c)} IS NOT NULL AND {_text(c)} <> '')"
+
+
+def _numeric_sql() -> str:
+    parts = []
+    for c in PROFILE_COLUMNS:
+        v = f"TRY_CAST({_text(c)} AS DOUBLE)"
+        parts.append(
+            f"SELECT '{c}' AS col_name, min({v}) AS min, max({v}) AS max, round(avg({v}), 6) AS avg "
+            f"FROM {PROFILE_TABLE} HAVING count(CASE WHEN {_nonempty(c)} THEN 1 END) > 0 "
+            f"AND count(CASE WHEN {_nonempty(c)} AND {v} IS NULL THEN 1 END) = 0")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _counts_sql() -> str:
+    parts = []
+    for c in PROFILE_COLUMNS:
+        parts.append(
+            f"SELECT '{c}' AS col_name, count(CASE WHEN {_nonempty(c)} THEN 1 END) AS non_empty, "
+            f"count(DISTINCT coalesce({_text(c)}, '')) AS n_distinct, "
+            f"count(CASE WHEN {_nonempty(c)} AND TRY_CAST({_text(c)} AS DOUBLE) IS NULL THEN 1 END) AS n_bad "
+            f"FROM {PROFILE_TABLE}")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("profile_numeric", sql=_numeric_sql())
+def profile_numeric(spark, sf_dir):
+    """P10+A3-A5: min / max / avg of the columns whose every value parses as a number."""
+    df = profile.as_text(table(spark, sf_dir, PROFILE_TABLE), PROFILE_COLUMNS)
+    out = profile.profile_numeric(df)
+    return out.select("col_name", "min", "max", F.round("avg", 6).alias("avg"))
+
+
+@register("profile_counts", sql=_counts_sql())
+def profile_counts(spark, sf_dir):
+    """A6+A7: non-empty and exact textual distinct counts of every column."""
+    df = profile.as_text(table(spark, sf_dir, PROFILE_TABLE), PROFILE_COLUMNS)
+    return profile.profile_counts(df)

@@ -22,6 +22,14 @@ TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string":
             "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
 
 
+def _sp_type(t):
+    if t.startswith("array<") and t.endswith(">"):
+        return _sp_type(t[6:-1]) + "[]"
+    if t.startswith("decimal"):
+        return t.upper()
+    return TYPE_MAP.get(t, t)
+
+
 def _norm(v):
     if isinstance(v, float) and math.isnan(v):
         return "NaN"
@@ -46,7 +54,7 @@ def compare(spark, con, name, q, sf_dir):
     df = q.build(spark, sf_dir)
     rows = [tuple(_norm(x) for x in r) for r in df.collect()]
     cols = df.columns
-    sp_types = [TYPE_MAP.get(t, t) for _, t in df.dtypes]
+    sp_types = [_sp_type(t) for _, t in df.dtypes]
     t1 = time.time()
     if not q.sql:
         return dict(name=name, status="rows-only", rows=len(rows), spark_s=round(t1 - t0, 2))
