@@ -137,3 +137,18 @@ GRAY_PIXELS_SQL = """
          CAST((i - 1) // 8 AS INTEGER) AS r, CAST((i - 1) % 8 AS INTEGER) AS c,
          least(255.0, greatest(0.0, floor((CAST(embedding[i] AS DOUBLE) + 1.0) * 127.5))) AS v
   FROM embeddings, range(1, 65) t(i)"""
+
+
+def raw_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``embeddings`` -> float images(image_id, height, width, pixels): values as stored."""
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("image_id"),
+        F.lit(IMAGE_SIDE).alias("height"), F.lit(IMAGE_SIDE).alias("width"),
+        F.transform("embedding", lambda x: x.cast("double")).alias("pixels"))
+
+
+RAW_PIXELS_SQL = """
+  SELECT vec_id AS image_id, CAST(i - 1 AS INTEGER) AS idx,
+         CAST((i - 1) // 8 AS INTEGER) AS r, CAST((i - 1) % 8 AS INTEGER) AS c,
+         CAST(embedding[i] AS DOUBLE) AS v
+  FROM embeddings, range(1, 65) t(i)"""
