@@ -152,3 +152,25 @@ RAW_PIXELS_SQL = """
          CAST((i - 1) // 8 AS INTEGER) AS r, CAST((i - 1) % 8 AS INTEGER) AS c,
          CAST(embedding[i] AS DOUBLE) AS v
   FROM embeddings, range(1, 65) t(i)"""
+
+
+def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``embeddings`` -> decoded image files(image_id, path, height, width, pixels).
+
+    As in an image folder, the class is only in the file name
+    (``images/dog.<id>.bmp`` for class >= 5, ``images/cat.<id>.bmp`` otherwise);
+    pixels are ``x + 1`` (non-negative, as multinomial naive Bayes needs).
+    """
+    word = F.when(F.col("label") >= 5, F.lit("dog")).otherwise(F.lit("cat"))
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("image_id"),
+        F.concat(F.lit("images/"), word, F.lit("."), F.col("vec_id").cast("string"), F.lit(".bmp")).alias("path"),
+        F.lit(IMAGE_SIDE).alias("height"), F.lit(IMAGE_SIDE).alias("width"),
+        F.transform("embedding", lambda x: x.cast("double") + 1.0).alias("pixels"))
+
+
+FEATURE_ROWS_SQL = """
+  SELECT vec_id AS image_id, CAST(CASE WHEN label >= 5 THEN 1 ELSE 0 END AS INTEGER) AS label,
+         CAST(i - 1 AS INTEGER) AS i, CAST((i - 1) // 8 AS INTEGER) AS r, CAST((i - 1) % 8 AS INTEGER) AS c,
+         CAST(embedding[i] AS DOUBLE) + 1.0 AS v
+  FROM embeddings, range(1, 65) t(i)"""
