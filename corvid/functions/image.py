@@ -71,29 +71,57 @@ def pixel_indices(h, w) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
 
+def pad(pixels, h, w, p: int, border: str = "reflect101", value: float = 0.0) -> Column:
+    """The image with a ``p``-pixel border -> ``(h+2p) x (w+2p)``.
+
+    ``border`` is ``reflect101``, ``replicate`` or ``constant`` (filled with ``value``).
+    """
+    h, w = _c(h), _c(w)
+    pw = w + 2 * p
+
+    def body(a: Column) -> Column:
+        def at(j: Column) -> Column:
+            r, c = _idiv(j, pw) - p, F.pmod(j, pw) - p
+            if border == "constant":
+                inside = (r >= 0) & (r < h) & (c >= 0) & (c < w)
+                return F.when(inside, F.element_at(a, F.when(inside, r * w + c + 1).otherwise(F.lit(1))))\
+                    .otherwise(F.lit(float(value)))
+            fold = _BORDERS[border]
+            return F.element_at(a, fold(r, h) * w + fold(c, w) + 1)
+        return F.transform(pixel_indices(h + 2 * p, pw), at)
+
+    return let(_c(pixels), body)
+
+
+def _padded_index(i: Column, w: Column, p: int) -> Column:
+    """1-based index in the padded image of pixel ``i`` of the unpadded one."""
+    return (_idiv(i, w) + p) * (w + 2 * p) + F.pmod(i, w) + p + 1
+
+
 def convolve(pixels, h, w, kernel: Kernel, border: str = "reflect101") -> Column:
     """2-D correlation with ``kernel`` centred on each pixel (as OpenCV ``filter2D``).
 
-    Zero taps are skipped; each non-zero tap is one ``element_at`` per pixel.
+    The image is padded once (border folding per padded pixel, not per tap);
+    each non-zero tap is then one ``element_at`` at a fixed offset.
     """
     h, w = _c(h), _c(w)
-    fold = _BORDERS[border]
     kh, kw = len(kernel), len(kernel[0])
+    p = max(kh, kw) // 2
+    pw = w + 2 * p
     taps = [(r - kh // 2, c - kw // 2, float(kernel[r][c]))
             for r in range(kh) for c in range(kw) if kernel[r][c] != 0]
 
     def body(a: Column) -> Column:
         def at(i: Column) -> Column:
-            r, col = _idiv(i, w), F.pmod(i, w)
-            terms = [F.lit(wt) * F.element_at(a, fold(r + dr, h) * w + fold(col + dc, w) + 1)
-                     for dr, dc, wt in taps]
+            base = _padded_index(i, w, p)
+            terms = [F.lit(wt) * F.element_at(a, base + (dr * pw + dc)) for dr, dc, wt in taps]
             total = terms[0]
             for t in terms[1:]:
                 total = total + t
             return total
         return F.transform(pixel_indices(h, w), at)
 
-    return let(_c(pixels), body)
+    return let(pad(pixels, h, w, p, border), body)
 
 
 def magnitude(gx: Column, gy: Column) -> Column:
@@ -112,9 +140,8 @@ def scale_to_8bit(pixels, const_value: float = 0.0) -> Column:
         off = -lo * k
         return F.when(hi > lo, F.transform(s["a"], lambda v: _sat8(F.bround(v * k + off, 0))))\
             .otherwise(F.transform(s["a"], lambda v: F.lit(float(const_value))))
-    arr = _c(pixels)
-    return let(F.struct(arr.alias("a"), F.array_min(arr).alias("lo"), F.array_max(arr).alias("hi")),
-               lambda s: body(s))
+    return let(_c(pixels), lambda arr: let(
+        F.struct(arr.alias("a"), F.array_min(arr).alias("lo"), F.array_max(arr).alias("hi")), body))
 
 
 def _sat8(v: Column) -> Column:
@@ -135,21 +162,16 @@ def threshold_binary(pixels, thresh: float, maxval: float = 255.0) -> Column:
 def dilate3x3(pixels, h, w) -> Column:
     """Grey dilation with a 3x3 square: max over the in-bounds neighbourhood."""
     h, w = _c(h), _c(w)
+    pw = w + 2
 
     def body(a: Column) -> Column:
         def at(i: Column) -> Column:
-            r, col = _idiv(i, w), F.pmod(i, w)
-            vals = []
-            for dr in (-1, 0, 1):
-                for dc in (-1, 0, 1):
-                    rr, cc = r + dr, col + dc
-                    ok = (rr >= 0) & (rr < h) & (cc >= 0) & (cc < w)
-                    vals.append(F.when(ok, F.element_at(a, F.when(ok, rr * w + cc + 1)
-                                                        .otherwise(F.lit(1)))))
-            return F.greatest(*vals)
+            base = _padded_index(i, w, 1)
+            return F.greatest(*[F.element_at(a, base + (dr * pw + dc))
+                                for dr in (-1, 0, 1) for dc in (-1, 0, 1)])
         return F.transform(pixel_indices(h, w), at)
 
-    return let(_c(pixels), body)
+    return let(pad(pixels, h, w, 1, "constant", float("-inf")), body)
 
 
 def subtract_sat(a, b) -> Column:
@@ -217,17 +239,16 @@ def canny_classes(pixels, h, w, low: float, high: float) -> Column:
     gy = convolve(pixels, h, w, SOBEL_Y, border="replicate")
     lo2, hi2 = float(low) * float(low), float(high) * float(high)
 
+    pw = w + 2
+
     def body(s: Column) -> Column:
-        ax_, ay_, m2 = s["gx"], s["gy"], s["m2"]
+        ax_, ay_, m2, mp = s["gx"], s["gy"], s["m2"], s["mp"]
 
         def at(i: Column) -> Column:
-            r, c = _idiv(i, w), F.pmod(i, w)
+            base = _padded_index(i, w, 1)
 
-            def mag(dr: int, dc: int) -> Column:
-                rr, cc = r + dr, c + dc
-                ok = (rr >= 0) & (rr < h) & (cc >= 0) & (cc < w)
-                return F.when(ok, F.element_at(m2, F.when(ok, rr * w + cc + 1).otherwise(F.lit(1))))\
-                    .otherwise(F.lit(0.0))
+            def mag(dr: int, dc: int) -> Column:  # zero outside the image
+                return F.element_at(mp, base + (dr * pw + dc))
 
             gxi = F.element_at(ax_, i + 1)
             gyi = F.element_at(ay_, i + 1)
@@ -245,7 +266,9 @@ def canny_classes(pixels, h, w, low: float, high: float) -> Column:
             return F.when(cand & (m > F.lit(hi2)), F.lit(2)).when(cand, F.lit(1)).otherwise(F.lit(0))
         return F.transform(pixel_indices(h, w), at)
 
-    return let(F.struct(gx.alias("gx"), gy.alias("gy")),
-               lambda g: let(F.struct(g["gx"].alias("gx"), g["gy"].alias("gy"),
-                                      F.zip_with(g["gx"], g["gy"], lambda x, y: x * x + y * y).alias("m2")),
-                             body))
+    def with_m2(g: Column) -> Column:
+        m2 = F.zip_with(g["gx"], g["gy"], lambda x, y: x * x + y * y)
+        return let(m2, lambda m: let(F.struct(g["gx"].alias("gx"), g["gy"].alias("gy"), m.alias("m2"),
+                                              pad(m, h, w, 1, "constant", 0.0).alias("mp")), body))
+
+    return let(F.struct(gx.alias("gx"), gy.alias("gy")), with_m2)

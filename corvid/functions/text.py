@@ -30,6 +30,21 @@ def label_from_text(text, start: int, length: int, value: str) -> Column:
     return F.when(hit, F.lit(1)).otherwise(F.lit(0)).cast("int")
 
 
+# A superset of the text Spark's string -> double cast accepts (Java's decimal and
+# hex float syntax with an optional f/d suffix, inf/infinity/nan in any case,
+# surrounding control/space characters).  Text outside it cannot parse, so it
+# is mapped to null without attempting the cast, which for bad text costs a
+# thrown and caught exception per value.
+_MAYBE_NUMBER = (r"^[\x00-\x20]*[+-]?((?i:nan|inf|infinity)"
+                 r"|(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[fFdD]?"
+                 r"|0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?\d+[fFdD]?)[\x00-\x20]*$")
+
+
 def parse_double(text) -> Column:
-    """Lenient string -> double: null for empty or unparseable text (never raises)."""
-    return _c(text).try_cast("double")
+    """Lenient string -> double: null for empty or unparseable text (never raises).
+
+    Same result as ``try_cast(text as double)``; text that cannot be a number
+    is rejected by a cheap pattern test before the cast is tried.
+    """
+    t = _c(text)
+    return F.when(t.rlike(_MAYBE_NUMBER), t.try_cast("double"))

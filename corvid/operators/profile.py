@@ -24,7 +24,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import (BinaryType, BooleanType, ByteType, DateType, DoubleType, IntegerType,
+                               LongType, NumericType, ShortType, TimestampNTZType, TimestampType)
 
 from corvid.functions.text import parse_double
 
@@ -35,8 +36,29 @@ def as_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in cols])
 
 
-def _nonempty(c):
-    return F.col(c).isNotNull() & (F.col(c).cast("string") != F.lit(""))
+# Types whose text always parses back to the same double as a direct cast
+# (integers and doubles print exactly; float does not: '0.1' != (double) 0.1f).
+_EXACT_NUMERIC = (ByteType, ShortType, IntegerType, LongType, DoubleType)
+# Types whose text never parses as a number ('1995-01-02 00:00:00', 'true', ...).
+_NEVER_NUMERIC = (DateType, TimestampType, TimestampNTZType, BooleanType, BinaryType)
+
+
+def _parsed(df: DataFrame, c: str):
+    """``(value as double or null, text is non-empty, text is non-empty and unparseable)``.
+
+    The same as casting the column to text and parsing it back, without the
+    round trip where the type decides the answer.
+    """
+    t = df.schema[c].dataType
+    if isinstance(t, _EXACT_NUMERIC):
+        v = F.col(c).cast("double")
+        return v, F.col(c).isNotNull(), F.lit(False)
+    if isinstance(t, _NEVER_NUMERIC):
+        return F.lit(None).cast("double"), F.col(c).isNotNull(), F.col(c).isNotNull()
+    text = F.col(c).cast("string")
+    v = parse_double(text)
+    ne = text.isNotNull() & (text != F.lit(""))
+    return v, ne, ne & v.isNull()
 
 
 def _unpivot_one_row(row_df: DataFrame, columns: Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -50,13 +72,13 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
                     typed: bool = False) -> DataFrame:
     """``(col_name, min, max, avg)`` for the numeric columns of ``df``.
 
-    ``typed=False`` (default) treats values as text and detects numeric columns
-    by parsing; ``typed=True`` takes numeric columns by their Spark type.
+    ``typed=False`` (default) gives every column text semantics (numeric when
+    every non-empty value parses); ``typed=True`` takes numeric columns by
+    their Spark type.
     """
     cols = list(columns or df.columns)
     if typed:
-        types = {f.name: f.dataType for f in df.schema.fields}
-        cols = [c for c in cols if isinstance(types[c], NumericType)]
+        cols = [c for c in cols if isinstance(df.schema[c].dataType, NumericType)]
         if not cols:
             return df.sparkSession.createDataFrame([], "col_name string, min double, max double, avg double")
         aggs = []
@@ -70,12 +92,11 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
 
     aggs = []
     for c in cols:
-        v = parse_double(F.col(c).cast("string"))
-        ne = _nonempty(c)
+        v, ne, bad = _parsed(df, c)
         aggs += [F.min(v).alias(f"{c}__min"), F.max(v).alias(f"{c}__max"),
                  F.avg(v).alias(f"{c}__avg"),
                  F.count_if(ne).alias(f"{c}__ne"),
-                 F.count_if(ne & v.isNull()).alias(f"{c}__bad")]
+                 F.count_if(bad).alias(f"{c}__bad")]
     wide = df.agg(*aggs)
     long = _unpivot_one_row(wide, cols, ["min", "max", "avg", "ne", "bad"])
     return (long.filter((F.col("ne") > 0) & (F.col("bad") == 0))
@@ -89,15 +110,18 @@ def profile_counts(df: DataFrame, columns: Sequence[str] | None = None,
     ``n_bad`` counts non-empty values that do not parse as a double.
     """
     cols = list(columns or df.columns)
-    text = as_text(df, cols)
-    long = text.unpivot([], cols, "col_name", "value")
+    cells = []
+    for c in cols:
+        _, ne, bad = _parsed(df, c)
+        cells.append(F.struct(F.col(c).cast("string").alias("value"), ne.alias("ne"),
+                              bad.alias("bad")).alias(c))
+    long = df.select(*cells).unpivot([], cols, "col_name", "cell").select("col_name", "cell.*")
     val = F.coalesce(F.col("value"), F.lit(""))
     distinct = (F.approx_count_distinct(val, rsd) if approx else F.count_distinct(val))
-    ne = F.col("value").isNotNull() & (F.col("value") != F.lit(""))
     return long.groupBy("col_name").agg(
-        F.count_if(ne).alias("non_empty"),
+        F.count_if(F.col("ne")).alias("non_empty"),
         distinct.cast("long").alias("n_distinct"),
-        F.count_if(ne & parse_double(F.col("value")).isNull()).alias("n_bad"))
+        F.count_if(F.col("bad")).alias("n_bad"))
 
 
 def profile(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
