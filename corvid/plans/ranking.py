@@ -1,42 +1,76 @@
 """Row numbers within groups that stay distributed when one group is huge.
 
 ``row_number().over(Window.partitionBy(key).orderBy(...))`` sends every row of a
-key to one task.  When one key holds a third of the data that task holds a third
-of the data.  Here the rows are range-partitioned on ``(key, order...)`` instead,
-so a hot key is cut across several partitions; each piece is numbered locally,
-and a small table of per-(partition, key) counts supplies each piece's offset.
+key to one task.  When one key holds a third of the data, that task holds a
+third of the data.  Here a key with more than ``max_group_rows`` rows is cut
+into ordered buckets first:
 
-Cost: one range exchange, one hash exchange on (partition id, key), and a
-join against the counts table, which has at most (#keys + #partitions) rows.
+1. rows per key (a partial aggregate);
+2. for the hot keys only, approximate quantiles of the first order column
+   (``percentile_approx``, itself a partial aggregate, so the hot key is
+   summarised by many tasks);
+3. bucket of a row = number of its key's quantile boundaries below its value:
+   monotone in the order, and a pure function of the row, so every branch of
+   the plan (and every re-run after a lost executor) puts a row in the same
+   bucket;
+4. row numbers within (key, bucket) -- each bucket is about
+   ``max_group_rows`` rows -- plus the row count of the key's earlier buckets.
+
+When no key exceeds the bound this is one plain window.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corvid.plans.joins import broadcast_if_small
+
+DEFAULT_MAX_GROUP_ROWS = 2_000_000
+# Rank accuracy of the quantile sketch (relative error 1 / accuracy); bucket
+# sizes only need to be roughly even, results are exact whatever the bounds.
+QUANTILE_ACCURACY = 10_000
 
-def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                      out: str = "rank", num_partitions: int | None = None) -> DataFrame:
+
+def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                      out: str = "rank", max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
     """Append ``out`` = 1-based position of each row within its ``keys`` group.
 
-    ``order`` must make rows unique within a group (add a tie-breaker column),
-    so that the numbering is deterministic when a task is re-run.
+    ``order`` lists column names, ascending; it must make rows unique within a
+    group (add a tie-breaker) for the numbering to be deterministic.  The first
+    order column must be numeric, date or timestamp for hot keys to be split.
     """
-    keys = list(keys)
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order_cols)
-              .withColumn("_pid", F.spark_partition_id()))
-    local = ranged.withColumn(
-        "_lrn", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*order_cols)))
-    counts = local.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", *keys,
+    keys, order = list(keys), list(order)
+    order_cols: list[Column] = [F.col(o) for o in order]
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = sizes.filter(F.col("_n") > F.lit(max_group_rows))
+    top = hot.agg(F.max("_n")).first()[0]
+    if top is None:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols))
+                             .cast("long"))
+
+    q = min(int(math.ceil(top / max_group_rows)), QUANTILE_ACCURACY // 10)
+    pcts = [i / q for i in range(1, q)]
+    hot_keys = hot.select(*keys)
+    small = broadcast_if_small(hot_keys)
+    members = df.join(small if small is not None else hot_keys, keys, "left_semi")
+    bounds = members.groupBy(*keys).agg(
+        F.percentile_approx(order[0], pcts, QUANTILE_ACCURACY).alias("_bounds"))
+    small_bounds = broadcast_if_small(bounds)
+    first = F.col(order[0])
+    bucketed = (df.join(small_bounds if small_bounds is not None else bounds, keys, "left")
+                .withColumn("_bucket", F.coalesce(F.size(F.filter("_bounds", lambda b: b < first)),
+                                                  F.lit(0)))
+                .drop("_bounds"))
+    local = bucketed.withColumn(
+        "_lrn", F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*order_cols)))
+    counts = bucketed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "_bucket",
                             F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    return (local.join(offsets, ["_pid", *keys])
+    return (local.join(offsets, [*keys, "_bucket"])
             .withColumn(out, (F.col("_off") + F.col("_lrn")).cast("long"))
-            .drop("_pid", "_lrn", "_off"))
+            .drop("_bucket", "_lrn", "_off"))

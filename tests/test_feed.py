@@ -61,10 +61,12 @@ def test_ordered_timeline_matches_window_on_a_hot_user(spark):
     rows = [(1, f"t{i:05d}", (i * 7919) % 1000) for i in range(3000)]  # one hot user
     rows += [(u, f"t{i}", i) for u in range(2, 40) for i in range(5)]
     tl = spark.createDataFrame(rows, TWEETS)
-    got = row_number_within(tl, ["user_id"], ["score", "tweet_text"], num_partitions=7)
     w = Window.partitionBy("user_id").orderBy("score", "tweet_text")
     want = tl.withColumn("rank", F.row_number().over(w).cast("long"))
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    for bound in (500, 10_000):  # hot user split into buckets / no split
+        got = row_number_within(tl, ["user_id"], ["score", "tweet_text"], max_group_rows=bound)
+        assert got.count() == want.count()
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
 def test_upsert_keeps_newest(spark):
