@@ -40,11 +40,22 @@ _MAYBE_NUMBER = (r"^[\x00-\x20]*[+-]?((?i:nan|inf|infinity)"
                  r"|0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?\d+[fFdD]?)[\x00-\x20]*$")
 
 
+# Every character that can occur in text the cast accepts (digits, signs, point,
+# exponent / suffix / hex letters, the letters of inf, infinity and nan, and
+# the space and control characters the parser trims).
+_NUMBER_CHARS = "0123456789+-.eEdDfFxXpPaAbBcCiInNtTyY" + "".join(chr(c) for c in range(0x21))
+
+
 def parse_double(text) -> Column:
     """Lenient string -> double: null for empty or unparseable text (never raises).
 
-    Same result as ``try_cast(text as double)``; text that cannot be a number
-    is rejected by a cheap pattern test before the cast is tried.
+    Same result as ``try_cast(text as double)``, cheaper: digits-only text is cast
+    directly (always valid); text with a character outside ``_NUMBER_CHARS`` is
+    null at once; the rest must also match ``_MAYBE_NUMBER`` before the cast is
+    tried, because a failed cast costs a thrown and caught exception.
     """
     t = _c(text)
-    return F.when(t.rlike(_MAYBE_NUMBER), t.try_cast("double"))
+    digits_only = (F.translate(t, "0123456789", "") == F.lit("")) & (t != F.lit(""))
+    plausible = F.translate(t, _NUMBER_CHARS, "") == F.lit("")
+    return (F.when(digits_only, t.try_cast("double"))
+            .when(plausible & t.rlike(_MAYBE_NUMBER), t.try_cast("double")))
