@@ -37,8 +37,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory, setting one only where none is configured.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when it is unset (a bare local test session) a scratch folder is made.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is;
+    if it is unset there, this raises.  Only a local session without one (tests)
+    gets a scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,6 +47,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage; "
+                               "a machine-local folder does not survive lost executors")
         configured = tempfile.mkdtemp(prefix="corvid-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

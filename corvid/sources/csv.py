@@ -7,6 +7,7 @@ reference compares and parses text.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ def _text_schema(names: Sequence[str]) -> StructType:
     return StructType([StructField(n, StringType(), True) for n in names])
 
 
-def read_headerless_csv(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
+def read_headerless_csv(spark: SparkSession, path: str | list[str], names: Sequence[str]) -> DataFrame:
     """Headerless CSV with positional column names, all text (``csv(path).toDF(names*)``).
 
     Short rows are padded with nulls, extra fields dropped (PERMISSIVE mode).
@@ -31,20 +32,46 @@ def read_headerless_csv(spark: SparkSession, path: str, names: Sequence[str]) ->
     return spark.read.schema(_text_schema(names)).option("header", "false").csv(path)
 
 
+_YEAR = re.compile(r"(\d{4})")
+
+
+def _files_in_years(spark: SparkSession, path: str, first_year: int, last_year: int) -> list[str]:
+    """Paths of the files under ``path`` (dir or glob) whose name holds a year in range.
+
+    Only names are listed (through the Hadoop FileSystem, as Spark's own file
+    index does), so files outside the range are never opened.
+    """
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    statuses = fs.globStatus(hpath) or []
+    files = []
+    for st in statuses:
+        for f in (fs.listStatus(st.getPath()) if st.isDirectory() else [st]):
+            if f.isDirectory():
+                continue
+            m = _YEAR.search(f.getPath().getName())
+            if m and first_year <= int(m.group(1)) <= last_year:
+                files.append(f.getPath().toString())
+    return sorted(files)
+
+
 def read_year_files(spark: SparkSession, path: str, names: Sequence[str] = WEATHER_OBS_COLUMNS,
                     first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR,
                     year_col: str = "year") -> DataFrame:
     """One table over a family of per-year files (``<dir>/1986.csv`` ...).
 
-    ``path`` is a directory or glob; the year is taken from the file name
-    (first 4-digit run) and files outside ``[first_year, last_year]`` are
-    dropped.  The year predicate is on the ``_metadata`` file name, so Spark
-    prunes whole files before reading them.
+    ``path`` is a directory or glob.  The year is the first 4-digit run of the
+    file name; files outside ``[first_year, last_year]`` are pruned from the
+    listing before the scan.  (Data laid out as ``year=YYYY/`` directories needs
+    none of this: Spark's partition discovery and pruning apply.)
     """
-    df = read_headerless_csv(spark, path, names)
-    year = F.regexp_extract(F.col("_metadata.file_name"), r"(\d{4})", 1).try_cast("int")
-    return (df.withColumn(year_col, year)
-            .filter(F.col(year_col).between(first_year, last_year)))
+    files = _files_in_years(spark, path, first_year, last_year)
+    if not files:
+        return spark.createDataFrame([], _text_schema(names).add(year_col, "int"))
+    df = read_headerless_csv(spark, files, names)
+    year = F.regexp_extract(F.col("_metadata.file_name"), r"(\d{4})", 1).cast("int")
+    return df.withColumn(year_col, year)
 
 
 def read_header_csv(spark: SparkSession, path: str) -> DataFrame:
