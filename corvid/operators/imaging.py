@@ -17,8 +17,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
+import sys
+
+from pyspark import cloudpickle
+
 from corvid.functions import image as im
 
+# The hysteresis step runs in Python workers.  Pickle this module's functions by
+# value so that workers need no copy of the package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 H, W, PIX = "height", "width", "pixels"
 
 
