@@ -11,8 +11,9 @@ Fan-out on write (push) and union on read (pull) are the same join of posts
 to edges on the author; they differ in the aggregate over equal texts.  Posts
 are reduced to one row per (author, text) *before* the join, so the join
 input does not grow with repeated posts.  A celebrity author (a third of all
-edges) is one skewed join key: AQE's skew-join split handles it, and the
-aggregates after the join are partial (map-side) aggregates.
+edges) is one skewed join key: with AQE on (the default) a skewed sort-merge
+join partition is split, and the aggregates after the join are partial
+(map-side) aggregates.
 """
 
 from __future__ import annotations

@@ -103,7 +103,8 @@ class _ImageFeaturizer(Transformer, HasInputCol, HasOutputCol, DefaultParamsRead
 
 
 class RawPixelFeaturizer(_ImageFeaturizer):
-    """Gray pixels resized to ``size`` x ``size``."""
+    """The image plane as is, resized to ``size`` x ``size`` (decode to gray with
+    ``corvid.sources.images.read_images``)."""
 
 
 class SobelFeaturizer(_ImageFeaturizer):

@@ -98,7 +98,7 @@ def img_resize(spark, sf_dir):
 SELECT d.image_id, d.idx, s.v FROM dst d JOIN px s
   ON s.image_id = d.image_id AND s.r = least(d.sr, {SIDE - 1}) AND s.c = least(d.sc, {SIDE - 1})""")
 def img_raw(spark, sf_dir):
-    """I2+F10: raw-pixel featurizer (gray, resize to 16x16, ML vector), read back per pixel."""
+    """I2+F10: raw-pixel featurizer on the gray images (resize to 16x16, ML vector), read back per pixel."""
     from corvid.operators.ml import RawPixelFeaturizer
     feats = RawPixelFeaturizer(inputCol="pixels", outputCol="features", size=RAW_FEATURE_SIDE) \
         .transform(gray_images(spark, sf_dir))

@@ -3,8 +3,9 @@
 The reference reads weather CSVs, follower/tweet CSVs and image folders that do
 not ship with it.  These functions give rows in the schemas the operators expect,
 derived from the test tables so that the work grows with them.  They do none of
-the operators' work: every recipe is a per-row projection (plus one ``distinct``
-for edges), mirrored one-to-one by the SQL fragments below for the DuckDB oracle.
+the operators' work: every recipe is a per-row projection (edges also take the
+distinct users and the largest user id), mirrored one-to-one by the SQL
+fragments below for the DuckDB oracle.
 """
 
 from __future__ import annotations
