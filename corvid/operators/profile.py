@@ -5,8 +5,8 @@ times per column):
 
 * ``profile_numeric``: one wide aggregate (partial + final, a single row
   shuffled per task) over every column, then the one-row result is unpivoted.
-* ``profile_counts``: the table is unpivoted to ``(col_name, value)`` and grouped
-  by column.  The exact distinct count is planned by Spark as an aggregate on
+* ``profile_counts``: the table is unpivoted to ``(col_name, value key)`` and
+  grouped by column.  The exact distinct count is planned by Spark as an aggregate on
   (column, value) first, so the shuffle is spread over all distinct values and
   never funnels a column into one task; ``approx=True`` uses HyperLogLog++ and
   shuffles only sketches.
@@ -103,6 +103,29 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
             .select("col_name", "min", "max", "avg"))
 
 
+def _distinct_key(df: DataFrame, c: str):
+    """A key whose distinct count equals the distinct count of the column's text.
+
+    Integers and doubles are compared as numbers (cheaper than formatting them):
+    their text is unique per value, except that ``-0.0`` and ``0.0`` print
+    differently while comparing equal, hence the sign-of-zero flag (read from
+    the text of zeros only).  NaN prints as one text and Spark groups all NaNs
+    as one.  Other types use their text.  A null is the empty text.
+    """
+    t = df.schema[c].dataType
+    v = F.col(c)
+    empty = F.when(v.isNull(), F.lit(""))
+    no_long, no_double, no_flag = (F.lit(None).cast("long"), F.lit(None).cast("double"),
+                                   F.lit(None).cast("boolean"))
+    if isinstance(t, (ByteType, ShortType, IntegerType, LongType)):
+        parts = (empty, v.cast("long"), no_double, no_flag)
+    elif isinstance(t, DoubleType):
+        parts = (empty, no_long, v, F.when(v == F.lit(0.0), v.cast("string").startswith("-")))
+    else:
+        parts = (F.coalesce(v.cast("string"), F.lit("")), no_long, no_double, no_flag)
+    return F.struct(*[p.alias(n) for p, n in zip(parts, ("s", "n", "d", "z"))])
+
+
 def profile_counts(df: DataFrame, columns: Sequence[str] | None = None,
                    approx: bool = False, rsd: float = 0.05) -> DataFrame:
     """``(col_name, non_empty, n_distinct, n_bad)`` for every column (text semantics).
@@ -113,11 +136,9 @@ def profile_counts(df: DataFrame, columns: Sequence[str] | None = None,
     cells = []
     for c in cols:
         _, ne, bad = _parsed(df, c)
-        cells.append(F.struct(F.col(c).cast("string").alias("value"), ne.alias("ne"),
-                              bad.alias("bad")).alias(c))
+        cells.append(F.struct(_distinct_key(df, c).alias("k"), ne.alias("ne"), bad.alias("bad")).alias(c))
     long = df.select(*cells).unpivot([], cols, "col_name", "cell").select("col_name", "cell.*")
-    val = F.coalesce(F.col("value"), F.lit(""))
-    distinct = (F.approx_count_distinct(val, rsd) if approx else F.count_distinct(val))
+    distinct = (F.approx_count_distinct("k", rsd) if approx else F.count_distinct("k"))
     return long.groupBy("col_name").agg(
         F.count_if(F.col("ne")).alias("non_empty"),
         distinct.cast("long").alias("n_distinct"),

@@ -1,5 +1,7 @@
 import math
 
+from pyspark.sql import functions as F
+
 from corvid.operators import profile
 from corvid.sources.csv import read_header_csv
 
@@ -51,3 +53,13 @@ def test_distinct_at_most_rows(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
     n = df.count()
     assert all(r.n_distinct <= n for r in profile.profile_counts(df).collect())
+
+
+def test_distinct_is_textual_for_doubles_and_ints(spark):
+    df = spark.createDataFrame([(0.0, 1), (-0.0, 1), (float("nan"), None), (float("nan"), 2), (None, 2)],
+                               "d double, i int")
+    got = {r.col_name: r for r in profile.profile_counts(df).collect()}
+    texts = {r.d for r in df.select(F.coalesce(F.col("d").cast("string"), F.lit("")).alias("d")).collect()}
+    assert got["d"].n_distinct == len(texts) == 4   # '0.0', '-0.0', 'NaN', ''
+    assert got["i"].n_distinct == 3                 # '1', '2', ''
+    assert got["d"].non_empty == 4 and got["i"].non_empty == 4
