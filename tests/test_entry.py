@@ -47,3 +47,24 @@ def test_query_matches_oracle_sf0001(spark, name):
     from corvid.plans.registry import all_queries
     r = compare(spark, _duck(), name, all_queries()[name], SF)
     assert r["status"] == "ok", r
+
+
+def test_python_steps_run_without_package_on_workers(tmp_path):
+    """The driver imports __spark_entry__.py from elsewhere; workers get no package."""
+    import subprocess
+    import sys
+    code = f"""
+import importlib.util
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+spec = importlib.util.spec_from_file_location("e", {os.path.join(ROOT, "__spark_entry__.py")!r})
+m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)
+for name in ["img_canny", "img_raw", "img_sobel", "fit_predict"]:
+    print(name, m.queries()[name](spark, {SF!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    r = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env,
+                       capture_output=True, text=True, timeout=600)
+    assert r.returncode == 0, r.stderr[-3000:]
+    assert [ln.split()[0] for ln in r.stdout.splitlines() if ln and ln[0].isalpha()][-4:] == \
+        ["img_canny", "img_raw", "img_sobel", "fit_predict"]

@@ -155,3 +155,28 @@ def test_colour_sobel_and_gray(spark):
     assert np.allclose(got, want)
     gray = np.array(imaging.gray_from_bgr(df).first().pixels).reshape(6, 5)
     assert np.allclose(gray, a[..., 0] * 0.114 + a[..., 1] * 0.587 + a[..., 2] * 0.299)
+
+
+ODD = [rng.integers(0, 256, s).astype(float) for s in [(1, 6), (6, 1), (2, 2), (3, 9), (12, 5), (16, 16)]]
+
+
+@pytest.mark.parametrize("op", ["sobel", "laplace", "canny", "dilate", "scale_8bit"])
+def test_numpy_engine_equals_native(spark, op):
+    imgs = IMAGES + ODD + [rng.integers(0, 256, (20, 24)).astype(float) for _ in range(10)]
+    df = frame(spark, imgs)
+    fn = getattr(imaging, op)
+    native = {r.image_id: r.pixels for r in fn(df).collect()}
+    numpy_ = {r.image_id: r.pixels for r in fn(df, engine="numpy").collect()}
+    assert native == numpy_
+
+
+def test_numpy_engine_convolve_and_resize(spark):
+    imgs = IMAGES + ODD
+    df = frame(spark, imgs)
+    for border in ("reflect101", "replicate"):
+        a = {r.image_id: r.pixels for r in imaging.convolve(df, im.LAPLACE_5, border).collect()}
+        b = {r.image_id: r.pixels for r in imaging.convolve(df, im.LAPLACE_5, border, engine="numpy").collect()}
+        assert a == b
+    a = {r.image_id: (r.height, r.width, r.pixels) for r in imaging.resize(df, 7, 11).collect()}
+    b = {r.image_id: (r.height, r.width, r.pixels) for r in imaging.resize(df, 7, 11, engine="numpy").collect()}
+    assert a == b
