@@ -169,7 +169,8 @@ def with_split(df: DataFrame, id_col: str = "image_id", train_percent: int = TRA
     Unlike ``randomSplit`` the result does not depend on partitioning, so a
     re-run (or a lost executor) puts every row on the same side.
     """
-    bucket = F.pmod(F.col(id_col) * F.lit(SPLIT_MULTIPLIER), F.lit(100))
+    # (id mod 100) * 7919 mod 100 == id * 7919 mod 100, without overflowing a long
+    bucket = F.pmod(F.pmod(F.col(id_col), F.lit(100)) * F.lit(SPLIT_MULTIPLIER), F.lit(100))
     return df.withColumn(out, bucket < F.lit(train_percent))
 
 
