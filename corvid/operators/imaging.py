@@ -14,15 +14,14 @@ results:
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-import sys
-
-from pyspark import cloudpickle
-
 from corvid.functions import image as im
 from corvid.functions import image_np
 # Closures below refer to these functions, never to the module object: a module
@@ -155,7 +154,7 @@ def sobel(df: DataFrame, channels: str | None = None, pixels: str = PIX, out: st
     Gray: ``|grad|`` (3x3 dx, dy, reflected borders), min-max scaled per image.
     Colour (``channels`` names the channel-count column, pixels interleaved
     B, G, R): magnitude per channel, one min/max over all channels, scaled, then
-    reduced to gray with the luma weights.
+    reduced to gray with the luma weights; colour always takes the native path.
     """
     _check_engine(engine)
     h, w = F.col(H), F.col(W)
@@ -199,12 +198,13 @@ def canny(df: DataFrame, low: float = 100.0, high: float = 250.0,
           pixels: str = PIX, out: str = PIX, engine: str = STENCIL_ENGINE) -> DataFrame:
     """Canny edges (aperture 3, L2 gradient): 255 on edges, 0 elsewhere.
 
-    Gradient, non-maximum suppression and the double threshold are one native
-    expression.  Hysteresis runs in ``mapInPandas`` on Arrow batches, a
-    per-partition step: rows pass through, only ``out`` is filled in.  (A
-    scalar pandas UDF here would be inlined by Catalyst into a later
-    ``posexplode``, where Python cannot run.)  Select the columns you need
-    before calling: columns are not pruned through the Python step.
+    numpy engine: the whole detector per image in one ``mapInPandas`` step.
+    Native engine: gradient, non-maximum suppression and the double threshold
+    are one array expression; only the hysteresis (a breadth-first search over
+    weak pixels) runs in ``mapInPandas``.  Both are per-partition steps: rows
+    pass through, ``out`` is filled in.  (A scalar pandas UDF would be inlined
+    by Catalyst into a later ``posexplode``, where Python cannot run.)  Select
+    the columns you need before calling: columns are not pruned through Python.
     """
     _check_engine(engine)
     if engine == "numpy":
@@ -213,7 +213,7 @@ def canny(df: DataFrame, low: float = 100.0, high: float = 250.0,
     staged = df.withColumn("_cls", classes)
     if out in df.columns:
         staged = staged.drop(out)
-    names = [c if c != out else out for c in df.columns] + ([] if out in df.columns else [out])
+    names = list(df.columns) + ([] if out in df.columns else [out])
     fields = {f.name: f for f in staged.schema.fields}
     schema = StructType([fields[c] if c != out else StructField(out, ArrayType(DoubleType()))
                          for c in names])
