@@ -66,6 +66,10 @@ def test_list_files_and_images(spark, tmpdir_path):
     g = {os.path.basename(x.path): x for x in read_images(spark, d).collect()}["dog.1.bmp"]
     want = dog[..., 2] * 0.114 + dog[..., 1] * 0.587 + dog[..., 0] * 0.299
     assert np.allclose(np.array(g.pixels).reshape(5, 7), want)
+    for gray in (True, False):
+        a = {r.path: tuple(r) for r in read_images(spark, d, gray=gray, engine="numpy").collect()}
+        b = {r.path: tuple(r) for r in read_images(spark, d, gray=gray, engine="native").collect()}
+        assert a == b
 
 
 def test_label_from_text_short_and_null(spark):
