@@ -201,17 +201,26 @@ def fit_and_predict(stages: Pipeline, train: DataFrame, test: DataFrame,
                     cache_train: bool = True) -> DataFrame:
     """Fit on ``train`` and score ``test``.
 
-    Iterative estimators read their input once per iteration, so the training
-    frame is persisted (memory, spilling to disk) for the fit and released after.
+    The transformer stages (labeler, featurizer) are applied to the training
+    frame once and the resulting features are persisted (memory, spilling to
+    disk) while the estimator fits -- iterative estimators read them once per
+    iteration -- then released.  The fitted stages are assembled into one
+    ``PipelineModel`` for scoring.
     """
+    all_stages = stages.getStages()
+    prep, estimator = all_stages[:-1], all_stages[-1]
+    if not all(isinstance(st, Transformer) for st in prep):
+        raise TypeError("all stages but the last must be Transformers")
+    prep_model = PipelineModel(stages=list(prep))
+    feats = prep_model.transform(train)
     if cache_train:
-        train = train.persist(StorageLevel.MEMORY_AND_DISK)
+        feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model: PipelineModel = stages.fit(train)
+        fitted = estimator.fit(feats)
     finally:
         if cache_train:
-            train.unpersist()
-    return model.transform(test)
+            feats.unpersist()
+    return PipelineModel(stages=[*prep, fitted]).transform(test)
 
 
 def accuracy(predictions: DataFrame, label: str = "label",
