@@ -38,7 +38,11 @@ def main() -> None:
 
         once()  # warm-up
         results[name] = round(statistics.median(once() for _ in range(runs)), 3)
-    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    sf_name = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf: float | str = float(sf_name)
+    except ValueError:
+        sf = sf_name
     print(json.dumps({"metric": "sum_of_median_query_seconds", "value": round(sum(results.values()), 3),
                       "unit": "sec", "queries": results, "sf": sf, "cpus": cpus, "runs": runs}))
 

@@ -9,7 +9,10 @@ author's followers' timelines.  Here the tweets are a streaming source:
 * ``start_timeline_writer``: ``foreachBatch`` turns each micro-batch into timeline
   updates (batch operators, so posts are first reduced per author) and merges
   them into a versioned parquet table, one version per epoch.  A replayed
-  epoch rewrites its own version only, so the sink is idempotent.
+  epoch rewrites its own version only, so the sink is idempotent.  Each epoch
+  rewrites the whole table, which suits periodic batches (hourly posts); for
+  high-rate streams use ``timeline_stream``, whose state store emits only the
+  changed rows per batch.
 """
 
 from __future__ import annotations
