@@ -19,8 +19,8 @@ def main(argv: list[str] | None = None) -> int:
     w.add_argument("--radius-km", type=float, default=jobs.geo.RADIUS_KM)
     w.add_argument("--month", type=int, default=jobs.geo.DAY_MONTH)
     w.add_argument("--day", type=int, default=jobs.geo.DAY_OF_MONTH)
-    w.add_argument("--first-year", type=int, default=1975)
-    w.add_argument("--last-year", type=int, default=2015)
+    w.add_argument("--first-year", type=int, default=jobs.FIRST_YEAR)
+    w.add_argument("--last-year", type=int, default=jobs.LAST_YEAR)
     pr = sub.add_parser("profile", help="column profile of header CSV files")
     pr.add_argument("paths", nargs="+")
     f = sub.add_parser("feed", help="one user's timeline, push and pull")

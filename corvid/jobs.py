@@ -12,15 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvid.operators import feed, geo, ml, profile
-from corvid.sources.csv import (WEATHER_STATION_COLUMNS, read_header_csv, read_headerless_csv,
-                                read_indexed_csv, read_year_files)
+from corvid.sources.csv import (FIRST_YEAR, LAST_YEAR, WEATHER_STATION_COLUMNS, read_header_csv,
+                                read_headerless_csv, read_indexed_csv, read_year_files)
 from corvid.sources.images import read_images
 from corvid.sources.sinks import write_keyed_table
 
 
 def weather(spark: SparkSession, readings: str, stations: str, lat: float = geo.CAPE_LAT,
             lon: float = geo.CAPE_LON, radius_km: float = geo.RADIUS_KM, month: int = geo.DAY_MONTH,
-            day: int = geo.DAY_OF_MONTH, first_year: int = 1975, last_year: int = 2015) -> DataFrame:
+            day: int = geo.DAY_OF_MONTH, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> DataFrame:
     """IDW estimate of the day's temperature at a point, one row per year.
 
     ``readings``: directory or glob of headerless ``<year>.csv`` files

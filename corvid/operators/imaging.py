@@ -42,6 +42,11 @@ cloudpickle.register_pickle_by_value(image_np)
 
 H, W, PIX = "height", "width", "pixels"
 
+# Fixed values of the reference featurizers: Canny thresholds 100 and 250
+# (aperture 3, L2 gradient) and the Laplace response threshold 300.
+CANNY_LOW, CANNY_HIGH = 100.0, 250.0
+LAPLACE_THRESHOLD = 300.0
+
 
 def to_long(df: DataFrame, id_col: str = "image_id", pixels: str = PIX) -> DataFrame:
     """One row per pixel: ``(id, idx, v)`` with ``idx`` the row-major position."""
@@ -177,7 +182,7 @@ def sobel(df: DataFrame, channels: str | None = None, pixels: str = PIX, out: st
     return df.withColumn(out, im.luma(im.let(mags, scaled)))
 
 
-def laplace(df: DataFrame, thresh: float = 300.0, pixels: str = PIX, out: str = PIX,
+def laplace(df: DataFrame, thresh: float = LAPLACE_THRESHOLD, pixels: str = PIX, out: str = PIX,
             engine: str = STENCIL_ENGINE) -> DataFrame:
     """Laplace edge rim: 5x5 Laplacian -> ``> thresh`` -> 255 -> dilate 3x3 -> minus binary.
 
@@ -194,7 +199,7 @@ def laplace(df: DataFrame, thresh: float = 300.0, pixels: str = PIX, out: str =
     return df.withColumn(out, rim)
 
 
-def canny(df: DataFrame, low: float = 100.0, high: float = 250.0,
+def canny(df: DataFrame, low: float = CANNY_LOW, high: float = CANNY_HIGH,
           pixels: str = PIX, out: str = PIX, engine: str = STENCIL_ENGINE) -> DataFrame:
     """Canny edges (aperture 3, L2 gradient): 255 on edges, 0 elsewhere.
 

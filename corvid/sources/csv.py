@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-# Fixed column names of the weather files (positional, the files have no header).
+# Fixed values of the weather files: positional column names (the files have no
+# header) and the years of the per-year file family, 1975 to 2015 inclusive.
 WEATHER_OBS_COLUMNS = ("STATION", "WBAN", "MONTH", "DAY", "TEMP")
 WEATHER_STATION_COLUMNS = ("STATION", "WBAN", "LAT", "LON")
 FIRST_YEAR, LAST_YEAR = 1975, 2015
