@@ -30,10 +30,19 @@ from pyspark.sql.types import (BinaryType, BooleanType, ByteType, DateType, Doub
 from corvid.functions.text import parse_double
 
 
+def _col(name: str):
+    """A column by its exact name (CSV headers may hold dots, spaces, backticks)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _type(df: DataFrame, name: str):
+    return next(f.dataType for f in df.schema.fields if f.name == name)
+
+
 def as_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Every column cast to string: the table as a CSV reader would give it."""
     cols = list(columns or df.columns)
-    return df.select(*[F.col(c).cast("string").alias(c) for c in cols])
+    return df.select(*[_col(c).cast("string").alias(c) for c in cols])
 
 
 # Types whose text always parses back to the same double as a direct cast
@@ -49,22 +58,22 @@ def _parsed(df: DataFrame, c: str):
     The same as casting the column to text and parsing it back, without the
     round trip where the type decides the answer.
     """
-    t = df.schema[c].dataType
+    t = _type(df, c)
+    col = _col(c)
     if isinstance(t, _EXACT_NUMERIC):
-        v = F.col(c).cast("double")
-        return v, F.col(c).isNotNull(), F.lit(False)
+        return col.cast("double"), col.isNotNull(), F.lit(False)
     if isinstance(t, _NEVER_NUMERIC):
-        return F.lit(None).cast("double"), F.col(c).isNotNull(), F.col(c).isNotNull()
-    text = F.col(c).cast("string")
+        return F.lit(None).cast("double"), col.isNotNull(), col.isNotNull()
+    text = col.cast("string")
     v = parse_double(text)
     ne = text.isNotNull() & (text != F.lit(""))
     return v, ne, ne & v.isNull()
 
 
 def _unpivot_one_row(row_df: DataFrame, columns: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """Turn the one-row wide aggregate into one row per profiled column."""
+    """Turn the one-row wide aggregate (aliases ``_<i>_<field>``) into one row per column."""
     structs = [F.struct(F.lit(c).alias("col_name"),
-                        *[F.col(f"{c}__{f}").alias(f) for f in fields]) for c in columns]
+                        *[F.col(f"_{i}_{f}").alias(f) for f in fields]) for i, c in enumerate(columns)]
     return row_df.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
 
@@ -78,25 +87,25 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
     """
     cols = list(columns or df.columns)
     if typed:
-        cols = [c for c in cols if isinstance(df.schema[c].dataType, NumericType)]
+        cols = [c for c in cols if isinstance(_type(df, c), NumericType)]
         if not cols:
             return df.sparkSession.createDataFrame([], "col_name string, min double, max double, avg double")
         aggs = []
-        for c in cols:
-            v = F.col(c).cast("double")
-            aggs += [F.min(v).alias(f"{c}__min"), F.max(v).alias(f"{c}__max"),
-                     F.avg(v).alias(f"{c}__avg"), F.count(v).alias(f"{c}__n")]
+        for i, c in enumerate(cols):
+            v = _col(c).cast("double")
+            aggs += [F.min(v).alias(f"_{i}_min"), F.max(v).alias(f"_{i}_max"),
+                     F.avg(v).alias(f"_{i}_avg"), F.count(v).alias(f"_{i}_n")]
         wide = df.agg(*aggs)
         long = _unpivot_one_row(wide, cols, ["min", "max", "avg", "n"])
         return long.filter(F.col("n") > 0).select("col_name", "min", "max", "avg")
 
     aggs = []
-    for c in cols:
+    for i, c in enumerate(cols):
         v, ne, bad = _parsed(df, c)
-        aggs += [F.min(v).alias(f"{c}__min"), F.max(v).alias(f"{c}__max"),
-                 F.avg(v).alias(f"{c}__avg"),
-                 F.count_if(ne).alias(f"{c}__ne"),
-                 F.count_if(bad).alias(f"{c}__bad")]
+        aggs += [F.min(v).alias(f"_{i}_min"), F.max(v).alias(f"_{i}_max"),
+                 F.avg(v).alias(f"_{i}_avg"),
+                 F.count_if(ne).alias(f"_{i}_ne"),
+                 F.count_if(bad).alias(f"_{i}_bad")]
     wide = df.agg(*aggs)
     long = _unpivot_one_row(wide, cols, ["min", "max", "avg", "ne", "bad"])
     return (long.filter((F.col("ne") > 0) & (F.col("bad") == 0))
@@ -112,8 +121,8 @@ def _distinct_key(df: DataFrame, c: str):
     the text of zeros only).  NaN prints as one text and Spark groups all NaNs
     as one.  Other types use their text.  A null is the empty text.
     """
-    t = df.schema[c].dataType
-    v = F.col(c)
+    t = _type(df, c)
+    v = _col(c)
     empty = F.when(v.isNull(), F.lit(""))
     no_long, no_double, no_flag = (F.lit(None).cast("long"), F.lit(None).cast("double"),
                                    F.lit(None).cast("boolean"))
@@ -134,10 +143,13 @@ def profile_counts(df: DataFrame, columns: Sequence[str] | None = None,
     """
     cols = list(columns or df.columns)
     cells = []
-    for c in cols:
+    for i, c in enumerate(cols):
         _, ne, bad = _parsed(df, c)
-        cells.append(F.struct(_distinct_key(df, c).alias("k"), ne.alias("ne"), bad.alias("bad")).alias(c))
-    long = df.select(*cells).unpivot([], cols, "col_name", "cell").select("col_name", "cell.*")
+        cells.append(F.struct(F.lit(c).alias("col_name"), _distinct_key(df, c).alias("k"),
+                              ne.alias("ne"), bad.alias("bad")).alias(f"_{i}"))
+    # unpivot (an Expand) over positional names; the real name travels in the struct
+    long = (df.select(*cells).unpivot([], [f"_{i}" for i in range(len(cols))], "_pos", "cell")
+            .select("cell.*"))
     distinct = (F.approx_count_distinct("k", rsd) if approx else F.count_distinct("k"))
     return long.groupBy("col_name").agg(
         F.count_if(F.col("ne")).alias("non_empty"),

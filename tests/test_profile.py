@@ -63,3 +63,14 @@ def test_distinct_is_textual_for_doubles_and_ints(spark):
     assert got["d"].n_distinct == len(texts) == 4   # '0.0', '-0.0', 'NaN', ''
     assert got["i"].n_distinct == 3                 # '1', '2', ''
     assert got["d"].non_empty == 4 and got["i"].non_empty == 4
+
+
+def test_awkward_column_names(spark, tmpdir_path):
+    path = f"{tmpdir_path}/odd.csv"
+    with open(path, "w") as f:
+        f.write("a.b,x y,`q`\n1,2,z\n3,,w\n")
+    df = read_header_csv(spark, path)
+    counts = {r.col_name: (r.non_empty, r.n_distinct) for r in profile.profile_counts(df).collect()}
+    assert counts == {"a.b": (2, 2), "x y": (1, 2), "`q`": (2, 2)}
+    nums = {r.col_name: (r.min, r.max) for r in profile.profile_numeric(df).collect()}
+    assert nums == {"a.b": (1.0, 3.0), "x y": (2.0, 2.0)}
