@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corvid.functions.time import epoch_micros
 from corvid.operators import feed
 from corvid.plans.registry import register
 from corvid.plans.standins import EDGES_SQL, TWEETS_SQL, follow_edges, tweets
@@ -96,7 +95,7 @@ def timeline_ordered(spark, sf_dir):
 def feed_upsert(spark, sf_dir):
     """K2: stored timeline (tweets before a cutoff) upserted with the later tweets' fan-out."""
     tw, edges = _inputs(spark, sf_dir)
-    cutoff = epoch_micros(F.lit(UPSERT_CUTOFF).cast("timestamp_ntz"))
-    stored = feed.timeline_push(tw.filter(F.col("score") < cutoff), edges)
-    updates = feed.fan_out_updates(tw.filter(F.col("score") >= cutoff), edges)
+    cutoff = F.lit(UPSERT_CUTOFF).cast("timestamp_ntz")  # on the raw column: pushed into the scan
+    stored = feed.timeline_push(tw.filter(F.col("ts") < cutoff), edges)
+    updates = feed.fan_out_updates(tw.filter(F.col("ts") >= cutoff), edges)
     return feed.upsert_sorted_set(stored, updates)

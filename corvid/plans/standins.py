@@ -91,11 +91,12 @@ def follow_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` -> tweets(user_id, tweet_text, score): text = event type, score = ts in µs."""
+    """``events`` -> tweets(user_id, tweet_text, score, ts): text = event type, score = ts in µs."""
     return table(spark, sf_dir, "events").select(
         "user_id",
         F.col("event_type").alias("tweet_text"),
-        epoch_micros(F.col("ts")).alias("score"))
+        epoch_micros(F.col("ts")).alias("score"),
+        "ts")
 
 
 EDGES_SQL = """
