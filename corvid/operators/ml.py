@@ -197,22 +197,19 @@ def build_stages(featurizer: str = "raw", classifier: str = "nb", size: int = DE
     return Pipeline(stages=stages)
 
 
-def fit_and_predict(stages: Pipeline, train: DataFrame, test: DataFrame,
-                    cache_train: bool = True) -> DataFrame:
-    """Fit on ``train`` and score ``test``.
+def fit_pipeline(stages: Pipeline, train: DataFrame, cache_train: bool = True) -> PipelineModel:
+    """Fit ``stages`` on ``train`` -> a ``PipelineModel`` (savable with ``.write().save``).
 
     The transformer stages (labeler, featurizer) are applied to the training
     frame once and the resulting features are persisted (memory, spilling to
     disk) while the estimator fits -- iterative estimators read them once per
-    iteration -- then released.  The fitted stages are assembled into one
-    ``PipelineModel`` for scoring.
+    iteration -- then released.
     """
     all_stages = stages.getStages()
     prep, estimator = all_stages[:-1], all_stages[-1]
     if not all(isinstance(st, Transformer) for st in prep):
         raise TypeError("all stages but the last must be Transformers")
-    prep_model = PipelineModel(stages=list(prep))
-    feats = prep_model.transform(train)
+    feats = PipelineModel(stages=list(prep)).transform(train)
     if cache_train:
         feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -220,7 +217,13 @@ def fit_and_predict(stages: Pipeline, train: DataFrame, test: DataFrame,
     finally:
         if cache_train:
             feats.unpersist()
-    return PipelineModel(stages=[*prep, fitted]).transform(test)
+    return PipelineModel(stages=[*prep, fitted])
+
+
+def fit_and_predict(stages: Pipeline, train: DataFrame, test: DataFrame,
+                    cache_train: bool = True) -> DataFrame:
+    """Fit on ``train`` (see ``fit_pipeline``) and score ``test``."""
+    return fit_pipeline(stages, train, cache_train).transform(test)
 
 
 def accuracy(predictions: DataFrame, label: str = "label",

@@ -45,3 +45,16 @@ def test_pipeline_and_accuracy(spark):
         acc = ml.accuracy(pred).first()
         assert acc.n == files.filter("NOT is_train").count()
         assert 0.0 <= acc.accuracy <= 1.0 and acc.correct <= acc.n
+
+
+def test_fitted_pipeline_saves_and_loads(spark, tmpdir_path):
+    from pyspark.ml import PipelineModel
+    files = ml.with_split(image_files(spark, SF))
+    model = ml.fit_pipeline(ml.build_stages("sobel", "nb", size=8), files.filter("is_train"))
+    path = f"{tmpdir_path}/model"
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    test = files.filter("NOT is_train")
+    a = sorted(model.transform(test).select("image_id", "prediction").collect())
+    b = sorted(loaded.transform(test).select("image_id", "prediction").collect())
+    assert a == b and type(loaded.stages[1]).__name__ == "SobelFeaturizer"
