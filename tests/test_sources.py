@@ -58,7 +58,7 @@ def test_list_files_and_images(spark, tmpdir_path):
     files = list_files(spark, d)
     paths = sorted(r.path for r in files.collect())
     assert len(paths) == 2 and not any(p.startswith("file:") for p in paths)
-    assert "FileScan" in files._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<path:string>" in files._jdf.queryExecution().executedPlan().toString()
     imgs = {os.path.basename(r.path): r for r in read_images(spark, d, gray=False).collect()}
     r = imgs["dog.1.bmp"]
     assert (r.height, r.width, r.channels) == (5, 7, 3)
