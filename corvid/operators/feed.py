@@ -132,10 +132,15 @@ def timeline_ordered(timeline: DataFrame, key: str = USER, score: str = SCORE,
     return row_number_within(timeline, [key], [score, member], out=out)
 
 
+def timeline_of(timeline: DataFrame, user_id: int, key: str = USER) -> DataFrame:
+    """One user's timeline rows (unordered)."""
+    return timeline.filter(F.col(key) == F.lit(user_id))
+
+
 def read_timeline(timeline: DataFrame, user_id: int, key: str = USER,
                   score: str = SCORE, member: str = TEXT) -> DataFrame:
     """One user's timeline in read order (the ``zrange(key, 0, -1)`` view)."""
-    return timeline.filter(F.col(key) == F.lit(user_id)).orderBy(score, member)
+    return timeline_of(timeline, user_id, key).orderBy(score, member)
 
 
 def upsert_sorted_set(existing: DataFrame, updates: DataFrame,

@@ -99,3 +99,23 @@ def feed_upsert(spark, sf_dir):
     stored = feed.timeline_push(tw.filter(F.col("ts") < cutoff), edges)
     updates = feed.fan_out_updates(tw.filter(F.col("ts") >= cutoff), edges)
     return feed.upsert_sorted_set(stored, updates)
+
+
+@register("timeline_read_push", sql=_CTES + f"""SELECT tweet_text, score,
+    row_number() OVER (ORDER BY score, tweet_text) AS pos FROM push WHERE user_id = {LOOKUP_USER}""")
+def timeline_read_push(spark, sf_dir):
+    """O1+P8: one user's precomputed timeline in read order (position by score, then text)."""
+    tw, edges = _inputs(spark, sf_dir)
+    one = feed.timeline_of(feed.timeline_push(tw, edges), LOOKUP_USER)
+    return feed.timeline_ordered(one, out="pos").select("tweet_text", "score", "pos")
+
+
+@register("timeline_read_pull", sql=_CTES + f"""SELECT tweet_text,
+    sum(CAST(score AS DECIMAL(38,0))) AS score,
+    row_number() OVER (ORDER BY sum(CAST(score AS DECIMAL(38,0))), tweet_text) AS pos
+    FROM fan WHERE reader = {LOOKUP_USER} GROUP BY tweet_text""")
+def timeline_read_pull(spark, sf_dir):
+    """J3+O1: one user's timeline merged on read (only that user's edges are joined), in read order."""
+    tw, edges = _inputs(spark, sf_dir)
+    one = feed.timeline_pull(tw, edges, reader=LOOKUP_USER)
+    return feed.timeline_ordered(one, out="pos").select("tweet_text", "score", "pos")
