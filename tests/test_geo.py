@@ -98,7 +98,7 @@ def test_string_keys_are_textual(spark):
 
 def test_plan_broadcasts_and_single_job(spark):
     from corvid.plans.registry import all_queries
-    df = all_queries()["idw_yearly"].build(spark, "/root/testdata/sf0.001")
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    from corvid.plans.explain import final_plan
+    plan = final_plan(all_queries()["idw_yearly"].build(spark, "/root/testdata/sf0.001"))
     assert "BroadcastHashJoin" in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan

@@ -3,6 +3,7 @@
 import pytest
 
 from corvid.operators import feed
+from corvid.plans.explain import final_plan
 from corvid.plans.registry import all_queries
 from corvid.plans.standins import follow_edges, tweets
 
@@ -11,7 +12,8 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "PythonUDF"
 
 
 def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The final (AQE) physical plan: this DataFrame's own plan is executed first."""
+    return final_plan(df)
 
 
 def test_idw_broadcasts_stations_and_never_shuffles_readings(spark):
@@ -61,3 +63,32 @@ def test_profile_counts_spreads_distinct_over_values(spark):
     # exact distinct: first aggregated on (col_name, value), then per column
     assert "hashpartitioning(col_name#" in plan
     assert any("hashpartitioning(col_name" in ln and ", k#" in ln for ln in plan.splitlines())
+
+
+def test_celebrity_author_join_is_split_by_aqe(spark):
+    """A user followed by a third of all users: AQE splits that join partition."""
+    from pyspark.sql import functions as F
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        edges = spark.range(0, 30000).select(
+            (F.col("id") + 1).alias("user_id"),
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 997 + 1).alias("follows_id"))
+        tw = spark.range(0, 3000).select((F.col("id") % 998).alias("user_id"),
+                                         (F.col("id") % 50).cast("string").alias("tweet_text"),
+                                         F.col("id").alias("score"))
+        plan = plan_of(feed.timeline_push(tw, edges))
+        assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

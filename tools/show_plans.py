@@ -3,7 +3,8 @@
 usage: python tools/show_plans.py [sf_dir] > PLANS.md
 Per query: shuffles (hash / range / single-partition exchanges), broadcasts, join
 strategies, Python steps, and for each parquet scan the columns read and the
-filters pushed into it.  Plans are taken after execution (AQE final plans).
+filters pushed into it.  Each DataFrame's own plan is executed first, so the
+summaries are AQE's final plans (broadcasts chosen at run time included).
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ def summarise(plan: str) -> dict:
 
 
 def main(argv):
+    from corvid.plans.explain import final_plan
     from corvid.plans.registry import all_queries
     from corvid.session import local_session
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
@@ -50,9 +52,7 @@ def main(argv):
     print("| query | hash | range | single | bcast | joins | python | scans (columns; pushed filters) |")
     print("|---|---|---|---|---|---|---|---|")
     for name, q in all_queries().items():
-        df = q.build(spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        s = summarise(df._jdf.queryExecution().executedPlan().toString())
+        s = summarise(final_plan(q.build(spark, sf_dir)))
         scans = "<br>".join(f"{t}: {re.sub(r'#\d+L?', '', cols)}; {re.sub(r'#\d+L?', '', pf) or '-'}"
                             for t, cols, pf in s["scans"])
         print(f"| {name} | {s['hash shuffles']} | {s['range shuffles']} | {s['single-partition']} | "
