@@ -20,14 +20,19 @@ from corvid.sources.sinks import write_keyed_table
 
 def weather(spark: SparkSession, readings: str, stations: str, lat: float = geo.CAPE_LAT,
             lon: float = geo.CAPE_LON, radius_km: float = geo.RADIUS_KM, month: int = geo.DAY_MONTH,
-            day: int = geo.DAY_OF_MONTH, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> DataFrame:
+            day: int = geo.DAY_OF_MONTH, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR,
+            readings_format: str = "csv") -> DataFrame:
     """IDW estimate of the day's temperature at a point, one row per year.
 
     ``readings``: directory or glob of headerless ``<year>.csv`` files
-    (STATION, WBAN, MONTH, DAY, TEMP); ``stations``: headerless CSV
-    (STATION, WBAN, LAT, LON).
+    (STATION, WBAN, MONTH, DAY, TEMP), or a parquet table partitioned by
+    ``year`` (see ``sources.sinks.write_partitioned``; the year range is then a
+    partition filter); ``stations``: headerless CSV (STATION, WBAN, LAT, LON).
     """
-    obs = read_year_files(spark, readings, first_year=first_year, last_year=last_year)
+    if readings_format == "parquet":
+        obs = spark.read.parquet(readings).filter(F.col("year").between(first_year, last_year))
+    else:
+        obs = read_year_files(spark, readings, first_year=first_year, last_year=last_year)
     st = read_headerless_csv(spark, stations, WEATHER_STATION_COLUMNS)
     out = geo.idw_for_day(st, obs, lat, lon, radius_km, month, day)
     return out.orderBy("year")

@@ -34,6 +34,23 @@ def write_keyed_table(df: DataFrame, path: str, keys: Sequence[str], members: Se
      .write.mode(mode).parquet(path))
 
 
+def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("year",),
+                      cluster_by: Sequence[str] = (), num_files: int | None = None,
+                      mode: str = "overwrite") -> None:
+    """Write ``df`` as ``<col>=<value>/`` directories (e.g. one per year).
+
+    Readers filtering on the partition columns then skip whole directories
+    (Spark's partition pruning).  Rows are range-partitioned on the partition
+    and cluster columns first, so a value holding a third of the rows is
+    written by many tasks, and files are sorted by ``cluster_by`` for row-group
+    skipping on those columns.
+    """
+    cols = [*partition_by, *cluster_by]
+    n = num_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+     .write.mode(mode).partitionBy(*partition_by).parquet(path))
+
+
 def _versions(spark: SparkSession, base: str) -> list[int]:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()

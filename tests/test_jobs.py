@@ -64,3 +64,22 @@ def test_images_job_and_cli(spark, tmpdir_path, capsys):
     assert raw.accuracy == 1.0
     assert main(["images", d, "--size", "6"]) == 0
     assert "accuracy" in capsys.readouterr().out
+
+
+def test_weather_job_on_year_partitioned_parquet(spark, tmpdir_path):
+    from corvid.plans.explain import final_plan
+    from corvid.plans.standins import weather_observations, weather_stations
+    from corvid.sources.sinks import write_partitioned
+    sf = "/root/testdata/sf0.001"
+    obs = weather_observations(spark, sf)
+    path = os.path.join(tmpdir_path, "readings")
+    write_partitioned(obs, path, ["year"], ["station", "wban"])
+    assert any(name.startswith("year=") for name in os.listdir(path))
+    st_path = os.path.join(tmpdir_path, "stations.csv")
+    weather_stations(spark, sf).coalesce(1).write.csv(st_path)
+    got = jobs.weather(spark, path, st_path, first_year=1996, last_year=1998, readings_format="parquet")
+    plan = final_plan(got)
+    assert "PartitionFilters: [isnotnull(year" in plan and "1996" in plan
+    want = jobs.geo.idw_for_day(weather_stations(spark, sf), obs.filter("year between 1996 and 1998"))
+    r = lambda rows: sorted((x.year, round(x.est, 9), x.n) for x in rows)  # summation order differs
+    assert r(got.collect()) == r(want.collect())
