@@ -13,7 +13,7 @@ from collections import deque
 
 import numpy as np
 
-from corvid.functions.image import CANNY_SHIFT, CANNY_TG22, LAPLACE_5, SOBEL_X, SOBEL_Y
+from corvid.functions.image import CANNY_SHIFT, CANNY_TG22, LAPLACE_5, LUMA_BGR, SOBEL_X, SOBEL_Y
 
 _NP_BORDER = {"reflect101": "reflect", "replicate": "edge"}
 
@@ -115,3 +115,12 @@ def resize_nearest(a: np.ndarray, out_h: int, out_w: int) -> np.ndarray:
     rows = np.minimum(np.floor((np.arange(out_h) + 0.5) * h / out_h).astype(int), h - 1)
     cols = np.minimum(np.floor((np.arange(out_w) + 0.5) * w / out_w).astype(int), w - 1)
     return a[rows][:, cols]
+
+
+def decode_gray(data: bytes, h: int, w: int, c: int) -> np.ndarray:
+    """Interleaved B, G, R(, A) bytes -> 2-D gray image (601 luma), as ``read_images``."""
+    a = np.frombuffer(data, dtype=np.uint8)[: h * w * c].astype(float)
+    if c >= 3:
+        a = a.reshape(-1, c)
+        a = a[:, 0] * LUMA_BGR[0] + a[:, 1] * LUMA_BGR[1] + a[:, 2] * LUMA_BGR[2]
+    return a.reshape(h, w)

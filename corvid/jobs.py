@@ -87,8 +87,9 @@ def classify_images(spark: SparkSession, folder: str, featurizer: str = "raw", c
 
     Returns ``predictions`` (path, label, prediction) and ``accuracy``.
     """
-    imgs = read_images(spark, folder).withColumn("image_id", F.xxhash64("path"))
+    # bytes stay bytes until the featurizer: decode, edges and resize are one step
+    imgs = read_images(spark, folder, decode=False).withColumn("image_id", F.xxhash64("path"))
     imgs = ml.with_split(imgs, train_percent=train_percent)
-    stages = ml.build_stages(featurizer, classifier, size=size, path_col="path")
+    stages = ml.build_stages(featurizer, classifier, size=size, path_col="path", input_col="data")
     pred = ml.fit_and_predict(stages, imgs.filter("is_train"), imgs.filter("NOT is_train"))
     return {"predictions": pred.select("path", "label", "prediction"), "accuracy": ml.accuracy(pred)}

@@ -19,7 +19,8 @@ from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, NumericType, StringType
+from pyspark.sql.types import (ArrayType, BinaryType, DoubleType, NumericType, StringType, StructField,
+                               StructType)
 
 import sys
 
@@ -103,8 +104,11 @@ class _ImageFeaturizer(Transformer, HasInputCol, HasOutputCol, DefaultParamsRead
     def _transform(self, dataset: DataFrame) -> DataFrame:
         col = self.getInputCol()
         dtype = dataset.schema[col].dataType
+        if isinstance(dtype, BinaryType):
+            return self._transform_bytes(dataset, col)
         if not (isinstance(dtype, ArrayType) and isinstance(dtype.elementType, NumericType)):
-            raise TypeError(f"Input type {dtype.simpleString()} did not match input type array<double>")
+            raise TypeError(f"Input type {dtype.simpleString()} did not match input type "
+                            "array<double> (pixels) or binary (image bytes)")
         h, w = self.getOrDefault(self.heightCol), self.getOrDefault(self.widthCol)
         side = self.getOrDefault(self.size)
         tmp = "_feat_px"
@@ -126,6 +130,29 @@ class _ImageFeaturizer(Transformer, HasInputCol, HasOutputCol, DefaultParamsRead
         return out
 
 
+    def _transform_bytes(self, dataset: DataFrame, col: str) -> DataFrame:
+        """Image bytes (``read_images(decode=False)``): decode to gray, edge map and
+        resize in one Arrow-batched numpy step; needs a ``channels`` column."""
+        h, w = self.getOrDefault(self.heightCol), self.getOrDefault(self.widthCol)
+        side = self.getOrDefault(self.size)
+        edges, resize, decode = self._np_edges, image_np.resize_nearest, image_np.decode_gray
+        out = self.getOutputCol()
+        names = list(dataset.columns) + ([] if out in dataset.columns else [out])
+        fields = {f.name: f for f in dataset.schema.fields}
+        tmp_schema = StructType([fields[c] if c != out else StructField(out, ArrayType(DoubleType()))
+                                 for c in names])
+
+        def run(batches):
+            for pdf in batches:
+                pdf[out] = [None if d is None else
+                            resize(edges(decode(d, int(hh), int(ww), int(cc))), side, side).ravel()
+                            for d, hh, ww, cc in zip(pdf[col], pdf[h], pdf[w], pdf["channels"])]
+                yield pdf[names]
+
+        mapped = dataset.mapInPandas(run, tmp_schema)
+        return mapped.withColumn(out, array_to_vector(F.col(out)))
+
+
 class RawPixelFeaturizer(_ImageFeaturizer):
     """The image plane as is, resized to ``size`` x ``size`` (decode to gray with
     ``corvid.sources.images.read_images``)."""
@@ -189,10 +216,13 @@ def make_classifier(kind: str, n_features: int, features: str = "features",
 
 
 def build_stages(featurizer: str = "raw", classifier: str = "nb", size: int = DEFAULT_SIDE,
-                 path_col: str | None = "path") -> Pipeline:
-    """Pipeline labeler (when a path column is given) -> featurizer -> classifier."""
+                 path_col: str | None = "path", input_col: str = "pixels") -> Pipeline:
+    """Pipeline labeler (when a path column is given) -> featurizer -> classifier.
+
+    ``input_col`` is a pixel array or the image bytes of ``read_images(decode=False)``.
+    """
     stages = [] if path_col is None else [Labeler(inputCol=path_col, outputCol="label")]
-    stages.append(FEATURIZERS[featurizer](inputCol="pixels", outputCol="features", size=size))
+    stages.append(FEATURIZERS[featurizer](inputCol=input_col, outputCol="features", size=size))
     stages.append(make_classifier(classifier, size * size))
     return Pipeline(stages=stages)
 

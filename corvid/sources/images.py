@@ -43,7 +43,8 @@ def _unpack_bytes(data, n) -> "F.Column":
 
 
 def read_images(spark: SparkSession, path: str, gray: bool = True, glob: str | None = None,
-                drop_invalid: bool = True, strip: bool = True, engine: str = "numpy") -> DataFrame:
+                drop_invalid: bool = True, strip: bool = True, engine: str = "numpy",
+                decode: bool = True) -> DataFrame:
     """Decoded images ``(path, height, width, channels, pixels array<double>)``.
 
     ``gray=True`` reduces colour to one plane with the 601 luma weights
@@ -51,12 +52,18 @@ def read_images(spark: SparkSession, path: str, gray: bool = True, glob: str | N
     ``engine='numpy'`` unpacks the bytes with ``np.frombuffer`` in
     ``mapInPandas`` (Arrow batches); ``'native'`` uses array expressions
     (several string functions per byte: correct, much slower on photos).
+    ``decode=False`` keeps the bytes, ``(path, height, width, channels, data
+    binary)``: the featurizers accept that and decode, detect edges and resize
+    in one step, so a full-size image never exists as doubles (8 bytes a pixel).
     """
     reader = spark.read.format("image").option("dropInvalid", str(drop_invalid).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     img = reader.load(path).select("image.*")
     origin = strip_scheme(F.col("origin")) if strip else F.col("origin")
+    if not decode:
+        return img.select(origin.alias("path"), "height", "width",
+                          F.col("nChannels").alias("channels"), "data")
     if engine == "numpy":
         raw = img.select(origin.alias("path"), "height", "width", F.col("nChannels").alias("channels"), "data")
         return _unpack_numpy(raw, gray)

@@ -83,3 +83,20 @@ def test_weather_job_on_year_partitioned_parquet(spark, tmpdir_path):
     want = jobs.geo.idw_for_day(weather_stations(spark, sf), obs.filter("year between 1996 and 1998"))
     r = lambda rows: sorted((x.year, round(x.est, 9), x.n) for x in rows)  # summation order differs
     assert r(got.collect()) == r(want.collect())
+
+
+def test_featurizers_on_bytes_equal_decoded(spark, tmpdir_path):
+    from corvid.operators import ml
+    from corvid.sources.images import read_images
+    d = os.path.join(tmpdir_path, "imgs")
+    os.makedirs(d)
+    rng = np.random.default_rng(9)
+    for i in range(4):
+        write_bmp(os.path.join(d, f"dog.{i}.bmp"), rng.integers(0, 256, (9, 13, 3)))
+    decoded = read_images(spark, d)
+    raw = read_images(spark, d, decode=False)
+    for name, cls in ml.FEATURIZERS.items():
+        a = {r.path: r.features.toArray().tolist() for r in cls(size=6).transform(decoded).collect()}
+        b = {r.path: r.features.toArray().tolist()
+             for r in cls(inputCol="data", size=6).transform(raw).collect()}
+        assert a == b, name
