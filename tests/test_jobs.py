@@ -100,3 +100,28 @@ def test_featurizers_on_bytes_equal_decoded(spark, tmpdir_path):
         b = {r.path: r.features.toArray().tolist()
              for r in cls(inputCol="data", size=6).transform(raw).collect()}
         assert a == b, name
+
+
+def test_cli_weather_profile_feed(spark, tmpdir_path, capsys):
+    d = os.path.join(tmpdir_path, "w")
+    os.makedirs(d)
+    with open(os.path.join(d, "1986.csv"), "w") as f:
+        f.write("1,,1,28,30\n")
+    with open(os.path.join(d, "stations.csv"), "w") as f:
+        f.write("1,,28.5,-80.6\n")
+    assert main(["weather", "--readings", os.path.join(d, "1986.csv"),
+                 "--stations", os.path.join(d, "stations.csv")]) == 0
+    out = capsys.readouterr().out
+    assert "1986" in out and "30.0" in out
+    p = os.path.join(tmpdir_path, "t.csv")
+    with open(p, "w") as f:
+        f.write("a,b\n1,x\n2,y\n")
+    assert main(["profile", p]) == 0
+    assert "Statistics for" in capsys.readouterr().out
+    fol, tw = os.path.join(tmpdir_path, "f.csv"), os.path.join(tmpdir_path, "tw.csv")
+    with open(fol, "w") as f:
+        f.write(",user_id,follows_id\n0,1,2\n")
+    with open(tw, "w") as f:
+        f.write(",user_id,tweet_text\n0,2,hi\n")
+    assert main(["feed", "--followers", fol, "--tweets", tw, "--user", "1"]) == 0
+    assert "hi" in capsys.readouterr().out
