@@ -8,7 +8,6 @@ kernel table.
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
 
 from corvid.functions import image as im
 from corvid.operators import imaging
