@@ -22,6 +22,8 @@ def main(argv: list[str] | None = None) -> int:
     w.add_argument("--first-year", type=int, default=jobs.FIRST_YEAR)
     w.add_argument("--last-year", type=int, default=jobs.LAST_YEAR)
     w.add_argument("--readings-format", default="csv", choices=["csv", "parquet"])
+    w.add_argument("--drop-null-readings", action="store_true",
+                   help="drop readings without a temperature (default: their weight still counts)")
     pr = sub.add_parser("profile", help="column profile of header CSV files")
     pr.add_argument("paths", nargs="+")
     f = sub.add_parser("feed", help="one user's timeline, push and pull")
@@ -45,7 +47,8 @@ def main(argv: list[str] | None = None) -> int:
 
     if a.job == "weather":
         jobs.weather(spark, a.readings, a.stations, a.lat, a.lon, a.radius_km, a.month, a.day,
-                     a.first_year, a.last_year, a.readings_format).show(200, truncate=False)
+                     a.first_year, a.last_year, a.readings_format,
+                     a.drop_null_readings).show(200, truncate=False)
     elif a.job == "profile":
         for path in a.paths:
             print(f"Statistics for {path}")

@@ -21,7 +21,7 @@ from corvid.sources.sinks import write_keyed_table
 def weather(spark: SparkSession, readings: str, stations: str, lat: float = geo.CAPE_LAT,
             lon: float = geo.CAPE_LON, radius_km: float = geo.RADIUS_KM, month: int = geo.DAY_MONTH,
             day: int = geo.DAY_OF_MONTH, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR,
-            readings_format: str = "csv") -> DataFrame:
+            readings_format: str = "csv", drop_null_readings: bool = False) -> DataFrame:
     """IDW estimate of the day's temperature at a point, one row per year.
 
     ``readings``: directory or glob of headerless ``<year>.csv`` files
@@ -34,7 +34,7 @@ def weather(spark: SparkSession, readings: str, stations: str, lat: float = geo.
     else:
         obs = read_year_files(spark, readings, first_year=first_year, last_year=last_year)
     st = read_headerless_csv(spark, stations, WEATHER_STATION_COLUMNS)
-    out = geo.idw_for_day(st, obs, lat, lon, radius_km, month, day)
+    out = geo.idw_for_day(st, obs, lat, lon, radius_km, month, day, drop_null_obs=drop_null_readings)
     return out.orderBy("year")
 
 
@@ -64,8 +64,10 @@ def feed_read(spark: SparkSession, followers_csv: str, tweets_csv: str, user_id:
               out_dir: str | None = None) -> dict[str, DataFrame]:
     """One user's timeline both ways (precomputed push, union-on-read pull).
 
-    With ``out_dir`` the follower sets, posts and timelines are also written as
-    key-clustered tables (``followers``, ``following``, ``posts``, ``timelines``).
+    With ``out_dir`` the follower sets, posts, pushed timelines and the
+    materialised unions (pull for every reader) are also written as
+    key-clustered tables (``followers``, ``following``, ``posts``,
+    ``timelines``, ``unions``); each write replaces only its own folder.
     """
     t = feed_tables(spark, followers_csv, tweets_csv)
     if out_dir:
@@ -74,6 +76,8 @@ def feed_read(spark: SparkSession, followers_csv: str, tweets_csv: str, user_id:
         write_keyed_table(feed.following_sets(t["edges"]), f"{base}/following", ["user_id"], ["followee_id"])
         write_keyed_table(t["posts"], f"{base}/posts", ["user_id"], ["tweet_text"], dedupe=False)
         write_keyed_table(t["timelines"], f"{base}/timelines", ["user_id"], ["tweet_text"], dedupe=False)
+        write_keyed_table(feed.timeline_pull(t["tweets"], t["edges"]), f"{base}/unions", ["user_id"],
+                          ["tweet_text"], dedupe=False)
     pull = feed.timeline_pull(t["tweets"], t["edges"], reader=user_id)
     return {"push": feed.read_timeline(t["timelines"], user_id),
             "pull": feed.read_timeline(pull, user_id),

@@ -46,6 +46,8 @@ def test_feed_job(spark, tmpdir_path):
     assert pull[-1] == "hello"  # summed score of two authors sorts last
     assert [r.follower_id for r in out["followers"].collect()] == [9]
     assert spark.read.parquet(os.path.join(tmpdir_path, "store", "timelines")).count() == 3
+    unions = spark.read.parquet(os.path.join(tmpdir_path, "store", "unions"))
+    assert unions.count() == 3 and dict(unions.dtypes)["score"] == "decimal(38,0)"
 
 
 def test_images_job_and_cli(spark, tmpdir_path, capsys):
