@@ -27,7 +27,8 @@ def main() -> None:
                           app="corvid-bench")
     queries = all_queries()
     names = sys.argv[1:] or list(queries)
-    results = {}
+    results: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for name in names:
         build = queries[name].build
 
@@ -36,15 +37,19 @@ def main() -> None:
             build(spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
-        once()  # warm-up
-        results[name] = round(statistics.median(once() for _ in range(runs)), 3)
+        try:
+            once()  # warm-up
+            results[name] = round(statistics.median(once() for _ in range(runs)), 3)
+        except Exception as e:  # keep the JSON line: record the failure
+            failed[name] = repr(e)[:300]
     sf_name = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     try:
         sf: float | str = float(sf_name)
     except ValueError:
         sf = sf_name
     print(json.dumps({"metric": "sum_of_median_query_seconds", "value": round(sum(results.values()), 3),
-                      "unit": "sec", "queries": results, "sf": sf, "cpus": cpus, "runs": runs}))
+                      "unit": "sec", "queries": results, "sf": sf, "cpus": cpus, "runs": runs,
+                      "failed": failed}))
 
 
 if __name__ == "__main__":
