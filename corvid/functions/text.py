@@ -40,10 +40,13 @@ _MAYBE_NUMBER = (r"^[\x00-\x20]*[+-]?((?i:nan|inf|infinity)"
                  r"|0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?\d+[fFdD]?)[\x00-\x20]*$")
 
 
-# Every character that can occur in text the cast accepts (digits, signs, point,
-# exponent / suffix / hex letters, the letters of inf, infinity and nan, and
-# the space and control characters the parser trims).
-_NUMBER_CHARS = "0123456789+-.eEdDfFxXpPaAbBcCiInNtTyY" + "".join(chr(c) for c in range(0x21))
+# The printable characters that can occur in text the cast accepts (digits,
+# signs, point, exponent / suffix / hex letters, the letters of inf, infinity
+# and nan, space).  The control characters the parser also trims are allowed
+# through a pattern test on what is left, so that no control character ends up
+# as a literal in the plan.
+_NUMBER_CHARS = "0123456789+-.eEdDfFxXpPaAbBcCiInNtTyY "
+_TRIM_ONLY = r"^[\x00-\x20]+$"
 
 
 def parse_double(text) -> Column:
@@ -56,6 +59,7 @@ def parse_double(text) -> Column:
     """
     t = _c(text)
     digits_only = (F.translate(t, "0123456789", "") == F.lit("")) & (t != F.lit(""))
-    plausible = F.translate(t, _NUMBER_CHARS, "") == F.lit("")
+    rest = F.translate(t, _NUMBER_CHARS, "")
+    plausible = (rest == F.lit("")) | rest.rlike(_TRIM_ONLY)
     return (F.when(digits_only, t.try_cast("double"))
             .when(plausible & t.rlike(_MAYBE_NUMBER), t.try_cast("double")))
