@@ -57,7 +57,8 @@ def pack_sets(sets: DataFrame, key: str, member: str, chunk_size: int = 10_000)
     A key with ``m`` members is spread over ``ceil(m / chunk_size)`` hash buckets
     of its members, so no array (and no task) holds an unbounded group:
     ``(key, chunk, members array)``.  Member counts come from a partial
-    aggregate joined back on the key.
+    aggregate joined back on the key (so ``sets`` is read twice; a hot key's
+    side of that join is split by AQE).
     """
     sizes = sets.groupBy(key).agg(F.count(F.lit(1)).alias("_m"))
     nb = F.greatest(F.lit(1), F.ceil(F.col("_m") / F.lit(chunk_size)))

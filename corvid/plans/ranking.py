@@ -16,7 +16,10 @@ into ordered buckets first:
 4. row numbers within (key, bucket) -- each bucket is about
    ``max_group_rows`` rows -- plus the row count of the key's earlier buckets.
 
-When no key exceeds the bound this is one plain window.
+When no key exceeds the bound this is one plain window.  The input is read
+for the per-key counts and again for the numbering (plus once for the
+quantiles when some key is hot): give it a stored table (e.g. the pushed
+timelines as written), not a long computation.
 """
 
 from __future__ import annotations
