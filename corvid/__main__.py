@@ -26,6 +26,7 @@ def main(argv: list[str] | None = None) -> int:
                    help="drop readings without a temperature (default: their weight still counts)")
     pr = sub.add_parser("profile", help="column profile of header CSV files")
     pr.add_argument("paths", nargs="+")
+    pr.add_argument("--approx", action="store_true", help="approximate distinct counts (HyperLogLog++)")
     f = sub.add_parser("feed", help="one user's timeline, push and pull")
     f.add_argument("--followers", required=True)
     f.add_argument("--tweets", required=True)
@@ -52,7 +53,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.job == "profile":
         for path in a.paths:
             print(f"Statistics for {path}")
-            jobs.column_profile(spark, path).show(1000, truncate=False)
+            jobs.column_profile(spark, path, a.approx).show(1000, truncate=False)
     elif a.job == "feed":
         out = jobs.feed_read(spark, a.followers, a.tweets, a.user, a.out)
         for name in ("push", "pull"):

@@ -38,10 +38,14 @@ def weather(spark: SparkSession, readings: str, stations: str, lat: float = geo.
     return out.orderBy("year")
 
 
-def column_profile(spark: SparkSession, path: str) -> DataFrame:
-    """Min / max / avg (numeric columns), non-empty and distinct counts of a header CSV."""
+def column_profile(spark: SparkSession, path: str, approx: bool = False) -> DataFrame:
+    """Min / max / avg (numeric columns), non-empty and distinct counts of a header CSV.
+
+    ``approx=True`` counts distinct values with HyperLogLog++ (shuffles sketches,
+    not values), for very large files.
+    """
     df = read_header_csv(spark, path)
-    return profile.profile(df).orderBy("col_name")
+    return profile.profile(df, approx=approx).orderBy("col_name")
 
 
 def feed_tables(spark: SparkSession, followers_csv: str, tweets_csv: str) -> dict[str, DataFrame]:

@@ -120,6 +120,8 @@ def test_cli_weather_profile_feed(spark, tmpdir_path, capsys):
         f.write("a,b\n1,x\n2,y\n")
     assert main(["profile", p]) == 0
     assert "Statistics for" in capsys.readouterr().out
+    assert main(["profile", "--approx", p]) == 0
+    assert "Statistics for" in capsys.readouterr().out
     fol, tw = os.path.join(tmpdir_path, "f.csv"), os.path.join(tmpdir_path, "tw.csv")
     with open(fol, "w") as f:
         f.write(",user_id,follows_id\n0,1,2\n")
