@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default bound on broadcast rows.  The station / dimension rows broadcast here are
-# a few dozen bytes, so the bound keeps a broadcast well under ~100 MB.
+# Default bounds on a broadcast side: rows, and bytes as estimated from the
+# schema (Spark's per-type default sizes; strings count 20 bytes).
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def bounded_row_count(df: DataFrame, bound: int) -> int:
@@ -19,10 +20,18 @@ def bounded_row_count(df: DataFrame, bound: int) -> int:
     return df.limit(bound + 1).count()
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame | None:
-    """Return ``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else None."""
-    if max_rows <= 0:
+def estimated_row_bytes(df: DataFrame) -> int:
+    """Spark's schema-based row size estimate (``StructType.defaultSize``)."""
+    return max(1, int(df._jdf.schema().defaultSize()))
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame | None:
+    """Return ``broadcast(df)`` when ``df`` has at most ``min(max_rows, max_bytes / row
+    size)`` rows (counted, reading at most one row past the bound), else None."""
+    bound = min(max_rows, max_bytes // estimated_row_bytes(df))
+    if bound <= 0:
         return None
-    if bounded_row_count(df, max_rows) <= max_rows:
+    if bounded_row_count(df, bound) <= bound:
         return F.broadcast(df)
     return None

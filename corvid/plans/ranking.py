@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvid.plans.joins import broadcast_if_small
+from corvid.plans.joins import DEFAULT_BROADCAST_BYTES, broadcast_if_small
 
 DEFAULT_MAX_GROUP_ROWS = 2_000_000
 # Rank accuracy of the quantile sketch (relative error 1 / accuracy); bucket
@@ -62,7 +62,8 @@ def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     members = df.join(small if small is not None else hot_keys, keys, "left_semi")
     bounds = members.groupBy(*keys).agg(
         F.percentile_approx(order[0], pcts, QUANTILE_ACCURACY).alias("_bounds"))
-    small_bounds = broadcast_if_small(bounds)
+    # a bounds row holds q - 1 values: bound the broadcast by that real width
+    small_bounds = broadcast_if_small(bounds, max_rows=DEFAULT_BROADCAST_BYTES // (8 * q + 64))
     first = F.col(order[0])
     bucketed = (df.join(small_bounds if small_bounds is not None else bounds, keys, "left")
                 .withColumn("_bucket", F.coalesce(F.size(F.filter("_bounds", lambda b: b < first)),

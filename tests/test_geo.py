@@ -102,3 +102,13 @@ def test_plan_broadcasts_and_single_job(spark):
     plan = final_plan(all_queries()["idw_yearly"].build(spark, "/root/testdata/sf0.001"))
     assert "BroadcastHashJoin" in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_broadcast_bound_in_rows_and_bytes(spark):
+    from corvid.plans.joins import broadcast_if_small, estimated_row_bytes
+    df = spark.range(0, 100).selectExpr("id", "cast(id as string) as s")
+    assert estimated_row_bytes(df) == 8 + 20
+    assert broadcast_if_small(df, max_rows=100) is not None
+    assert broadcast_if_small(df, max_rows=99) is None
+    assert broadcast_if_small(df, max_bytes=28 * 100) is not None
+    assert broadcast_if_small(df, max_bytes=28 * 99) is None
