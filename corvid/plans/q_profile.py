@@ -56,3 +56,34 @@ def profile_counts(spark, sf_dir):
     """A6+A7: non-empty and exact textual distinct counts of every column."""
     df = table(spark, sf_dir, PROFILE_TABLE).select(*PROFILE_COLUMNS)
     return profile.profile_counts(df)
+
+
+ORDERS_COLUMNS = ("o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority").split()
+
+
+def _full_sql(table_name: str, columns) -> str:
+    parts = []
+    for c in columns:
+        v = f"TRY_CAST({_text(c)} AS DOUBLE)"
+        ne = _nonempty(c)
+        parts.append(
+            f"SELECT '{c}' AS col_name, count(CASE WHEN {ne} THEN 1 END) AS non_empty, "
+            f"count(DISTINCT coalesce({_text(c)}, '')) AS n_distinct, "
+            f"count(CASE WHEN {ne} AND {v} IS NULL THEN 1 END) AS n_bad, "
+            f"CASE WHEN count(CASE WHEN {ne} THEN 1 END) > 0 AND count(CASE WHEN {ne} AND {v} IS NULL THEN 1 END) = 0 "
+            f"THEN min({v}) END AS min, "
+            f"CASE WHEN count(CASE WHEN {ne} THEN 1 END) > 0 AND count(CASE WHEN {ne} AND {v} IS NULL THEN 1 END) = 0 "
+            f"THEN max({v}) END AS max, "
+            f"CASE WHEN count(CASE WHEN {ne} THEN 1 END) > 0 AND count(CASE WHEN {ne} AND {v} IS NULL THEN 1 END) = 0 "
+            f"THEN round(avg({v}), 6) END AS avg "
+            f"FROM {table_name}")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("profile_orders", sql=_full_sql("orders", ORDERS_COLUMNS))
+def profile_orders(spark, sf_dir):
+    """A3-A7 on a second table: the combined profile (counts and numeric stats) of ``orders``."""
+    df = table(spark, sf_dir, "orders").select(*ORDERS_COLUMNS)
+    out = profile.profile(df)
+    return out.select("col_name", "non_empty", "n_distinct", "n_bad", "min", "max",
+                      F.round("avg", 6).alias("avg"))
