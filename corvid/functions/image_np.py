@@ -9,8 +9,6 @@ per pixel.
 
 from __future__ import annotations
 
-from collections import deque
-
 import numpy as np
 
 from corvid.functions.image import CANNY_SHIFT, CANNY_TG22, LAPLACE_5, LUMA_BGR, SOBEL_X, SOBEL_Y
@@ -91,19 +89,48 @@ def canny_classes(a: np.ndarray, low: float, high: float) -> np.ndarray:
 
 
 def hysteresis(cls: np.ndarray) -> np.ndarray:
-    """255 on strong pixels and on weak pixels 8-connected to them, else 0."""
+    """255 on strong pixels and on weak pixels 8-connected to them, else 0.
+
+    Connected components of the candidate (weak or strong) pixels, vectorised:
+    every pair of 8-adjacent candidates is an edge; roots are hooked onto the
+    smaller root and paths are compressed (pointer jumping) until every edge
+    joins equal roots.  A component is an edge when it holds a strong pixel.
+    """
     h, w = cls.shape
-    edge = cls == 2
-    queue = deque(zip(*np.nonzero(edge)))
-    while queue:
-        r, c = queue.popleft()
-        for dr in (-1, 0, 1):
-            for dc in (-1, 0, 1):
-                rr, cc = r + dr, c + dc
-                if 0 <= rr < h and 0 <= cc < w and not edge[rr, cc] and cls[rr, cc] == 1:
-                    edge[rr, cc] = True
-                    queue.append((rr, cc))
-    return np.where(edge, 255.0, 0.0)
+    flat = cls.ravel()
+    idx = np.flatnonzero(flat >= 1)
+    out = np.zeros(h * w)
+    if idx.size == 0:
+        return out.reshape(h, w)
+    node = np.full(h * w, -1, dtype=np.int64)
+    node[idx] = np.arange(idx.size)
+    rows, cols = np.divmod(idx, w)
+    us, vs = [], []
+    for dr, dc in ((0, 1), (1, -1), (1, 0), (1, 1)):  # each neighbour pair once
+        r2, c2 = rows + dr, cols + dc
+        ok = (r2 < h) & (c2 >= 0) & (c2 < w)
+        tgt = r2[ok] * w + c2[ok]
+        both = flat[tgt] >= 1
+        us.append(node[idx[ok][both]])
+        vs.append(node[tgt[both]])
+    u, v = np.concatenate(us), np.concatenate(vs)
+    parent = np.arange(idx.size)
+    while True:
+        pu, pv = parent[u], parent[v]
+        differ = pu != pv
+        if not differ.any():
+            break
+        lo, hi = np.minimum(pu[differ], pv[differ]), np.maximum(pu[differ], pv[differ])
+        np.minimum.at(parent, hi, lo)
+        while True:  # compress to roots
+            grand = parent[parent]
+            if np.array_equal(grand, parent):
+                break
+            parent = grand
+    strong_root = np.zeros(idx.size, dtype=bool)
+    strong_root[parent[flat[idx] == 2]] = True
+    out[idx[strong_root[parent]]] = 255.0
+    return out.reshape(h, w)
 
 
 def canny(a: np.ndarray, low: float = 100.0, high: float = 250.0) -> np.ndarray:
