@@ -67,13 +67,20 @@ def _check_engine(engine: str) -> None:
         raise ValueError(f"engine must be one of {ENGINES}")
 
 
+def _well_formed(expr: Column, pixels: str) -> Column:
+    """``expr`` for rows whose pixel count is height x width (> 0), else null."""
+    n = F.col(H) * F.col(W)
+    return F.when((F.size(F.col(pixels)) == n) & (n > 0), expr)
+
+
 def map_images(df: DataFrame, fn, pixels: str = PIX, out: str = PIX,
                out_shape: tuple[int, int] | None = None) -> DataFrame:
     """Apply ``fn(2-D numpy image) -> 2-D numpy image`` to every row, in Arrow batches.
 
     The ``engine="numpy"`` path of the operators below: one ``mapInPandas``
     step, rows pass through, ``out`` (and height/width when ``out_shape`` is
-    given) is replaced.  Columns are not pruned through it: select first.
+    given) is replaced; a row whose pixel count is not height x width gets a
+    null ``out`` (the native engine does the same).  Columns are not pruned through it: select first.
     Batch memory is bounded by ``spark.sql.execution.arrow.maxBytesPerBatch``
     (64 MB by default; checked: 800 KB rows arrive 83 to a batch), so
     photo-sized rows do not pile up in a Python worker.
@@ -87,8 +94,8 @@ def map_images(df: DataFrame, fn, pixels: str = PIX, out: str = PIX,
         for pdf in batches:
             res = []
             for px, h, w in zip(pdf[pixels], pdf[H], pdf[W]):
-                if px is None or h is None or w is None:
-                    res.append(None)
+                if px is None or h is None or w is None or len(px) != int(h) * int(w) or len(px) == 0:
+                    res.append(None)  # malformed row: null, not a failed job
                     continue
                 a = np.asarray(px, dtype=float).reshape(int(h), int(w))
                 res.append(np.asarray(fn(a), dtype=float).ravel())
@@ -107,7 +114,8 @@ def convolve(df: DataFrame, kernel: im.Kernel, border: str = "reflect101",
     if engine == "numpy":
         k = tuple(tuple(r) for r in kernel)
         return map_images(df, lambda a: np_correlate(a, k, border), pixels, out)
-    return df.withColumn(out, im.convolve(F.col(pixels), F.col(H), F.col(W), kernel, border))
+    return df.withColumn(out, _well_formed(im.convolve(F.col(pixels), F.col(H), F.col(W), kernel, border),
+                                           pixels))
 
 
 def resize(df: DataFrame, out_h: int = 150, out_w: int = 150, pixels: str = PIX,
@@ -141,7 +149,7 @@ def dilate(df: DataFrame, pixels: str = PIX, out: str = PIX, engine: str = STENC
     _check_engine(engine)
     if engine == "numpy":
         return map_images(df, np_dilate3x3, pixels, out)
-    return df.withColumn(out, im.dilate3x3(F.col(pixels), F.col(H), F.col(W)))
+    return df.withColumn(out, _well_formed(im.dilate3x3(F.col(pixels), F.col(H), F.col(W)), pixels))
 
 
 def subtract(df: DataFrame, a: str, b: str, out: str = PIX) -> DataFrame:
@@ -169,7 +177,8 @@ def sobel(df: DataFrame, channels: str | None = None, pixels: str = PIX, out: st
     if channels is None and engine == "numpy":
         return map_images(df, np_sobel, pixels, out)
     if channels is None:
-        return df.withColumn(out, im.scale_to_8bit(sobel_magnitude_expr(F.col(pixels), h, w)))
+        return df.withColumn(out, _well_formed(
+            im.scale_to_8bit(sobel_magnitude_expr(F.col(pixels), h, w)), pixels))
     planes = im.split_channels(F.col(pixels), h, w, F.col(channels))
     mags = F.transform(planes, lambda p: sobel_magnitude_expr(p, h, w))
 
@@ -199,7 +208,7 @@ def laplace(df: DataFrame, thresh: float = LAPLACE_THRESHOLD, pixels: str = PIX,
     lap = im.convolve(F.col(pixels), h, w, im.LAPLACE_5)
     binary = im.threshold_binary(lap, thresh, 255.0)
     rim = im.let(binary, lambda b: im.subtract_sat(im.dilate3x3(b, h, w), b))
-    return df.withColumn(out, rim)
+    return df.withColumn(out, _well_formed(rim, pixels))
 
 
 def canny(df: DataFrame, low: float = CANNY_LOW, high: float = CANNY_HIGH,
@@ -217,7 +226,7 @@ def canny(df: DataFrame, low: float = CANNY_LOW, high: float = CANNY_HIGH,
     _check_engine(engine)
     if engine == "numpy":
         return map_images(df, lambda a: np_canny(a, low, high), pixels, out)
-    classes = im.canny_classes(F.col(pixels), F.col(H), F.col(W), low, high)
+    classes = _well_formed(im.canny_classes(F.col(pixels), F.col(H), F.col(W), low, high), pixels)
     staged = df.withColumn("_cls", classes)
     if out in df.columns:
         staged = staged.drop(out)
@@ -228,7 +237,8 @@ def canny(df: DataFrame, low: float = CANNY_LOW, high: float = CANNY_HIGH,
 
     def grow(batches):
         for pdf in batches:
-            pdf[out] = [np_hysteresis(np.asarray(c, dtype=np.int8).reshape(int(hh), int(ww))).ravel()
+            pdf[out] = [None if c is None else
+                        np_hysteresis(np.asarray(c, dtype=np.int8).reshape(int(hh), int(ww))).ravel()
                         for c, hh, ww in zip(pdf["_cls"], pdf[H], pdf[W])]
             yield pdf[names]
 

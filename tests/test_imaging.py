@@ -180,3 +180,13 @@ def test_numpy_engine_convolve_and_resize(spark):
     a = {r.image_id: (r.height, r.width, r.pixels) for r in imaging.resize(df, 7, 11).collect()}
     b = {r.image_id: (r.height, r.width, r.pixels) for r in imaging.resize(df, 7, 11, engine="numpy").collect()}
     assert a == b
+
+
+@pytest.mark.parametrize("engine", ["native", "numpy"])
+def test_malformed_rows_give_null_not_failure(spark, engine):
+    rows = [(0, 2, 2, [1.0, 2.0, 3.0, 4.0]), (1, 3, 3, [1.0, 2.0]), (2, 0, 0, []), (3, 2, 2, None)]
+    df = spark.createDataFrame(rows, "image_id long, height int, width int, pixels array<double>")
+    for op in (imaging.sobel, imaging.laplace, imaging.canny, imaging.dilate):
+        got = {r.image_id: r.pixels for r in op(df, engine=engine).collect()}
+        assert got[0] is not None and len(got[0]) == 4
+        assert got[1] is None and got[2] is None and got[3] is None
