@@ -233,13 +233,16 @@ def fit_pipeline(stages: Pipeline, train: DataFrame, cache_train: bool = True) -
     The transformer stages (labeler, featurizer) are applied to the training
     frame once and the resulting features are persisted (memory, spilling to
     disk) while the estimator fits -- iterative estimators read them once per
-    iteration -- then released.
+    iteration -- then released.  Rows without features (malformed images,
+    whose featurizer output is null) are left out of the fit.
     """
     all_stages = stages.getStages()
     prep, estimator = all_stages[:-1], all_stages[-1]
     if not all(isinstance(st, Transformer) for st in prep):
         raise TypeError("all stages but the last must be Transformers")
     feats = PipelineModel(stages=list(prep)).transform(train)
+    if estimator.hasParam("featuresCol"):  # malformed images have no features: not trained on
+        feats = feats.filter(F.col(estimator.getOrDefault("featuresCol")).isNotNull())
     if cache_train:
         feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
     try:
