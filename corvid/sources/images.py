@@ -36,7 +36,7 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None,
     return df.select(strip_scheme(F.col("path")).alias("path")) if strip else df
 
 
-def _unpack_bytes(data, n) -> "F.Column":
+def _unpack_bytes(data, n):
     """``binary`` -> ``array<double>`` of its first ``n`` unsigned bytes."""
     return F.transform(F.sequence(F.lit(0), n - 1),
                        lambda i: F.conv(F.hex(F.substr(data, i + 1, F.lit(1))), 16, 10).cast("double"))
