@@ -73,3 +73,17 @@ def test_dilate_ge_input_and_engines_agree(spark, h, w, seed):
     assert (nat >= a.ravel()).all() and np.array_equal(nat, num)
     for op in (imaging.sobel, imaging.laplace, imaging.canny):
         assert op(df, engine="native").first().pixels == op(df, engine="numpy").first().pixels
+
+
+@SETTINGS
+@given(st.floats(-89.5, 89.5), st.floats(-180.0, 180.0), st.floats(1.0, 3000.0),
+       st.lists(st.tuples(st.floats(-1.0, 1.0), st.floats(-1.0, 1.0)), min_size=5, max_size=40))
+def test_bounding_box_never_drops_a_station_in_range(spark, lat0, lon0, radius, offsets):
+    from corvid.functions.geo import haversine_km
+    scale = radius / 111.0 * 1.2  # points spread around the circle's edge
+    pts = [(str(i), "1", max(-90.0, min(90.0, lat0 + dy * scale)), lon0 + dx * scale * 2)
+           for i, (dy, dx) in enumerate(offsets)]
+    df = spark.createDataFrame(pts, "station string, wban string, lat double, lon double")
+    got = {r.station for r in geo.within_radius(df, lat0, lon0, radius).collect()}
+    want = {r.station for r in df.filter(haversine_km("lat", "lon", lat0, lon0) <= radius).collect()}
+    assert got == want
