@@ -50,14 +50,16 @@ _TRIM_ONLY = r"^[\x00-\x20]+$"
 
 
 def parse_double(text) -> Column:
-    """Lenient string -> double: null for empty or unparseable text (never raises).
+    """Lenient text -> double: null for empty or unparseable text (never raises).
+
+    Non-string input is read as its text (numbers round-trip exactly).
 
     Same result as ``try_cast(text as double)``, cheaper: digits-only text is cast
     directly (always valid); text with a character outside ``_NUMBER_CHARS`` is
     null at once; the rest must also match ``_MAYBE_NUMBER`` before the cast is
     tried, because a failed cast costs a thrown and caught exception.
     """
-    t = _c(text)
+    t = _c(text).cast("string")  # typed input: its text (a no-op for strings)
     digits_only = (F.translate(t, "0123456789", "") == F.lit("")) & (t != F.lit(""))
     rest = F.translate(t, _NUMBER_CHARS, "")
     plausible = (rest == F.lit("")) | rest.rlike(_TRIM_ONLY)

@@ -54,3 +54,11 @@ def test_epoch_micros_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [1705276800000000] * 3
+
+
+def test_parse_double_on_typed_columns(spark):
+    from corvid.operators import geo
+    df = spark.createDataFrame([(1, 28, 3.5), (2, 28, None)], "month int, day int, temp double")
+    rows = df.select(parse_double("month").alias("m"), parse_double("temp").alias("t")).collect()
+    assert [(r.m, r.t) for r in rows] == [(1.0, 3.5), (2.0, None)]
+    assert geo.observations_on_day(df).count() == 1
