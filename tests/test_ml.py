@@ -58,3 +58,18 @@ def test_fitted_pipeline_saves_and_loads(spark, tmpdir_path):
     a = sorted(model.transform(test).select("image_id", "prediction").collect())
     b = sorted(loaded.transform(test).select("image_id", "prediction").collect())
     assert a == b and type(loaded.stages[1]).__name__ == "SobelFeaturizer"
+
+
+def test_featurizer_detects_edges_before_resizing(spark):
+    """The edge map is computed at full size, then resized."""
+    import numpy as np
+
+    from corvid.functions import image_np
+    a = np.random.default_rng(4).integers(0, 256, (20, 30)).astype(float)
+    df = spark.createDataFrame([(0, 20, 30, [float(x) for x in a.ravel()])],
+                               "image_id long, height int, width int, pixels array<double>")
+    for engine in ("numpy", "native"):
+        got = ml.SobelFeaturizer(size=7, engine=engine).transform(df).first().features.toArray()
+        want = image_np.resize_nearest(image_np.sobel(a), 7, 7).ravel()
+        other = image_np.sobel(image_np.resize_nearest(a, 7, 7)).ravel()
+        assert np.array_equal(got, want) and not np.array_equal(got, other)
