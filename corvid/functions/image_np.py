@@ -1,10 +1,12 @@
-"""The image stencils as numpy functions on one 2-D image (``engine="numpy"``).
-
-They define the same results as the native expressions in
-``corvid.functions.image`` (tests require equality) and run inside
-``mapInPandas`` on Arrow batches: Spark still partitions the images, numpy does
-the per-pixel arithmetic in vectorised form instead of an interpreted lambda
-per pixel.
+"""The image stencils as numpy functions (``engine="numpy"``).
+
+Every function takes one image ``(h, w)`` or a stack of same-sized images
+``(n, h, w)`` and works on the last two axes, so a whole Arrow batch of
+same-sized images is one set of array operations.  They define the same
+results as the native expressions in ``corvid.functions.image`` (tests require
+equality) and run inside ``mapInPandas``: Spark still partitions the images,
+numpy does the per-pixel arithmetic in vectorised form instead of an
+interpreted lambda per pixel.
 """
 
 from __future__ import annotations
@@ -16,14 +18,20 @@ from corvid.functions.image import CANNY_SHIFT, CANNY_TG22, LAPLACE_5, LUMA_BGR,
 _NP_BORDER = {"reflect101": "reflect", "replicate": "edge"}
 
 
+def _hw(a: np.ndarray) -> tuple[int, int]:
+    return a.shape[-2], a.shape[-1]
+
+
 def pad(a: np.ndarray, p: int, border: str = "reflect101", value: float = 0.0) -> np.ndarray:
+    """Pad the last two axes by ``p`` with the given border rule."""
+    lead = [(0, 0)] * (a.ndim - 2)
     if border == "constant":
-        return np.pad(a, p, mode="constant", constant_values=value)
+        return np.pad(a, lead + [(p, p), (p, p)], mode="constant", constant_values=value)
     out = a
-    for axis in (0, 1):
+    for axis in (-2, -1):
         # a single row / column reflects onto itself
         mode = "edge" if (border == "reflect101" and a.shape[axis] == 1) else _NP_BORDER[border]
-        width = [(0, 0), (0, 0)]
+        width = lead + [(0, 0), (0, 0)]
         width[axis] = (p, p)
         out = np.pad(out, width, mode=mode)
     return out
@@ -33,27 +41,33 @@ def correlate(a: np.ndarray, kernel, border: str = "reflect101") -> np.ndarray:
     k = np.asarray(kernel, dtype=float)
     p = max(k.shape) // 2
     src = pad(a, p, border)
-    h, w = a.shape
-    out = np.zeros((h, w))
+    h, w = _hw(a)
+    out = np.zeros(a.shape)
     for r in range(k.shape[0]):
         for c in range(k.shape[1]):
             if k[r, c] != 0:
-                out += k[r, c] * src[r:r + h, c:c + w]
+                out += k[r, c] * src[..., r:r + h, c:c + w]
     return out
 
 
 def dilate3x3(a: np.ndarray) -> np.ndarray:
     src = pad(a, 1, "constant", -np.inf)
-    h, w = a.shape
-    return np.max([src[r:r + h, c:c + w] for r in range(3) for c in range(3)], axis=0)
+    h, w = _hw(a)
+    out = src[..., 0:h, 0:w]
+    for r in range(3):
+        for c in range(3):
+            out = np.maximum(out, src[..., r:r + h, c:c + w])
+    return out
 
 
 def scale_to_8bit(a: np.ndarray, const_value: float = 0.0) -> np.ndarray:
-    lo, hi = a.min(), a.max()
-    if not hi > lo:
-        return np.full(a.shape, float(const_value))
-    k = 255.0 / (hi - lo)
-    return np.clip(np.round(a * k + (-lo * k)), 0.0, 255.0)  # np.round: half to even
+    """Per image: ``round_half_even(v * k - lo * k)``, k = 255 / (hi - lo); constant -> value."""
+    lo = a.min(axis=(-2, -1), keepdims=True)
+    hi = a.max(axis=(-2, -1), keepdims=True)
+    varies = hi > lo
+    k = 255.0 / np.where(varies, hi - lo, 1.0)
+    scaled = np.clip(np.round(a * k + (-lo * k)), 0.0, 255.0)  # np.round: half to even
+    return np.where(varies, scaled, float(const_value))
 
 
 def sobel(a: np.ndarray) -> np.ndarray:
@@ -70,9 +84,10 @@ def canny_classes(a: np.ndarray, low: float, high: float) -> np.ndarray:
     """2 strong, 1 weak, 0 none (same rules as ``image.canny_classes``)."""
     gx, gy = correlate(a, SOBEL_X, "replicate"), correlate(a, SOBEL_Y, "replicate")
     m = gx * gx + gy * gy
-    mp = np.pad(m, 1)
-    h, w = a.shape
-    nb = {(dr, dc): mp[1 + dr:1 + dr + h, 1 + dc:1 + dc + w] for dr in (-1, 0, 1) for dc in (-1, 0, 1)}
+    mp = pad(m, 1, "constant", 0.0)
+    h, w = _hw(a)
+    nb = {(dr, dc): mp[..., 1 + dr:1 + dr + h, 1 + dc:1 + dc + w]
+          for dr in (-1, 0, 1) for dc in (-1, 0, 1)}
     xs, ys = np.abs(gx), np.abs(gy)
     y = ys * float(1 << CANNY_SHIFT)
     tg22x = xs * float(CANNY_TG22)
@@ -92,24 +107,26 @@ def hysteresis(cls: np.ndarray) -> np.ndarray:
     """255 on strong pixels and on weak pixels 8-connected to them, else 0.
 
     Connected components of the candidate (weak or strong) pixels, vectorised:
-    every pair of 8-adjacent candidates is an edge; roots are hooked onto the
-    smaller root and paths are compressed (pointer jumping) until every edge
-    joins equal roots.  A component is an edge when it holds a strong pixel.
+    every pair of 8-adjacent candidates in the same image is an edge; roots are
+    hooked onto the smaller root and paths are compressed (pointer jumping)
+    until every edge joins equal roots.  A component is an edge when it holds a
+    strong pixel.  A stack is one graph of disjoint images.
     """
-    h, w = cls.shape
-    flat = cls.ravel()
+    h, w = _hw(cls)
+    flat = cls.reshape(-1)
+    out = np.zeros(flat.size)
     idx = np.flatnonzero(flat >= 1)
-    out = np.zeros(h * w)
     if idx.size == 0:
-        return out.reshape(h, w)
-    node = np.full(h * w, -1, dtype=np.int64)
+        return out.reshape(cls.shape)
+    node = np.full(flat.size, -1, dtype=np.int64)
     node[idx] = np.arange(idx.size)
-    rows, cols = np.divmod(idx, w)
+    img, pos = np.divmod(idx, h * w)
+    rows, cols = np.divmod(pos, w)
     us, vs = [], []
     for dr, dc in ((0, 1), (1, -1), (1, 0), (1, 1)):  # each neighbour pair once
         r2, c2 = rows + dr, cols + dc
         ok = (r2 < h) & (c2 >= 0) & (c2 < w)
-        tgt = r2[ok] * w + c2[ok]
+        tgt = img[ok] * (h * w) + r2[ok] * w + c2[ok]
         both = flat[tgt] >= 1
         us.append(node[idx[ok][both]])
         vs.append(node[tgt[both]])
@@ -130,7 +147,7 @@ def hysteresis(cls: np.ndarray) -> np.ndarray:
     strong_root = np.zeros(idx.size, dtype=bool)
     strong_root[parent[flat[idx] == 2]] = True
     out[idx[strong_root[parent]]] = 255.0
-    return out.reshape(h, w)
+    return out.reshape(cls.shape)
 
 
 def canny(a: np.ndarray, low: float = 100.0, high: float = 250.0) -> np.ndarray:
@@ -138,10 +155,10 @@ def canny(a: np.ndarray, low: float = 100.0, high: float = 250.0) -> np.ndarray:
 
 
 def resize_nearest(a: np.ndarray, out_h: int, out_w: int) -> np.ndarray:
-    h, w = a.shape
+    h, w = _hw(a)
     rows = np.minimum(np.floor((np.arange(out_h) + 0.5) * h / out_h).astype(int), h - 1)
     cols = np.minimum(np.floor((np.arange(out_w) + 0.5) * w / out_w).astype(int), w - 1)
-    return a[rows][:, cols]
+    return a[..., rows, :][..., :, cols]
 
 
 def decode_gray(data: bytes, h: int, w: int, c: int) -> np.ndarray:

@@ -119,7 +119,7 @@ class _ImageFeaturizer(Transformer, HasInputCol, HasOutputCol, DefaultParamsRead
         if self.getOrDefault(self.engine) == "numpy":
             edges, resize = self._np_edges, image_np.resize_nearest  # functions, pickled by value
             mapped = imaging.map_images(frame, lambda a: resize(edges(a), side, side),
-                                        pixels=tmp, out=tmp)
+                                        pixels=tmp, out=tmp, stacked=True)
             out = mapped.withColumn(self.getOutputCol(), array_to_vector(F.col(tmp))).drop(tmp)
         else:
             edged = self._edges(frame, tmp)
