@@ -9,7 +9,7 @@ results:
 * ``numpy`` (default for the whole-image stencils, see ``STENCIL_ENGINE``):
   ``mapInPandas`` over Arrow batches, one small numpy function per image
   (``corvid.functions.image_np``), a batch's same-sized images stacked.  It
-  is 5-37x faster as measured, because Spark's array lambdas are interpreted
+  is 5-34x faster as measured, because Spark's array lambdas are interpreted
   per pixel.
 """
 
@@ -57,7 +57,7 @@ def to_long(df: DataFrame, id_col: str = "image_id", pixels: str = PIX) -> DataF
 ENGINES = ("native", "numpy")
 # Default for the whole-image stencils (convolve, sobel, laplace, canny, dilate).
 # Measured on local[8]: 150x150 images, native array lambdas 0.7-1.3 Mpix/s,
-# numpy on Arrow batches 21-25 Mpix/s (16-37x); 8x8 images 5-12x.  Spark's
+# numpy on Arrow batches 21-25 Mpix/s (16-34x); 8x8 images 5-12x.  Spark's
 # higher-order functions are interpreted (no code generation), one boxed value
 # per expression node per pixel.  Both engines give identical results (tested).
 STENCIL_ENGINE = "numpy"
