@@ -251,9 +251,18 @@ def canny(df: DataFrame, low: float = CANNY_LOW, high: float = CANNY_HIGH,
 
     def grow(batches):
         for pdf in batches:
-            pdf[out] = [None if c is None else
-                        np_hysteresis(np.asarray(c, dtype=np.int8).reshape(int(hh), int(ww))).ravel()
-                        for c, hh, ww in zip(pdf["_cls"], pdf[H], pdf[W])]
+            res = [None] * len(pdf)
+            groups: dict[tuple[int, int], list[int]] = {}
+            for i, (c, hh, ww) in enumerate(zip(pdf["_cls"], pdf[H], pdf[W])):
+                if c is not None:
+                    groups.setdefault((int(hh), int(ww)), []).append(i)
+            col = pdf["_cls"]
+            for (hh, ww), rows in groups.items():  # one stacked call per image size
+                stack = np.stack([np.asarray(col.iat[i], dtype=np.int8).reshape(hh, ww) for i in rows])
+                edges = np_hysteresis(stack).reshape(len(rows), -1)
+                for j, i in enumerate(rows):
+                    res[i] = edges[j]
+            pdf[out] = res
             yield pdf[names]
 
     return staged.mapInPandas(grow, schema)
