@@ -229,13 +229,14 @@ def canny(df: DataFrame, low: float = CANNY_LOW, high: float = CANNY_HIGH,
           pixels: str = PIX, out: str = PIX, engine: str = STENCIL_ENGINE) -> DataFrame:
     """Canny edges (aperture 3, L2 gradient): 255 on edges, 0 elsewhere.
 
-    numpy engine: the whole detector per image in one ``mapInPandas`` step.
-    Native engine: gradient, non-maximum suppression and the double threshold
-    are one array expression; only the hysteresis (vectorised connected
-    components of the weak and strong pixels) runs in ``mapInPandas``.  Both are per-partition steps: rows
-    pass through, ``out`` is filled in.  (A scalar pandas UDF would be inlined
-    by Catalyst into a later ``posexplode``, where Python cannot run.)  Select
-    the columns you need before calling: columns are not pruned through Python.
+    numpy engine: the whole detector in one ``mapInPandas`` step (same-sized
+    images stacked).  Native engine: gradient, non-maximum suppression and the
+    double threshold are one array expression; only the hysteresis (vectorised
+    connected components of the weak and strong pixels) runs in
+    ``mapInPandas``.  Both are per-partition steps: rows pass through, ``out``
+    is filled in.  (A scalar pandas UDF would be inlined by Catalyst into a
+    later ``posexplode``, where Python cannot run.)  Select the columns you need
+    before calling: columns are not pruned through Python.
     """
     _check_engine(engine)
     if engine == "numpy":
