@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corvid.operators import feed
 from corvid.plans.registry import register
-from corvid.plans.standins import EDGES_SQL, TWEETS_SQL, follow_edges, tweets
+from corvid.plans.standins import EDGES_SQL, TWEETS_SQL, follow_edges, tweet_stream, tweets
 
 # The user whose followers / followees are looked up.
 LOOKUP_USER = 7
@@ -119,3 +119,23 @@ def timeline_read_pull(spark, sf_dir):
     tw, edges = _inputs(spark, sf_dir)
     one = feed.timeline_pull(tw, edges, reader=LOOKUP_USER)
     return feed.timeline_ordered(one, out="pos").select("tweet_text", "score", "pos")
+
+
+@register("timeline_stream_push", sql=_CTES + "SELECT user_id, tweet_text, score FROM push")
+def timeline_stream_push(spark, sf_dir):
+    """J2/K2 as Structured Streaming: the tweets stream through the push writer
+    (fan-out per micro-batch, merged into a versioned parquet table under the
+    session's checkpoint directory); the result is the newest version."""
+    import uuid
+
+    from corvid.session import ensure_checkpoint_dir
+    from corvid.sources.sinks import read_latest_version
+    from corvid.streaming import start_timeline_writer
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corvid-stream-{uuid.uuid4().hex}"
+    query = start_timeline_writer(tweet_stream(spark, sf_dir), follow_edges(spark, sf_dir),
+                                  f"{base}/timeline", checkpoint=f"{base}/checkpoint",
+                                  trigger={"availableNow": True})
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return read_latest_version(spark, f"{base}/timeline")

@@ -90,15 +90,27 @@ def follow_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
             .distinct())
 
 
-def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` -> tweets(user_id, tweet_text, score, ts): text = event type, score = ts in µs."""
-    return table(spark, sf_dir, "events").select(
+def _as_tweets(events: DataFrame) -> DataFrame:
+    return events.select(
         "user_id",
         F.col("event_type").alias("tweet_text"),
         epoch_micros(F.col("ts")).alias("score"),
         "ts")
 
 
+def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` -> tweets(user_id, tweet_text, score, ts): text = event type, score = ts in µs."""
+    return _as_tweets(table(spark, sf_dir, "events"))
+
+
+def tweet_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same tweets as a streaming source over the ``events`` file(s) of ``sf_dir``."""
+    schema = table(spark, sf_dir, "events").schema
+    events = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+              .option("maxFilesPerTrigger", 1).parquet(sf_dir.rstrip("/")))
+    return _as_tweets(events)
+
+
 EDGES_SQL = """
   SELECT DISTINCT u.user_id, (u.user_id * 7 + k.k) % (SELECT max(user_id) + 1 FROM events) AS follows_id
   FROM (SELECT DISTINCT user_id FROM events) u, (SELECT unnest(range(1, 4)) AS k) k"""
