@@ -31,7 +31,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     event_log = os.environ.get("CORVID_EVENT_LOG_DIR")
     if event_log:  # stage / task timings without the UI: Spark's event log in a scratch folder
         os.makedirs(event_log, exist_ok=True)
-        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log)
+        builder = (builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log)
+                   .config("spark.eventLog.compress", "false"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
