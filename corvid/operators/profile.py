@@ -161,4 +161,5 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, approx: bool =
     """Both profiles side by side: ``(col_name, non_empty, n_distinct, n_bad, min, max, avg)``."""
     counts = profile_counts(df, columns, approx)
     nums = profile_numeric(df, columns)
+    # nums has at most one row per column of df: its size is bounded by the schema
     return counts.join(F.broadcast(nums), "col_name", "left")
