@@ -94,3 +94,19 @@ def test_keyed_table_and_versions(spark, tmpdir_path):
     # replaying version 1 gives the same table
     upsert_versioned(spark, base, upd, 1, ["user_id", "tweet_text"], "score")
     assert read_latest_version(spark, base).count() == 3
+
+
+def test_partitioned_writer_splits_a_hot_partition(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+
+    from corvid.sources.sinks import write_partitioned
+    # year 2000 holds most rows: it must be written by several tasks (files)
+    df = spark.range(0, 20000).select(
+        F.when(F.col("id") % 10 < 8, F.lit(2000)).otherwise(F.lit(1990) + F.col("id") % 5).alias("year"),
+        (F.col("id") % 997).cast("string").alias("station"), F.col("id").alias("v"))
+    path = os.path.join(tmpdir_path, "parts")
+    write_partitioned(df, path, ["year"], ["station"], num_files=8)
+    hot = [f for f in os.listdir(os.path.join(path, "year=2000")) if f.endswith(".parquet")]
+    assert len(hot) >= 4
+    back = spark.read.parquet(path)
+    assert back.count() == 20000 and back.filter("year = 2000").count() == 16000
