@@ -110,3 +110,16 @@ def test_partitioned_writer_splits_a_hot_partition(spark, tmpdir_path):
     assert len(hot) >= 4
     back = spark.read.parquet(path)
     assert back.count() == 20000 and back.filter("year = 2000").count() == 16000
+
+
+def test_readers_skip_an_unfinished_version(spark, tmpdir_path):
+    base = os.path.join(tmpdir_path, "tl2")
+    df = spark.createDataFrame([(1, "a", 5)], "user_id long, tweet_text string, score long")
+    upsert_versioned(spark, base, df, 0, ["user_id", "tweet_text"], "score")
+    os.makedirs(os.path.join(base, "v=7"))  # a crashed writer: no _SUCCESS
+    with open(os.path.join(base, "v=7", "part-0.parquet"), "wb") as f:
+        f.write(b"not parquet")
+    assert read_latest_version(spark, base).count() == 1
+    upd = spark.createDataFrame([(2, "b", 1)], "user_id long, tweet_text string, score long")
+    upsert_versioned(spark, base, upd, 8, ["user_id", "tweet_text"], "score")  # merges v=0, not v=7
+    assert read_latest_version(spark, base).count() == 2
