@@ -1,6 +1,6 @@
 """Run registered queries in Spark and their oracle SQL in DuckDB; compare.
 
-usage: python tools/check_oracle.py [sf_dir] [name ...]
+usage: python tools/check_oracle.py [--json OUT] [sf_dir] [name ...]
 Comparison: row count, column names, column types (mapped), and the multiset of
 rows (exact values, order-insensitive).
 """
@@ -84,10 +84,16 @@ def compare(spark, con, name, q, sf_dir):
 
 
 def main(argv):
+    import json
+
     from corvid.plans.registry import all_queries
     from corvid.session import local_session
+    out_json = None
+    if argv[:1] == ["--json"]:
+        out_json, argv = argv[1], argv[2:]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:]
+    report = []
     spark = local_session(8)
     con = duck(sf_dir)
     bad = 0
@@ -99,8 +105,12 @@ def main(argv):
         except Exception as e:  # report and continue
             r = dict(name=name, status="ERROR", issues=[repr(e)[:800]])
         bad += r["status"] in ("MISMATCH", "ERROR")
+        report.append(r)
         print(r, flush=True)
     print("failures:", bad)
+    if out_json:
+        with open(out_json, "w") as f:
+            json.dump({"sf_dir": sf_dir, "failures": bad, "queries": report}, f, indent=1)
     return bad
 
 
