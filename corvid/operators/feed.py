@@ -153,6 +153,8 @@ def upsert_sorted_set(existing: DataFrame, updates: DataFrame,
     (``zincrby``).  Both sides are unioned and re-aggregated with a partial
     aggregate, so the update costs one shuffle of the two inputs.
     """
+    if combine not in ("max", "sum"):
+        raise ValueError("combine must be 'max' or 'sum'")
     keys = list(keys)
     both = existing.select(*keys, score).unionByName(updates.select(*keys, score))
     fn = F.max if combine == "max" else F.sum

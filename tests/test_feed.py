@@ -89,3 +89,15 @@ def test_pack_sets_bounded_chunks(spark):
 def test_read_timeline_order(spark):
     tl = spark.createDataFrame([(1, "b", 5), (1, "a", 5), (1, "c", 1), (2, "z", 0)], TWEETS)
     assert [r.tweet_text for r in feed.read_timeline(tl, 1).collect()] == ["c", "a", "b"]
+
+
+def test_upsert_sum_adds_scores(spark):
+    old = spark.createDataFrame([(1, "a", 5), (1, "b", 9)], TWEETS)
+    new = spark.createDataFrame([(1, "a", 7), (2, "c", 1)], TWEETS)
+    out = {(r.user_id, r.tweet_text): r.score for r in feed.upsert_sorted_set(old, new, combine="sum").collect()}
+    assert out == {(1, "a"): 12, (1, "b"): 9, (2, "c"): 1}
+    import pytest
+    with pytest.raises(ValueError):
+        feed.timeline_pull(old, spark.createDataFrame([(1, 1)], EDGES), combine="avg")
+    with pytest.raises(ValueError):
+        feed.upsert_sorted_set(old, new, combine="avg")
