@@ -56,6 +56,8 @@ def read_images(spark: SparkSession, path: str, gray: bool = True, glob: str | N
     binary)``: the featurizers accept that and decode, detect edges and resize
     in one step, so a full-size image never exists as doubles (8 bytes a pixel).
     """
+    if engine not in ("numpy", "native"):
+        raise ValueError("engine must be 'numpy' or 'native'")
     reader = spark.read.format("image").option("dropInvalid", str(drop_invalid).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -67,8 +69,6 @@ def read_images(spark: SparkSession, path: str, gray: bool = True, glob: str | N
     if engine == "numpy":
         raw = img.select(origin.alias("path"), "height", "width", F.col("nChannels").alias("channels"), "data")
         return _unpack_numpy(raw, gray)
-    if engine != "native":
-        raise ValueError("engine must be 'numpy' or 'native'")
     n = F.col("height") * F.col("width") * F.col("nChannels")
     df = img.select(origin.alias("path"), "height", "width", F.col("nChannels").alias("channels"),
                     F.when(n > 0, _unpack_bytes(F.col("data"), n))

@@ -190,3 +190,16 @@ def test_malformed_rows_give_null_not_failure(spark, engine):
         got = {r.image_id: r.pixels for r in op(df, engine=engine).collect()}
         assert got[0] is not None and len(got[0]) == 4
         assert got[1] is None and got[2] is None and got[3] is None
+
+
+def test_bad_engine_and_classifier_names(spark):
+    from corvid.operators import ml
+    from corvid.sources.images import read_images
+    df = frame(spark, IMAGES[:1])
+    for op in (imaging.sobel, imaging.laplace, imaging.canny, imaging.dilate):
+        with pytest.raises(ValueError):
+            op(df, engine="gpu")
+    with pytest.raises(ValueError):
+        ml.make_classifier("forest", 4)
+    with pytest.raises(ValueError):
+        read_images(spark, "/nonexistent", engine="gpu")
