@@ -25,13 +25,26 @@ def estimated_row_bytes(df: DataFrame) -> int:
     return max(1, int(df._jdf.schema().defaultSize()))
 
 
+# A side this small is settled by one incremental ``take`` of a one-value column
+# (usually a single stage) instead of a distributed count.
+PROBE_ROWS = 10_000
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                        max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame | None:
     """Return ``broadcast(df)`` when ``df`` has at most ``min(max_rows, max_bytes / row
-    size)`` rows (counted, reading at most one row past the bound), else None."""
+    size)`` rows, else None.
+
+    The check reads at most one row past the bound: first a probe that brings at
+    most ``PROBE_ROWS + 1`` literal values to the driver, then, for a side larger
+    than the probe, a distributed ``limit(bound + 1).count()``.
+    """
     bound = min(max_rows, max_bytes // estimated_row_bytes(df))
     if bound <= 0:
         return None
-    if bounded_row_count(df, bound) <= bound:
+    probe = min(bound, PROBE_ROWS)
+    if len(df.select(F.lit(True).alias("_row")).take(probe + 1)) <= probe:
         return F.broadcast(df)
-    return None
+    if probe >= bound or bounded_row_count(df, bound) > bound:
+        return None
+    return F.broadcast(df)

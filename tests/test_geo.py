@@ -112,3 +112,15 @@ def test_broadcast_bound_in_rows_and_bytes(spark):
     assert broadcast_if_small(df, max_rows=99) is None
     assert broadcast_if_small(df, max_bytes=28 * 100) is not None
     assert broadcast_if_small(df, max_bytes=28 * 99) is None
+
+
+def test_broadcast_check_beyond_the_probe(spark):
+    import corvid.plans.joins as joins
+    df = spark.range(0, 300)
+    old = joins.PROBE_ROWS
+    try:
+        joins.PROBE_ROWS = 50  # force the distributed count tier
+        assert joins.broadcast_if_small(df, max_rows=300) is not None
+        assert joins.broadcast_if_small(df, max_rows=299) is None
+    finally:
+        joins.PROBE_ROWS = old
