@@ -129,3 +129,17 @@ def test_cli_weather_profile_feed(spark, tmpdir_path, capsys):
         f.write(",user_id,tweet_text\n0,2,hi\n")
     assert main(["feed", "--followers", fol, "--tweets", tw, "--user", "1"]) == 0
     assert "hi" in capsys.readouterr().out
+
+
+def test_weather_job_drop_null_readings(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "wn")
+    os.makedirs(d)
+    with open(os.path.join(d, "1990.csv"), "w") as f:
+        f.write("1,,1,28,40\n2,,1,28,\n")  # station 2 has no temperature
+    stations = os.path.join(d, "stations.csv")
+    with open(stations, "w") as f:
+        f.write("1,,28.5,-80.6\n2,,28.45,-80.6\n")
+    keep = jobs.weather(spark, os.path.join(d, "1990.csv"), stations).first()
+    drop = jobs.weather(spark, os.path.join(d, "1990.csv"), stations, drop_null_readings=True).first()
+    assert drop.est == 40.0 and drop.n == 1
+    assert keep.n == 2 and keep.est < 40.0  # the null reading's weight stays in the denominator
