@@ -27,11 +27,11 @@ def write_keyed_table(df: DataFrame, path: str, keys: Sequence[str], members: Se
     own store, never anything else).
     """
     cols = [*keys, *members]
-    if dedupe:
-        df = df.dropDuplicates(cols)
     n = num_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-     .write.mode(mode).parquet(path))
+    ranged = df.repartitionByRange(n, *cols)
+    if dedupe:  # the range partitioning already clusters (keys, members): no second shuffle
+        ranged = ranged.dropDuplicates(cols)
+    ranged.sortWithinPartitions(*cols).write.mode(mode).parquet(path)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("year",),
