@@ -15,8 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-
-from corvid.operators.feed import upsert_sorted_set
+from pyspark.sql import functions as F
 
 
 def write_keyed_table(df: DataFrame, path: str, keys: Sequence[str], members: Sequence[str] = (),
@@ -75,13 +74,22 @@ def read_latest_version(spark: SparkSession, base: str) -> DataFrame | None:
 
 def upsert_versioned(spark: SparkSession, base: str, updates: DataFrame, version: int,
                      keys: Sequence[str], score: str, combine: str = "max") -> str:
-    """Merge ``updates`` into the newest version below ``version``; write ``v=<version>``."""
+    """Merge ``updates`` into the newest version below ``version``; write ``v=<version>``.
+
+    ``combine``: ``max`` (newest wins) or ``sum``.  The union of the stored rows
+    and the updates is range-partitioned on the keys once; the merge aggregate
+    and the clustered write reuse that partitioning (one shuffle).
+    """
+    if combine not in ("max", "sum"):
+        raise ValueError("combine must be 'max' or 'sum'")
+    keys = list(keys)
+    rows = updates.select(*keys, score)
     older = [v for v in _versions(spark, base) if v < version]
-    merged = updates.groupBy(*keys).agg(
-        {score: combine}).withColumnRenamed(f"{combine}({score})", score)
     if older:
-        current = spark.read.parquet(f"{base}/v={older[-1]}")
-        merged = upsert_sorted_set(current, updates, keys, score, combine)
+        rows = spark.read.parquet(f"{base}/v={older[-1]}").select(*keys, score).unionByName(rows)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fn = F.max if combine == "max" else F.sum
+    merged = rows.repartitionByRange(n, *keys).groupBy(*keys).agg(fn(score).alias(score))
     out = f"{base}/v={version}"
-    write_keyed_table(merged, out, keys[:1], keys[1:], dedupe=False)
+    merged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(out)
     return out
