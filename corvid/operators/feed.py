@@ -63,8 +63,11 @@ def pack_sets(sets: DataFrame, key: str, member: str, chunk_size: int = 10_000)
     sizes = sets.groupBy(key).agg(F.count(F.lit(1)).alias("_m"))
     nb = F.greatest(F.lit(1), F.ceil(F.col("_m") / F.lit(chunk_size)))
     chunk = F.pmod(F.xxhash64(F.col(member)), nb.cast("long"))
+    # Repartition on (key, chunk) explicitly: after the join Spark would otherwise
+    # keep the key-only partitioning and build all chunks of a hot key in one task.
     return (sets.join(sizes, key)
             .withColumn("chunk", chunk)
+            .repartition(F.col(key), F.col("chunk"))
             .groupBy(key, "chunk")
             .agg(F.sort_array(F.collect_list(member)).alias("members")))
 

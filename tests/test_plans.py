@@ -92,3 +92,25 @@ def test_celebrity_author_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_packed_sets_shuffle_on_key_and_chunk(spark):
+    """A hot key's chunks must be built by several tasks, not the join's key partition."""
+    from pyspark.sql import functions as F
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        sets = spark.range(0, 30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500).alias("user_id"),
+            F.col("id").alias("follower_id"))
+        plan = plan_of(feed.pack_sets(sets, "user_id", "follower_id", chunk_size=1000))
+        assert any("hashpartitioning(user_id" in ln and "chunk" in ln for ln in plan.splitlines())
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
