@@ -69,8 +69,11 @@ def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 .withColumn("_bucket", F.coalesce(F.size(F.filter("_bounds", lambda b: b < first)),
                                                   F.lit(0)))
                 .drop("_bounds"))
-    local = bucketed.withColumn(
-        "_lrn", F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*order_cols)))
+    # Repartition on (keys, bucket) explicitly: an input already partitioned by
+    # the keys alone would otherwise be reused and number a hot key in one task.
+    local = (bucketed.repartition(*[F.col(k) for k in keys], F.col("_bucket"))
+             .withColumn("_lrn", F.row_number().over(
+                 Window.partitionBy(*keys, "_bucket").orderBy(*order_cols))))
     counts = bucketed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_bucket",

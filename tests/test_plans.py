@@ -114,3 +114,12 @@ def test_packed_sets_shuffle_on_key_and_chunk(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_ranking_shuffles_on_key_and_bucket(spark):
+    """An input partitioned by the key alone must not put a hot key in one window task."""
+    from corvid.plans.ranking import row_number_within
+    rows = [(0 if i % 3 == 0 else i % 50, i % 997, i) for i in range(30000)]
+    df = spark.createDataFrame(rows, "k long, score long, member long").repartition(8, "k")
+    plan = plan_of(row_number_within(df, ["k"], ["score", "member"], max_group_rows=1000))
+    assert any("hashpartitioning(k" in ln and "_bucket" in ln for ln in plan.splitlines())
