@@ -87,3 +87,32 @@ def test_bounding_box_never_drops_a_station_in_range(spark, lat0, lon0, radius,
     got = {r.station for r in geo.within_radius(df, lat0, lon0, radius).collect()}
     want = {r.station for r in df.filter(haversine_km("lat", "lon", lat0, lon0) <= radius).collect()}
     assert got == want
+
+
+cell_st = st.one_of(st.none(), st.sampled_from(["", "1", "1.0", "01", "2.5", "-0.0", "0.0", "x", "NaN", " 3 "]))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(cell_st, cell_st, cell_st), min_size=1, max_size=30))
+def test_profile_matches_python(spark, rows):
+    import math
+
+    from corvid.operators import profile
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    got = {r.col_name: (r.non_empty, r.n_distinct, r.n_bad) for r in profile.profile_counts(df).collect()}
+    nums = {r.col_name: (r.min, r.max) for r in profile.profile_numeric(df).collect()}
+    for i, name in enumerate("abc"):
+        vals = [r[i] for r in rows]
+        nonempty = [v for v in vals if v not in (None, "")]
+        parsed = [float(v) for v in nonempty if v.strip() not in ("x",)]  # python float == Spark here
+        assert got[name] == (len(nonempty), len({v if v is not None else "" for v in vals}),
+                             len(nonempty) - len(parsed))
+        if nonempty and len(parsed) == len(nonempty):
+            finite = [p for p in parsed if not math.isnan(p)]
+            lo = min(finite) if finite else float("nan")
+            hi = float("nan") if any(math.isnan(p) for p in parsed) else max(parsed)
+            mn, mx = nums[name]
+            assert (mn == lo or (math.isnan(mn) and math.isnan(lo))) and \
+                   (mx == hi or (math.isnan(mx) and math.isnan(hi)))
+        else:
+            assert name not in nums
