@@ -116,3 +116,14 @@ def test_profile_matches_python(spark, rows):
                    (mx == hi or (math.isnan(mx) and math.isnan(hi)))
         else:
             assert name not in nums
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="dogcat/.é1", max_size=12)), min_size=1, max_size=30),
+       st.integers(1, 8), st.integers(0, 4), st.sampled_from(["dog", "d", "", "cat/"]))
+def test_label_from_text_matches_python_slicing(spark, texts, start, length, word):
+    from corvid.functions.text import label_from_text
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.l for r in df.select(label_from_text("t", start, length, word).alias("l")).collect()]
+    want = [int(t is not None and t[start - 1:start - 1 + length] == word) for t in texts]
+    assert got == want
