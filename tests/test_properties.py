@@ -127,3 +127,22 @@ def test_label_from_text_matches_python_slicing(spark, texts, start, length, wor
     got = [r.l for r in df.select(label_from_text("t", start, length, word).alias("l")).collect()]
     want = [int(t is not None and t[start - 1:start - 1 + length] == word) for t in texts]
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet="ab/:file.x", max_size=16), min_size=1, max_size=20),
+       st.lists(st.datetimes(min_value=__import__("datetime").datetime(1970, 1, 1),
+                             max_value=__import__("datetime").datetime(2100, 1, 1)), min_size=1, max_size=10))
+def test_small_helpers_match_python(spark, paths, stamps):
+    import datetime
+
+    from corvid.functions.text import basename, strip_scheme
+    from corvid.functions.time import epoch_micros
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    rows = df.select(basename("p").alias("b"), strip_scheme("p").alias("s")).collect()
+    assert [r.b for r in rows] == [p.split("/")[-1] for p in paths]
+    assert [r.s for r in rows] == [p.replace("file:", "") for p in paths]
+    ts = spark.createDataFrame([(t,) for t in stamps], "t timestamp_ntz")
+    got = [r.u for r in ts.select(epoch_micros("t").alias("u")).collect()]
+    epoch = datetime.datetime(1970, 1, 1)
+    assert got == [(t - epoch) // datetime.timedelta(microseconds=1) for t in stamps]
