@@ -203,3 +203,20 @@ def test_bad_engine_and_classifier_names(spark):
         ml.make_classifier("forest", 4)
     with pytest.raises(ValueError):
         read_images(spark, "/nonexistent", engine="gpu")
+
+
+def test_hysteresis_long_chain_is_fast_and_complete():
+    """A serpentine weak chain across a 600x900 image: one strong pixel lights it all."""
+    import time
+
+    from corvid.functions.image_np import hysteresis
+    h, w = 600, 900
+    cls = np.zeros((h, w), dtype=np.int8)
+    cls[::2, :] = 1
+    for r in range(1, h, 2):
+        cls[r, w - 1 if (r // 2) % 2 == 0 else 0] = 1
+    cls[h - 2, w // 2] = 2
+    t0 = time.perf_counter()
+    out = hysteresis(cls)
+    assert time.perf_counter() - t0 < 5.0
+    assert np.array_equal(out > 0, cls >= 1)
