@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corvid.llm.common import table
 from corvid.llm.exact_dedup import exact_duplicates
+from corvid.llm.minhash_dedup import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,3 +38,9 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of all documents, white space aside."""
     return (exact_duplicates(table(spark, sf_dir, "documents"))
             .withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest"))
+
+
+@query("op10_minhash_dedup")
+def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents (5-word shingles, similarity of at least 0.75)."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
