@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvid.llm.common import table
+from corvid.llm.decontaminate import contamination
 from corvid.llm.exact_dedup import exact_duplicates
 from corvid.llm.minhash_dedup import near_duplicates
 
@@ -44,3 +45,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents (5-word shingles, similarity of at least 0.75)."""
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op2_decontamination")
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """13-word benchmark windows in all documents."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", "n_near_items")
