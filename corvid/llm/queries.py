@@ -10,12 +10,19 @@ from pyspark.sql import functions as F
 from corvid.llm.common import table
 from corvid.llm.decontaminate import contamination
 from corvid.llm.exact_dedup import exact_duplicates
+from corvid.llm.packing import pack_documents
 from corvid.llm.minhash_dedup import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer file on this machine (installed beside Python, not part of the repository)."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
 def query(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -53,3 +60,9 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", "n_near_items")
+
+
+@query("op4_best_fit_packing")
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
