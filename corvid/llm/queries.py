@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from corvid.llm.common import table
 from corvid.llm.decontaminate import contamination
 from corvid.llm.exact_dedup import exact_duplicates
-from corvid.llm.packing import pack_documents
 from corvid.llm.minhash_dedup import near_duplicates
+from corvid.llm.packing import pack_documents
+from corvid.llm.quality_knn import quality_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +67,9 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query("op5_quality_classifier")
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
