@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm import text_np as tn
-from corvid.llm.common import shuffle_partitions, stored
+from corvid.llm.common import release, shuffle_partitions, stored
 
 WINDOW = 13
 SLOP = 2
@@ -261,14 +261,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     index = build_index(docs, vocabulary_of(benchmark, item_col), id_col, text_col)
     found = find_matches(index, benchmark, window, slop, item_col)
     key = ["shard", "ordinal"]
+    listing = stored(index.filter("term IS NULL").select(*key, "doc_id", "n_words"), "listing")
+    release(index)
     phrase = found.filter("kind = 'phrase'")
     hits = (phrase.withColumn("word", F.explode(F.sequence("start", F.col("end") - 1)))
             .select(*key, "word").distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("n_hit")))
     items = found.groupBy(*key, "item_id").agg(F.max(F.col("kind") == "phrase").alias("exact")).groupBy(*key).agg(
         F.sort_array(F.collect_list(F.when(F.col("exact"), F.col("item_id")))).alias("items"),
         F.sum(F.when(F.col("exact"), 0).otherwise(1)).alias("near"))
-    out = (index.filter("term IS NULL").select(*key, "doc_id", "n_words")
-           .join(hits, key, "left").join(items, key, "left"))
+    out = listing.join(hits, key, "left").join(items, key, "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     listed = F.coalesce("items", F.array().cast("array<string>"))
     return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corvid.llm.common import table
 from corvid.llm.decontaminate import contamination
 from corvid.llm.exact_dedup import exact_duplicates
+from corvid.llm.line_dedup import removed_lines
 from corvid.llm.minhash_dedup import near_duplicates
 from corvid.llm.packing import pack_documents
 from corvid.llm.quality_knn import quality_scores
@@ -73,3 +74,17 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of all documents."""
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_line_dedup")
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the lines that repeat an earlier line of the corpus."""
+    docs = table(spark, sf_dir, "documents")
+    gone = (removed_lines(docs).groupBy("doc_id")
+            .agg(F.count(F.lit(1)).alias("_removed"), F.count(F.when(F.col("reason") == "similar", 1)).alias("_similar"),
+                 F.array_join(F.array_sort(F.collect_list("line_no")).cast("array<string>"), ",").alias("_lines")))
+    sizes = docs.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
+    return sizes.join(gone, "doc_id", "left").select(
+        "doc_id", "n_lines", F.coalesce("_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("_similar", F.lit(0)).cast("long").alias("n_similar"),
+        F.coalesce("_lines", F.lit("")).alias("removed_lines"))
