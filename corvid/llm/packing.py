@@ -17,7 +17,9 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,47 +32,64 @@ from corvid.llm.common import shuffle_partitions, stored
 
 CAPACITY = 2048
 END_ID = 0
-CACHE_WORDS = 300_000  # per task process; the cache is emptied when full
-LONG_WORD = 64  # longer words are not cached
+CACHE_PARTS = 400_000  # per task process; the cache is emptied when full
 SEGMENT = 4 << 20  # bytes of one text that are split at a time
 
-_tokenizers: dict[str, tuple] = {}
+# Texts of these characters only (and without "<|", which may begin a special token) need no normalising but case;
+# the tokenizer's pattern then cuts them into these parts, which go straight to its BPE model, each distinct one once.
+_PLAIN = re.compile("[\t-\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
+_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\\s0-9{_LETTERS}]+", re.ASCII)
 
 
-def _tokenizer(path: str) -> tuple:
-    """(tokenizer, cache of word -> packed ids) of this process."""
-    if path not in _tokenizers:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
-    return _tokenizers[path]
-
-
-def _pack_ids(encoding) -> bytes:
-    return np.array(encoding.ids, dtype="<u4").tobytes()
+def _byte_letters() -> list[str]:
+    """The printable letter that stands for each byte in byte-level BPE: itself, or the next unused one from 256."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    spare = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
 
 
-def _encode_words(path: str, found: list[bytes]) -> bytes:
-    """Little-endian 32-bit ids of white-space separated words, one after another.
+class _Encoder:
+    """Texts -> packed little-endian 32-bit ids, in one task process, with a bounded cache of parts."""
 
-    This tokenizer drops white space and never joins across it, so a text's ids are
-    its words' ids; each distinct word is tokenised once.
-    """
-    tok, cache = _tokenizer(path)
-    new = [x for x in set(found) if x not in cache]
-    extra: dict[bytes, bytes] = {}
-    if new:
-        if len(cache) + len(new) > CACHE_WORDS:
-            cache.clear()
-            new = list(set(found))
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            ids = tok.encode_batch_fast([x.decode("utf-8", "replace") for x in part], add_special_tokens=False)
-            for x, e in zip(part, ids):
-                (cache if len(x) <= LONG_WORD else extra)[x] = _pack_ids(e)
-    if extra:
-        return b"".join([cache[x] if x in cache else extra[x] for x in found])
-    return b"".join(map(cache.__getitem__, found))
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        self.tok = Tokenizer.from_file(path)
+        self.model = self.tok.model
+        self.parts: dict[str, bytes] = {}
+        self.letters = _byte_letters()
+
+    def _learn(self, part: str) -> bytes:
+        shown = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        cut = [_PARTS.findall(t.lower()) if "<|" not in t and _PLAIN.fullmatch(t) else None for t in texts]
+        new = set().union(*(c for c in cut if c is not None)) - self.parts.keys()
+        if len(self.parts) + len(new) > CACHE_PARTS:
+            self.parts.clear()
+            new = set().union(*(c for c in cut if c is not None))
+        for part in new:
+            self.parts[part] = self._learn(part)
+        rest = [t for t, c in zip(texts, cut) if c is None]
+        done = iter(self.tok.encode_batch_fast(rest, add_special_tokens=False) if rest else [])
+        get = self.parts.__getitem__
+        out = [b"".join(map(get, c)) if c is not None else array("I", next(done).ids).tobytes() for c in cut]
+        if len(self.parts) > CACHE_PARTS:  # one slice had more parts than the cache may keep
+            self.parts.clear()
+        return out
+
+
+_loaded: dict[str, _Encoder] = {}
+
+
+def text_ids(path: str, texts: list[str]) -> list[bytes]:
+    """Packed ids of texts, as the tokenizer file at ``path`` gives them."""
+    if path not in _loaded:
+        _loaded[path] = _Encoder(path)
+    return _loaded[path].ids(texts)
 
 
 def _segments(text: bytes) -> Iterator[bytes]:
@@ -87,28 +106,26 @@ def _segments(text: bytes) -> Iterator[bytes]:
 
 def _piece_batches(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int
                    ) -> Iterator[pa.RecordBatch]:
-    end = np.array([end_id], dtype="<u4").tobytes()
+    end = array("I", [end_id]).tobytes()
     width = capacity * 4
     for batch in batches:
         ids = batch.column(0)
         for lo, hi, raw, off in tn.slices(batch.column(1)):
-            data = raw.tobytes()
-            # the slice's distinct words are tokenised in one call
-            if hi - lo > 1:
-                _encode_words(path, [w for i in range(hi - lo) for w in data[off[i]:off[i + 1]].split()])
             row, piece, length, crc = [], [], [], []
+            texts = [raw[off[i]:off[i + 1]].tobytes() for i in range(hi - lo)]
+            found = text_ids(path, [t.decode("utf-8", "replace") for t in texts]) if hi - lo > 1 else None
             for i in range(hi - lo):
                 buf, k = b"", 0
-                for segment in _segments(data[off[i]:off[i + 1]]):
-                    buf += _encode_words(path, segment.split())
-                    full = (len(buf) - 1) // width  # keep at least one id back: it may be the last piece
+                for part in ([found[i]] if found else _segments(texts[i])):
+                    buf += part if found else text_ids(path, [part.decode("utf-8", "replace")])[0]
+                    full = max(0, (len(buf) - 1) // width)  # the last id seen so far may end the last piece
                     for j in range(full):
                         row.append(lo + i)
                         piece.append(k)
                         length.append(capacity)
                         crc.append(zlib.crc32(buf[j * width:(j + 1) * width]))
                         k += 1
-                    buf = buf[full * width:] if full > 0 else buf
+                    buf = buf[full * width:]
                 buf += end
                 for j in range(0, len(buf), width):
                     part = buf[j:j + width]
