@@ -14,6 +14,8 @@ from corvid.llm.line_dedup import removed_lines
 from corvid.llm.minhash_dedup import near_duplicates
 from corvid.llm.packing import pack_documents
 from corvid.llm.quality_knn import quality_scores
+from corvid.llm.secrets_scan import scan_secrets
+from corvid.llm.toxicity import severity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +90,19 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", F.coalesce("_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("_similar", F.lit(0)).cast("long").alias("n_similar"),
         F.coalesce("_lines", F.lit("")).alias("removed_lines"))
+
+
+@query("op6_secret_scan")
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    import public_tokenizers
+    found = scan_secrets(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"),
+                         public_tokenizers.PATTERN)
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans",
+                        "n_random")
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected toxicity grade of all documents."""
+    return severity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
