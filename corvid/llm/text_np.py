@@ -102,6 +102,11 @@ def words(raw: np.ndarray, offsets: np.ndarray, inside: np.ndarray
     after[edge[edge > 0] - 1] = False
     ends = np.flatnonzero(w & ~after) + 1
     counts = np.diff(np.searchsorted(starts, offsets))
+    return span_hashes(low, starts, ends), starts, ends, counts
+
+
+def span_hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte spans ``low[starts:ends]`` (ascending, not overlapping)."""
     out = np.empty(len(starts), dtype=U)
     i = 0
     while i < len(starts):
@@ -113,7 +118,7 @@ def words(raw: np.ndarray, offsets: np.ndarray, inside: np.ndarray
         s, e = starts[i:j] - lo, ends[i:j] - lo
         out[i:j] = mix((sums[e] - sums[s]) * q[s])
         i = j
-    return out, starts, ends, counts
+    return out
 
 
 def word_shingles(h: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

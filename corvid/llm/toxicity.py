@@ -2,7 +2,8 @@
 
 ``P(grade <= j | x) = sigmoid(theta_j - w . x)``: one weight per feature is shared by all
 grades, and the thresholds ``theta_0 < theta_1 < ...`` cut the common scale.  Features are the
-distinct words of the whole text, hashed.  The model is fitted on a bounded sample of
+distinct words of the whole text and their leading letters (inflected forms share them),
+hashed.  The model is fitted on a bounded sample of
 labelled documents (``sample`` rows picked by a hash of the id, crc32(id) mod 5 not 0)
 with an L1 penalty, so only telling words keep a weight, and scores every document with
 its expected severity, the sum over grades of ``P(grade > j)``.
@@ -20,7 +21,9 @@ from pyspark.sql import functions as F
 from corvid.llm import text_np as tn
 from corvid.llm.common import crc_mod
 
-FEATURES = 1 << 18
+BITS = 20
+FEATURES = 1 << BITS
+STEMS = (4, 5, 6)  # leading bytes of longer words that are features too
 SAMPLE = 12_288
 PENALTY = 1.5
 MIN_DOCS = 3
@@ -28,14 +31,20 @@ ROUNDS = 300
 
 
 def word_features(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashed words per text: (features, features per text)."""
-    h, _, _, counts = tn.words(raw, offsets, tn.ALNUM)
+    """Distinct hashed words and word stems per text: (features, features per text)."""
+    h, start, end, counts = tn.words(raw, offsets, tn.ALNUM)
     doc = np.repeat(np.arange(len(counts)), counts).astype(np.uint64)
-    key = np.sort(doc << tn.U(18) | (h & tn.U(FEATURES - 1)))
+    keys = [doc << tn.U(BITS) | (h & tn.U(FEATURES - 1))]
+    low = tn.LOWER[raw]
+    for size in STEMS:
+        longer = np.flatnonzero(end - start > size)
+        stem = tn.mix(tn.span_hashes(low, start[longer], start[longer] + size) + tn.U(size))
+        keys.append(doc[longer] << tn.U(BITS) | (stem & tn.U(FEATURES - 1)))
+    key = np.sort(np.concatenate(keys))
     if len(key):
         key = key[np.append(True, key[1:] != key[:-1])]
     return ((key & tn.U(FEATURES - 1)).astype(np.int32),
-            np.bincount((key >> tn.U(18)).astype(np.int64), minlength=len(counts)))
+            np.bincount((key >> tn.U(BITS)).astype(np.int64), minlength=len(counts)))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
