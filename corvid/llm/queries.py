@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corvid.llm.common import table
 from corvid.llm.decontaminate import contamination
 from corvid.llm.exact_dedup import exact_duplicates
+from corvid.llm.html_render import render_pages
 from corvid.llm.line_dedup import removed_lines
 from corvid.llm.minhash_dedup import near_duplicates
 from corvid.llm.packing import pack_documents
@@ -106,3 +107,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected toxicity grade of all documents."""
     return severity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_html_extraction")
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of all pages."""
+    return render_pages(table(spark, sf_dir, "pages")).select("page_id", F.length("text").cast("long").alias("n_chars"),
+                                                              "text")
