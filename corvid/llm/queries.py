@@ -14,6 +14,7 @@ from corvid.llm.html_render import render_pages
 from corvid.llm.line_dedup import removed_lines
 from corvid.llm.minhash_dedup import near_duplicates
 from corvid.llm.packing import pack_documents
+from corvid.llm.pitman_yor import language_model_scores
 from corvid.llm.quality_knn import quality_scores
 from corvid.llm.secrets_scan import scan_secrets
 from corvid.llm.toxicity import severity_scores
@@ -114,3 +115,9 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visible text of all pages."""
     return render_pages(table(spark, sf_dir, "pages")).select("page_id", F.length("text").cast("long").alias("n_chars"),
                                                               "text")
+
+
+@query("op8_lm_scoring")
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of all documents."""
+    return language_model_scores(table(spark, sf_dir, "documents"))
