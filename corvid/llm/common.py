@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +18,30 @@ from corvid.session import ensure_checkpoint_dir
 BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the driver imported it from (once per application)."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    # The driver's file server hands this archive to the executors, so it stays until the driver ends.
+    folder = tempfile.mkdtemp(prefix="corvid-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "corvid.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for parent, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(parent, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as a table in the session's shared checkpoint folder and read it back.
 
     Cuts the lineage: later stages and lost executors re-read the table instead of
@@ -21,7 +49,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out

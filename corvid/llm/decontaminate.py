@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm import text_np as tn
-from corvid.llm.common import release, shuffle_partitions, stored
+from corvid.llm.common import release, ship_package, shuffle_partitions, stored
 
 WINDOW = 13
 SLOP = 2
@@ -84,6 +84,7 @@ def _index_batches(batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray | N
 def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """The stored positional index of ``docs`` (see the module).  Null texts have no words."""
+    ship_package(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return stored(base.mapInArrow(lambda it: _index_batches(it, vocabulary), INDEX_SCHEMA), "postings")
 
@@ -194,6 +195,7 @@ def _match_batches(batches: Iterator[pa.RecordBatch], w: _Windows, slop: int) ->
 
 
 def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    ship_package(benchmark.sparkSession)
     return benchmark.select(F.col(item_col).cast("string").alias("item_id"), F.col(text_col).alias("text")).mapInArrow(
         _item_batches, "item_id string, n long, terms binary").filter("n > 0 AND item_id IS NOT NULL")
 

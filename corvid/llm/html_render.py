@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm import text_np as tn
+from corvid.llm.common import ship_package
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*>|[^<]+|<""",
                  re.DOTALL)
@@ -277,5 +278,6 @@ def render_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
     rendered one by one, a null id is kept, an empty table gives an empty result, other
     columns are not read.
     """
+    ship_package(pages.sparkSession)
     base = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(html_col).alias("html"))
     return base.mapInArrow(_page_batches, "page_id long, text string")

@@ -6,16 +6,18 @@ a line with a similar line before it, in (doc_id, line number) order, is removed
 
 1. Lines are stored as arrays of word hashes.  Lines with equal words are one class;
    all but the first line of a class go at once, so copies never meet in a join.
-2. Rarity: shingles are counted over all lines into a fixed number of hash buckets.
-   The counts make a small table (its size is a constant) that orders tokens the
-   same way in every line: rarest first, ties by hash.
+2. Rarity: the words of all lines are counted in a fixed number of hash buckets.
+   The counts make a small table (its size is a constant) that orders tokens, by the
+   frequency of their first word and then by hash, the same way in every line: rarest
+   first.
 3. Prefix filter: lines of n tokens that are similar share a token among the first
    ``n - ceil(t * n) + 1``.  Tokens that occur in one line's prefix only are dropped
    after a count; for nearly all lines nothing is left.
 4. What is left is joined on the token as a semi-join: a line asks whether some
    earlier line passes the length filter, the positional filter and the exact
    Jaccard test.  It yields each line once at most, however large a group of alike
-   lines is; pairs are never listed.
+   lines is; pairs are never listed.  A first semi-join with the cheap filters and a
+   bitmap bound on the overlap picks the lines whose full token sets have to take part.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from corvid.plans.joins import broadcast_if_small
 SHINGLE = 5
 MIN_WORDS = 4  # shorter lines are never removed
 RARITY_BUCKETS = 4096
+BITMAP_WORDS = 8  # 64-bit words of a line's bitmap
+FIRST_TOKENS = 3
 _LAST = 2 ** 63 - 1
 _REST = "100000000"
 
@@ -49,10 +53,9 @@ def _windows(array: str) -> str:
 
 
 def _rarity(lines: DataFrame) -> Column:
-    """A constant array: for each hash bucket the rank (logarithm) of how many shingles of all lines fall in it."""
-    cols = ", ".join("abcde"[:SHINGLE])
-    counts = (lines.selectExpr(f"inline({_windows('h')}) AS ({cols})")
-              .groupBy(F.pmod(F.expr(f"xxhash64({cols})"), F.lit(RARITY_BUCKETS)).alias("bucket"))
+    """A constant array: for each bucket of first words the rank (logarithm) of how often they occur in all lines."""
+    counts = (lines.select(F.explode("h").alias("x"))
+              .groupBy(F.col("x").bitwiseAND(F.lit(RARITY_BUCKETS - 1)).alias("bucket"))
               .agg(F.floor(F.log2(F.count(F.lit(1)).cast("double")) * 2).alias("rank")))
     rank = [0] * RARITY_BUCKETS
     for r in counts.collect():  # RARITY_BUCKETS rows at most
@@ -60,15 +63,13 @@ def _rarity(lines: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, rank))), ",").cast("array<int>")
 
 
-def _hashed() -> Column:
-    return F.transform(F.expr(_windows("h")), lambda s: F.xxhash64(s))
-
-
 def _tokens(rank: Column) -> Column:
-    """Distinct tokens of a line in ascending rarity order: rank in the top byte, hash below."""
-    keyed = F.transform(_hashed(), lambda x: F.shiftleft(F.get(rank, F.pmod(x, F.lit(RARITY_BUCKETS)).cast("int"))
-                                                      .cast("long"), 56).bitwiseOR(x.bitwiseAND(F.lit(2 ** 56 - 1))))
-    return F.sort_array(F.array_distinct(keyed))
+    """Distinct tokens of a line in ascending rarity order: rank of the first word in the top byte, hash below."""
+    def key(window: Column) -> Column:
+        bucket = window.getField("h").bitwiseAND(F.lit(RARITY_BUCKETS - 1))
+        low = F.xxhash64(window).bitwiseAND(F.lit(2 ** 56 - 1))
+        return F.shiftleft(F.coalesce(F.get(rank, bucket), F.lit(0)).cast("long"), 56).bitwiseOR(low)
+    return F.sort_array(F.array_distinct(F.transform(F.expr(_windows("h")), key)))
 
 
 def _need(n: Column, percent: int) -> Column:
@@ -81,6 +82,60 @@ def _earlier(y: str, x: str) -> Column:
         (F.col(f"{y}.d") == F.col(f"{x}.d")) & (F.col(f"{y}.line_no") < F.col(f"{x}.line_no")))
 
 
+def _least(percent: int) -> Column:
+    """The smallest overlap that reaches the similarity: ceil(percent * (nx + ny) / (100 + percent))."""
+    return F.floor(((F.col("x.n") + F.col("y.n")) * percent + (100 + percent - 1)) / (100 + percent))
+
+
+def _plausible(percent: int) -> Column:
+    """Same token, length filter, positional filter (tokens up to the shared one, and after it)."""
+    nx, ny, i, j = F.col("x.n"), F.col("y.n"), F.col("x.i"), F.col("y.i")
+    return ((F.col("x.token") == F.col("y.token"))
+            & (ny * 100 >= nx * percent) & (nx * 100 >= ny * percent)
+            & (F.least(i, j) + F.least(nx - i, ny - j) >= _least(percent)))
+
+
+def _bitmaps(lines: DataFrame) -> DataFrame:
+    """``b0..b7`` per line: a bit for (the hash of) each of its tokens."""
+    cols = ", ".join(f"w{j}" for j in range(SHINGLE))
+    x = lines.selectExpr("d", "line_no", f"inline({_windows('h')}) AS ({cols})").select(
+        "d", "line_no", F.expr(f"xxhash64({cols})").alias("x"))
+    bit = F.expr("shiftleft(1L, cast(x & 63 AS int))")
+    word = F.expr(f"cast(shiftrightunsigned(x, 6) & {BITMAP_WORDS - 1} AS int)")
+    return x.groupBy("d", "line_no").agg(*[F.bit_or(F.when(word == k, bit).otherwise(F.lit(0))).alias(f"b{k}")
+                                           for k in range(BITMAP_WORDS)])
+
+
+def _bitmaps_allow(percent: int) -> Column:
+    """Every bit that only one line has is a token the other lacks: an upper bound of the overlap, never too low."""
+    def only(a: str, b: str) -> Column:
+        out = F.lit(0)
+        for k in range(BITMAP_WORDS):
+            out = out + F.bit_count(F.col(f"{a}.b{k}").bitwiseAND(F.bitwise_not(F.col(f"{b}.b{k}"))))
+        return out
+    return ((F.col("x.n") - only("x", "y") >= _least(percent))
+            & (F.col("y.n") - only("y", "x") >= _least(percent)))
+
+
+def _with_earlier(asking: DataFrame, postings: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
+    """Lines of ``asking`` (postings) that are similar to an earlier line with the same token."""
+    tokens = _sent(asking.select("token").distinct())
+    others = postings.join(tokens, "token", "left_semi")
+    sets = (lines.join(_sent(others.select("d", "line_no").distinct()), ["d", "line_no"], "left_semi")
+            .select("d", "line_no", F.array_distinct(F.transform(F.expr(_windows("h")), lambda s: F.xxhash64(s))).alias("t")))
+    x = asking.join(sets, ["d", "line_no"]).select("token", "i", "n", "d", "line_no", "t").alias("x")
+    y = others.join(sets, ["d", "line_no"]).select("token", "i", "n", "d", "line_no", "t").alias("y")
+    common = F.size(F.array_intersect("x.t", "y.t"))
+    return (x.join(y, _plausible(percent) & _earlier("y", "x") & (common >= _least(percent)), "left_semi")
+            .select("d", "line_no").distinct())
+
+
+def _sent(df: DataFrame) -> DataFrame:
+    """Broadcast if its checked size allows, else as it is (a shuffle join)."""
+    small = broadcast_if_small(df)
+    return small if small is not None else df
+
+
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
                   min_words: int = MIN_WORDS) -> DataFrame:
     """Lines that repeat an earlier one: ``doc_id, line_no`` (from 0) ``, reason`` (``exact`` or ``similar``).
@@ -91,47 +146,47 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     document and lose the same lines.  An empty table gives an empty result; other columns
     are not read.
     """
-    lines = stored(_lines(docs, id_col, text_col, min_words), "lines")
-    place = F.col("d").cast("decimal(20,0)") * F.lit(2 ** 31).cast("decimal(11,0)") + F.col("line_no")
-    repeated = stored(lines.groupBy("k1", "k2").agg(
-        F.count(F.lit(1)).alias("_n"), F.min(place.cast("decimal(38,0)")).alias("_first")).filter("_n > 1"), "classes")
-    small = broadcast_if_small(repeated)
-    marked = lines.join(small if small is not None else repeated, ["k1", "k2"], "left")
+    # word hashes hardly repeat within a page: a dictionary would only cost time
+    lines = stored(_lines(docs, id_col, text_col, min_words), "lines", **{"parquet.enable.dictionary": "false"})
+    place = (F.col("d").cast("decimal(20,0)") * F.lit(2 ** 31).cast("decimal(11,0)") + F.col("line_no")
+             ).cast("decimal(38,0)")
+    repeated = stored(lines.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first"))
+                      .filter("_n > 1"), "classes")
+    marked = lines.join(_sent(repeated), ["k1", "k2"], "left")
     is_first = F.col("_first").isNull() | (F.col("_first") == place)
+    exact = stored(marked.filter(~is_first).select("d", "line_no").distinct(), "exact")
 
     rank = _rarity(lines)
     prefix = F.col("n") - _need(F.col("n"), percent) + 1
     firsts = stored(marked.filter(is_first).select("d", "line_no", _tokens(rank).alias("t"))
                     .select("d", "line_no", F.size("t").alias("n"), "t")
-                    .select("d", "line_no", "n", F.slice("t", F.lit(1), prefix).alias("t")), "prefixes")
+                    .select("d", "line_no", "n", F.slice("t", F.lit(1), prefix).alias("t")), "prefixes",
+                    **{"parquet.enable.dictionary": "false"})
     postings = firsts.select("d", "line_no", "n", F.posexplode("t").alias("i", "token"))
     shared = stored(postings.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("token"),
                     "tokens")
-    small = broadcast_if_small(shared)
-    postings = stored(postings.join(small if small is not None else shared, "token", "left_semi"), "postings")
+    postings = stored(postings.join(_sent(shared), "token", "left_semi"), "postings")
     release(firsts)
 
-    asked = postings.select("d", "line_no").distinct()
-    small = broadcast_if_small(asked)
-    full = (lines.join(small if small is not None else asked, ["d", "line_no"], "left_semi")
-            .select("d", "line_no", F.array_distinct(_hashed()).alias("t")))
-    rows = postings.join(full, ["d", "line_no"]).select("token", "i", "n", "d", "line_no", "t")
-
-    x, y = rows.alias("x"), rows.alias("y")
-    nx, ny = F.col("x.n"), F.col("y.n")
-    # smallest overlap that reaches the similarity: ceil(percent * (nx + ny) / (100 + percent))
-    least = F.floor(((nx + ny) * percent + (100 + percent - 1)) / (100 + percent))
-    rest = F.least(nx - F.col("x.i"), ny - F.col("y.i"))
-    common = F.size(F.array_intersect("x.t", "y.t"))
-    alike = ((F.col("x.token") == F.col("y.token")) & _earlier("y", "x")
-             & (ny * 100 >= nx * percent) & (nx * 100 >= ny * percent)  # length filter
-             & (F.least(F.col("x.i"), F.col("y.i")) + rest >= least)  # positional filter
-             & (common >= least))  # exact test
-    similar = stored(x.join(y, alike, "left_semi").select("d", "line_no").distinct(), "similar")
+    # from here on only lines that share a prefix token with another one
+    touched = stored(lines.join(_sent(postings.select("d", "line_no").distinct()), ["d", "line_no"], "left_semi")
+                     .select("d", "line_no", "h"), "touched", **{"parquet.enable.dictionary": "false"})
+    release(lines)
+    light = postings.join(_bitmaps(touched), ["d", "line_no"])
+    x, y = light.alias("x"), light.alias("y")
+    asking = stored(x.join(y, _plausible(percent) & _earlier("y", "x") & _bitmaps_allow(percent), "left_semi")
+                    .select("d", "line_no").distinct(), "asking")
+
+    # The exact test: first on the few rarest shared tokens, then, for lines that found nothing, on all of them.
+    mine = postings.join(_sent(asking), ["d", "line_no"], "left_semi")
+    rarest = (mine.groupBy("d", "line_no").agg(F.slice(F.sort_array(F.collect_set("token")), 1, FIRST_TOKENS).alias("t"))
+              .select("d", "line_no", F.explode("t").alias("token")))
+    some = stored(mine.join(rarest, ["d", "line_no", "token"], "left_semi"), "some")
+    first = stored(_with_earlier(some, postings, touched, percent), "similar")
+    rest = stored(mine.join(_sent(first), ["d", "line_no"], "left_anti"), "rest")
+    similar = first.unionByName(stored(_with_earlier(rest, postings, touched, percent), "similar"))
 
     of_id = F.when(F.col("d") != _LAST, F.col("d")).alias("doc_id")
-    exact = stored(marked.filter(~is_first).select("d", "line_no").distinct(), "exact")
-    release(lines)
     return (exact.select(of_id, "line_no", F.lit("exact").alias("reason"))
             .unionByName(similar.select(of_id, "line_no", F.lit("similar").alias("reason"))))
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm import text_np as tn
-from corvid.llm.common import shuffle_partitions, stored
+from corvid.llm.common import ship_package, shuffle_partitions, stored
 from corvid.llm.components import connected_components
 from corvid.plans.joins import broadcast_if_small
 
@@ -219,6 +219,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id; a component of null ids only is named null and its rows are kept.  An empty
     table gives an empty result; other columns of ``docs`` are not read.
     """
+    ship_package(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = stored(base.mapInArrow(lambda it: _signature_batches(it, shingle),
                                   "id long, n long, h1 long, h2 long, sig binary"), "signatures")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvid.llm import text_np as tn
-from corvid.llm.common import shuffle_partitions, stored
+from corvid.llm.common import ship_package, shuffle_partitions, stored
 
 CAPACITY = 2048
 END_ID = 0
@@ -144,6 +144,7 @@ def _piece_batches(batches: Iterator[pa.RecordBatch], path: str, capacity: int,
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of the tokenised documents: ``doc_id, piece, start, length, ids_crc32``."""
+    ship_package(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return base.mapInArrow(lambda it: _piece_batches(it, tokenizer, capacity, end_id),
                            "doc_id long, piece int, start long, length long, ids_crc32 long")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm import text_np as tn
-from corvid.llm.common import crc_mod, release, shuffle_partitions, stored
+from corvid.llm.common import crc_mod, release, ship_package, shuffle_partitions, stored
 
 CLASS_BITS = 5
 CLASSES = 1 << CLASS_BITS  # the last one is the start of a text
@@ -345,6 +345,7 @@ def language_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str
     result; other columns are not read.
     """
     spark = docs.sparkSession
+    ship_package(spark)
     shards = shuffle_partitions(spark)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).select(
         "doc_id", F.coalesce(crc_mod("doc_id", folds) == held_fold, F.lit(False)).alias("held_out"), "text")

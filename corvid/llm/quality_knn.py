@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm import text_np as tn
-from corvid.llm.common import crc_mod
+from corvid.llm.common import crc_mod, ship_package
 
 WORD_TERMS, SHAPE_TERMS = 3072, 1024
 TERMS = WORD_TERMS + SHAPE_TERMS
@@ -161,6 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     Rows without id or label are left out; a document labelled more than once takes the
     majority.  Document frequencies are counted over all of ``docs``.
     """
+    ship_package(docs.sparkSession)
     known = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("y"))
              .filter("doc_id IS NOT NULL AND y IS NOT NULL").filter(crc_mod("doc_id", 5) != 0)
              .groupBy("doc_id").agg((F.avg("y") >= 0.5).cast("int").alias("label"))

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm import text_np as tn
+from corvid.llm.common import ship_package
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -105,6 +106,7 @@ def scan_secrets(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "
     spans; repeated rows are scanned one by one; an empty table gives an empty result; other
     columns are not read.
     """
+    ship_package(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return base.mapInArrow(
         lambda it: _scan_batches(it, vocabulary, pattern),

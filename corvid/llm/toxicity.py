@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm import text_np as tn
-from corvid.llm.common import crc_mod
+from corvid.llm.common import crc_mod, ship_package
 
 BITS = 20
 FEATURES = 1 << BITS
@@ -96,6 +96,7 @@ def _sample_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text",
         sample: int = SAMPLE) -> dict:
     """Fit on at most ``sample`` labelled documents; grades are the label's whole numbers from 0."""
+    ship_package(docs.sparkSession)
     known = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("grade"))
              .filter("doc_id IS NOT NULL AND grade >= 0").filter(crc_mod("doc_id", 5) != 0)
              .groupBy("doc_id").agg(F.max("grade").alias("grade"))
