@@ -27,7 +27,7 @@ STEMS = (4, 5, 6)  # leading bytes of longer words that are features too
 SAMPLE = 12_288
 PENALTY = 1.5
 MIN_DOCS = 3
-ROUNDS = 300
+ROUNDS, RATE = 300, 0.1
 
 
 def word_features(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,13 +59,14 @@ def _dot(w: np.ndarray, features: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def fit_ordinal(features: np.ndarray, counts: np.ndarray, grade: np.ndarray, grades: int, size: int,
                 penalty: float = PENALTY, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Weights (``size``) and the ``grades - 1`` ascending thresholds, by proximal adaptive gradient steps."""
+    """Weights (``size``) and the ``grades - 1`` ascending thresholds, by proximal steps with
+    averaged, scaled gradients and a falling rate."""
     w = np.zeros(size)
     below = np.array([(grade <= j).mean() for j in range(grades - 1)]).clip(1e-3, 1 - 1e-3)
     theta = np.maximum.accumulate(np.log(below / (1 - below)) + 1e-3 * np.arange(grades - 1))
-    sum_w, sum_t = np.full(size, 1e-8), np.full(grades - 1, 1e-8)
-    rate = 0.5
-    for _ in range(rounds):
+    mean_w, mean_t, sq_w, sq_t = np.zeros(size), np.zeros(grades - 1), np.zeros(size), np.zeros(grades - 1)
+    for k in range(1, rounds + 1):
+        rate = RATE * (1 - (k - 1) / rounds)
         z = _dot(w, features, counts)
         cut = np.concatenate(([-np.inf], theta, [np.inf]))
         hi, lo = _sigmoid(cut[grade + 1] - z), _sigmoid(cut[grade] - z)
@@ -74,13 +75,13 @@ def fit_ordinal(features: np.ndarray, counts: np.ndarray, grade: np.ndarray, gra
         g = dhi - dlo  # of the negative log likelihood by z
         gw = np.bincount(features, weights=np.repeat(g, counts), minlength=size)
         gt = np.array([dlo[grade == j + 1].sum() - dhi[grade == j].sum() for j in range(grades - 1)])
-        sum_w += gw ** 2
-        sum_t += gt ** 2
-        step = rate / np.sqrt(sum_w)
-        w = w - step * gw
+        mean_w, sq_w = 0.9 * mean_w + 0.1 * gw, 0.99 * sq_w + 0.01 * gw ** 2
+        mean_t, sq_t = 0.9 * mean_t + 0.1 * gt, 0.99 * sq_t + 0.01 * gt ** 2
+        step = rate / (np.sqrt(sq_w / (1 - 0.99 ** k)) + 1e-8)
+        w = w - step * mean_w / (1 - 0.9 ** k)
         w = np.sign(w) * np.maximum(np.abs(w) - step * penalty, 0)
-        theta = np.maximum.accumulate(theta - rate * gt / np.sqrt(sum_t) + 0.0)
-        theta += 1e-6 * np.arange(grades - 1)
+        theta = theta - rate / (np.sqrt(sq_t / (1 - 0.99 ** k)) + 1e-8) * mean_t / (1 - 0.9 ** k)
+        theta = np.maximum.accumulate(theta) + 1e-6 * np.arange(grades - 1)
     return w, theta
 
 
