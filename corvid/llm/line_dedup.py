@@ -33,6 +33,7 @@ MIN_WORDS = 4  # shorter lines are never removed
 RARITY_BUCKETS = 4096
 BITMAP_WORDS = 8  # 64-bit words of a line's bitmap
 FIRST_TOKENS = 3
+MAX_SENT = 4_000_000
 _LAST = 2 ** 63 - 1
 _REST = "100000000"
 
@@ -131,8 +132,8 @@ def _with_earlier(asking: DataFrame, postings: DataFrame, lines: DataFrame, perc
 
 
 def _sent(df: DataFrame) -> DataFrame:
-    """Broadcast if its checked size allows, else as it is (a shuffle join)."""
-    small = broadcast_if_small(df)
+    """Broadcast if its checked size allows (a few longs a row), else as it is (a shuffle join)."""
+    small = broadcast_if_small(df, max_rows=MAX_SENT)
     return small if small is not None else df
 
 

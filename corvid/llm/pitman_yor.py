@@ -38,7 +38,7 @@ CLASS_BITS = 5
 CLASSES = 1 << CLASS_BITS  # the last one is the start of a text
 START = CLASSES - 1
 ENDING = 2  # bytes of the token before that make its class
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 BURN_IN, SAMPLES = 2, 4
 THETA, THETA_ROOT = 1.0, 1.0
 _CLASS = tn.U(CLASSES - 1)
