@@ -1,83 +1,95 @@
-"""Row numbers within groups that stay distributed when one group is huge.
+"""Row numbers within groups that stay distributed whatever the size of a group.
 
 ``row_number().over(Window.partitionBy(key).orderBy(...))`` sends every row of a
-key to one task.  When one key holds a third of the data, that task holds a
-third of the data.  Here a key with more than ``max_group_rows`` rows is cut
-into ordered buckets first:
-
-1. rows per key (a partial aggregate);
-2. for the hot keys only, approximate quantiles of the first order column
-   (``percentile_approx``, itself a partial aggregate, so the hot key is
-   summarised by many tasks);
-3. bucket of a row = number of its key's quantile boundaries below its value:
-   monotone in the order, and a pure function of the row, so every branch of
-   the plan (and every re-run after a lost executor) puts a row in the same
-   bucket;
-4. row numbers within (key, bucket) -- each bucket is about
-   ``max_group_rows`` rows -- plus the row count of the key's earlier buckets.
-
-When no key exceeds the bound this is one plain window.  The input is read
-for the per-key counts and again for the numbering (plus once for the
-quantiles when some key is hot): give it a stored table (e.g. the pushed
-timelines as written), not a long computation.
+key to one task.  Here every input goes the same way:
+
+1. the input is written once to the checkpoint folder, so its computation is not
+   repeated by the passes below (each reads that table);
+2. a sample of about ``SAMPLE_PER_RANGE`` rows a range is sorted on the full tuple
+   (keys, order columns), and evenly spaced tuples become range boundaries;
+3. the range of a row is the number of boundaries not above its tuple: monotone in the
+   order and a pure function of the row, so every pass and every re-run after a lost
+   executor agrees.  A hot key, equal scores and text orders are cut like anything else;
+   only rows equal in the whole tuple stay together;
+4. rows are numbered within (key, range), and the row count of the key's earlier
+   ranges is added: at most one row per key and range.
+
+The sample decides how even the ranges are, never the result.
 """
 
 from __future__ import annotations
 
-import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvid.plans.joins import DEFAULT_BROADCAST_BYTES, broadcast_if_small
+from corvid.session import ensure_checkpoint_dir
+
+SAMPLE_PER_RANGE = 60
+SAMPLE_SEED = 17
+
+
+def _store(df: DataFrame) -> DataFrame:
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ranking-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _range_of(df: DataFrame, tuple_cols: list[str], ranges: int) -> Column:
+    """The row's range: how many of at most ``ranges - 1`` boundary tuples are not above it."""
+    total = df.count()
+    fraction = min(1.0, SAMPLE_PER_RANGE * ranges / max(total, 1))
+    sample = df.select(*tuple_cols).sample(fraction, SAMPLE_SEED).orderBy(*tuple_cols).collect()
+    picked = [sample[len(sample) * i // ranges] for i in range(1, ranges)] if sample else []
+    types = {f.name: f.dataType for f in df.schema.fields}
+    bounds = []
+    for row in picked:
+        if not bounds or row != bounds[-1]:
+            bounds.append(row)
+    if not bounds:
+        return F.lit(0)
+    one = F.struct(*[F.col(c) for c in tuple_cols])
+
+    def literal(row) -> Column:
+        return F.struct(*[F.lit(row[c]).cast(types[c]).alias(c) for c in tuple_cols])
 
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
-# Rank accuracy of the quantile sketch (relative error 1 / accuracy); bucket
-# sizes only need to be roughly even, results are exact whatever the bounds.
-QUANTILE_ACCURACY = 10_000
+    # two levels: find the block of boundaries, then the place within it
+    size = max(1, int(len(bounds) ** 0.5))
+    blocks = [bounds[i:i + size] for i in range(0, len(bounds), size)]
+    block = F.size(F.filter(F.array(*[literal(b[0]) for b in blocks]), lambda b: b <= one))
+    inner = F.array(*[F.array(*[literal(r) for r in b]) for b in blocks])
+    place = F.size(F.filter(F.get(inner, block - 1), lambda b: b <= one))
+    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * F.lit(size) + place)
 
 
-def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                      out: str = "rank", max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "rank",
+                      ranges: int | None = None) -> DataFrame:
     """Append ``out`` = 1-based position of each row within its ``keys`` group.
 
-    ``order`` lists column names, ascending; it must make rows unique within a
-    group (add a tie-breaker) for the numbering to be deterministic.  The first
-    order column must be numeric, date or timestamp for hot keys to be split.
+    ``order`` lists column names of any orderable types, ascending (nulls first, as in a
+    window); it must make rows unique within a group (add a tie-breaker) for the
+    numbering to be deterministic.  ``ranges`` (default: the session's shuffle
+    partitions) is how many ranges the whole table is cut into.
     """
     keys, order = list(keys), list(order)
-    order_cols: list[Column] = [F.col(o) for o in order]
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.filter(F.col("_n") > F.lit(max_group_rows))
-    top = hot.agg(F.max("_n")).first()[0]
-    if top is None:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols))
-                             .cast("long"))
-
-    q = min(int(math.ceil(top / max_group_rows)), QUANTILE_ACCURACY // 10)
-    pcts = [i / q for i in range(1, q)]
-    hot_keys = hot.select(*keys)
-    small = broadcast_if_small(hot_keys)
-    members = df.join(small if small is not None else hot_keys, keys, "left_semi")
-    bounds = members.groupBy(*keys).agg(
-        F.percentile_approx(order[0], pcts, QUANTILE_ACCURACY).alias("_bounds"))
-    # a bounds row holds q - 1 values: bound the broadcast by that real width
-    small_bounds = broadcast_if_small(bounds, max_rows=DEFAULT_BROADCAST_BYTES // (8 * q + 64))
-    first = F.col(order[0])
-    bucketed = (df.join(small_bounds if small_bounds is not None else bounds, keys, "left")
-                .withColumn("_bucket", F.coalesce(F.size(F.filter("_bounds", lambda b: b < first)),
-                                                  F.lit(0)))
-                .drop("_bounds"))
-    # Repartition on (keys, bucket) explicitly: an input already partitioned by
-    # the keys alone would otherwise be reused and number a hot key in one task.
-    local = (bucketed.repartition(*[F.col(k) for k in keys], F.col("_bucket"))
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = _store(df)
+    ranged = rows.withColumn("_range", _range_of(rows, [*keys, *order], n))
+    # Repartition on (keys, range) explicitly: a partitioning by the keys alone would
+    # otherwise be reused and number a hot key in one task.
+    local = (ranged.repartition(n, *[F.col(k) for k in keys], F.col("_range"))
              .withColumn("_lrn", F.row_number().over(
-                 Window.partitionBy(*keys, "_bucket").orderBy(*order_cols))))
-    counts = bucketed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_bucket",
+                 Window.partitionBy(*keys, "_range").orderBy(*order))))
+    counts = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_range").alias("_r"),
                             F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    return (local.join(offsets, [*keys, "_bucket"])
+    same = F.col("_range") == F.col("_r")
+    for i, k in enumerate(keys):  # a null key is a group of its own, as in a window
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return (local.join(offsets, same)
             .withColumn(out, (F.col("_off") + F.col("_lrn")).cast("long"))
-            .drop("_bucket", "_lrn", "_off"))
+            .select(*df.columns, out))

@@ -37,7 +37,7 @@ def test_push_equals_pull_with_max(spark, edges, tweets):
        st.integers(1, 20))
 def test_ranking_equals_window(spark, rows, bound):
     df = spark.createDataFrame(rows, "k long, score long, member long")
-    got = row_number_within(df, ["k"], ["score", "member"], max_group_rows=bound)
+    got = row_number_within(df, ["k"], ["score", "member"], ranges=bound)
     want = df.withColumn("rank", F.row_number().over(Window.partitionBy("k").orderBy("score", "member"))
                          .cast("long"))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
