@@ -51,23 +51,15 @@ def following_sets(edges: DataFrame) -> DataFrame:
             .distinct())
 
 
-def pack_sets(sets: DataFrame, key: str, member: str, chunk_size: int = 10_000) -> DataFrame:
-    """Pack a long-form set into sorted arrays of about ``chunk_size`` members.
-
-    A key with ``m`` members is spread over ``ceil(m / chunk_size)`` hash buckets
-    of its members, so no array (and no task) holds an unbounded group:
-    ``(key, chunk, members array)``.  Member counts come from a partial
-    aggregate joined back on the key (so ``sets`` is read twice; a hot key's
-    side of that join is split by AQE).
+def pack_sets(sets: DataFrame, key: str, member: str, chunks: int = 1) -> DataFrame:
+    """Pack a long-form set into sorted arrays: ``(key, chunk, members array)``.
+
+    A member's chunk is ``member mod chunks`` (long members) whatever the size of the
+    set, so the rows of a key do not change shape as it grows, and a key of ``m``
+    members is built by up to ``chunks`` tasks of about ``m / chunks`` members each:
+    choose ``chunks`` for the largest set.
     """
-    sizes = sets.groupBy(key).agg(F.count(F.lit(1)).alias("_m"))
-    nb = F.greatest(F.lit(1), F.ceil(F.col("_m") / F.lit(chunk_size)))
-    chunk = F.pmod(F.xxhash64(F.col(member)), nb.cast("long"))
-    # Repartition on (key, chunk) explicitly: after the join Spark would otherwise
-    # keep the key-only partitioning and build all chunks of a hot key in one task.
-    return (sets.join(sizes, key)
-            .withColumn("chunk", chunk)
-            .repartition(F.col(key), F.col("chunk"))
+    return (sets.withColumn("chunk", F.pmod(F.col(member), F.lit(chunks)).cast("long"))
             .groupBy(key, "chunk")
             .agg(F.sort_array(F.collect_list(member)).alias("members")))
 
@@ -162,8 +154,3 @@ def upsert_sorted_set(existing: DataFrame, updates: DataFrame,
     both = existing.select(*keys, score).unionByName(updates.select(*keys, score))
     fn = F.max if combine == "max" else F.sum
     return both.groupBy(*keys).agg(fn(score).alias(score))
-
-
-def fan_out_updates(new_tweets: DataFrame, edges: DataFrame) -> DataFrame:
-    """Timeline rows produced by a batch of new tweets (the push write path)."""
-    return timeline_push(new_tweets, edges)

@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from corvid.operators import feed
+from corvid.plans.ranking import row_number_within
 from corvid.plans.registry import register
-from corvid.plans.standins import EDGES_SQL, TWEETS_SQL, follow_edges, tweet_stream, tweets
+from corvid.plans.standins import EDGES_SQL, TWEETS_SQL, follow_edges, tweets
+from corvid.session import ensure_checkpoint_dir
+from corvid.sources.sinks import read_merged
+from corvid.streaming import start_timeline_writer
 
 # The user whose followers / followees are looked up.
 LOOKUP_USER = 7
 # Tweets before this instant form the stored timeline; the rest arrive as an update.
 UPSERT_CUTOFF = "2024-01-15 00:00:00"
+# Files (so batches) of each of the two streams.
+STREAM_BATCHES = 3
 
 _CTES = f"""
 WITH edges AS ({EDGES_SQL}),
@@ -41,11 +49,15 @@ def following_sets(spark, sf_dir):
     return feed.following_sets(follow_edges(spark, sf_dir))
 
 
-@register("followers_packed", sql=_CTES + """SELECT follows_id AS user_id, CAST(0 AS BIGINT) AS chunk,
-    list_sort(list(DISTINCT user_id)) AS members FROM edges GROUP BY follows_id""")
+PACK_CHUNKS = 4
+
+
+@register("followers_packed", sql=_CTES + f"""SELECT follows_id AS user_id,
+    CAST(user_id % {PACK_CHUNKS} AS BIGINT) AS chunk, list_sort(list(DISTINCT user_id)) AS members
+    FROM edges GROUP BY follows_id, user_id % {PACK_CHUNKS}""")
 def followers_packed(spark, sf_dir):
-    """A8 as arrays: sorted follower arrays per user, split into bounded chunks."""
-    return feed.pack_sets(feed.follower_sets(follow_edges(spark, sf_dir)), "user_id", "follower_id")
+    """A8 as arrays: sorted follower arrays per user, in a fixed number of chunks."""
+    return feed.pack_sets(feed.follower_sets(follow_edges(spark, sf_dir)), "user_id", "follower_id", PACK_CHUNKS)
 
 
 @register("followers_of", sql=_CTES + f"""SELECT DISTINCT user_id AS follower_id FROM edges
@@ -96,8 +108,10 @@ def feed_upsert(spark, sf_dir):
     """K2: stored timeline (tweets before a cutoff) upserted with the later tweets' fan-out."""
     tw, edges = _inputs(spark, sf_dir)
     cutoff = F.lit(UPSERT_CUTOFF).cast("timestamp_ntz")  # on the raw column: pushed into the scan
-    stored = feed.timeline_push(tw.filter(F.col("ts") < cutoff), edges)
-    updates = feed.fan_out_updates(tw.filter(F.col("ts") >= cutoff), edges)
+    earlier = F.col("ts") < cutoff
+    stored = feed.timeline_push(tw.filter(earlier), edges)
+    # everything else is the update, tweets without a time included
+    updates = feed.timeline_push(tw.filter(~earlier | F.col("ts").isNull()), edges)
     return feed.upsert_sorted_set(stored, updates)
 
 
@@ -121,21 +135,32 @@ def timeline_read_pull(spark, sf_dir):
     return feed.timeline_ordered(one, out="pos").select("tweet_text", "score", "pos")
 
 
+@register("timeline_ordered_text", sql=_CTES + """SELECT user_id, tweet_text, score,
+    row_number() OVER (PARTITION BY user_id ORDER BY tweet_text) AS rank FROM push""")
+def timeline_ordered_text(spark, sf_dir):
+    """O1 by member: every pushed timeline ranked by its texts."""
+    tw, edges = _inputs(spark, sf_dir)
+    return row_number_within(feed.timeline_push(tw, edges), [feed.USER], [feed.TEXT])
+
+
 @register("timeline_stream_push", sql=_CTES + "SELECT user_id, tweet_text, score FROM push")
 def timeline_stream_push(spark, sf_dir):
-    """J2/K2 as Structured Streaming: the tweets stream through the push writer
-    (fan-out per micro-batch, merged into a versioned parquet table under the
-    session's checkpoint directory); the result is the newest version."""
-    import uuid
-
-    from corvid.session import ensure_checkpoint_dir
-    from corvid.sources.sinks import read_latest_version
-    from corvid.streaming import start_timeline_writer
+    """J2/K2 as Structured Streaming: two streams with checkpoints of their own, each of several
+    batches, push the tweets into one table; the result merges what they appended.
+
+    The earlier tweets are the first stream's source, the others (and those without a
+    time) the second's; both are written as several files, one batch each.
+    """
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corvid-stream-{uuid.uuid4().hex}"
-    query = start_timeline_writer(tweet_stream(spark, sf_dir), follow_edges(spark, sf_dir),
-                                  f"{base}/timeline", checkpoint=f"{base}/checkpoint",
-                                  trigger={"availableNow": True})
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
-    return read_latest_version(spark, f"{base}/timeline")
+    tw, edges = _inputs(spark, sf_dir)
+    earlier = F.col("ts") < F.lit(UPSERT_CUTOFF).cast("timestamp_ntz")
+    for name, part in (("first", tw.filter(earlier)), ("second", tw.filter(~earlier | F.col("ts").isNull()))):
+        part.repartition(STREAM_BATCHES, "user_id").write.parquet(f"{base}/source-{name}")
+        source = (spark.readStream.schema(tw.schema).option("maxFilesPerTrigger", 1)
+                  .parquet(f"{base}/source-{name}"))
+        query = start_timeline_writer(source, edges, f"{base}/timeline", checkpoint=f"{base}/checkpoint-{name}",
+                                      trigger={"availableNow": True})
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+    return read_merged(spark, f"{base}/timeline", [feed.USER, feed.TEXT], feed.SCORE)

@@ -5,9 +5,10 @@ range-partitioned on ``(key, member)`` and sorted within files, so row-group
 statistics let a key lookup skip most of the data, and a key that holds a third
 of all rows is spread over several files instead of one task.
 
-Updates never rewrite the version being read: each write goes to a new
-``v=<n>`` directory; readers take the highest complete one.  Re-running a
-failed write of version ``n`` overwrites only ``v=<n>`` (idempotent).
+Updates are appended: each batch of a stream writes its own folder
+``stream=<id>/epoch=<n>`` and nothing else, so a replayed batch replaces only itself and
+another stream never touches it.  Readers merge at read (newest or summed score per
+key); ``compact`` folds the folders of finished streams into one.
 """
 
 from __future__ import annotations
@@ -50,46 +51,36 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("
      .write.mode(mode).partitionBy(*partition_by).parquet(path))
 
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(base)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and name[2:].isdigit() and \
-                fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
+def append_delta(updates: DataFrame, base: str, stream: str, epoch: int, keys: Sequence[str], score: str,
+                 combine: str = "max") -> str:
+    """Write one batch's ``(keys..., score)`` rows under ``base``, reduced to a row per key; idempotent."""
+    folder = f"{base.rstrip('/')}/stream={stream}/epoch={int(epoch)}"
+    reduced = updates.groupBy(*keys).agg(_combiner(combine)(score).alias(score))
+    reduced.write.mode("overwrite").parquet(folder)
+    return folder
 
 
-def read_latest_version(spark: SparkSession, base: str) -> DataFrame | None:
-    """The newest complete version under ``base``, or None."""
-    vs = _versions(spark, base)
-    return spark.read.parquet(f"{base}/v={vs[-1]}") if vs else None
+def read_merged(spark: SparkSession, base: str, keys: Sequence[str], score: str, combine: str = "max") -> DataFrame:
+    """The table under ``base``: all batches of all streams, merged per key (one shuffle)."""
+    rows = spark.read.option("basePath", base).parquet(f"{base.rstrip('/')}/stream=*/epoch=*")
+    return rows.groupBy(*keys).agg(_combiner(combine)(score).alias(score))
 
 
-def upsert_versioned(spark: SparkSession, base: str, updates: DataFrame, version: int,
-                     keys: Sequence[str], score: str, combine: str = "max") -> str:
-    """Merge ``updates`` into the newest version below ``version``; write ``v=<version>``.
+def compact(spark: SparkSession, base: str, out: str, keys: Sequence[str], score: str,
+            combine: str = "max") -> DataFrame:
+    """Write the merged table to a new ``out`` as one batch, clustered by key.
 
-    ``combine``: ``max`` (newest wins) or ``sum``.  The union of the stored rows
-    and the updates is range-partitioned on the keys once; the merge aggregate
-    and the clustered write reuse that partitioning (one shuffle).
+    Streams may go on appending to ``out`` afterwards; ``base`` is left as it is.  Run it while no stream
+    writes to ``base``.
     """
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder = f"{out.rstrip('/')}/stream=compacted/epoch=0"
+    (read_merged(spark, base, keys, score, combine).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+     .write.mode("overwrite").parquet(folder))
+    return read_merged(spark, out, keys, score, combine)
+
+
+def _combiner(combine: str):
     if combine not in ("max", "sum"):
         raise ValueError("combine must be 'max' or 'sum'")
-    keys = list(keys)
-    rows = updates.select(*keys, score)
-    older = [v for v in _versions(spark, base) if v < version]
-    if older:
-        rows = spark.read.parquet(f"{base}/v={older[-1]}").select(*keys, score).unionByName(rows)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fn = F.max if combine == "max" else F.sum
-    merged = rows.repartitionByRange(n, *keys).groupBy(*keys).agg(fn(score).alias(score))
-    out = f"{base}/v={version}"
-    merged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(out)
-    return out
+    return F.max if combine == "max" else F.sum

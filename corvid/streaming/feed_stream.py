@@ -7,12 +7,10 @@ author's followers' timelines.  Here the tweets are a streaming source:
   stateful aggregate (newest score per reader and text) kept in the state
   store; ``outputMode('update')`` emits the changed timeline rows each batch.
 * ``start_timeline_writer``: ``foreachBatch`` turns each micro-batch into timeline
-  updates (batch operators, so posts are first reduced per author) and merges
-  them into a versioned parquet table, one version per epoch.  A replayed
-  epoch rewrites its own version only, so the sink is idempotent.  Each epoch
-  rewrites the whole table, which suits periodic batches (hourly posts); for
-  high-rate streams use ``timeline_stream``, whose state store emits only the
-  changed rows per batch.
+  updates (batch operators, so posts are first reduced per author) and appends
+  them under (stream, epoch).  A replayed epoch rewrites its own folder only; a stream with
+  a new checkpoint is a new stream and adds to what others wrote.  Cost follows the
+  batch, not the table; readers merge (``sources.sinks.read_merged``).
 """
 
 from __future__ import annotations
@@ -23,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from corvid.operators import feed
 from corvid.session import ensure_checkpoint_dir
-from corvid.sources.sinks import upsert_versioned
+from corvid.sources.sinks import append_delta
 
 
 def timeline_stream(tweet_stream: DataFrame, edges: DataFrame) -> DataFrame:
@@ -37,7 +35,7 @@ def timeline_stream(tweet_stream: DataFrame, edges: DataFrame) -> DataFrame:
 def start_timeline_writer(tweet_stream: DataFrame, edges: DataFrame, table_path: str,
                           checkpoint: str | None = None, trigger: dict | None = None,
                           query_name: str | None = None) -> StreamingQuery:
-    """Run the push write path as a stream into the versioned table at ``table_path``.
+    """Run the push write path as a stream into the table at ``table_path``.
 
     ``checkpoint`` defaults to a folder under the session's checkpoint directory
     (shared storage on a cluster).  ``trigger`` is passed to ``writeStream.trigger``
@@ -47,12 +45,13 @@ def start_timeline_writer(tweet_stream: DataFrame, edges: DataFrame, table_path:
     if checkpoint is None:
         checkpoint = ensure_checkpoint_dir(spark).rstrip("/") + "/streams/" + (query_name or "timeline")
 
-    def merge(batch: DataFrame, epoch_id: int) -> None:
-        updates = feed.fan_out_updates(batch, edges)
-        upsert_versioned(batch.sparkSession, table_path, updates, int(epoch_id),
-                         [feed.USER, feed.TEXT], feed.SCORE, "max")
+    def append(batch: DataFrame, epoch_id: int) -> None:
+        # the query's id lives in its checkpoint: the same after a restart, another for a new checkpoint
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        append_delta(feed.timeline_push(batch, edges), table_path, stream, int(epoch_id), [feed.USER, feed.TEXT],
+                     feed.SCORE, "max")
 
-    writer = tweet_stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    writer = tweet_stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
     if trigger:

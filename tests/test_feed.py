@@ -63,12 +63,34 @@ def test_ordered_timeline_matches_window_on_a_hot_user(spark):
     tl = spark.createDataFrame(rows, TWEETS)
     w = Window.partitionBy("user_id").orderBy("score", "tweet_text")
     want = tl.withColumn("rank", F.row_number().over(w).cast("long"))
-    for bound in (500, 10_000):  # hot user split into buckets / no split
-        got = row_number_within(tl, ["user_id"], ["score", "tweet_text"], max_group_rows=bound)
+    for ranges in (1, 7, 40):
+        got = row_number_within(tl, ["user_id"], ["score", "tweet_text"], ranges=ranges)
         assert got.count() == want.count()
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_ranking_of_texts_ties_and_nulls_matches_a_window(spark):
+    """Text order (10 before 9), all scores equal, null keys and scores, a key with a third of the rows."""
+    rows = [(1 if i % 3 == 0 else (None if i % 50 == 1 else i % 11), str(i), 5 if i % 7 else None) for i in range(2000)]
+    tl = spark.createDataFrame(rows, TWEETS)
+    for order in (["tweet_text"], ["score", "tweet_text"]):
+        w = Window.partitionBy("user_id").orderBy(*order)
+        want = tl.withColumn("rank", F.row_number().over(w).cast("long"))
+        got = row_number_within(tl, ["user_id"], order, ranges=16)
+        assert got.exceptAll(want).count() == 0 and got.count() == 2000
+
+
+def test_ranking_spreads_tied_rows(spark):
+    """40,000 rows of one key with one score: their ranges are numbered by several tasks."""
+    tl = spark.range(40_000).selectExpr("1L AS user_id", "cast(id AS string) AS tweet_text", "7L AS score")
+    got = row_number_within(tl, ["user_id"], ["score", "tweet_text"], ranges=16)
+    from corvid.plans.ranking import _range_of
+    sizes = [r["count"] for r in tl.select(_range_of(tl, ["user_id", "score", "tweet_text"], 16).alias("r"))
+             .groupBy("r").count().collect()]
+    assert len(sizes) >= 14 and max(sizes) < 8_000
+    assert got.agg(F.max("rank"), F.countDistinct("rank")).first() == (40_000, 40_000)
+
+
 def test_upsert_keeps_newest(spark):
     old = spark.createDataFrame([(1, "a", 5), (1, "b", 9)], TWEETS)
     new = spark.createDataFrame([(1, "a", 7), (1, "b", 3), (2, "c", 1)], TWEETS)
@@ -76,14 +98,16 @@ def test_upsert_keeps_newest(spark):
     assert out == {(1, "a"): 7, (1, "b"): 9, (2, "c"): 1}
 
 
-def test_pack_sets_bounded_chunks(spark):
+def test_pack_sets_chunks_by_member(spark):
     rows = [(1, i) for i in range(250)] + [(2, 7)]
     sets = spark.createDataFrame(rows, "user_id long, follower_id long")
-    packed = feed.pack_sets(sets, "user_id", "follower_id", chunk_size=100).collect()
+    packed = feed.pack_sets(sets, "user_id", "follower_id", chunks=3).collect()
     hot = [r for r in packed if r.user_id == 1]
-    assert len(hot) == 3
+    assert len(hot) == 3 and all(x % 3 == r.chunk for r in hot for x in r.members)
     assert sorted(x for r in hot for x in r.members) == list(range(250))
     assert all(r.members == sorted(r.members) for r in packed)
+    # the same shape whatever the size: a small set has its one chunk
+    assert [(r.chunk, r.members) for r in packed if r.user_id == 2] == [(1, [7])]
 
 
 def test_read_timeline_order(spark):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from corvid.operators import feed
 from corvid.plans.standins import follow_edges, tweets
-from corvid.sources.sinks import read_latest_version
+from corvid.sources.sinks import read_merged
 from corvid.streaming import start_timeline_writer, timeline_stream
 
 SF = "/root/testdata/sf0.001"
@@ -24,7 +24,7 @@ def test_stream_writer_equals_batch_push(spark, tmpdir_path):
     q = start_timeline_writer(stream, edges, os.path.join(tmpdir_path, "timeline"),
                               checkpoint=os.path.join(tmpdir_path, "ckpt"), trigger={"availableNow": True})
     q.awaitTermination(300)
-    got = read_latest_version(spark, os.path.join(tmpdir_path, "timeline"))
+    got = read_merged(spark, os.path.join(tmpdir_path, "timeline"), ["user_id", "tweet_text"], "score")
     want = feed.timeline_push(tw, edges)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
@@ -42,3 +42,18 @@ def test_stateful_timeline_stream(spark, tmpdir_path):
     got = spark.table("tl_state")
     want = feed.timeline_push(tw, edges)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_second_stream_with_a_new_checkpoint_adds_to_the_table(spark, tmpdir_path):
+    edges = spark.createDataFrame([(1, 9), (2, 9)], "user_id long, follows_id long")
+    schema = "user_id long, tweet_text string, score long"
+    table = os.path.join(tmpdir_path, "timeline")
+    for name, rows in (("one", [(9, "a", 5), (9, "b", 6)]), ("two", [(9, "b", 4), (9, "c", 7)])):
+        src = os.path.join(tmpdir_path, name)
+        spark.createDataFrame(rows, schema).repartition(2).write.parquet(src)
+        q = start_timeline_writer(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src), edges, table,
+                                  checkpoint=os.path.join(tmpdir_path, "ck-" + name), trigger={"availableNow": True})
+        q.awaitTermination(120)
+    got = {(r.user_id, r.tweet_text): r.score for r in
+           read_merged(spark, table, ["user_id", "tweet_text"], "score").collect()}
+    assert got == {(u, t): s for u in (1, 2) for t, s in (("a", 5), ("b", 6), ("c", 7))}
