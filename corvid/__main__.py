@@ -31,12 +31,14 @@ def main(argv: list[str] | None = None) -> int:
     f.add_argument("--followers", required=True)
     f.add_argument("--tweets", required=True)
     f.add_argument("--user", type=int, required=True)
-    f.add_argument("--out", help="write key-clustered tables here")
+    f.add_argument("--out", help="write key-clustered tables, and the answers, here")
     im = sub.add_parser("images", help="train and score an image classifier")
     im.add_argument("folder")
     im.add_argument("--featurizer", default="raw", choices=sorted(jobs.ml.FEATURIZERS))
     im.add_argument("--classifier", default="nb", choices=["nb", "svc", "mlp"])
     im.add_argument("--size", type=int, default=jobs.ml.DEFAULT_SIDE)
+    for job in (w, pr, im):
+        job.add_argument("--out", help="write the whole result here (parquet)")
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     a = p.parse_args(argv)
 
@@ -46,23 +48,33 @@ def main(argv: list[str] | None = None) -> int:
         builder = builder.master(a.master)
     spark = builder.getOrCreate()
 
+    def emit(df, name: str = "", rows: int = 200) -> None:
+        """Show the first rows; with ``--out`` write the whole result, each result to its own folder."""
+        if a.out:
+            path = "/".join(x for x in (a.out.rstrip("/"), name) if x)
+            df.write.mode("overwrite").parquet(path)
+            df = spark.read.parquet(path)
+        shown = df.take(rows + 1)
+        df.show(rows, truncate=False)
+        if len(shown) > rows:
+            print(f"(the first {rows} rows" + (")" if a.out else "; --out writes all)"))
+
     if a.job == "weather":
-        jobs.weather(spark, a.readings, a.stations, a.lat, a.lon, a.radius_km, a.month, a.day,
-                     a.first_year, a.last_year, a.readings_format,
-                     a.drop_null_readings).show(200, truncate=False)
+        emit(jobs.weather(spark, a.readings, a.stations, a.lat, a.lon, a.radius_km, a.month, a.day,
+                          a.first_year, a.last_year, a.readings_format, a.drop_null_readings))
     elif a.job == "profile":
-        for path in a.paths:
+        for i, path in enumerate(a.paths):
             print(f"Statistics for {path}")
-            jobs.column_profile(spark, path, a.approx).show(1000, truncate=False)
+            emit(jobs.column_profile(spark, path, a.approx), str(i) if len(a.paths) > 1 else "", 1000)
     elif a.job == "feed":
         out = jobs.feed_read(spark, a.followers, a.tweets, a.user, a.out)
         for name in ("push", "pull"):
             print(f"{name} timeline of user {a.user}")
-            out[name].show(1000, truncate=False)
+            emit(out[name], f"answers/{name}", 1000)
     else:
         out = jobs.classify_images(spark, a.folder, a.featurizer, a.classifier, a.size)
-        out["predictions"].show(20, truncate=False)
-        out["accuracy"].show()
+        for name in ("predictions", "accuracy", "unreadable"):
+            emit(out[name], name, 20)
     return 0
 
 

@@ -52,14 +52,15 @@ def feed_tables(spark: SparkSession, followers_csv: str, tweets_csv: str) -> dic
     """Edges, posts, push timelines from ``followers.csv`` and ``tweets.csv``.
 
     The tweet files carry no time; tweets are posted now, in file order: a
-    tweet's score is the job's start time in microseconds plus its position in
-    the file (increasing in file order), so a later copy of the same text is the
-    newer one and summed scores sort after single ones, as with clock times.
+    tweet's score is the job's start time in microseconds plus its position (file,
+    then row index), so a later copy of the same text is the newer one and summed
+    scores sort after single ones, as with clock times.  The order does not depend on
+    how the files are split into tasks.
     """
     edges = read_indexed_csv(spark, followers_csv, {"user_id": "bigint", "follows_id": "bigint"})
-    tw = read_indexed_csv(spark, tweets_csv, {"user_id": "bigint"})
+    tw = read_indexed_csv(spark, tweets_csv, {"user_id": "bigint"}, position_col="_position")
     posted_at = int(time.time() * 1_000_000)  # one literal: every action sees the same scores
-    tw = tw.withColumn("score", F.lit(posted_at) + F.monotonically_increasing_id())
+    tw = tw.withColumn("score", F.lit(posted_at) + F.coalesce("_position", F.lit(0))).drop("_position")
     return {"edges": edges, "tweets": tw, "posts": feed.posts_by_author(tw),
             "timelines": feed.timeline_push(tw, edges)}
 
@@ -82,6 +83,13 @@ def feed_read(spark: SparkSession, followers_csv: str, tweets_csv: str, user_id:
         write_keyed_table(t["timelines"], f"{base}/timelines", ["user_id"], ["tweet_text"], dedupe=False)
         write_keyed_table(feed.timeline_pull(t["tweets"], t["edges"]), f"{base}/unions", ["user_id"],
                           ["tweet_text"], dedupe=False)
+        # answer from the tables just written: their key clustering lets a lookup skip most of the data
+        of = {name: spark.read.parquet(f"{base}/{name}") for name in ("followers", "following", "timelines", "unions")}
+        mine = {name: df.filter(F.col("user_id") == user_id) for name, df in of.items()}
+        return {"push": feed.read_timeline(of["timelines"], user_id),
+                "pull": feed.read_timeline(of["unions"], user_id),
+                "followers": mine["followers"].select("follower_id"),
+                "followees": mine["following"].select("followee_id")}
     pull = feed.timeline_pull(t["tweets"], t["edges"], reader=user_id)
     return {"push": feed.read_timeline(t["timelines"], user_id),
             "pull": feed.read_timeline(pull, user_id),
@@ -93,11 +101,14 @@ def classify_images(spark: SparkSession, folder: str, featurizer: str = "raw", c
                     size: int = ml.DEFAULT_SIDE, train_percent: int = ml.TRAIN_PERCENT) -> dict[str, DataFrame]:
     """Label from file name, featurize, train on the split, score the rest.
 
-    Returns ``predictions`` (path, label, prediction) and ``accuracy``.
+    Returns ``predictions`` (path, label, prediction; null for a file that does not decode),
+    ``accuracy`` (with the number of unscored rows) and ``unreadable`` (paths, of either side).
     """
     # bytes stay bytes until the featurizer: decode, edges and resize are one step
     imgs = read_images(spark, folder, decode=False).withColumn("image_id", F.xxhash64("path"))
     imgs = ml.with_split(imgs, train_percent=train_percent)
     stages = ml.build_stages(featurizer, classifier, size=size, path_col="path", input_col="data")
     pred = ml.fit_and_predict(stages, imgs.filter("is_train"), imgs.filter("NOT is_train"))
-    return {"predictions": pred.select("path", "label", "prediction"), "accuracy": ml.accuracy(pred)}
+    unreadable = imgs.filter((F.col("height") <= 0) | (F.length("data") == 0)).select("path")
+    return {"predictions": pred.select("path", "label", "prediction"), "accuracy": ml.accuracy(pred),
+            "unreadable": unreadable}

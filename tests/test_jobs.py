@@ -97,8 +97,10 @@ def test_featurizers_on_bytes_equal_decoded(spark, tmpdir_path):
         write_bmp(os.path.join(d, f"dog.{i}.bmp"), rng.integers(0, 256, (9, 13, 3)))
     decoded = read_images(spark, d)
     raw = read_images(spark, d, decode=False)
+    colour = read_images(spark, d, gray=False)
     for name, cls in ml.FEATURIZERS.items():
-        a = {r.path: r.features.toArray().tolist() for r in cls(size=6).transform(decoded).collect()}
+        pixels = colour if name == "sobel" else decoded  # Sobel keeps the planes
+        a = {r.path: r.features.toArray().tolist() for r in cls(size=6).transform(pixels).collect()}
         b = {r.path: r.features.toArray().tolist()
              for r in cls(inputCol="data", size=6).transform(raw).collect()}
         assert a == b, name
@@ -115,6 +117,9 @@ def test_cli_weather_profile_feed(spark, tmpdir_path, capsys):
                  "--stations", os.path.join(d, "stations.csv")]) == 0
     out = capsys.readouterr().out
     assert "1986" in out and "30.0" in out
+    assert main(["weather", "--readings", d, "--stations", os.path.join(d, "stations.csv"),
+                 "--out", os.path.join(d, "result")]) == 0
+    assert [r.year for r in spark.read.parquet(os.path.join(d, "result")).collect()] == [1986]
     p = os.path.join(tmpdir_path, "t.csv")
     with open(p, "w") as f:
         f.write("a,b\n1,x\n2,y\n")
