@@ -1,15 +1,14 @@
 """Column profile of any DataFrame: min / max / avg / non-empty / distinct.
 
-Two jobs whatever the column count (the reference looped over the rows five
+Two passes whatever the column count (the reference looped over the rows five
 times per column):
 
-* ``profile_numeric``: one wide aggregate (partial + final, a single row
-  shuffled per task) over every column, then the one-row result is unpivoted.
-* ``profile_counts``: the table is unpivoted to ``(col_name, value key)`` and
-  grouped by column.  The exact distinct count is planned by Spark as an aggregate on
-  (column, value) first, so the shuffle is spread over all distinct values and
-  never funnels a column into one task; ``approx=True`` uses HyperLogLog++ and
-  shuffles only sketches.
+* the wide pass: one aggregate (partial + final, a single row shuffled per task) over
+  every column gives min, max, avg, non-empty and unparseable counts (and, with
+  ``approx``, HyperLogLog++ distinct counts); the one-row result is unpivoted;
+* the distinct pass: each column is read once more, unpivoted to ``(column, value)`` in
+  groups of at most ``GROUP_COLUMNS`` columns of one key type and deduplicated map-side before the
+  shuffle, which is spread over all distinct values.
 
 Text semantics (the reference reads CSV as text): a value is *empty* when null
 or ``''``; distinct counts are textual (``'1'`` and ``'1.0'`` differ, the empty
@@ -77,6 +76,24 @@ def _unpivot_one_row(row_df: DataFrame, columns: Sequence[str], fields: Sequence
     return row_df.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
 
+GROUP_COLUMNS = 16
+_FIELDS = ("min", "max", "avg", "ne", "bad")
+
+
+def _wide(df: DataFrame, cols: Sequence[str], rsd: float | None = None) -> DataFrame:
+    """One row per column: ``col_name, min, max, avg, ne, bad`` (and ``approx`` with ``rsd``), in one aggregate."""
+    aggs = []
+    for i, c in enumerate(cols):
+        v, ne, bad = _parsed(df, c)
+        aggs += [F.min(v).alias(f"_{i}_min"), F.max(v).alias(f"_{i}_max"), F.avg(v).alias(f"_{i}_avg"),
+                 F.count_if(ne).alias(f"_{i}_ne"), F.count_if(bad).alias(f"_{i}_bad")]
+        if rsd is not None:
+            text = F.coalesce(_col(c).cast("string"), F.lit(""))
+            aggs.append(F.approx_count_distinct(text, rsd).alias(f"_{i}_approx"))
+    fields = [*_FIELDS, "approx"] if rsd is not None else _FIELDS
+    return _unpivot_one_row(df.agg(*aggs), cols, fields)
+
+
 def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
                     typed: bool = False) -> DataFrame:
     """``(col_name, min, max, avg)`` for the numeric columns of ``df``.
@@ -95,44 +112,59 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
             v = _col(c).cast("double")
             aggs += [F.min(v).alias(f"_{i}_min"), F.max(v).alias(f"_{i}_max"),
                      F.avg(v).alias(f"_{i}_avg"), F.count(v).alias(f"_{i}_n")]
-        wide = df.agg(*aggs)
-        long = _unpivot_one_row(wide, cols, ["min", "max", "avg", "n"])
+        long = _unpivot_one_row(df.agg(*aggs), cols, ["min", "max", "avg", "n"])
         return long.filter(F.col("n") > 0).select("col_name", "min", "max", "avg")
+    return _numeric_of(_wide(df, cols))
 
-    aggs = []
-    for i, c in enumerate(cols):
-        v, ne, bad = _parsed(df, c)
-        aggs += [F.min(v).alias(f"_{i}_min"), F.max(v).alias(f"_{i}_max"),
-                 F.avg(v).alias(f"_{i}_avg"),
-                 F.count_if(ne).alias(f"_{i}_ne"),
-                 F.count_if(bad).alias(f"_{i}_bad")]
-    wide = df.agg(*aggs)
-    long = _unpivot_one_row(wide, cols, ["min", "max", "avg", "ne", "bad"])
-    return (long.filter((F.col("ne") > 0) & (F.col("bad") == 0))
+
+def _numeric_of(wide: DataFrame) -> DataFrame:
+    return (wide.filter((F.col("ne") > 0) & (F.col("bad") == 0))
             .select("col_name", "min", "max", "avg"))
 
 
-def _distinct_key(df: DataFrame, c: str):
-    """A key whose distinct count equals the distinct count of the column's text.
+def _distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(col_name, n_distinct)``: exact counts of each column's distinct text.
 
     Integers and doubles are compared as numbers (cheaper than formatting them):
     their text is unique per value, except that ``-0.0`` and ``0.0`` print
-    differently while comparing equal, hence the sign-of-zero flag (read from
-    the text of zeros only).  NaN prints as one text and Spark groups all NaNs
-    as one.  Other types use their text.  A null is the empty text.
+    differently while comparing equal, so a negative zero is told by its bits.  NaN
+    prints as one text and Spark groups all NaNs as one.  Other types use their text.
+    A null is the empty text (of its own: no number prints as it).
     """
-    t = _type(df, c)
-    v = _col(c)
-    empty = F.when(v.isNull(), F.lit(""))
-    no_long, no_double, no_flag = (F.lit(None).cast("long"), F.lit(None).cast("double"),
-                                   F.lit(None).cast("boolean"))
-    if isinstance(t, (ByteType, ShortType, IntegerType, LongType)):
-        parts = (empty, v.cast("long"), no_double, no_flag)
-    elif isinstance(t, DoubleType):
-        parts = (empty, no_long, v, F.when(v == F.lit(0.0), v.cast("string").startswith("-")))
-    else:
-        parts = (F.coalesce(v.cast("string"), F.lit("")), no_long, no_double, no_flag)
-    return F.struct(*[p.alias(n) for p, n in zip(parts, ("s", "n", "d", "z"))])
+    groups: dict[str, list[tuple[str, object]]] = {"long": [], "double": [], "string": []}
+    for c in cols:
+        t, v = _type(df, c), _col(c)
+        if isinstance(t, (ByteType, ShortType, IntegerType, LongType)):
+            groups["long"].append((c, v.cast("long")))
+        elif isinstance(t, DoubleType):
+            groups["double"].append((c, v))
+        else:
+            groups["string"].append((c, F.coalesce(v.cast("string"), F.lit(""))))
+    out = None
+    for kind, members in groups.items():
+        for at in range(0, len(members), GROUP_COLUMNS):
+            part = members[at:at + GROUP_COLUMNS]
+            long = df.select(*[v.alias(f"_{i}") for i, (_, v) in enumerate(part)]).unpivot(
+                [], [f"_{i}" for i in range(len(part))], "_pos", "_v")
+            key = [F.col("_v")]
+            if kind == "double":
+                key.append((F.col("_v") == F.lit(0.0)) & F.col("_v").cast("string").startswith("-"))
+            values = long.select("_pos", *[k.alias(f"_k{i}") for i, k in enumerate(key)]).distinct()
+            names = F.array(*[F.lit(c) for c, _ in part])
+            counts = values.groupBy("_pos").agg(F.count(F.lit(1)).alias("n_distinct")).select(
+                F.get(names, F.substring("_pos", 2, 10).cast("int")).alias("col_name"), "n_distinct")
+            out = counts if out is None else out.unionByName(counts)
+    return out
+
+
+def _counted(df: DataFrame, cols: Sequence[str], approx: bool, rsd: float) -> DataFrame:
+    """``_wide`` with ``n_distinct``."""
+    wide = _wide(df, cols, rsd if approx else None)
+    if approx:
+        return wide.withColumnRenamed("approx", "n_distinct")
+    # one row per column of df on either side
+    return wide.join(F.broadcast(_distinct_counts(df, cols)), "col_name", "left").withColumn(
+        "n_distinct", F.coalesce("n_distinct", F.lit(0)))
 
 
 def profile_counts(df: DataFrame, columns: Sequence[str] | None = None,
@@ -142,24 +174,14 @@ def profile_counts(df: DataFrame, columns: Sequence[str] | None = None,
     ``n_bad`` counts non-empty values that do not parse as a double.
     """
     cols = list(columns or df.columns)
-    cells = []
-    for i, c in enumerate(cols):
-        _, ne, bad = _parsed(df, c)
-        cells.append(F.struct(F.lit(c).alias("col_name"), _distinct_key(df, c).alias("k"),
-                              ne.alias("ne"), bad.alias("bad")).alias(f"_{i}"))
-    # unpivot (an Expand) over positional names; the real name travels in the struct
-    long = (df.select(*cells).unpivot([], [f"_{i}" for i in range(len(cols))], "_pos", "cell")
-            .select("cell.*"))
-    distinct = (F.approx_count_distinct("k", rsd) if approx else F.count_distinct("k"))
-    return long.groupBy("col_name").agg(
-        F.count_if(F.col("ne")).alias("non_empty"),
-        distinct.cast("long").alias("n_distinct"),
-        F.count_if(F.col("bad")).alias("n_bad"))
-
-
-def profile(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
+    return _counted(df, cols, approx, rsd).select(
+        "col_name", F.col("ne").alias("non_empty"), F.col("n_distinct").cast("long"), F.col("bad").alias("n_bad"))
+
+
+def profile(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False, rsd: float = 0.05) -> DataFrame:
     """Both profiles side by side: ``(col_name, non_empty, n_distinct, n_bad, min, max, avg)``."""
-    counts = profile_counts(df, columns, approx)
-    nums = profile_numeric(df, columns)
-    # nums has at most one row per column of df: its size is bounded by the schema
-    return counts.join(F.broadcast(nums), "col_name", "left")
+    cols = list(columns or df.columns)
+    numeric = (F.col("ne") > 0) & (F.col("bad") == 0)
+    return _counted(df, cols, approx, rsd).select(
+        "col_name", F.col("ne").alias("non_empty"), F.col("n_distinct").cast("long"), F.col("bad").alias("n_bad"),
+        *[F.when(numeric, F.col(c)).alias(c) for c in ("min", "max", "avg")])

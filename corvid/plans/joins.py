@@ -15,11 +15,6 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def bounded_row_count(df: DataFrame, bound: int) -> int:
-    """``min(count(df), bound + 1)``; reads at most ``bound + 1`` rows."""
-    return df.limit(bound + 1).count()
-
-
 def estimated_row_bytes(df: DataFrame) -> int:
     """Spark's schema-based row size estimate (``StructType.defaultSize``)."""
     return max(1, int(df._jdf.schema().defaultSize()))
@@ -35,9 +30,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     """Return ``broadcast(df)`` when ``df`` has at most ``min(max_rows, max_bytes / row
     size)`` rows, else None.
 
-    The check reads at most one row past the bound: first a probe that brings at
-    most ``PROBE_ROWS + 1`` literal values to the driver, then, for a side larger
-    than the probe, a distributed ``limit(bound + 1).count()``.
+    First a probe brings at most ``PROBE_ROWS + 1`` literal values to the driver; a side
+    larger than that is counted (a partial count per task, no rows move).
     """
     bound = min(max_rows, max_bytes // estimated_row_bytes(df))
     if bound <= 0:
@@ -45,6 +39,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     probe = min(bound, PROBE_ROWS)
     if len(df.select(F.lit(True).alias("_row")).take(probe + 1)) <= probe:
         return F.broadcast(df)
-    if probe >= bound or bounded_row_count(df, bound) > bound:
+    if probe >= bound or df.count() > bound:
         return None
     return F.broadcast(df)

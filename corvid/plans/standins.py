@@ -39,15 +39,22 @@ def weather_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
         _str(lon).alias("lon"))
 
 
-def weather_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weather_observations(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """``lineitem`` -> observations(station, wban, year, month, day, temp).
 
+    ``year`` reads one year only, as choosing one year's file does (a range on the raw date
+    column, so it reaches the scan).
+
     ``year`` plays the part of the year in the file name (an int partition column);
     the other columns are strings as read from CSV.
     """
     k = F.col("l_suppkey")
     d = F.col("l_shipdate")
-    return table(spark, sf_dir, "lineitem").select(
+    rows = table(spark, sf_dir, "lineitem")
+    if year is not None:
+        first, after = (F.lit(f"{y}-01-01 00:00:00").cast("timestamp_ntz") for y in (year, year + 1))
+        rows = rows.filter((d >= first) & (d < after))
+    return rows.select(
         _str(k).alias("station"),
         _str(F.nullif(k % 5, F.lit(0))).alias("wban"),
         F.year(d).alias("year"),
@@ -90,27 +97,15 @@ def follow_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
             .distinct())
 
 
-def _as_tweets(events: DataFrame) -> DataFrame:
-    return events.select(
+def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` -> tweets(user_id, tweet_text, score, ts): text = event type, score = ts in µs."""
+    return table(spark, sf_dir, "events").select(
         "user_id",
         F.col("event_type").alias("tweet_text"),
         epoch_micros(F.col("ts")).alias("score"),
         "ts")
 
 
-def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` -> tweets(user_id, tweet_text, score, ts): text = event type, score = ts in µs."""
-    return _as_tweets(table(spark, sf_dir, "events"))
-
-
-def tweet_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same tweets as a streaming source over the ``events`` file(s) of ``sf_dir``."""
-    schema = table(spark, sf_dir, "events").schema
-    events = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-              .option("maxFilesPerTrigger", 1).parquet(sf_dir.rstrip("/")))
-    return _as_tweets(events)
-
-
 EDGES_SQL = """
   SELECT DISTINCT u.user_id, (u.user_id * 7 + k.k) % (SELECT max(user_id) + 1 FROM events) AS follows_id
   FROM (SELECT DISTINCT user_id FROM events) u, (SELECT unnest(range(1, 4)) AS k) k"""
@@ -137,6 +132,15 @@ def gray_images(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("embedding", q).alias("pixels"))
 
 
+def colour_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``embeddings`` -> colour images(image_id, height, width, channels, pixels), B, G, R interleaved.
+
+    With ``v`` the quantised gray value: B = v, G = 255 - v, R = floor(v / 2).
+    """
+    return gray_images(spark, sf_dir).withColumn("channels", F.lit(3)).withColumn(
+        "pixels", F.flatten(F.transform("pixels", lambda v: F.array(v, F.lit(255.0) - v, F.floor(v / 2).cast("double")))))
+
+
 def feature_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``embeddings`` -> (image_id, label, pixels): label = class >= 5, pixels = x + 1 (>= 0)."""
     return table(spark, sf_dir, "embeddings").select(
@@ -153,6 +157,12 @@ GRAY_PIXELS_SQL = """
   FROM embeddings, range(1, 65) t(i)"""
 
 
+COLOUR_PIXELS_SQL = f"""
+  SELECT p.image_id, p.idx, p.r, p.c, ch.ch,
+         CASE ch.ch WHEN 0 THEN p.v WHEN 1 THEN 255.0 - p.v ELSE floor(p.v / 2) END AS v
+  FROM ({GRAY_PIXELS_SQL}) p, (SELECT unnest(range(0, 3)) AS ch) ch"""
+
+
 def raw_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``embeddings`` -> float images(image_id, height, width, pixels): values as stored."""
     return table(spark, sf_dir, "embeddings").select(
