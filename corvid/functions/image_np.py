@@ -161,10 +161,33 @@ def resize_nearest(a: np.ndarray, out_h: int, out_w: int) -> np.ndarray:
     return a[..., rows, :][..., :, cols]
 
 
-def decode_gray(data: bytes, h: int, w: int, c: int) -> np.ndarray:
-    """Interleaved B, G, R(, A) bytes -> 2-D gray image (601 luma), as ``read_images``."""
-    a = np.frombuffer(data, dtype=np.uint8)[: h * w * c].astype(float)
-    if c >= 3:
-        a = a.reshape(-1, c)
-        a = a[:, 0] * LUMA_BGR[0] + a[:, 1] * LUMA_BGR[1] + a[:, 2] * LUMA_BGR[2]
-    return a.reshape(h, w)
+def decode_planes(data: bytes, h: int, w: int, c: int) -> np.ndarray | None:
+    """Interleaved B, G, R(, A) bytes -> planes ``(c, h, w)``; None unless there are exactly h x w x c bytes."""
+    if data is None or h <= 0 or w <= 0 or c <= 0 or len(data) != h * w * c:
+        return None
+    return np.frombuffer(data, dtype=np.uint8).astype(float).reshape(h, w, c).transpose(2, 0, 1)
+
+
+def decode_gray(data: bytes, h: int, w: int, c: int) -> np.ndarray | None:
+    """The bytes as a 2-D gray image (601 luma), as ``read_images``; None if they do not fit the size."""
+    planes = decode_planes(data, h, w, c)
+    if planes is None:
+        return None
+    return luma(planes) if c >= 3 else planes[0]
+
+
+def luma(planes: np.ndarray) -> np.ndarray:
+    """B, G, R planes (on the third axis from the end) -> gray."""
+    return sum(planes[..., k, :, :] * LUMA_BGR[k] for k in range(3))
+
+
+def sobel_colour(planes: np.ndarray) -> np.ndarray:
+    """Sobel magnitude per B, G, R plane, one min / max over all of them, scaled to 8 bits, then luma."""
+    planes = planes[..., :3, :, :]
+    gx, gy = correlate(planes, SOBEL_X), correlate(planes, SOBEL_Y)
+    m = np.sqrt(gx * gx + gy * gy)
+    lo, hi = m.min(axis=(-3, -2, -1), keepdims=True), m.max(axis=(-3, -2, -1), keepdims=True)
+    varies = hi > lo
+    k = 255.0 / np.where(varies, hi - lo, 1.0)
+    scaled = np.clip(np.round(m * k - lo * k), 0.0, 255.0)
+    return luma(np.where(varies, scaled, 0.0))

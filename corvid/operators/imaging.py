@@ -35,6 +35,7 @@ from corvid.functions.image_np import laplace as np_laplace
 from corvid.functions.image_np import resize_nearest as np_resize_nearest
 from corvid.functions.image_np import scale_to_8bit as np_scale_to_8bit
 from corvid.functions.image_np import sobel as np_sobel
+from corvid.functions.image_np import sobel_colour as np_sobel_colour
 
 # Python steps (hysteresis, engine="numpy") run in Python workers.  Pickle these
 # modules' functions by value so that workers need no copy of the package.
@@ -184,16 +185,18 @@ def sobel(df: DataFrame, channels: str | None = None, pixels: str = PIX, out: st
     Gray: ``|grad|`` (3x3 dx, dy, reflected borders), min-max scaled per image.
     Colour (``channels`` names the channel-count column, pixels interleaved
     B, G, R): magnitude per channel, one min/max over all channels, scaled, then
-    reduced to gray with the luma weights; colour always takes the native path.
+    reduced to gray with the luma weights; rows of one channel are gray.
     """
     _check_engine(engine)
     h, w = F.col(H), F.col(W)
+    if channels is not None and engine == "numpy":
+        return _sobel_colour_numpy(df, channels, pixels, out)
     if channels is None and engine == "numpy":
         return map_images(df, np_sobel, pixels, out, stacked=True)
     if channels is None:
         return df.withColumn(out, _well_formed(
             im.scale_to_8bit(sobel_magnitude_expr(F.col(pixels), h, w)), pixels))
-    planes = im.split_channels(F.col(pixels), h, w, F.col(channels))
+    planes = F.slice(im.split_channels(F.col(pixels), h, w, F.col(channels)), 1, 3)
     mags = F.transform(planes, lambda p: sobel_magnitude_expr(p, h, w))
 
     def scaled(m: Column) -> Column:
@@ -205,7 +208,32 @@ def sobel(df: DataFrame, channels: str | None = None, pixels: str = PIX, out: st
                               F.lit(0.0), F.bround(v * (F.lit(255.0) / (s["hi"] - s["lo"]))
                                                    - s["lo"] * (F.lit(255.0) / (s["hi"] - s["lo"])), 0))))
                           .otherwise(F.lit(0.0)))))
-    return df.withColumn(out, im.luma(im.let(mags, scaled)))
+    n = h * w * F.col(channels)
+    colour = im.luma(F.slice(im.let(mags, scaled), 1, 3))
+    gray = im.scale_to_8bit(sobel_magnitude_expr(F.col(pixels), h, w))
+    return df.withColumn(out, F.when((F.size(F.col(pixels)) == n) & (n > 0),
+                                     F.when(F.col(channels) >= 3, colour).otherwise(gray)))
+
+
+def _sobel_colour_numpy(df: DataFrame, channels: str, pixels: str, out: str) -> DataFrame:
+    """The numpy engine of colour ``sobel``: rows pass through, ``out`` becomes one gray plane."""
+    names = list(df.columns) + ([] if out in df.columns else [out])
+    fields = {f.name: f for f in df.schema.fields}
+    schema = StructType([fields[c] if c != out else StructField(out, ArrayType(DoubleType())) for c in names])
+
+    def run(batches):
+        for pdf in batches:
+            res = []
+            for px, h, w, c in zip(pdf[pixels], pdf[H], pdf[W], pdf[channels]):
+                if px is None or h is None or w is None or c is None or len(px) == 0 or len(px) != int(h) * int(w) * int(c):
+                    res.append(None)
+                    continue
+                a = np.asarray(px, dtype=float).reshape(int(h), int(w), int(c)).transpose(2, 0, 1)
+                res.append((np_sobel_colour(a) if c >= 3 else np_sobel(a[0])).ravel())
+            pdf[out] = res
+            yield pdf[names]
+
+    return df.mapInPandas(run, schema)
 
 
 def laplace(df: DataFrame, thresh: float = LAPLACE_THRESHOLD, pixels: str = PIX, out: str = PIX,
@@ -267,10 +295,3 @@ def canny(df: DataFrame, low: float = CANNY_LOW, high: float = CANNY_HIGH,
             yield pdf[names]
 
     return staged.mapInPandas(grow, schema)
-
-
-def gray_from_bgr(df: DataFrame, pixels: str = PIX, channels: str = "channels") -> DataFrame:
-    """Interleaved BGR(A) pixels -> one gray plane with the luma weights."""
-    planes = im.split_channels(F.col(pixels), F.col(H), F.col(W), F.col(channels))
-    return df.withColumn(pixels, F.when(F.col(channels) == 1, F.col(pixels))
-                         .otherwise(im.luma(F.slice(planes, 1, 3)))).withColumn(channels, F.lit(1))

@@ -28,6 +28,8 @@ from pyspark import cloudpickle
 
 from corvid.functions import image as im
 from corvid.functions import image_np
+from corvid.functions.image_np import sobel as np_sobel
+from corvid.functions.image_np import sobel_colour as np_sobel_colour
 from corvid.functions.text import basename, label_from_text
 from corvid.operators import imaging
 
@@ -68,13 +70,27 @@ class Labeler(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, Def
         col = self.getInputCol()
         dtype = dataset.schema[col].dataType
         if not isinstance(dtype, StringType):
-            raise TypeError(f"Input type {dtype.simpleString()} did not match input type string")
+            raise TypeError(f"labels are cut from text, but column {col!r} is {dtype.simpleString()}")
         src = basename(F.col(col)) if self.getOrDefault(self.useBasename) else F.col(col)
         return dataset.withColumn(self.getOutputCol(), label_from_text(
             src, self.getOrDefault(self.start), self.getOrDefault(self.length),
             self.getOrDefault(self.value)))
 
 
+def _vector_of(values):
+    """ML vector of an array column; null for a null array."""
+    return F.when(values.isNotNull(), array_to_vector(F.coalesce(values, F.array().cast("array<double>"))))
+
+
+def _as_is(a):
+    return a
+
+
+def _sobel_planes(planes):
+    """Colour Sobel of B, G, R(, A) planes; one or two planes: gray Sobel of the first."""
+    return np_sobel_colour(planes) if planes.shape[0] >= 3 else np_sobel(planes[0])
+
+
 class _ImageFeaturizer(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
                        DefaultParamsWritable):
     """Base: edge map at full size, resize to ``size`` x ``size``, ML vector."""
@@ -85,6 +101,8 @@ class _ImageFeaturizer(Transformer, HasInputCol, HasOutputCol, DefaultParamsRead
     heightCol = Param(Params._dummy(), "heightCol", "height column", typeConverter=TypeConverters.toString)
     widthCol = Param(Params._dummy(), "widthCol", "width column", typeConverter=TypeConverters.toString)
 
+    _colour = False  # True: edges are found on B, G, R planes
+
     def __init__(self, inputCol: str = "pixels", outputCol: str = "features",
                  size: int = DEFAULT_SIDE, heightCol: str = "height", widthCol: str = "width",
                  engine: str = imaging.STENCIL_ENGINE):
@@ -107,8 +125,8 @@ class _ImageFeaturizer(Transformer, HasInputCol, HasOutputCol, DefaultParamsRead
         if isinstance(dtype, BinaryType):
             return self._transform_bytes(dataset, col)
         if not (isinstance(dtype, ArrayType) and isinstance(dtype.elementType, NumericType)):
-            raise TypeError(f"Input type {dtype.simpleString()} did not match input type "
-                            "array<double> (pixels) or binary (image bytes)")
+            raise TypeError(f"column {col!r} is {dtype.simpleString()}; a featurizer reads pixel arrays "
+                            "(array<double>) or image bytes (binary)")
         h, w = self.getOrDefault(self.heightCol), self.getOrDefault(self.widthCol)
         side = self.getOrDefault(self.size)
         tmp = "_feat_px"
@@ -118,24 +136,30 @@ class _ImageFeaturizer(Transformer, HasInputCol, HasOutputCol, DefaultParamsRead
                  if (h, w) != (imaging.H, imaging.W) else frame)
         if self.getOrDefault(self.engine) == "numpy":
             edges, resize = self._np_edges, image_np.resize_nearest  # functions, pickled by value
+            if self._colour and "channels" in dataset.columns:  # interleaved B, G, R pixels
+                frame, edges = imaging.sobel(frame, channels="channels", pixels=tmp, out=tmp), _as_is
             mapped = imaging.map_images(frame, lambda a: resize(edges(a), side, side),
                                         pixels=tmp, out=tmp, stacked=True)
-            out = mapped.withColumn(self.getOutputCol(), array_to_vector(F.col(tmp))).drop(tmp)
+            out = mapped.withColumn(self.getOutputCol(), _vector_of(F.col(tmp))).drop(tmp)
         else:
             edged = self._edges(frame, tmp)
+            whole = F.size(F.col(tmp)) == F.col(imaging.H) * F.col(imaging.W)
             resized = im.resize_nearest(F.col(tmp), F.col(imaging.H), F.col(imaging.W), side, side)
-            out = edged.withColumn(self.getOutputCol(), array_to_vector(resized)).drop(tmp)
+            out = edged.withColumn(self.getOutputCol(), _vector_of(F.when(whole, resized))).drop(tmp)
         if (h, w) != (imaging.H, imaging.W):
             out = out.drop(imaging.H, imaging.W).withColumnRenamed("_h", h).withColumnRenamed("_w", w)
         return out
 
 
     def _transform_bytes(self, dataset: DataFrame, col: str) -> DataFrame:
-        """Image bytes (``read_images(decode=False)``): decode to gray, edge map and
-        resize in one Arrow-batched numpy step; needs a ``channels`` column."""
+        """Image bytes (``read_images(decode=False)``): decode to gray (Sobel: B, G, R planes), edge
+        map and resize in one Arrow-batched numpy step; needs a ``channels`` column.
+        Bytes that do not fit the size give null features."""
         h, w = self.getOrDefault(self.heightCol), self.getOrDefault(self.widthCol)
         side = self.getOrDefault(self.size)
         edges, resize, decode = self._np_edges, image_np.resize_nearest, image_np.decode_gray
+        if self._colour:
+            edges, decode = _sobel_planes, image_np.decode_planes
         out = self.getOutputCol()
         names = list(dataset.columns) + ([] if out in dataset.columns else [out])
         fields = {f.name: f for f in dataset.schema.fields}
@@ -144,13 +168,15 @@ class _ImageFeaturizer(Transformer, HasInputCol, HasOutputCol, DefaultParamsRead
 
         def run(batches):
             for pdf in batches:
-                pdf[out] = [None if d is None else
-                            resize(edges(decode(d, int(hh), int(ww), int(cc))), side, side).ravel()
-                            for d, hh, ww, cc in zip(pdf[col], pdf[h], pdf[w], pdf["channels"])]
+                rows = []
+                for d, hh, ww, cc in zip(pdf[col], pdf[h], pdf[w], pdf["channels"]):
+                    image = None if d is None else decode(d, int(hh), int(ww), int(cc))
+                    rows.append(None if image is None else resize(edges(image), side, side).ravel())
+                pdf[out] = rows
                 yield pdf[names]
 
         mapped = dataset.mapInPandas(run, tmp_schema)
-        return mapped.withColumn(out, array_to_vector(F.col(out)))
+        return mapped.withColumn(out, _vector_of(F.col(out)))
 
 
 class RawPixelFeaturizer(_ImageFeaturizer):
@@ -159,10 +185,17 @@ class RawPixelFeaturizer(_ImageFeaturizer):
 
 
 class SobelFeaturizer(_ImageFeaturizer):
-    """Sobel magnitude scaled to 8 bits, then resized."""
+    """Sobel magnitude scaled to 8 bits, then resized.
+
+    Colour images (bytes, or interleaved B, G, R pixels with a ``channels`` column) keep their
+    planes: magnitude per plane, one min / max, then luma.
+    """
+
+    _colour = True
 
     def _edges(self, df, pixels):
-        return imaging.sobel(df, pixels=pixels, out=pixels, engine="native")
+        channels = "channels" if "channels" in df.columns else None
+        return imaging.sobel(df, channels=channels, pixels=pixels, out=pixels, engine="native")
 
     _np_edges = staticmethod(image_np.sobel)
 
@@ -253,15 +286,33 @@ def fit_pipeline(stages: Pipeline, train: DataFrame, cache_train: bool = True) -
     return PipelineModel(stages=[*prep, fitted])
 
 
+def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``model.transform(df)`` that keeps rows without features, with null predictions."""
+    *prep, last = model.stages
+    feats = PipelineModel(stages=list(prep)).transform(df)
+    if not last.hasParam("featuresCol"):
+        return last.transform(feats)
+    col = last.getOrDefault("featuresCol")
+    # MLlib cannot score a null vector: such rows are scored as zeros, then their scores are taken away
+    zeros = array_to_vector(F.array_repeat(F.lit(0.0), last.numFeatures))
+    scored = last.transform(feats.withColumn("_scored", F.col(col).isNotNull())
+                            .withColumn(col, F.coalesce(F.col(col), zeros)))
+    gone = [c for c in scored.columns if c not in feats.columns and c != "_scored"] + [col]
+    return scored.select(*[F.when(F.col("_scored"), F.col(c)).alias(c) if c in gone else F.col(c)
+                           for c in scored.columns if c != "_scored"])
+
+
 def fit_and_predict(stages: Pipeline, train: DataFrame, test: DataFrame,
                     cache_train: bool = True) -> DataFrame:
-    """Fit on ``train`` (see ``fit_pipeline``) and score ``test``."""
-    return fit_pipeline(stages, train, cache_train).transform(test)
+    """Fit on ``train`` (see ``fit_pipeline``) and score ``test``; rows without features keep a null prediction."""
+    return predict(fit_pipeline(stages, train, cache_train), test)
 
 
 def accuracy(predictions: DataFrame, label: str = "label",
              prediction: str = "prediction") -> DataFrame:
-    """One pass: ``(n, correct, accuracy)``."""
+    """One pass: ``(n, correct, accuracy, n_unscored)``; rows without a prediction are only counted as such."""
     hit = (F.col(prediction) == F.col(label).cast("double")).cast("long")
-    return predictions.agg(F.count(F.lit(1)).alias("n"), F.sum(hit).alias("correct"),
-                           F.try_divide(F.sum(hit).cast("double"), F.count(F.lit(1))).alias("accuracy"))
+    n = F.count(F.col(prediction))
+    return predictions.agg(n.alias("n"), F.sum(hit).alias("correct"),
+                           F.try_divide(F.sum(hit).cast("double"), n).alias("accuracy"),
+                           F.count_if(F.col(prediction).isNull()).alias("n_unscored"))

@@ -8,11 +8,13 @@ kernel table.
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 from corvid.functions import image as im
 from corvid.operators import imaging
 from corvid.plans.registry import register
-from corvid.plans.standins import GRAY_PIXELS_SQL, RAW_PIXELS_SQL, gray_images, raw_images
+from corvid.plans.standins import (COLOUR_PIXELS_SQL, GRAY_PIXELS_SQL, RAW_PIXELS_SQL, colour_images, gray_images,
+                                   raw_images)
 
 SIDE = 8
 RESIZE_TO = (12, 10)
@@ -169,3 +171,109 @@ FROM px p LEFT JOIN (SELECT DISTINCT image_id, r, c FROM reach) e
 def img_canny(spark, sf_dir):
     """Canny edges (100 / 250, aperture 3, L2), hysteresis by 8-connectivity."""
     return imaging.to_long(imaging.canny(gray_images(spark, sf_dir)))
+
+
+# -- more variants of the operators above -----------------------------------------
+
+THRESHOLD = 127.0
+
+
+@register("img_threshold", sql=_GRAY + f"""
+SELECT image_id, idx, CAST(CASE WHEN v > {THRESHOLD} THEN 255.0 ELSE 0.0 END AS DOUBLE) AS v FROM px""")
+def img_threshold(spark, sf_dir):
+    """Binary threshold of every image."""
+    return imaging.to_long(imaging.threshold(gray_images(spark, sf_dir), THRESHOLD))
+
+
+@register("img_subtract", sql=_GRAY + ", dl AS (" + _dilate_sql("px", "v") + """)
+SELECT p.image_id, p.idx, greatest(dl.d - p.v, 0.0) AS v FROM px p JOIN dl USING (image_id, idx)""")
+def img_subtract(spark, sf_dir):
+    """Saturating difference of every image's dilation and the image."""
+    both = imaging.dilate(gray_images(spark, sf_dir), out="dilated")
+    return imaging.to_long(imaging.subtract(both, "dilated", "pixels"))
+
+
+_COLOUR_SOBEL = f"""WITH px AS ({COLOUR_PIXELS_SQL}),
+g AS (SELECT p.image_id, p.idx, p.ch, sum(k.w0 * s.v) AS gx, sum(k.w1 * s.v) AS gy
+      FROM px p CROSS JOIN {_taps(im.SOBEL_X, im.SOBEL_Y)} k
+      JOIN px s ON s.image_id = p.image_id AND s.ch = p.ch AND s.r = {_reflect('p.r + k.dr')}
+       AND s.c = {_reflect('p.c + k.dc')}
+      GROUP BY p.image_id, p.idx, p.ch),
+m AS (SELECT image_id, idx, ch, sqrt(gx * gx + gy * gy) AS m FROM g),
+mm AS (SELECT image_id, min(m) AS lo, max(m) AS hi FROM m GROUP BY image_id),
+sc AS (SELECT m.image_id, m.idx, m.ch, CASE WHEN mm.hi > mm.lo THEN least(255.0, greatest(0.0, round_even(
+         m.m * (255.0 / (mm.hi - mm.lo)) - mm.lo * (255.0 / (mm.hi - mm.lo)), 0))) ELSE 0.0 END AS v
+       FROM m JOIN mm USING (image_id)),
+edge AS (SELECT image_id, idx, idx // {SIDE} AS r, idx % {SIDE} AS c,
+           round(max(CASE WHEN ch = 0 THEN v END) * {im.LUMA_BGR[0]}e0 + max(CASE WHEN ch = 1 THEN v END) * {im.LUMA_BGR[1]}e0
+           + max(CASE WHEN ch = 2 THEN v END) * {im.LUMA_BGR[2]}e0, 6) AS v FROM sc GROUP BY image_id, idx)
+"""
+
+
+def _resized_sql(src: str) -> str:
+    """``src`` (image_id, r, c, v) resized to the feature side, one row per feature."""
+    return f"""SELECT d.image_id, d.idx, s.v FROM (
+    SELECT DISTINCT p.image_id, CAST(j AS INTEGER) AS idx,
+      CAST(floor(((j // {RAW_FEATURE_SIDE}) + 0.5) * {SIDE} / {RAW_FEATURE_SIDE}) AS INTEGER) AS sr,
+      CAST(floor(((j % {RAW_FEATURE_SIDE}) + 0.5) * {SIDE} / {RAW_FEATURE_SIDE}) AS INTEGER) AS sc
+    FROM {src} p, range(0, {RAW_FEATURE_SIDE * RAW_FEATURE_SIDE}) t(j)) d JOIN {src} s
+  ON s.image_id = d.image_id AND s.r = least(d.sr, {SIDE - 1}) AND s.c = least(d.sc, {SIDE - 1})"""
+
+
+def _rounded(df):
+    return df.withColumn("v", F.round("v", 6))
+
+
+def _features(featurizer, images):
+    feats = featurizer(inputCol="pixels", outputCol="features", size=RAW_FEATURE_SIDE).transform(images)
+    return imaging.to_long(feats.select("image_id", vector_to_array("features").alias("pixels")))
+
+
+@register("img_sobel_colour", sql=_COLOUR_SOBEL + "SELECT image_id, idx, v FROM edge")
+def img_sobel_colour(spark, sf_dir):
+    """I4+A14 on colour: magnitude per B, G, R plane, one min / max over all planes, then luma."""
+    return _rounded(imaging.to_long(imaging.sobel(colour_images(spark, sf_dir), channels="channels")))
+
+
+@register("img_sobel_colour_native", sql=_COLOUR_SOBEL + "SELECT image_id, idx, v FROM edge")
+def img_sobel_colour_native(spark, sf_dir):
+    """Colour Sobel with array expressions only."""
+    return _rounded(imaging.to_long(imaging.sobel(colour_images(spark, sf_dir), channels="channels", engine="native")))
+
+
+@register("img_sobel_features", sql=_COLOUR_SOBEL + _resized_sql("edge"))
+def img_sobel_features(spark, sf_dir):
+    """S7+I4+F10: the Sobel featurizer on colour images (edges, resize to 16x16, ML vector)."""
+    from corvid.operators.ml import SobelFeaturizer
+    return _rounded(_features(SobelFeaturizer, colour_images(spark, sf_dir)))
+
+
+def _with_places(sql: str) -> str:
+    """A query's pixel rows (image_id, idx, v) with their place."""
+    return f"SELECT image_id, idx, idx // {SIDE} AS r, idx % {SIDE} AS c, v FROM ({sql}) e"
+
+
+def _variants() -> None:
+    """The stencils again with array expressions only, and the Laplace and Canny featurizers."""
+    from corvid.operators import ml
+    from corvid.plans.registry import _REGISTRY
+    stencils = {"img_convolve": lambda df: imaging.convolve(df, im.SOBEL_X, engine="native"),
+                "img_sobel": lambda df: imaging.sobel(df, engine="native"),
+                "img_laplace": lambda df: imaging.laplace(df, engine="native"),
+                "img_canny": lambda df: imaging.canny(df, engine="native"),
+                "img_dilate": lambda df: imaging.dilate(df, engine="native")}
+    for name, op in stencils.items():
+        @register(f"{name}_native", sql=_REGISTRY[name].sql)
+        def native(spark, sf_dir, op=op):
+            """The same stencil as array expressions."""
+            return imaging.to_long(op(gray_images(spark, sf_dir)))
+    for name, featurizer in (("img_laplace", ml.LaplaceFeaturizer), ("img_canny", ml.CannyFeaturizer)):
+        sql = f"WITH edge AS MATERIALIZED ({_with_places(_REGISTRY[name].sql)})\n" + _resized_sql("edge")
+
+        @register(f"{name}_features", sql=sql)
+        def features(spark, sf_dir, featurizer=featurizer):
+            """The edge featurizer: edges, resize to 16x16, ML vector, read back per value."""
+            return _features(featurizer, gray_images(spark, sf_dir))
+
+
+_variants()

@@ -37,18 +37,20 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None,
 
 
 def _unpack_bytes(data, n):
-    """``binary`` -> ``array<double>`` of its first ``n`` unsigned bytes."""
+    """``binary`` of ``n`` bytes -> ``array<double>`` of its unsigned bytes."""
     return F.transform(F.sequence(F.lit(0), n - 1),
                        lambda i: F.conv(F.hex(F.substr(data, i + 1, F.lit(1))), 16, 10).cast("double"))
 
 
 def read_images(spark: SparkSession, path: str, gray: bool = True, glob: str | None = None,
-                drop_invalid: bool = True, strip: bool = True, engine: str = "numpy",
+                drop_invalid: bool = False, strip: bool = True, engine: str = "numpy",
                 decode: bool = True) -> DataFrame:
     """Decoded images ``(path, height, width, channels, pixels array<double>)``.
 
     ``gray=True`` reduces colour to one plane with the 601 luma weights
     (as ``IMREAD_GRAYSCALE``); otherwise pixels stay interleaved B, G, R(, A).
+    A file that does not decode, or whose bytes are not height x width x channels, keeps
+    its row with null pixels (``drop_invalid=True`` leaves undecodable files out).
     ``engine='numpy'`` unpacks the bytes with ``np.frombuffer`` in
     ``mapInPandas`` (Arrow batches); ``'native'`` uses array expressions
     (several string functions per byte: correct, much slower on photos).
@@ -70,15 +72,15 @@ def read_images(spark: SparkSession, path: str, gray: bool = True, glob: str | N
         raw = img.select(origin.alias("path"), "height", "width", F.col("nChannels").alias("channels"), "data")
         return _unpack_numpy(raw, gray)
     n = F.col("height") * F.col("width") * F.col("nChannels")
+    whole = (F.col("nChannels") > 0) & (n > 0) & (F.length("data") == n)
     df = img.select(origin.alias("path"), "height", "width", F.col("nChannels").alias("channels"),
-                    F.when(n > 0, _unpack_bytes(F.col("data"), n))
-                    .otherwise(F.array().cast("array<double>")).alias("pixels"))
+                    F.when(whole, _unpack_bytes(F.col("data"), n)).alias("pixels"))
     if not gray:
         return df
     planes = im.split_channels(F.col("pixels"), F.col("height"), F.col("width"), F.col("channels"))
-    return (df.withColumn("pixels", F.when(F.col("channels") == 1, F.col("pixels"))
-                          .otherwise(im.luma(F.slice(planes, 1, 3))))
-            .withColumn("channels", F.lit(1)))
+    return (df.withColumn("pixels", F.when(F.col("channels") < 3, F.col("pixels"))
+                          .when(F.col("pixels").isNotNull(), im.luma(F.slice(planes, 1, 3))))
+            .withColumn("channels", F.when(F.col("channels") >= 3, F.lit(1)).otherwise(F.col("channels"))))
 
 
 def _unpack_numpy(raw: DataFrame, gray: bool) -> DataFrame:
@@ -91,7 +93,11 @@ def _unpack_numpy(raw: DataFrame, gray: bool) -> DataFrame:
         for pdf in batches:
             pixels, chans = [], []
             for data, h, w, c in zip(pdf["data"], pdf["height"], pdf["width"], pdf["channels"]):
-                a = np.frombuffer(data, dtype=np.uint8)[: int(h) * int(w) * int(c)].astype(float)
+                if data is None or c <= 0 or len(data) == 0 or len(data) != int(h) * int(w) * int(c):
+                    pixels.append(None)
+                    chans.append(int(c))
+                    continue
+                a = np.frombuffer(data, dtype=np.uint8).astype(float)
                 if gray and c >= 3:
                     a = a.reshape(-1, int(c))
                     a = a[:, 0] * wb + a[:, 1] * wg + a[:, 2] * wr

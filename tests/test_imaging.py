@@ -153,8 +153,21 @@ def test_colour_sobel_and_gray(spark):
     sc = np.clip(np.round(mags * (255 / (hi - lo)) - lo * (255 / (hi - lo))), 0, 255)
     want = sc[..., 0] * 0.114 + sc[..., 1] * 0.587 + sc[..., 2] * 0.299
     assert np.allclose(got, want)
-    gray = np.array(imaging.gray_from_bgr(df).first().pixels).reshape(6, 5)
-    assert np.allclose(gray, a[..., 0] * 0.114 + a[..., 1] * 0.587 + a[..., 2] * 0.299)
+    native = np.array(imaging.sobel(df, channels="channels", engine="native").first().pixels).reshape(6, 5)
+    assert np.allclose(native, want)
+    # one red/green edge: the featurizer sees the planes, bytes or pixels, not a gray mix
+    from corvid.operators.ml import SobelFeaturizer
+    from pyspark.ml.functions import vector_to_array
+    flat = a.astype(np.uint8).ravel()
+    raw = spark.createDataFrame([(6, 5, 3, bytearray(flat.tobytes()))], "height int, width int, channels int, data binary")
+    for engine in ("numpy", "native"):
+        px = SobelFeaturizer(inputCol="pixels", size=6, engine=engine).transform(df)
+        by = SobelFeaturizer(inputCol="data", size=6, engine=engine).transform(raw)
+        for out in (px, by):
+            v = np.array(out.select(vector_to_array("features")).first()[0]).reshape(6, 6)
+            cols = np.minimum(np.floor((np.arange(6) + 0.5) * 5 / 6).astype(int), 4)
+            assert np.allclose(v, want[:, cols])
+
 
 
 ODD = [rng.integers(0, 256, s).astype(float) for s in [(1, 6), (6, 1), (2, 2), (3, 9), (12, 5), (16, 16)]]

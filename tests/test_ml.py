@@ -73,3 +73,57 @@ def test_featurizer_detects_edges_before_resizing(spark):
         want = image_np.resize_nearest(image_np.sobel(a), 7, 7).ravel()
         other = image_np.sobel(image_np.resize_nearest(a, 7, 7)).ravel()
         assert np.array_equal(got, want) and not np.array_equal(got, other)
+
+
+def _images(spark, rows):
+    return spark.createDataFrame(rows, "image_id long, path string, height int, width int, channels int, "
+                                       "pixels array<double>, data binary")
+
+
+def test_malformed_rows_neither_crash_nor_vanish(spark):
+    """Too few pixels, null pixels, short or empty bytes: left out of the fit, kept with a null prediction."""
+    import numpy as np
+    r = np.random.default_rng(0)
+    rows = []
+    for i in range(40):
+        v = r.integers(0, 256, 16)
+        rows.append((i, f"{'dog' if i % 2 else 'cat'}.{i}.bmp", 4, 4, 1, [float(x) for x in v], bytearray(v.astype(np.uint8).tobytes())))
+    bad = [(100, "dog.100.bmp", 4, 4, 1, [1.0], bytearray(b"x")), (101, "cat.101.bmp", 4, 4, 1, None, None),
+           (102, "cat.102.bmp", -1, -1, -1, [], bytearray(b""))]
+    df = _images(spark, rows + bad)
+    for column in ("pixels", "data"):
+        for featurizer in ("raw", "sobel"):
+            stages = ml.build_stages(featurizer, "nb", size=4, input_col=column)
+            out = ml.fit_and_predict(stages, df, df)
+            got = {x.image_id: x.prediction for x in out.select("image_id", "prediction").collect()}
+            assert len(got) == 43 and all(got[i] is None for i in (100, 101, 102))
+            assert all(got[i] is not None for i in range(40))
+            acc = ml.accuracy(out).first()
+            assert (acc.n, acc.n_unscored) == (40, 3)
+
+
+def test_exported_coefficients_give_the_predictions(spark):
+    """M2, M3: the linear and the forward formula on the fitted coefficients equal the predictions."""
+    import numpy as np
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    r = np.random.default_rng(1)
+    x = r.random((120, 6))
+    y = (x[:, 0] + 0.3 * x[:, 1] > 0.6).astype(int)
+    df = spark.createDataFrame([(int(a), [float(v) for v in b]) for a, b in zip(y, x)], "label int, px array<double>").select(
+        "label", array_to_vector("px").alias("features"))
+
+    def predicted(kind):
+        model = ml.fit_pipeline(Pipeline(stages=[ml.make_classifier(kind, 6)]), df)
+        rows = ml.predict(model, df).select(vector_to_array("features").alias("x"), "prediction").collect()
+        return model.stages[-1], np.array([q.x for q in rows]), np.array([q.prediction for q in rows])
+
+    svc, f, p = predicted("svc")
+    assert ((f @ svc.coefficients.toArray() + svc.intercept > 0).astype(float) == p).all()
+    mlp, f, p = predicted("mlp")
+    w, at, layers, a = mlp.weights.toArray(), 0, [6, *ml.MLP_HIDDEN, 2], f
+    for k, (n, m) in enumerate(zip(layers, layers[1:])):
+        a = a @ w[at:at + n * m].reshape(m, n, order="F").T + w[at + n * m:at + n * m + m]
+        at += n * m + m
+        a = 1 / (1 + np.exp(-a)) if k < len(layers) - 2 else a
+    assert (a.argmax(axis=1) == p).all()

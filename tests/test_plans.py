@@ -60,9 +60,26 @@ def test_pull_for_one_reader_filters_edges_before_join(spark):
 
 def test_profile_counts_spreads_distinct_over_values(spark):
     plan = plan_of(all_queries()["profile_counts"].build(spark, SF))
-    # exact distinct: first aggregated on (col_name, value), then per column
-    assert "hashpartitioning(col_name#" in plan
-    assert any("hashpartitioning(col_name" in ln and ", k#" in ln for ln in plan.splitlines())
+    # exact distinct: deduplicated on (column, value), then counted per column
+    assert any("hashpartitioning(_pos" in ln and ", _k0#" in ln for ln in plan.splitlines())
+    # each column is read once by the wide pass and once by its type's distinct pass
+    scans = [ln for ln in plan.splitlines() if "lineitem.parquet" in ln]
+    assert len(scans) == 4 and sum(ln.count("l_orderkey") for ln in scans) <= 4
+
+
+def test_day_and_year_filters_reach_a_stored_scan(spark, tmp_path):
+    from corvid.operators import geo
+    from corvid.plans.standins import weather_observations
+    from corvid.sources.sinks import write_partitioned
+    path = str(tmp_path / "obs")
+    write_partitioned(geo.typed_observations(weather_observations(spark, SF)), path, ["year"], ["month", "day"])
+    day = geo.observations_on_day(spark.read.parquet(path).filter("year = 1996"))
+    plan = plan_of(day)
+    assert "EqualTo(month,1)" in plan and "EqualTo(day,28)" in plan and "PartitionFilters: [isnotnull(year" in plan
+    text = geo.observations_on_day(weather_observations(spark, SF).filter("year = 1996"))
+    assert day.count() == text.count() > 0
+    scan = plan_of(all_queries()["idw_point"].build(spark, SF))
+    assert "GreaterThanOrEqual(l_shipdate" in scan and "LessThan(l_shipdate" in scan
 
 
 def test_celebrity_author_join_is_split_by_aqe(spark):
@@ -106,7 +123,7 @@ def test_packed_sets_shuffle_on_key_and_chunk(spark):
         sets = spark.range(0, 30000).select(
             F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500).alias("user_id"),
             F.col("id").alias("follower_id"))
-        plan = plan_of(feed.pack_sets(sets, "user_id", "follower_id", chunk_size=1000))
+        plan = plan_of(feed.pack_sets(sets, "user_id", "follower_id", chunks=30))
         assert any("hashpartitioning(user_id" in ln and "chunk" in ln for ln in plan.splitlines())
     finally:
         for k, v in old.items():
@@ -121,5 +138,5 @@ def test_ranking_shuffles_on_key_and_bucket(spark):
     from corvid.plans.ranking import row_number_within
     rows = [(0 if i % 3 == 0 else i % 50, i % 997, i) for i in range(30000)]
     df = spark.createDataFrame(rows, "k long, score long, member long").repartition(8, "k")
-    plan = plan_of(row_number_within(df, ["k"], ["score", "member"], max_group_rows=1000))
-    assert any("hashpartitioning(k" in ln and "_bucket" in ln for ln in plan.splitlines())
+    plan = plan_of(row_number_within(df, ["k"], ["score", "member"], ranges=8))
+    assert any("hashpartitioning(k" in ln and "_range" in ln for ln in plan.splitlines())

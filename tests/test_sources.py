@@ -7,7 +7,7 @@ from corvid.functions.text import basename, label_from_text, strip_scheme
 from corvid.operators import geo
 from corvid.sources import csv as csvsrc
 from corvid.sources.images import list_files, read_images
-from corvid.sources.sinks import read_latest_version, upsert_versioned, write_keyed_table
+from corvid.sources.sinks import append_delta, compact, read_merged, write_keyed_table
 
 
 def write_bmp(path, rgb):
@@ -31,6 +31,8 @@ def test_headerless_and_year_family(spark, tmpdir_path):
     with open(os.path.join(d, "stations.csv"), "w") as f:
         f.write("1,0,28.4,-80.6\n0,93,28.5,-80.6\n7,1,,-80.6\n")
     obs = csvsrc.read_year_files(spark, os.path.join(d, "[0-9]*.csv"))
+    assert sorted(r.year for r in obs.select("year").distinct().collect()) == [1974, 1986, 1990]
+    obs = csvsrc.read_year_files(spark, d, first_year=csvsrc.FIRST_YEAR, last_year=csvsrc.LAST_YEAR)
     assert sorted(r.year for r in obs.select("year").distinct().collect()) == [1986, 1990]
     st = csvsrc.read_headerless_csv(spark, os.path.join(d, "stations.csv"), csvsrc.WEATHER_STATION_COLUMNS)
     assert st.columns == ["STATION", "WBAN", "LAT", "LON"] and dict(st.dtypes)["LAT"] == "string"
@@ -85,15 +87,24 @@ def test_keyed_table_and_versions(spark, tmpdir_path):
     df = spark.createDataFrame([(1, "a", 5), (1, "a", 5), (2, "b", 1)], "user_id long, tweet_text string, score long")
     write_keyed_table(df, os.path.join(tmpdir_path, "sets"), ["user_id"], ["tweet_text"])
     assert spark.read.parquet(os.path.join(tmpdir_path, "sets")).count() == 2
-    base = os.path.join(tmpdir_path, "tl")
-    upsert_versioned(spark, base, df, 0, ["user_id", "tweet_text"], "score")
+    base, keys = os.path.join(tmpdir_path, "tl"), ["user_id", "tweet_text"]
+    append_delta(df, base, "s1", 0, keys, "score")
     upd = spark.createDataFrame([(1, "a", 9), (3, "c", 2)], "user_id long, tweet_text string, score long")
-    upsert_versioned(spark, base, upd, 1, ["user_id", "tweet_text"], "score")
-    cur = {(r.user_id, r.tweet_text): r.score for r in read_latest_version(spark, base).collect()}
-    assert cur == {(1, "a"): 9, (2, "b"): 1, (3, "c"): 2}
-    # replaying version 1 gives the same table
-    upsert_versioned(spark, base, upd, 1, ["user_id", "tweet_text"], "score")
-    assert read_latest_version(spark, base).count() == 3
+    append_delta(upd, base, "s1", 1, keys, "score")
+    read = lambda b=base: {(r.user_id, r.tweet_text): r.score for r in read_merged(spark, b, keys, "score").collect()}
+    assert read() == {(1, "a"): 9, (2, "b"): 1, (3, "c"): 2}
+    append_delta(upd, base, "s1", 1, keys, "score")  # a replay changes nothing
+    assert read() == {(1, "a"): 9, (2, "b"): 1, (3, "c"): 2}
+    # another stream starts at epoch 0 again: nothing of the first is lost
+    more = spark.createDataFrame([(1, "a", 4), (4, "d", 3)], "user_id long, tweet_text string, score long")
+    append_delta(more, base, "s2", 0, keys, "score")
+    want = {(1, "a"): 9, (2, "b"): 1, (3, "c"): 2, (4, "d"): 3}
+    assert read() == want
+    out = os.path.join(tmpdir_path, "tl2")
+    compact(spark, base, out, keys, "score")
+    assert read(out) == want
+    append_delta(more.selectExpr("user_id", "tweet_text", "score + 100 AS score"), out, "s3", 0, keys, "score")
+    assert read(out) == want | {(1, "a"): 104, (4, "d"): 103}
 
 
 def test_partitioned_writer_splits_a_hot_partition(spark, tmpdir_path):
@@ -112,14 +123,53 @@ def test_partitioned_writer_splits_a_hot_partition(spark, tmpdir_path):
     assert back.count() == 20000 and back.filter("year = 2000").count() == 16000
 
 
-def test_readers_skip_an_unfinished_version(spark, tmpdir_path):
-    base = os.path.join(tmpdir_path, "tl2")
-    df = spark.createDataFrame([(1, "a", 5)], "user_id long, tweet_text string, score long")
-    upsert_versioned(spark, base, df, 0, ["user_id", "tweet_text"], "score")
-    os.makedirs(os.path.join(base, "v=7"))  # a crashed writer: no _SUCCESS
-    with open(os.path.join(base, "v=7", "part-0.parquet"), "wb") as f:
-        f.write(b"not parquet")
-    assert read_latest_version(spark, base).count() == 1
-    upd = spark.createDataFrame([(2, "b", 1)], "user_id long, tweet_text string, score long")
-    upsert_versioned(spark, base, upd, 8, ["user_id", "tweet_text"], "score")  # merges v=0, not v=7
-    assert read_latest_version(spark, base).count() == 2
+def test_csv_reads_what_pandas_writes(spark, tmpdir_path):
+    import pandas as pd
+
+    from corvid.sources.csv import read_indexed_csv
+    rows = pd.DataFrame({"user_id": [1, 2, 3, 4], "tweet_text": ['he said "hi", ok', "two\nlines", "a,b", 'x "y"\n"z"']})
+    rows.to_csv(os.path.join(tmpdir_path, "t.csv"))
+    got = read_indexed_csv(spark, os.path.join(tmpdir_path, "t.csv"), {"user_id": "bigint"})
+    assert [(r.user_id, r.tweet_text) for r in got.orderBy("user_id").collect()] == list(rows.itertuples(index=False, name=None))
+
+
+def test_positions_follow_files_and_index_not_partitions(spark, tmpdir_path):
+    import pandas as pd
+
+    from corvid.sources.csv import read_indexed_csv
+    d = os.path.join(tmpdir_path, "tweets")
+    os.makedirs(d)
+    for f in range(3):
+        pd.DataFrame({"user_id": [f] * 500, "tweet_text": [f"{f}-{i}" for i in range(500)]}).to_csv(os.path.join(d, f"{f}.csv"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        rows = read_indexed_csv(spark, d, multi_line=False, position_col="at").collect()
+        assert {r.tweet_text: r["at"] for r in rows} == {f"{f}-{i}": 500 * f + i for f in range(3) for i in range(500)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_year_files_all_years_and_strict_names(spark, tmpdir_path):
+    import pytest
+
+    from corvid.sources.csv import read_year_files
+    d = os.path.join(tmpdir_path, "years")
+    os.makedirs(d)
+    for name in ("1986.csv", "2016.csv"):
+        with open(os.path.join(d, name), "w") as f:
+            f.write("1,2,01,28,5\n")
+    assert sorted(r.year for r in read_year_files(spark, d).collect()) == [1986, 2016]
+    assert [r.year for r in read_year_files(spark, d, last_year=2015).collect()] == [1986]
+    with open(os.path.join(d, "st0123_1990.csv"), "w") as f:
+        f.write("1,2,01,28,5\n")
+    with pytest.raises(ValueError, match="st0123_1990"):
+        read_year_files(spark, d)
+
+
+def test_undecodable_images_stay_with_null_pixels(spark, tmpdir_path):
+    with open(os.path.join(tmpdir_path, "dog.bad.bmp"), "wb") as f:
+        f.write(b"not an image")
+    for engine in ("numpy", "native"):
+        rows = read_images(spark, tmpdir_path, engine=engine).collect()
+        assert len(rows) == 1 and rows[0].pixels is None
