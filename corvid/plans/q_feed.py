@@ -10,7 +10,7 @@ from corvid.operators import feed
 from corvid.plans.ranking import row_number_within
 from corvid.plans.registry import register
 from corvid.plans.standins import EDGES_SQL, TWEETS_SQL, follow_edges, tweets
-from corvid.session import ensure_checkpoint_dir
+from corvid.session import delete_folder, ensure_checkpoint_dir
 from corvid.sources.sinks import read_merged
 from corvid.streaming import start_timeline_writer
 
@@ -163,4 +163,6 @@ def timeline_stream_push(spark, sf_dir):
         query.awaitTermination()
         if query.exception() is not None:
             raise query.exception()
+        for spent in (f"{base}/source-{name}", f"{base}/checkpoint-{name}"):  # only the table is read below
+            delete_folder(spark, spent)
     return read_merged(spark, f"{base}/timeline", [feed.USER, feed.TEXT], feed.SCORE)
