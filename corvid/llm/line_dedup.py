@@ -1,6 +1,7 @@
 """Line dedup: an exact set-similarity join over all lines (built-in functions only).
 
-A line's tokens are its 5-word shingles (a shorter line is one token).  Two lines are
+A line's tokens are its 5-word shingles (a shorter line is one token, and similar only
+to equal lines).  Two lines are
 similar if the Jaccard similarity of their token sets is at least ``percent`` / 100;
 a line with a similar line before it, in (doc_id, line number) order, is removed.
 
@@ -8,7 +9,7 @@ a line with a similar line before it, in (doc_id, line number) order, is removed
    all but the first line of a class go at once, so copies never meet in a join.
 2. Rarity: the words of all lines are counted in a fixed number of hash buckets.
    The counts make a small table (its size is a constant) that orders tokens, by the
-   frequency of their first word and then by hash, the same way in every line: rarest
+   frequency of their last word and then by hash, the same way in every line: rarest
    first.
 3. Prefix filter: lines of n tokens that are similar share a token among the first
    ``n - ceil(t * n) + 1``.  Tokens that occur in one line's prefix only are dropped
@@ -42,35 +43,42 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataF
     """Lines of at least ``min_words`` words: ``d, line_no, k1, k2, h`` (word hashes)."""
     d = F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("d")
     lines = docs.select(d, F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
-    words = lines.select("d", "line_no", F.expr("transform(array_remove(split(line, ' '), ''), x -> hash(x))").alias("h"))
+    # most lines have single blanks between words: nothing to remove from their split
+    words = lines.select("d", "line_no", F.expr(
+        "transform(CASE WHEN contains(line, '  ') OR startswith(line, ' ') OR endswith(line, ' ') "
+        "THEN array_remove(split(line, ' '), '') ELSE split(line, ' ') END, x -> hash(x))").alias("h"))
     return (words.filter(F.size("h") >= min_words)
             .select("d", "line_no", F.xxhash64("h").alias("k1"), F.xxhash64(F.lit(7), "h").alias("k2"), "h"))
 
 
-def _windows(array: str) -> str:
-    """The array's shingles as structs; a shorter array gives one, padded with nulls."""
-    shifted = ", ".join([array, *(f"slice({array}, {j}, {_REST})" for j in range(2, SHINGLE + 1))])
-    return f"slice(arrays_zip({shifted}), 1, greatest(size({array}) - {SHINGLE - 1}, 1))"
+def _shingle_hashes(last: str = "xxhash64(a, y)") -> str:
+    """SQL: one value per 5-word window of ``h``: hashes of words 1-2 and 3-4, of both, then with word 5.
 
+    ``last`` combines the hash ``a`` of the first four words with the fifth word ``y``.
+    """
+    pairs = f"zip_with(h, slice(h, 2, {_REST}), (x, y) -> xxhash64(x, y))"
+    fours = f"zip_with({{0}}, slice({{0}}, 3, {_REST}), (x, y) -> xxhash64(x, y))"
+    # each step is computed once: transform over a one-element array binds it
+    return (f"element_at(transform(array({pairs}), p -> element_at(transform(array({fours.format('p')}), "
+            f"q -> slice(zip_with(q, slice(h, 5, {_REST}), (a, y) -> {last}), 1, size(h) - 4)), 1)), 1)")
 
-def _rarity(lines: DataFrame) -> Column:
-    """A constant array: for each bucket of first words the rank (logarithm) of how often they occur in all lines."""
+
+def _rarity(lines: DataFrame) -> str:
+    """A constant array: for each bucket of words the rank (logarithm) of how often they occur in all lines."""
     counts = (lines.select(F.explode("h").alias("x"))
               .groupBy(F.col("x").bitwiseAND(F.lit(RARITY_BUCKETS - 1)).alias("bucket"))
               .agg(F.floor(F.log2(F.count(F.lit(1)).cast("double")) * 2).alias("rank")))
     rank = [0] * RARITY_BUCKETS
     for r in counts.collect():  # RARITY_BUCKETS rows at most
         rank[r["bucket"]] = int(r["rank"])
-    return F.split(F.lit(",".join(map(str, rank))), ",").cast("array<int>")
+    return f"cast(split('{','.join(map(str, rank))}', ',') AS array<int>)"
 
 
-def _tokens(rank: Column) -> Column:
-    """Distinct tokens of a line in ascending rarity order: rank of the first word in the top byte, hash below."""
-    def key(window: Column) -> Column:
-        bucket = window.getField("h").bitwiseAND(F.lit(RARITY_BUCKETS - 1))
-        low = F.xxhash64(window).bitwiseAND(F.lit(2 ** 56 - 1))
-        return F.shiftleft(F.coalesce(F.get(rank, bucket), F.lit(0)).cast("long"), 56).bitwiseOR(low)
-    return F.sort_array(F.array_distinct(F.transform(F.expr(_windows("h")), key)))
+def _tokens(rank: str) -> Column:
+    """Distinct tokens of a line in ascending rarity order: rank of the last word in the top byte, hash below."""
+    key = (f"shiftleft(cast(coalesce(get({rank}, y & {RARITY_BUCKETS - 1}), 0) AS bigint), 56) "
+           f"| (xxhash64(a, y) & {2 ** 56 - 1}L)")
+    return F.expr(f"sort_array(array_distinct({_shingle_hashes(key)}))")
 
 
 def _need(n: Column, percent: int) -> Column:
@@ -98,15 +106,20 @@ def _plausible(percent: int) -> Column:
 
 def _bitmaps(lines: DataFrame) -> DataFrame:
     """``b0..b7`` per line: a bit for (the hash of) each of its tokens."""
-    cols = ", ".join(f"w{j}" for j in range(SHINGLE))
-    x = lines.selectExpr("d", "line_no", f"inline({_windows('h')}) AS ({cols})").select(
-        "d", "line_no", F.expr(f"xxhash64({cols})").alias("x"))
+    x = lines.select("d", "line_no", F.expr(f"inline({_windows('h')}) AS (w0, w1, w2, w3, w4)")).select(
+        "d", "line_no", F.expr("xxhash64(w0, w1, w2, w3, w4)").alias("x"))
     bit = F.expr("shiftleft(1L, cast(x & 63 AS int))")
     word = F.expr(f"cast(shiftrightunsigned(x, 6) & {BITMAP_WORDS - 1} AS int)")
     return x.groupBy("d", "line_no").agg(*[F.bit_or(F.when(word == k, bit).otherwise(F.lit(0))).alias(f"b{k}")
                                            for k in range(BITMAP_WORDS)])
 
 
+def _windows(array: str) -> str:
+    """The array's 5-word windows as structs."""
+    shifted = ", ".join([array, *(f"slice({array}, {j}, {_REST})" for j in range(2, SHINGLE + 1))])
+    return f"slice(arrays_zip({shifted}), 1, size({array}) - {SHINGLE - 1})"
+
+
 def _bitmaps_allow(percent: int) -> Column:
     """Every bit that only one line has is a token the other lacks: an upper bound of the overlap, never too low."""
     def only(a: str, b: str) -> Column:
@@ -118,17 +131,24 @@ def _bitmaps_allow(percent: int) -> Column:
             & (F.col("y.n") - only("y", "x") >= _least(percent)))
 
 
-def _with_earlier(asking: DataFrame, postings: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
-    """Lines of ``asking`` (postings) that are similar to an earlier line with the same token."""
-    tokens = _sent(asking.select("token").distinct())
-    others = postings.join(tokens, "token", "left_semi")
-    sets = (lines.join(_sent(others.select("d", "line_no").distinct()), ["d", "line_no"], "left_semi")
-            .select("d", "line_no", F.array_distinct(F.transform(F.expr(_windows("h")), lambda s: F.xxhash64(s))).alias("t")))
-    x = asking.join(sets, ["d", "line_no"]).select("token", "i", "n", "d", "line_no", "t").alias("x")
-    y = others.join(sets, ["d", "line_no"]).select("token", "i", "n", "d", "line_no", "t").alias("y")
+def _with_earlier(asking: DataFrame, postings: DataFrame, lines: DataFrame, maps: DataFrame, name: str,
+                  percent: int) -> DataFrame:
+    """Lines of ``asking`` (postings) that are similar to an earlier line with the same token.
+
+    Only postings of earlier lines that pass the cheap filters for some asking line carry
+    their token set into the exact join.
+    """
+    mine = stored(asking.join(maps, ["d", "line_no"]), name)
+    tokens = _sent(mine.select("token").distinct())
+    x, y = mine.alias("x"), postings.join(tokens, "token", "left_semi").join(maps, ["d", "line_no"]).alias("y")
+    partners = stored(y.join(x, _plausible(percent) & _earlier("y", "x") & _bitmaps_allow(percent), "left_semi"), name)
+    needed = _sent(mine.select("d", "line_no").unionByName(partners.select("d", "line_no")).distinct())
+    sets = (lines.join(needed, ["d", "line_no"], "left_semi")
+            .select("d", "line_no", F.expr(f"array_distinct({_shingle_hashes()})").alias("t")))
+    x, y = mine.join(sets, ["d", "line_no"]).alias("x"), partners.join(sets, ["d", "line_no"]).alias("y")
     common = F.size(F.array_intersect("x.t", "y.t"))
-    return (x.join(y, _plausible(percent) & _earlier("y", "x") & (common >= _least(percent)), "left_semi")
-            .select("d", "line_no").distinct())
+    return stored(x.join(y, _plausible(percent) & _earlier("y", "x") & _bitmaps_allow(percent)
+                         & (common >= _least(percent)), "left_semi").select("d", "line_no").distinct(), name)
 
 
 def _sent(df: DataFrame) -> DataFrame:
@@ -159,7 +179,8 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     rank = _rarity(lines)
     prefix = F.col("n") - _need(F.col("n"), percent) + 1
-    firsts = stored(marked.filter(is_first).select("d", "line_no", _tokens(rank).alias("t"))
+    # a line of one token is similar to equal lines only
+    firsts = stored(marked.filter(is_first & (F.size("h") > SHINGLE)).select("d", "line_no", _tokens(rank).alias("t"))
                     .select("d", "line_no", F.size("t").alias("n"), "t")
                     .select("d", "line_no", "n", F.slice("t", F.lit(1), prefix).alias("t")), "prefixes",
                     **{"parquet.enable.dictionary": "false"})
@@ -173,7 +194,8 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     touched = stored(lines.join(_sent(postings.select("d", "line_no").distinct()), ["d", "line_no"], "left_semi")
                      .select("d", "line_no", "h"), "touched", **{"parquet.enable.dictionary": "false"})
     release(lines)
-    light = postings.join(_bitmaps(touched), ["d", "line_no"])
+    maps = stored(_bitmaps(touched), "bitmaps")
+    light = postings.join(maps, ["d", "line_no"])
     x, y = light.alias("x"), light.alias("y")
     asking = stored(x.join(y, _plausible(percent) & _earlier("y", "x") & _bitmaps_allow(percent), "left_semi")
                     .select("d", "line_no").distinct(), "asking")
@@ -182,10 +204,10 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     mine = postings.join(_sent(asking), ["d", "line_no"], "left_semi")
     rarest = (mine.groupBy("d", "line_no").agg(F.slice(F.sort_array(F.collect_set("token")), 1, FIRST_TOKENS).alias("t"))
               .select("d", "line_no", F.explode("t").alias("token")))
-    some = stored(mine.join(rarest, ["d", "line_no", "token"], "left_semi"), "some")
-    first = stored(_with_earlier(some, postings, touched, percent), "similar")
-    rest = stored(mine.join(_sent(first), ["d", "line_no"], "left_anti"), "rest")
-    similar = first.unionByName(stored(_with_earlier(rest, postings, touched, percent), "similar"))
+    first = _with_earlier(mine.join(rarest, ["d", "line_no", "token"], "left_semi"), postings, touched, maps, "first",
+                          percent)
+    rest = mine.join(_sent(first), ["d", "line_no"], "left_anti")
+    similar = first.unionByName(_with_earlier(rest, postings, touched, maps, "rest", percent))
 
     of_id = F.when(F.col("d") != _LAST, F.col("d")).alias("doc_id")
     return (exact.select(of_id, "line_no", F.lit("exact").alias("reason"))
