@@ -76,3 +76,20 @@ for name in ["img_canny", "img_raw", "img_sobel", "fit_predict"]:
     assert r.returncode == 0, r.stderr[-3000:]
     assert [ln.split()[0] for ln in r.stdout.splitlines() if ln and ln[0].isalpha()][-4:] == \
         ["img_canny", "img_raw", "img_sobel", "fit_predict"]
+
+
+def test_entry_without_the_training_data_files(tmp_path):
+    """The entry still imports, with the other queries, where that subpackage and the pipeline are gone."""
+    import shutil
+    import subprocess
+    import sys
+    skip = shutil.ignore_patterns("llm", "__pycache__")
+    shutil.copytree(os.path.join(ROOT, "corvid"), tmp_path / "corvid", ignore=skip)
+    os.makedirs(tmp_path / "corvid" / "llm" / "__pycache__")  # a left-over folder is no subpackage
+    shutil.copy(os.path.join(ROOT, "__spark_entry__.py"), tmp_path)
+    code = "import __spark_entry__ as e; print(len(e.queries()), 'pipeline' in e.queries(), len(e.oracle_sql()))"
+    r = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120,
+                       env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    from corvid.plans.registry import all_queries
+    sql = sum(bool(q.sql) for q in all_queries().values())
+    assert r.stdout.split() == [str(len(all_queries())), "False", str(sql)], r.stderr[-2000:]
