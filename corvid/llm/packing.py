@@ -250,7 +250,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, en
     offsets = sizes.select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     own = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "ids_crc32")
     ranked = (salted.withColumn("_row", F.row_number().over(own))
-              .join(F.broadcast(offsets), ["length", "_salt"])  # at most capacity x salts rows
+              .join(offsets, ["length", "_salt"])  # as the windows are partitioned: the pieces do not move again
               .withColumn("rank", (F.col("_before") + F.col("_row") - 1).cast("long")))
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(
         lambda it: _place_batches(it, plan),
