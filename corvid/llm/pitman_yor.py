@@ -43,6 +43,8 @@ BURN_IN, SAMPLES = 2, 4
 THETA, THETA_ROOT = 1.0, 1.0
 _CLASS = tn.U(CLASSES - 1)
 END = tn.mix(np.array([0xE17D], dtype=np.uint64))[0]
+# class of a token by its last two (lower-cased) bytes
+_CLASS_OF = (tn.mix(np.arange(1 << 16, dtype=np.uint64) + tn.U(1)) % tn.U(START)).astype(np.uint8)
 _TRIVIAL = 16  # customers seated one by one
 _STEP = 65535
 
@@ -55,18 +57,19 @@ def pair_keys(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     total = int(at[-1]) if len(at) else 0
     is_end = np.zeros(total, dtype=bool)
     is_end[at - 1] = True
-    word = np.empty(total, dtype=np.uint64)
-    word[~is_end] = h
-    word[is_end] = END
     low = tn.LOWER[raw]
-    first = np.maximum(end - ENDING, start)
-    ending = tn.mix(low[first].astype(np.uint64) * tn.U(256) + low[end - 1] + tn.U(1)) % tn.U(START)
-    own = np.zeros(total, dtype=np.uint64)
-    own[~is_end] = ending
-    cls = np.full(total, START, dtype=np.uint64)
+    own = np.zeros(total, dtype=np.uint8)
+    own[~is_end] = _CLASS_OF[low[np.maximum(end - ENDING, start)].astype(np.uint16) << 8 | low[end - 1]]
+    cls = np.full(total, START, dtype=np.uint8)
     cls[1:] = own[:-1]
-    cls[(at - size)] = START
-    return (word & ~_CLASS) | cls, size
+    cls[at - size] = START
+    del start, end, low, own
+    keys = np.empty(total, dtype=np.uint64)
+    keys[~is_end] = h
+    keys[is_end] = END
+    keys &= ~_CLASS
+    keys |= cls
+    return keys, size
 
 
 def _deltas(index: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,6 +113,7 @@ def _block_batches(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[p
             train = np.repeat(~held[lo:hi], size)
             uniq, code = np.unique(keys, return_inverse=True)
             count = np.bincount(code[train], minlength=len(uniq))
+            del keys, train
             # order by shard, then key; a text's listing names pairs by their place in this order
             shard = (tn.mix(uniq & ~_CLASS) % tn.U(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
@@ -117,7 +121,10 @@ def _block_batches(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[p
             place[order] = np.arange(len(order))
             text = np.repeat(np.arange(hi - lo), size)
             width = len(uniq) + 1
-            index = np.sort(text * width + place[code]) % width
+            index = text * width + place[code]
+            del text, code
+            index.sort()
+            index %= width
             steps, n_steps = _deltas(index, size)
             ends = np.cumsum(np.bincount(shard, minlength=shards))
             sent = np.flatnonzero(np.bincount(shard, minlength=shards))
