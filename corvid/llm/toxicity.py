@@ -24,7 +24,7 @@ from corvid.llm.common import crc_mod, ship_package
 BITS = 20
 FEATURES = 1 << BITS
 STEMS = (4, 5, 6)  # leading bytes of longer words that are features too
-SAMPLE = 12_288
+SAMPLE = 8192
 PENALTY = 1.5
 MIN_DOCS = 3
 ROUNDS, RATE = 300, 0.1
@@ -52,9 +52,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _dot(w: np.ndarray, features: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    c = np.concatenate(([0.0], np.cumsum(w[features])))
-    ends = np.cumsum(counts)
-    return c[ends] - c[ends - counts]
+    """Sum of the weights of each text's features."""
+    out = np.zeros(len(counts))
+    full = np.flatnonzero(counts)
+    if len(full):
+        out[full] = np.add.reduceat(w.astype(np.float32)[features], (np.cumsum(counts) - counts)[full])
+    return out
 
 
 def fit_ordinal(features: np.ndarray, counts: np.ndarray, grade: np.ndarray, grades: int, size: int,
@@ -114,11 +117,12 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_i
     counts = np.array([len(r["features"]) // 4 for r in found])
     features = np.frombuffer(b"".join(bytes(r["features"]) for r in found), dtype=np.int32)
     common = np.flatnonzero(np.bincount(features, minlength=FEATURES) >= MIN_DOCS)
-    place = np.full(FEATURES, -1)
+    place = np.full(FEATURES, -1, dtype=np.int32)
     place[common] = np.arange(len(common))
     code = place[features]
-    doc = np.repeat(np.arange(len(counts)), counts)[code >= 0]
-    w, theta = fit_ordinal(code[code >= 0], np.bincount(doc, minlength=len(counts)), grade, grades, len(common))
+    known_counts = np.diff(np.concatenate(([0], np.cumsum(code >= 0)))[np.concatenate(([0], np.cumsum(counts)))])
+    del features, found, rows
+    w, theta = fit_ordinal(code[code >= 0], known_counts, grade, grades, len(common))
     kept = np.flatnonzero(w)
     return {"features": common[kept].astype(np.int32), "weights": w[kept], "theta": theta}
 
