@@ -45,6 +45,7 @@ def main(argv):
     from corvid.session import local_session
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     spark = local_session(8)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # whole lists of pushed filters
     print(f"# Physical plans ({os.path.basename(sf_dir)}, executed, AQE final)\n")
     print("Generated by `tools/show_plans.py`. Columns: hash / range / single-partition "
           "exchanges, broadcasts, join strategies, Python steps; then per parquet scan the "
