@@ -1,9 +1,10 @@
 """Language-model scoring with a hierarchical Pitman-Yor model.
 
-*Model.*  Tokens are lower-cased words and an end per text.  A token's restaurant is the
-class of the token before it (its ending, hashed to ``CLASSES`` classes; the text's start is a
-class of its own).  All restaurants share one parent, the unigram restaurant, whose
-own base is uniform over the known types and one unknown type.
+*Model.*  Tokens are lower-cased words and an end per text.  A token's restaurant is its
+context, the token before it (the text's start is a context of its own).  The parent of a
+context is its class (its ending, hashed to ``CLASSES`` classes), and all classes share one
+parent, the unigram restaurant, whose own base is uniform over the known types and one
+unknown type.  A context that was never seen backs off to its class.
 
 *Seating.*  A Gibbs sweep takes the customers of each dish out of a restaurant and seats
 them again one by one: the next customer opens a table with weight
@@ -13,12 +14,13 @@ table sends a customer to the parent, which is reseated after its children.  Aft
 of a dish, runs of an eighth of those already seated are drawn at once (binomially).
 
 *Distribution.*  Text is cut into blocks.  A block sends each of its distinct (word,
-class) pairs once, with its training count, to the word's shard: a word has at most
-``CLASSES`` pairs per block, however frequent it is.  A shard holds all customers of
-its words, in every restaurant and in the parent, so seating is local; only the
-totals per class come to the driver (a fixed number of sums) and go back to the
-shards.  Shards answer each block with the counts and probabilities of its pairs.
-Seeds derive from the shard, so a lost task is repeated exactly.
+context) pairs once, with its training count, to the word's shard.  A shard holds all customers of
+its words, in every restaurant, so seating is local.  The totals of the contexts (customers
+and tables) are summed in shards of their own, by context, and go back to the shards that ask
+for them; the totals per class come to the driver (a fixed number of sums).  Shards answer
+each block with the counts and probabilities of its pairs.  Seeds derive from the shard, so a
+lost task is repeated exactly.  Without contexts (``fit`` on counts per class) the customers of
+the classes are the tokens themselves.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +40,7 @@ from corvid.llm.common import crc_mod, release, ship_package, shuffle_partitions
 CLASS_BITS = 5
 CLASSES = 1 << CLASS_BITS  # the last one is the start of a text
 START = CLASSES - 1
-ENDING = 2  # bytes of the token before that make its class
+ENDING = 2  # bytes of the token before that make its class (the parent of its restaurant)
 BLOCK_BYTES = 8 << 20
 BURN_IN, SAMPLES = 2, 4
 THETA, THETA_ROOT = 1.0, 1.0
@@ -47,10 +50,11 @@ END = tn.mix(np.array([0xE17D], dtype=np.uint64))[0]
 _CLASS_OF = (tn.mix(np.arange(1 << 16, dtype=np.uint64) + tn.U(1)) % tn.U(START)).astype(np.uint8)
 _TRIVIAL = 16  # customers seated one by one
 _STEP = 65535
+START_CONTEXT = tn.U(START)  # no word hash: those have empty class bits
 
 
-def pair_keys(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (word hash with the class in its low bits) of all tokens of the texts, ends included, and tokens per text."""
+def tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hash (class bits empty) and own class of all tokens of the texts, ends included, and tokens per text."""
     h, start, end, counts = tn.words(raw, offsets, tn.NOT_BLANK)
     size = counts + 1
     at = np.cumsum(size)
@@ -60,16 +64,27 @@ def pair_keys(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     low = tn.LOWER[raw]
     own = np.zeros(total, dtype=np.uint8)
     own[~is_end] = _CLASS_OF[low[np.maximum(end - ENDING, start)].astype(np.uint16) << 8 | low[end - 1]]
-    cls = np.full(total, START, dtype=np.uint8)
-    cls[1:] = own[:-1]
-    cls[at - size] = START
-    del start, end, low, own
-    keys = np.empty(total, dtype=np.uint64)
-    keys[~is_end] = h
-    keys[is_end] = END
-    keys &= ~_CLASS
-    keys |= cls
-    return keys, size
+    words = np.empty(total, dtype=np.uint64)
+    words[~is_end] = h
+    words[is_end] = END
+    return words & ~_CLASS, own, size
+
+
+def _pairs_of(words: np.ndarray, own: np.ndarray, size: np.ndarray
+              ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (word, token before) pairs: keys (word with the class in its low bits), contexts, pair of each token.
+
+    A context is the whole word hash of the token before; the start of a text has its own.
+    """
+    types, word = np.unique(words, return_inverse=True)
+    before = np.empty(len(word), dtype=np.int64)
+    before[1:] = word[:-1]
+    before[np.cumsum(size) - size] = len(types)
+    pair, code = np.unique(word * (len(types) + 1) + before, return_inverse=True)
+    cls = np.full(len(types) + 1, START, dtype=np.uint64)
+    cls[word] = own
+    place = pair % (len(types) + 1)
+    return types[pair // (len(types) + 1)] | cls[place], np.append(types, START_CONTEXT)[place], code
 
 
 def _deltas(index: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +109,7 @@ def _indices(steps: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (c - np.repeat(base, counts))[keep], text[keep]
 
 
-_SCHEMA = "shard int, block long, keys binary, counts binary, doc_ids binary, held_out binary, known_ids binary"
+_SCHEMA = "shard int, block long, keys binary, counts binary, doc_ids binary, held_out binary, known_ids binary, contexts binary"
 _NAMES = [x.split()[0] for x in _SCHEMA.split(", ")]
 
 
@@ -109,12 +124,12 @@ def _block_batches(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[p
         for lo, hi, raw, off in tn.slices(batch.column(2), BLOCK_BYTES):
             block = part << 32 | number
             number += 1
-            keys, size = pair_keys(raw, off)
+            words, own, size = tokens(raw, off)
             train = np.repeat(~held[lo:hi], size)
-            uniq, code = np.unique(keys, return_inverse=True)
+            uniq, contexts, code = _pairs_of(words, own, size)
             count = np.bincount(code[train], minlength=len(uniq))
-            del keys, train
-            # order by shard, then key; a text's listing names pairs by their place in this order
+            del words, own, train
+            # order by shard, then word and context; a text's listing names pairs by their place in this order
             shard = (tn.mix(uniq & ~_CLASS) % tn.U(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             place = np.empty(len(order), dtype=np.int64)
@@ -133,16 +148,16 @@ def _block_batches(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[p
             n = len(sent)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(sent.astype(np.int32)), pa.array(np.full(n, block)), keys_column, counts_column,
-                 *(pa.nulls(n, pa.binary()) for _ in range(3))], _NAMES)
+                 *(pa.nulls(n, pa.binary()) for _ in range(3)), tn.binary_column(contexts[order], ends[sent])], _NAMES)
             one = [np.ascontiguousarray(x).tobytes() for x in (
                 steps, n_steps.astype(np.int64), values[lo:hi].astype(np.int64), held[lo:hi], known[lo:hi])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([-1], type=pa.int32()), pa.array([block]), *(pa.array([x], type=pa.binary()) for x in one)],
-                _NAMES)
+                [pa.array([-1], type=pa.int32()), pa.array([block]), *(pa.array([x], type=pa.binary()) for x in one),
+                 pa.nulls(1, pa.binary())], _NAMES)
 
 
 def _merged(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a shard's messages with their training counts, seen pairs only."""
+    """(Word, class) keys of a shard's messages with their training counts, seen ones only."""
     keys, _ = tn.binary_values(t["keys"], np.uint64)
     counts, _ = tn.binary_values(t["counts"], np.uint32)
     uniq, code = np.unique(keys, return_inverse=True)
@@ -150,14 +165,75 @@ def _merged(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return uniq[n > 0], n[n > 0]
 
 
+def _merged_pairs(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of a shard's messages: keys, contexts, training counts (0 too), and the pair of each entry."""
+    keys, _ = tn.binary_values(t["keys"], np.uint64)
+    contexts, _ = tn.binary_values(t["contexts"], np.uint64)
+    counts, _ = tn.binary_values(t["counts"], np.uint32)
+    order = np.lexsort((contexts, keys))
+    keys, contexts = keys[order], contexts[order]
+    new = _new(keys) | _new(contexts)
+    first = np.flatnonzero(new)
+    code = np.empty(len(order), dtype=np.int64)
+    code[order] = np.cumsum(new) - 1
+    n = np.add.reduceat(counts[order].astype(np.int64), first) if len(first) else first
+    return keys[first], contexts[first], n, code
+
+
+def _new(x: np.ndarray) -> np.ndarray:
+    """True where a value differs from the one before."""
+    return np.append(True, x[1:] != x[:-1]) if len(x) else np.zeros(0, dtype=bool)
+
+
+def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(values, first) if len(first) else values
+
+
+_COUNTS = "shard int, block long, keys binary, counts binary, contexts binary, asked binary"
+
+
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row a shard: its trained pairs, and all contexts of its pairs (held-out texts ask for theirs too)."""
     for t, starts in tn.whole_groups(batches, ["shard"]):
         shard = t["shard"].to_numpy()
         for s, e in zip(starts, np.append(starts[1:], len(shard))):
-            keys, n = _merged(t.slice(s, e - s))
+            keys, contexts, n, _ = _merged_pairs(t.slice(s, e - s))
+            seen = n > 0
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(shard[s])], type=pa.int32()), pa.array([keys.tobytes()], type=pa.binary()),
-                 pa.array([n.tobytes()], type=pa.binary())], ["shard", "keys", "counts"])
+                [pa.array([int(shard[s])], type=pa.int32()), pa.array([0], type=pa.int64()),
+                 *(pa.array([x.tobytes()], type=pa.binary())
+                   for x in (keys[seen], n[seen], contexts[seen], np.unique(contexts)))],
+                [x.split()[0] for x in _COUNTS.split(", ")])
+
+
+_CONTEXTS = "shard int, block long, keys binary, contexts binary"
+
+
+def _context_batches(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
+    """Sums of the contexts' (customers, tables) over the word shards, sent to all shards that ask."""
+    for t, starts in tn.whole_groups(batches, ["to"]):
+        to = t["to"].to_numpy()
+        for s, e in zip(starts, np.append(starts[1:], len(to))):
+            part = t.slice(s, e - s).combine_chunks()
+            contexts, off = tn.binary_values(part["contexts"], np.uint64)
+            values, _ = tn.binary_values(part["sums"], np.float64)
+            uniq, code = np.unique(contexts, return_inverse=True)
+            total = np.stack([np.bincount(code, weights=v, minlength=len(uniq)) for v in values.reshape(-1, 2).T], 1)
+            yield pa.RecordBatch.from_arrays(
+                [part["shard"].combine_chunks(), pa.array(np.full(e - s, block, dtype=np.int64)),
+                 tn.binary_column(total[code].ravel(), 2 * off[1:]), part["contexts"].combine_chunks()],
+                [x.split()[0] for x in _CONTEXTS.split(", ")])
+
+
+def _of_contexts(t: pa.Table, block: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Customers and tables of the wanted contexts from the answers (rows of number ``block``) to a shard."""
+    t = t.filter(pc.equal(t["block"], block))
+    contexts, _ = tn.binary_values(t["contexts"], np.uint64)
+    values, _ = tn.binary_values(t["keys"], np.float64)
+    order = np.argsort(contexts)
+    at = order[np.searchsorted(contexts, wanted, sorter=order)]
+    values = values.reshape(-1, 2)[at]
+    return values[:, 0], values[:, 1]
 
 
 def _seat(n: np.ndarray, weight: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
@@ -178,36 +254,56 @@ def _seat(n: np.ndarray, weight: np.ndarray, d: float, rng: np.random.Generator)
 
 
 class _Shard:
-    """Customers of a shard's words in all restaurants."""
-
-    def __init__(self, shard: int, keys: np.ndarray, n: np.ndarray):
-        self.shard, self.keys, self.n = shard, keys, n
-        self.cls = (keys & _CLASS).astype(np.int64)
-        word = keys >> tn.U(CLASS_BITS)
-        new = np.append(True, word[1:] != word[:-1]) if len(word) else np.zeros(0, dtype=bool)
+    """Customers of a shard's words in all restaurants; with ``contexts``, a key has an entry for each of them."""
+
+    def __init__(self, shard: int, keys: np.ndarray, n: np.ndarray, contexts: np.ndarray | None = None):
+        self.shard, self.n, self.contexts = shard, n, contexts
+        new = _new(keys)
+        self.key_first = np.flatnonzero(new)
+        self.key_of = np.cumsum(new) - 1  # key of each pair
+        self.keys = keys[self.key_first]
+        self.cls = (self.keys & _CLASS).astype(np.int64)
+        word = self.keys >> tn.U(CLASS_BITS)
+        new = _new(word)
         self.first = np.flatnonzero(new)
         self.words = word[self.first]
-        self.of = np.cumsum(new) - 1  # word of each pair
-        self.count = np.add.reduceat(n, self.first) if len(n) else n
+        self.of = np.cumsum(new) - 1  # word of each key
+        self.count = _sums(_sums(n, self.key_first), self.first)
+        # customers of the classes before any sweep: a table in each context
+        self.start = n if contexts is None else _sums(np.ones_like(n), self.key_first)
 
-    def sweeps(self, m: dict) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """After each Gibbs sweep: tables of each pair, customers and tables of each word in the parent."""
+    def sweeps(self, m: dict, tables: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, ...]]:
+        """After each Gibbs sweep: tables of each pair, customers and tables of each key, and of each word in the root.
+
+        ``tables`` are those of each pair's context.
+        """
         rng = np.random.default_rng([m["seed"], self.shard])
-        up = np.add.reduceat(np.ones_like(self.n), self.first) if len(self.n) else self.n
-        top = np.minimum(up, 1)
+        t, up = self.n, self.start
+        own = np.minimum(up, 1)
+        over = _sums(own, self.first)
+        top = np.minimum(over, 1)
         root = (THETA_ROOT + m["d_root"] * m["root_tables"]) / (m["types"] + 1)
         for _ in range(BURN_IN + SAMPLES):
-            parent = (up - m["d_root"] * top + root) / (THETA_ROOT + m["root_customers"])
+            parent = (over - m["d_root"] * top + root) / (THETA_ROOT + m["root_customers"])
             weight = (THETA + m["d"] * m["tables"][self.cls]) * parent[self.of]
-            t = _seat(self.n, weight, m["d"], rng)
-            up = np.add.reduceat(t, self.first) if len(t) else t
-            top = _seat(up, np.full(len(up), root), m["d_root"], rng)
-            yield t, up, top
+            if self.contexts is not None:
+                p = (up - m["d"] * own + weight) / (THETA + m["customers"][self.cls])
+                t = _seat(self.n, (THETA + m["d_pair"] * tables) * p[self.key_of], m["d_pair"], rng)
+                up = _sums(t, self.key_first)
+            own = _seat(up, weight, m["d"], rng)
+            over = _sums(own, self.first)
+            top = _seat(over, np.full(len(over), root), m["d_root"], rng)
+            yield t, up, own, over, top
+
 
+_TOTALS = ("name string, sample int, class int, value double, "
+           "to int, shard int, contexts binary, sums binary")
 
-def _total_batches(batches: Iterator[pa.RecordBatch], m: dict | None) -> Iterator[pa.RecordBatch]:
-    """Sums over a task's shards, as (name, sample, class, value) rows."""
+
+def _total_batches(batches: Iterator[pa.RecordBatch], m: dict | None, shards: int) -> Iterator[pa.RecordBatch]:
+    """Sums over a task's shards, as (name, sample, class, value) rows, and a shard's sums by context."""
     names, samples, classes, values = [], [], [], []
+    columns = [x.split()[0] for x in _TOTALS.split(", ")]
 
     def add(name: str, sample: int, by_class) -> None:
         for c, v in enumerate(np.atleast_1d(by_class)):
@@ -216,72 +312,135 @@ def _total_batches(batches: Iterator[pa.RecordBatch], m: dict | None) -> Iterato
             classes.append(c)
             values.append(float(v))
 
-    for batch in batches:
-        for i in range(batch.num_rows):
-            keys = np.frombuffer(batch.column("keys")[i].as_py(), dtype=np.uint64)
-            n = np.frombuffer(batch.column("counts")[i].as_py(), dtype=np.int64)
-            s = _Shard(batch.column("shard")[i].as_py(), keys, n)
+    def by_class(s: _Shard, v: np.ndarray) -> np.ndarray:
+        return np.bincount(s.cls, weights=v, minlength=CLASSES)
+
+    for t, starts in tn.whole_groups(batches, ["shard"]):
+        number = t["shard"].to_numpy()
+        for lo, hi in zip(starts, np.append(starts[1:], len(number))):
+            part = t.slice(lo, hi - lo)
+            own = part.slice(part.num_rows - 1)  # after the answers of the contexts
+            keys, n = (tn.binary_values(own[c], kind)[0] for c, kind in (("keys", np.uint64), ("counts", np.int64)))
+            contexts = tn.binary_values(own["contexts"], np.uint64)[0] if "contexts" in own.column_names else None
+            s = _Shard(int(number[lo]), keys, n, contexts)
             if m is None:
-                pairs = np.add.reduceat(np.ones_like(n), s.first) if len(n) else n
-                add("customers", 0, np.bincount(s.cls, weights=n, minlength=CLASSES))
+                over = _sums(np.ones_like(s.start), s.first)
+                add("tokens", 0, n.sum())
+                add("customers", 0, by_class(s, s.start))
                 add("tables", 0, np.bincount(s.cls, minlength=CLASSES))
                 add("types", 0, len(s.words))
-                add("once", 0, (n == 1).sum())
-                add("twice", 0, (n == 2).sum())
-                add("root_once", 0, (pairs == 1).sum())
-                add("root_twice", 0, (pairs == 2).sum())
+                for name, x in (("pair", n), ("class", s.start), ("root", over)):
+                    add(f"{name}_once", 0, (x == 1).sum())
+                    add(f"{name}_twice", 0, (x == 2).sum())
+                seated = np.ones(len(n))
+            else:
+                seated = np.zeros(len(n))
+                opened = None if contexts is None else _of_contexts(part, -1, contexts)[1]
+                for k, (tables, up, own_tables, over, top) in enumerate(s.sweeps(m, opened)):
+                    add("customers", k, by_class(s, up))
+                    add("tables", k, by_class(s, own_tables))
+                    add("root_customers", k, over.sum())
+                    add("root_tables", k, top.sum())
+                    if k >= BURN_IN:
+                        seated += tables / SAMPLES
+            if contexts is None:
                 continue
-            for k, (t, up, top) in enumerate(s.sweeps(m)):
-                add("tables", k, np.bincount(s.cls, weights=t, minlength=CLASSES))
-                add("root_customers", k, up.sum())
-                add("root_tables", k, top.sum())
-    yield pa.RecordBatch.from_arrays([pa.array(names, type=pa.string()), pa.array(samples, type=pa.int32()),
-                                      pa.array(classes, type=pa.int32()), pa.array(values, type=pa.float64())],
-                                     ["name", "sample", "class", "value"])
-
-
-def _totals(counts: DataFrame, m: dict | None) -> dict[tuple[str, int], np.ndarray]:
-    rows = (counts.mapInArrow(lambda it: _total_batches(it, m), "name string, sample int, class int, value double")
-            .groupBy("name", "sample", "class").agg(F.sum("value").alias("value")).collect())  # a fixed number of sums
+            asked, _ = tn.binary_values(own["asked"], np.uint64)
+            at = np.searchsorted(asked, contexts)
+            sums = np.stack([np.bincount(at, weights=w, minlength=len(asked)) for w in (n, seated)], 1)
+            to = (tn.mix(asked) % tn.U(shards)).astype(np.int64)
+            order = np.argsort(to, kind="stable")
+            ends = np.cumsum(np.bincount(to, minlength=shards))
+            sent = np.flatnonzero(np.bincount(to, minlength=shards))
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(sent), pa.string()), pa.nulls(len(sent), pa.int32()), pa.nulls(len(sent), pa.int32()),
+                 pa.nulls(len(sent), pa.float64()), pa.array(sent.astype(np.int32)),
+                 pa.array(np.full(len(sent), number[lo], dtype=np.int32)), tn.binary_column(asked[order], ends[sent]),
+                 tn.binary_column(sums[order].ravel(), 2 * ends[sent])], columns)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(names, type=pa.string()), pa.array(samples, type=pa.int32()), pa.array(classes, type=pa.int32()),
+         pa.array(values, type=pa.float64()), *(pa.nulls(len(names), pa.int32()) for _ in range(2)),
+         *(pa.nulls(len(names), pa.binary()) for _ in range(2))], columns)
+
+
+def _totals(counts: DataFrame, m: dict | None, known: DataFrame | None, block: int
+            ) -> tuple[dict[tuple[str, int], np.ndarray], DataFrame | None]:
+    """Sums for the driver, and (if there are contexts) the stored totals of contexts by asking shard."""
+    shards = shuffle_partitions(counts.sparkSession)
+    by_context = "contexts" in counts.columns
+    if known is not None:
+        counts = (counts.unionByName(known.withColumn("block", F.lit(-1).cast("long")), allowMissingColumns=True)
+                  .repartition(shards, "shard").sortWithinPartitions("shard", "block"))
+    found = counts.mapInArrow(lambda it: _total_batches(it, m, shards), _TOTALS)
+    if by_context:
+        found = stored(found, "totals", **{"parquet.enable.dictionary": "false"})
+    rows = (found.filter("name IS NOT NULL").groupBy("name", "sample", "class")
+            .agg(F.sum("value").alias("value")).collect())  # a fixed number of sums
     out: dict[tuple[str, int], np.ndarray] = {}
     for r in rows:
         out.setdefault((r["name"], r["sample"]), np.zeros(CLASSES))[r["class"]] = r["value"]
-    return out
+    if not by_context:
+        return out, None
+    sums = stored(found.filter("name IS NULL").select("to", "shard", "contexts", "sums")
+                  .repartition(shards, "to").sortWithinPartitions("to")
+                  .mapInArrow(lambda it: _context_batches(it, block), _CONTEXTS), "contexts",
+                  **{"parquet.enable.dictionary": "false"})
+    release(found)
+    return out, sums
 
 
 def fit(counts: DataFrame, seed: int = 11) -> dict:
-    """Totals, discounts and the totals of every sweep."""
-    first = _totals(counts, None)
+    """Totals, discounts and the totals of every sweep; ``contexts``: the stored totals of contexts, if there are any."""
+    first, opened = _totals(counts, None, None, -1)
 
     def one(name: str) -> float:
         return float(first.get((name, 0), np.zeros(CLASSES))[0])
 
-    def discount(once: float, twice: float) -> float:
+    def discount(name: str) -> float:
+        once, twice = one(f"{name}_once"), one(f"{name}_twice")
         return min(max(once / max(once + 2 * twice, 1), 0.1), 0.95)
 
     tables = first.get(("tables", 0), np.zeros(CLASSES))
-    customers = first.get(("customers", 0), np.zeros(CLASSES))
-    m = {"seed": seed, "types": one("types"), "customers": customers, "tokens": float(customers.sum()),
-         "d": discount(one("once"), one("twice")), "d_root": discount(one("root_once"), one("root_twice")),
+    m = {"seed": seed, "types": one("types"), "customers": first.get(("customers", 0), np.zeros(CLASSES)),
+         "tokens": one("tokens"), "d_pair": discount("pair"), "d": discount("class"), "d_root": discount("root"),
          "tables": tables, "root_customers": float(tables.sum()), "root_tables": one("types")}
-    settled = _totals(counts, m)  # the sums that the sweeps settle at ...
+    settled, seated = _totals(counts, m, opened, -2)  # the sums that the sweeps settle at ...
     last = BURN_IN + SAMPLES - 1
     if ("tables", last) in settled:
-        m |= {"tables": settled["tables", last], "root_customers": float(settled["root_customers", last][0]),
+        m |= {"customers": settled["customers", last], "tables": settled["tables", last],
+              "root_customers": float(settled["root_customers", last][0]),
               "root_tables": float(settled["root_tables", last][0])}
-    return m | {"sweeps": _totals(counts, m)}  # ... are what the final sweeps are seated with
+    sweeps, final = _totals(counts, m, seated, -1)  # ... are what the final sweeps are seated with
+    return m | {"sweeps": sweeps, "contexts": (seated, final)}
 
 
 def _answer_batches(batches: Iterator[pa.RecordBatch], m: dict) -> Iterator[pa.RecordBatch]:
-    """For each message the training count of every pair's word and the pair's log10 probability."""
+    """For each message the training count of every pair's word and the pair's log10 probability.
+
+    Before a shard's messages come the totals of its contexts: those its sweeps are seated with
+    (block -2), and the means over the sampled sweeps (block -1).  Messages without
+    contexts are answered for the classes.
+    """
     sums = m["sweeps"]
     for t, starts in tn.whole_groups(batches, ["shard"]):
         shard = t["shard"].to_numpy()
         for s, e in zip(starts, np.append(starts[1:], len(shard))):
             part = t.slice(s, e - s).combine_chunks()
-            asked, off = tn.binary_values(part["keys"], np.uint64)
-            uniq, code = np.unique(asked, return_inverse=True)
-            model = _Shard(int(shard[s]), *_merged(part))
+            if "contexts" in part.column_names:
+                known, part = part, part.filter(pc.greater_equal(part["block"], 0)).combine_chunks()
+                uniq, contexts, trained, code = _merged_pairs(part)
+                off = tn.binary_values(part["keys"], np.uint64)[1]
+                seen = trained > 0
+                model = _Shard(int(shard[s]), uniq[seen], trained[seen], contexts[seen])
+                customers, opened = _of_contexts(known, -1, contexts)
+                sweeps = model.sweeps(m, _of_contexts(known, -2, contexts[seen])[1])
+                del known
+            else:
+                asked, off = tn.binary_values(part["keys"], np.uint64)
+                uniq, code = np.unique(asked, return_inverse=True)
+                contexts = None
+                model = _Shard(int(shard[s]), *_merged(part))
+                sweeps = model.sweeps(m)
             cls = (uniq & _CLASS).astype(np.int64)
             word = uniq >> tn.U(CLASS_BITS)
 
@@ -290,26 +449,30 @@ def _answer_batches(batches: Iterator[pa.RecordBatch], m: dict) -> Iterator[pa.R
                 at[at == len(table)] = 0
                 return at, (table[at] == wanted if len(table) else np.zeros(len(wanted), dtype=bool))
 
-            pair, has_pair = found(model.keys, uniq)
+            key, has_key = found(model.keys, uniq)
             place, has_word = found(model.words, word)
 
             def take(values, at, has):
                 return np.where(has, values[at], 0) if len(values) else np.zeros(len(at), dtype=np.int64)
 
             count = take(model.count, place, has_word)
-            n = take(model.n, pair, has_pair)
             mean = np.zeros(len(uniq))
-            for k, (tables, up, top) in enumerate(model.sweeps(m)):
+            for k, (tables, up, own, over, top) in enumerate(sweeps):
                 if k < BURN_IN:
                     continue
                 root = (THETA_ROOT + m["d_root"] * sums["root_tables", k][0]) / (m["types"] + 1)
-                parent = ((take(up, place, has_word) - m["d_root"] * take(top, place, has_word) + root)
+                parent = ((take(over, place, has_word) - m["d_root"] * take(top, place, has_word) + root)
                           / (THETA_ROOT + sums["root_customers", k][0]))
-                mean += ((n - m["d"] * take(tables, pair, has_pair)
-                          + (THETA + m["d"] * sums["tables", k][cls]) * parent) / (THETA + m["customers"][cls]))
+                p = ((take(up, key, has_key) - m["d"] * take(own, key, has_key)
+                      + (THETA + m["d"] * sums["tables", k][cls]) * parent) / (THETA + sums["customers", k][cls]))
+                if contexts is not None:
+                    p = (THETA + m["d_pair"] * opened) * p
+                    p[seen] += model.n - m["d_pair"] * tables
+                    p /= THETA + customers
+                mean += p
             logp = np.log10(mean / SAMPLES).astype(np.float32)
             ends = off[1:]
-            nulls = [pa.nulls(e - s, pa.binary()) for _ in range(3)]
+            nulls = [pa.nulls(part.num_rows, pa.binary()) for _ in range(4)]
             yield pa.RecordBatch.from_arrays(
                 [part["shard"].combine_chunks(), part["block"].combine_chunks(),
                  tn.binary_column(logp[code], ends), tn.binary_column(count[code], ends), *nulls], _NAMES)
@@ -360,14 +523,21 @@ def language_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str
                     **{"parquet.enable.dictionary": "false"})
 
     def by_shard() -> DataFrame:
-        return (blocks.filter("shard >= 0").select("shard", "block", "keys", "counts")
-                .repartition(shards, "shard").sortWithinPartitions("shard", "block"))
+        return blocks.filter("shard >= 0").select("shard", "block", "keys", "counts", "contexts")
+
+    def in_shards(rows: DataFrame) -> DataFrame:
+        return rows.repartition(shards, "shard").sortWithinPartitions("shard", "block")
 
-    counts = stored(by_shard().mapInArrow(_count_batches, "shard int, keys binary, counts binary"), "counts",
+    counts = stored(in_shards(by_shard()).mapInArrow(_count_batches, _COUNTS), "counts",
                     **{"parquet.enable.dictionary": "false"})
-    model = spark.sparkContext.broadcast(fit(counts, seed))
+    fitted = fit(counts, seed)
+    seated, final = fitted.pop("contexts")
+    model = spark.sparkContext.broadcast(fitted)
     release(counts)
-    answers = by_shard().mapInArrow(lambda it: _answer_batches(it, model.value), _SCHEMA)
+    messages = by_shard()
+    for totals in (seated, final):
+        messages = messages.unionByName(totals, allowMissingColumns=True)
+    answers = in_shards(messages).mapInArrow(lambda it: _answer_batches(it, model.value), _SCHEMA)
     return (blocks.filter("shard < 0").unionByName(answers)
             .repartition(shards, "block").sortWithinPartitions("block", "shard")
             .mapInArrow(lambda it: _text_batches(it, model.value),

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 
 from corvid.llm import packing, pitman_yor, quality_knn, toxicity
+from corvid.llm.common import stored
 from corvid.llm.html_render import render, render_pages
 from corvid.llm.packing import fullest, minimum_bin_slack, pack_documents, text_ids
 from corvid.llm.pitman_yor import language_model_scores
@@ -286,6 +287,55 @@ def test_language_model_edges(spark):
     assert only.train_tokens == 0 and only.n_known == 0 and only.base_score == 0 and only.score == pytest.approx(0)
 
 
+def test_language_model_tells_words_of_one_ending_apart(spark):
+    """The context is the word before, not its ending: both first words end alike, only the order differs."""
+    free = [i for i in range(400) if not held(i, 7, 2)]
+    ask = [i for i in range(400) if held(i, 7, 2)][:2]
+    rows = [(i, "basalt river" if k % 2 else "cobalt meadow") for k, i in enumerate(free)]
+    rows += [(ask[0], "basalt river"), (ask[1], "basalt meadow")]
+    score = {r.doc_id: r.score for r in language_model_scores(c.frame(spark, rows)).collect()}
+    assert score[ask[0]] > score[ask[1]] + 1
+
+
+def test_language_model_probabilities_sum_to_one_after_each_word(spark, docs):
+    """Over all known types and the unknown one, after words of the corpus, a word never seen and a text's start."""
+    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = docs.selectExpr("doc_id", "doc_id % 3 = 0 AS held_out", "text").mapInArrow(
+        lambda it: pitman_yor._block_batches(it, shards), pitman_yor._SCHEMA)
+    blocks = stored(found, "t").filter("shard >= 0").select("shard", "block", "keys", "counts", "contexts")
+    counts = stored(blocks.repartition(shards, "shard").sortWithinPartitions("shard", "block").mapInArrow(
+        pitman_yor._count_batches, pitman_yor._COUNTS), "t")
+    m = pitman_yor.fit(counts)
+    known = m["contexts"][0].unionByName(m["contexts"][1]).toArrow()
+    blocks = blocks.toArrow()
+    keys = [np.frombuffer(r["keys"], dtype=np.uint64) for r in counts.orderBy("shard").collect()]
+    seen = np.unique(np.concatenate([np.frombuffer(r["contexts"], dtype=np.uint64) for r in counts.collect()]))
+    every = pa.chunked_array(known["contexts"]).to_pylist()
+    asked_of = [set(np.frombuffer(b"".join(x for x, s in zip(every, known["shard"].to_pylist()) if s == k), np.uint64))
+                for k in range(shards)]
+    contexts = [x for x in seen.tolist() if all(x in a for a in asked_of)][:20]
+    assert len(contexts) > 3
+    for context in contexts:
+        total = 0.0
+        for s in range(shards):
+            w = np.unique(keys[s] >> np.uint64(pitman_yor.CLASS_BITS)) << np.uint64(pitman_yor.CLASS_BITS)
+            w = np.append(w, np.uint64(12345678912)) if s == 0 else w
+            own = blocks.filter(pa.compute.equal(blocks["shard"], s))
+            cls = next(int(k & np.uint64(31)) for t in blocks.to_pylist() for k, x in zip(
+                np.frombuffer(t["keys"], np.uint64), np.frombuffer(t["contexts"], np.uint64)) if x == context)
+            asked = w | np.uint64(cls)
+            extra = pa.table({"shard": pa.array([s], own["shard"].type), "block": pa.array([0], own["block"].type),
+                              "keys": [asked.tobytes()], "counts": [np.zeros(len(w), np.uint32).tobytes()],
+                              "contexts": [np.full(len(w), context, np.uint64).tobytes()]})
+            of = known.filter(pa.compute.equal(known["shard"], s))
+            of = pa.table({"shard": of["shard"], "block": of["block"], "keys": of["keys"],
+                           "counts": pa.nulls(len(of), pa.binary()), "contexts": of["contexts"]})
+            t = pa.concat_tables([of, extra, own]).combine_chunks()
+            answer = next(pitman_yor._answer_batches(iter(t.to_batches()), m))
+            total += (10.0 ** np.frombuffer(answer.column("keys")[0].as_py(), dtype=np.float32)).sum()
+        assert total == pytest.approx(1, abs=1e-4)
+
+
 def test_steps_round_trip():
     size = np.array([3, 1, 2])
     index = np.array([0, 5, 200_000, 70_000, 65_535, 65_535])
