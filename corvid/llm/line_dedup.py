@@ -40,13 +40,13 @@ _REST = "100000000"
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """Lines of at least ``min_words`` words: ``d, line_no, k1, k2, h`` (word hashes)."""
+    """Lines of at least ``min_words`` words: ``d, line_no, k1, k2, h`` (64-bit word hashes)."""
     d = F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("d")
     lines = docs.select(d, F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
     # most lines have single blanks between words: nothing to remove from their split
     words = lines.select("d", "line_no", F.expr(
         "transform(CASE WHEN contains(line, '  ') OR startswith(line, ' ') OR endswith(line, ' ') "
-        "THEN array_remove(split(line, ' '), '') ELSE split(line, ' ') END, x -> hash(x))").alias("h"))
+        "THEN array_remove(split(line, ' '), '') ELSE split(line, ' ') END, x -> xxhash64(x))").alias("h"))
     return (words.filter(F.size("h") >= min_words)
             .select("d", "line_no", F.xxhash64("h").alias("k1"), F.xxhash64(F.lit(7), "h").alias("k2"), "h"))
 
@@ -66,7 +66,7 @@ def _shingle_hashes(last: str = "xxhash64(a, y)") -> str:
 def _rarity(lines: DataFrame) -> str:
     """A constant array: for each bucket of words the rank (logarithm) of how often they occur in all lines."""
     counts = (lines.select(F.explode("h").alias("x"))
-              .groupBy(F.col("x").bitwiseAND(F.lit(RARITY_BUCKETS - 1)).alias("bucket"))
+              .groupBy(F.col("x").bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int").alias("bucket"))
               .agg(F.floor(F.log2(F.count(F.lit(1)).cast("double")) * 2).alias("rank")))
     rank = [0] * RARITY_BUCKETS
     for r in counts.collect():  # RARITY_BUCKETS rows at most
@@ -76,7 +76,7 @@ def _rarity(lines: DataFrame) -> str:
 
 def _tokens(rank: str) -> Column:
     """Distinct tokens of a line in ascending rarity order: rank of the last word in the top byte, hash below."""
-    key = (f"shiftleft(cast(coalesce(get({rank}, y & {RARITY_BUCKETS - 1}), 0) AS bigint), 56) "
+    key = (f"shiftleft(cast(coalesce(get({rank}, cast(y & {RARITY_BUCKETS - 1} AS int)), 0) AS bigint), 56) "
            f"| (xxhash64(a, y) & {2 ** 56 - 1}L)")
     return F.expr(f"sort_array(array_distinct({_shingle_hashes(key)}))")
 
