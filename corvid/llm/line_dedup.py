@@ -30,7 +30,10 @@ from corvid.llm.common import release, stored
 from corvid.plans.joins import broadcast_if_small
 
 SHINGLE = 5
-MIN_WORDS = 4  # shorter lines are never removed
+MIN_WORDS = 4  # shorter lines are never removed, unless every line takes part
+# white space of any kind, and the scripts written without it (Thai to Khmer, kana, Han)
+_SPACES = r"[\\s\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+"
+_UNSPACED = r"[\\x{E00}-\\x{EFF}\\x{1000}-\\x{109F}\\x{1780}-\\x{17FF}\\x{3040}-\\x{30FF}\\x{3400}-\\x{9FFF}\\x{20000}-\\x{323AF}]"
 RARITY_BUCKETS = 4096
 BITMAP_WORDS = 8  # 64-bit words of a line's bitmap
 FIRST_TOKENS = 3
@@ -39,14 +42,21 @@ _LAST = 2 ** 63 - 1
 _REST = "100000000"
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+def _lines(docs: DataFrame, id_col: str, text_col: str, min_words: int, every_line: bool) -> DataFrame:
     """Lines of at least ``min_words`` words: ``d, line_no, k1, k2, h`` (64-bit word hashes)."""
     d = F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("d")
     lines = docs.select(d, F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
     # most lines have single blanks between words: nothing to remove from their split
-    words = lines.select("d", "line_no", F.expr(
-        "transform(CASE WHEN contains(line, '  ') OR startswith(line, ' ') OR endswith(line, ' ') "
-        "THEN array_remove(split(line, ' '), '') ELSE split(line, ' ') END, x -> xxhash64(x))").alias("h"))
+    cut = ("CASE WHEN contains(line, '  ') OR startswith(line, ' ') OR endswith(line, ' ') "
+           "THEN array_remove(split(line, ' '), '') ELSE split(line, ' ') END")
+    if every_line:
+        min_words = 1
+        lines = lines.withColumn("line", F.expr(f"CASE WHEN line RLIKE '{_SPACES[:-1]}' AND line RLIKE '[^ \\\\S]|[^\\\\x00-\\\\x7F]' "
+                                                f"THEN regexp_replace(line, '{_SPACES}', ' ') ELSE line END"))
+        # a line without blanks in a script that has none is a sequence of characters
+        cut = (f"CASE WHEN NOT contains(trim(line), ' ') AND line RLIKE '{_UNSPACED}' "
+               f"THEN array_remove(split(trim(line), ''), '') ELSE array_remove({cut}, '') END")
+    words = lines.select("d", "line_no", F.expr(f"transform({cut}, x -> xxhash64(x))").alias("h"))
     return (words.filter(F.size("h") >= min_words)
             .select("d", "line_no", F.xxhash64("h").alias("k1"), F.xxhash64(F.lit(7), "h").alias("k2"), "h"))
 
@@ -158,17 +168,19 @@ def _sent(df: DataFrame) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
-                  min_words: int = MIN_WORDS) -> DataFrame:
+                  min_words: int = MIN_WORDS, every_line: bool = False) -> DataFrame:
     """Lines that repeat an earlier one: ``doc_id, line_no`` (from 0) ``, reason`` (``exact`` or ``similar``).
 
     Lines are cut at newlines and words at blanks, as written.  Lines of fewer than
-    ``min_words`` words are never removed, nor are null and empty texts.  A line's
+    ``min_words`` words are never removed, nor are null and empty texts.  With ``every_line``, all lines that are not
+    blank take part, words are cut at white space of any kind, and a line without any, in a script
+    written without it, is taken character by character.  A line's
     place is (doc_id, line_no), null ids last; rows that repeat a doc_id are the same
     document and lose the same lines.  An empty table gives an empty result; other columns
     are not read.
     """
     # word hashes hardly repeat within a page: a dictionary would only cost time
-    lines = stored(_lines(docs, id_col, text_col, min_words), "lines", **{"parquet.enable.dictionary": "false"})
+    lines = stored(_lines(docs, id_col, text_col, min_words, every_line), "lines", **{"parquet.enable.dictionary": "false"})
     place = (F.col("d").cast("decimal(20,0)") * F.lit(2 ** 31).cast("decimal(11,0)") + F.col("line_no")
              ).cast("decimal(38,0)")
     repeated = stored(lines.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first"))

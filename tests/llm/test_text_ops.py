@@ -114,6 +114,20 @@ def test_line_dedup_tells_words_with_equal_32_bit_hashes_apart(spark):
     assert removed_lines(c.frame(spark, rows)).count() == 0
 
 
+def test_line_dedup_of_every_line(spark):
+    """Short lines, lines cut by other white space than blanks, and lines of a script without blanks."""
+    han = "".join(chr(0x4E00 + 7 * k) for k in range(40))
+    same = ["Read more", "x", "one\ttwo\tthree\tfour\tfive", "eins\u00a0zwei", han]
+    rows = [(1, "\n".join(same)), (2, "\n".join(same)), (3, "one two three four five\n\n \t\n\u00a0\nread more\neins  zwei"),
+            (4, "\n\n \t\n" + han[:-1] + "\n" + han[::-1] + "\nserial-100001"), (5, "serial-100002")]
+    out = {}
+    for r in removed_lines(c.frame(spark, rows), every_line=True).collect():
+        out.setdefault(r.doc_id, {})[r.line_no] = r.reason
+    assert out == {2: dict.fromkeys(range(5), "exact"), 3: {0: "exact", 5: "exact"}, 4: {3: "similar"}}
+    with_cut = {(r.doc_id, r.line_no) for r in removed_lines(c.frame(spark, rows)).collect()}
+    assert (2, 0) not in with_cut and (2, 4) not in with_cut
+
+
 def test_contamination(spark, docs):
     long = max((t or "" for _, t in ROWS), key=len).split(" ")
     items = [(1, " ".join(long[100:140])), (2, " ".join(long[130:150]).upper()), (3, "one"), (4, None), (5, ""), (6, "?!"),
