@@ -11,13 +11,16 @@ from corvid.llm.common import table
 from corvid.llm.decontaminate import contamination
 from corvid.llm.exact_dedup import exact_duplicates
 from corvid.llm.html_render import render_pages
+from corvid.llm.lexical_search import ranked_search
 from corvid.llm.line_dedup import removed_lines
 from corvid.llm.minhash_dedup import near_duplicates
+from corvid.llm.overlap_join import linked_documents
 from corvid.llm.packing import pack_documents
 from corvid.llm.pitman_yor import language_model_scores
 from corvid.llm.quality_knn import quality_scores
 from corvid.llm.secrets_scan import scan_secrets
 from corvid.llm.toxicity import severity_scores
+from corvid.llm.whitening import whitened_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -121,3 +124,46 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probability of all documents."""
     return language_model_scores(table(spark, sf_dir, "documents"))
+
+
+@query("op11_embedding_whitening")
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First four whitened principal components of all embeddings."""
+    return whitened_components(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_ngram_join")
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under a shingle similarity of at least 0.8."""
+    return linked_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op13_ranked_search", r"""
+WITH lower_docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+words AS (SELECT row_id, doc_id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+          FROM lower_docs WHERE t IS NOT NULL),
+lens AS (SELECT row_id, any_value(doc_id) AS doc_id, count(*) AS n FROM words GROUP BY row_id),
+total AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM lens),
+item_terms AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE text IS NOT NULL),
+tf AS (SELECT row_id, term, count(*) AS tf FROM words
+       WHERE term IN (SELECT term FROM item_terms) GROUP BY row_id, term),
+weight AS (SELECT term, CAST(floor(1000 * ln((2 * nn + 2) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+           FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total),
+part AS (SELECT row_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll))) AS s
+         FROM tf JOIN lens USING (row_id) JOIN weight USING (term), total),
+scored AS (SELECT item_id, row_id, CAST(sum(s) AS BIGINT) AS score
+           FROM item_terms JOIN part USING (term) GROUP BY item_id, row_id),
+ranked AS (SELECT item_id, doc_id, score,
+                  row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+           FROM scored JOIN lens USING (row_id) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+""")
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
