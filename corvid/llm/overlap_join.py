@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvid.llm import text_np as tn
@@ -39,7 +39,8 @@ from corvid.plans.joins import broadcast_if_small
 SHINGLE, PERCENT = 5, 80
 MU = 0.01                    # weight of a probe against a heap step in the choice of long lists
 SPARE = 0.15                 # r as a share of n
-BLOCK_SHINGLES = 1 << 19     # shingles of a block, and of the visits of a part
+BLOCK_SHINGLES = 1 << 18     # shingles of a block, and of the visits of a part
+PIECE_SHINGLES = 1 << 18     # shingles turned to rows at once
 _SALTS = (0x6A09E667F3BCC908, 0x3C6EF372FE94F82B)
 
 
@@ -306,34 +307,30 @@ def _forest(lists: _Lists) -> np.ndarray:
     return root
 
 
-def _block_batches(batches: Iterator[pa.RecordBatch], percent: int, block_shingles: int) -> Iterator[pa.RecordBatch]:
-    """Cut the sorted classes of a partition into blocks and find the links inside each."""
+def _position_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows gain the partition they are in and the shingles before them in its order."""
     from pyspark import TaskContext
-    base = TaskContext.get().partitionId() << 32
-    held: list[pa.Table] = []
-    block = size = 0
+    part, before = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ends = before + tn.binary_values(batch.column(batch.schema.get_field_index("members")), np.uint64)[1]
+        before = int(ends[-1])
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(np.full(batch.num_rows, part, dtype=np.int64)), pa.array(ends[:-1]), pa.array(ends[1:])],
+            [*batch.schema.names, "range", "at", "end"])
 
-    def finish() -> pa.RecordBatch:
-        t = pa.concat_tables(held).combine_chunks()
-        values, off = tn.binary_values(t["members"], np.uint64)
-        cid = t["cid"].to_numpy()
-        root = _forest(_Lists(values, off, t["n"].to_numpy(), percent))
-        out = t.append_column("block", pa.array(np.full(len(cid), base + block)))
-        return out.append_column("label", pa.array(cid[root])).drop_columns(["anchor"]).combine_chunks().to_batches()[0]
 
-    for batch in batches:
-        t = pa.Table.from_batches([batch])
-        widths = np.diff(tn.binary_values(t["members"], np.uint64)[1]) if t.num_rows else np.zeros(0, dtype=np.int64)
-        at = 0
-        for i, w in enumerate(widths.tolist()):
-            if size and size + w > block_shingles:
-                held.append(t.slice(at, i - at))
-                yield finish()
-                held, at, size, block = [], i, 0, block + 1
-            size += w
-        held.append(t.slice(at))
-    if size:
-        yield finish()
+def _block_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Classes by block: each gains the label of its component within the block."""
+    for t, starts in tn.whole_groups(batches, ["block"]):
+        cid, n = t["cid"].to_numpy(), t["n"].to_numpy()
+        values, off = tn.binary_values(t["members"], np.uint64)
+        label = np.empty(len(cid), dtype=np.int64)
+        for s, e in zip(starts, np.append(starts[1:], len(cid))):
+            lists = _Lists(values[off[s]:off[e]], off[s:e + 1] - off[s], n[s:e], percent)
+            label[s:e] = cid[s:e][_forest(lists)]
+        yield from t.append_column("label", pa.array(label)).to_batches()
 
 
 def _visit_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -357,33 +354,46 @@ def _visit_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
-def _place_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Where lists have postings: (hash, block, label), each once a batch, of all of a class's shingles."""
+def _pieces(members: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, shingles, offsets) in pieces of bounded size."""
+    values, off = tn.binary_values(members, np.int64)
+    lo, rows = 0, len(off) - 1
+    while lo < rows:
+        hi = min(rows, max(lo + 1, int(np.searchsorted(off, off[lo] + PIECE_SHINGLES, side="right")) - 1))
+        yield lo, hi, values[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
+        lo = hi
+
+
+def _place_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Where lists have postings: (hash, block, lowest and highest label), each once a piece."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        values, off = tn.binary_values(batch.column(2), np.int64)
-        size = np.diff(off)
-        rows = np.stack((values, np.repeat(batch.column(0).to_numpy(), size), np.repeat(batch.column(1).to_numpy(), size)))
-        rows = np.unique(rows, axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], ["hash", "block", "label"])
+        for lo, hi, values, off in _pieces(batch.column(2)):
+            block, label = (np.repeat(batch.column(i).to_numpy()[lo:hi], np.diff(off)) for i in (0, 1))
+            order = np.lexsort((block, values))
+            h, block, label = values[order], block[order], label[order]
+            first = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (block[1:] != block[:-1]))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h[first]), pa.array(block[first]), pa.array(np.minimum.reduceat(label, first)),
+                 pa.array(np.maximum.reduceat(label, first))], ["hash", "block", "low", "high"])
 
 
 def _short_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """A class's short lists (hash, cid, from, own, need)."""
+    """A class's short lists (hash, cid, home, own, need)."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        values, off = tn.binary_values(batch.column(5), np.int64)
         n, longest = batch.column(3).to_numpy(), batch.column(4).to_numpy()
         t = least_common(n, percent)
         aside = np.array([long_lists(int(x), int(y)) for x, y in zip(t, longest)], dtype=np.int64)
-        size = np.diff(off) - aside
-        of = np.repeat(np.arange(len(n)), size)
-        at = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(off[:-1], size)
-        cols = [batch.column(i).to_numpy()[of] for i in range(3)]
-        yield pa.RecordBatch.from_arrays([pa.array(values[at]), *map(pa.array, cols), pa.array((t - aside)[of])],
-                                         ["hash", "cid", "home", "own", "need"])
+        for lo, hi, values, off in _pieces(batch.column(5)):
+            size = np.diff(off) - aside[lo:hi]
+            of = np.repeat(np.arange(hi - lo), size)
+            at = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(off[:-1], size)
+            cols = [batch.column(i).to_numpy()[lo:hi][of] for i in range(3)]
+            yield pa.RecordBatch.from_arrays([pa.array(values[at]), *map(pa.array, cols), pa.array((t - aside)[lo:hi][of])],
+                                             ["hash", "cid", "home", "own", "need"])
 
 
 # -- operator --------------------------------------------------------------------------
@@ -405,12 +415,12 @@ def _visits(placed: DataFrame, visitors: Column, percent: int, block_shingles: i
     """Links between the classes that ``visitors`` picks and classes of other labels in earlier blocks."""
     n = shuffle_partitions(placed.sparkSession)
     places = stored(placed.select("block", "label", "members")
-                    .mapInArrow(lambda it: _place_batches(it, percent), "hash long, block long, label long")
-                    .distinct(), "join-places")
+                    .mapInArrow(_place_batches, "hash long, block long, low long, high long")
+                    .groupBy("hash", "block").agg(F.min("low").alias("low"), F.max("high").alias("high")), "join-places")
     short = (placed.filter(visitors).select("cid", "block", "label", "n", "longest", "members")
              .mapInArrow(lambda it: _short_batches(it, percent), "hash long, cid long, home long, own long, need long"))
-    met = (short.join(places, "hash").filter((F.col("block") < F.col("home")) & (F.col("label") != F.col("own")))
-           .select("cid", "block", "hash", "need").distinct())
+    other = (F.col("low") != F.col("own")) | (F.col("high") != F.col("own"))
+    met = short.join(places, "hash").filter((F.col("block") < F.col("home")) & other)
     visits = stored(met.groupBy("cid", "block").agg(F.count(F.lit(1)).alias("c"), F.first("need").alias("need"))
                     .filter("c >= need").select("cid", F.col("block").alias("to")), "join-visits")
     release(places)
@@ -472,10 +482,21 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                               "cid long, n long, anchor long, longest long, members binary"), "join-live")
     for spent in (postings, lengths, possible):
         release(spent)
-    placed = stored(live.repartitionByRange(parallel, "anchor", "cid").sortWithinPartitions("anchor", "cid")
-                    .mapInArrow(lambda it: _block_batches(it, percent, block_shingles),
-                                "cid long, n long, longest long, members binary, block long, label long"), "join-placed")
+    ranged = stored(live.repartitionByRange(parallel, "anchor", "cid").sortWithinPartitions("anchor", "cid")
+                    .mapInArrow(_position_batches, "cid long, n long, anchor long, longest long, members binary, "
+                                "range long, at long, end long"), "join-ranged")
     release(live)
+    # one row a partition; blocks follow the shingles before them, whatever the number of partitions
+    ranges = ranged.groupBy("range").agg(F.max("end").alias("size"))
+    earlier = F.coalesce(F.sum("size").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = ranges.select("range", earlier.alias("before"))
+    block = F.floor((F.col("before") + F.col("at")) / F.lit(block_shingles)).cast("long")
+    placed = stored(ranged.join(F.broadcast(ranges), "range")
+                    .select("cid", "n", "longest", "members", block.alias("block"), "anchor")
+                    .repartition(parallel, "block").sortWithinPartitions("block", "anchor", "cid").drop("anchor")
+                    .mapInArrow(lambda it: _block_batches(it, percent),
+                                "cid long, n long, longest long, members binary, block long, label long"), "join-placed")
+    release(ranged)
 
     first = _visits(placed, F.col("cid") == F.col("label"), percent, block_shingles)
     # links name members; within a block members hang on their component's first member
