@@ -144,26 +144,38 @@ def eigenvalues_above(matrix: np.ndarray, shift: float) -> int:
     return above
 
 
-def _interval(matrix: np.ndarray, wanted: int, top: float) -> tuple[float, int]:
-    """(lower end, eigenvalues above it): the smallest number of at least ``wanted`` that bisection can separate."""
-    low, high, inside = 0.0, top, eigenvalues_above(matrix, 0.0)
-    best = (low, inside)
-    for _ in range(60):
-        if best[1] == wanted or high - low <= 1e-13 * top:
-            break
+def _edge(matrix: np.ndarray, count: int, low: float, high: float) -> tuple[float, float]:
+    """(low, high) around the ``count``-th largest eigenvalue, by bisection on the inertia."""
+    for _ in range(100):
         middle = (low + high) / 2
-        n = eigenvalues_above(matrix, middle)
-        if n >= wanted:
-            low, best = middle, (middle, n)
+        if high - low <= 1e-6 * high or not low < middle < high:
+            break
+        if eigenvalues_above(matrix, middle) >= count:
+            low = middle
         else:
             high = middle
-    return best
+    return low, high
+
+
+def _interval(matrix: np.ndarray, wanted: int, floor: float, top: float) -> tuple[float, float, int]:
+    """(lower end, upper end, eigenvalues inside): the ``wanted`` largest, and those that are as good as equal to
+    the last of them."""
+    top = _edge(matrix, 1, floor, top)[1]
+    last = _edge(matrix, wanted, floor, top)[0]
+    inside = eigenvalues_above(matrix, last)
+    if inside < eigenvalues_above(matrix, floor):  # cut in the middle of the gap that follows
+        middle = (_edge(matrix, inside + 1, floor, last)[1] + last) / 2
+        last = middle if eigenvalues_above(matrix, middle) == inside else last
+    else:
+        last = max(floor, last / 2)
+    return last, top + 0.1 * (top - last), eigenvalues_above(matrix, last)
 
 
 def feast(matrix: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
     """The ``wanted`` largest positive eigenvalues (fewer, if fewer are positive) and unit eigenvectors, falling.
 
-    Raises if the pairs found inside the interval are not as many as the inertia says.
+    The projected block is enlarged while it does not converge (many eigenvalues beside the interval).  Raises if
+    the pairs found inside the interval are not as many as the inertia says.
     """
     dim = len(matrix)
     top = float(min(np.trace(matrix), np.abs(matrix).sum(axis=1).max())) if dim else 0.0
@@ -172,38 +184,48 @@ def feast(matrix: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
     top *= 1 + 1e-9
     floor = dim * np.finfo(float).eps * top  # an eigenvalue below is a zero
     wanted = min(wanted, eigenvalues_above(matrix, floor))
-    low, inside = _interval(matrix, wanted, top)
-    if low == 0.0:
-        low, inside = floor, eigenvalues_above(matrix, floor)
+    low, high, inside = _interval(matrix, wanted, floor, top)
     block = min(dim, inside + max(EXTRA, inside // 2))
-    middle, radius = (top + low) / 2, (top - low) / 2
+    while True:
+        values, vectors, residual = _refined(matrix, low, high, inside, block)
+        if len(values) == inside and residual <= 1e-12 * top:
+            break
+        if block == dim:
+            raise ArithmeticError(f"{len(values)} components found of {inside} that the inertia counts, residual {residual}")
+        block = min(dim, 2 * block)
+    order = np.argsort(-values, kind="stable")[:wanted]
+    vectors = vectors[:, order] / np.linalg.norm(vectors[:, order], axis=0)
+    sign = np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(len(order))])
+    return values[order], vectors * sign
+
+
+def _refined(matrix: np.ndarray, low: float, high: float, inside: int, block: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """(values, vectors, largest residual) of the Ritz pairs inside (low, high), refined until they stand still."""
+    dim = len(matrix)
+    middle, radius = (high + low) / 2, (high - low) / 2
     x, weight = np.polynomial.legendre.leggauss(NODES)
-    angle = np.pi * (1 + x) / 2
+    shifts = radius * np.exp(1j * np.pi * (1 + x) / 2)
     eye = np.eye(dim)
+    solvers = [np.linalg.inv((middle + z) * eye - matrix) for z in shifts]
     y = np.random.default_rng(11).standard_normal((dim, block))
-    last = np.inf
+    best = (np.zeros(0), np.zeros((dim, 0)), np.inf)
+    worse = 0
     for _ in range(MAX_REFINEMENTS):
-        projected = np.zeros_like(y)
-        for theta, w in zip(angle, weight):
-            z = radius * np.exp(1j * theta)
-            projected += w / 2 * np.real(z * np.linalg.solve((middle + z) * eye - matrix, y.astype(complex)))
+        projected = sum(w / 2 * np.real(z * (solver @ y)) for z, w, solver in zip(shifts, weight, solvers))
         basis, size, _ = np.linalg.svd(projected, full_matrices=False)
         basis = basis[:, size > 1e-14 * size[0]]
         ritz = basis.T @ matrix @ basis
         values, turn = np.linalg.eigh((ritz + ritz.T) / 2)
         y = basis @ turn
         within = values > low
-        residual = np.abs(matrix @ y[:, within] - y[:, within] * values[within]).max(initial=0.0)
-        if within.sum() == inside and (residual <= 1e-15 * top or residual >= last / 2):
+        residual = float(np.abs(matrix @ y[:, within] - y[:, within] * values[within]).max(initial=0.0))
+        if within.sum() == inside and residual < best[2]:
+            best, worse = (values[within], y[:, within], residual), 0 if residual < best[2] / 2 else worse + 1
+        else:
+            worse += 1
+        if worse > 3 and best[2] < np.inf:
             break
-        last = residual if within.sum() == inside else np.inf
-    order = np.argsort(-values, kind="stable")[:inside]
-    if within.sum() != inside or residual > 1e-10 * top:
-        raise ArithmeticError(f"{within.sum()} components found of {inside} that the inertia counts, residual {residual}")
-    order = order[:wanted]
-    vectors = y[:, order] / np.linalg.norm(y[:, order], axis=0)
-    sign = np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(len(order))])
-    return values[order], vectors * sign
+    return best
 
 
 # -- operator --------------------------------------------------------------------------
