@@ -81,6 +81,22 @@ OBSERVATIONS_SQL = """
   FROM lineitem"""
 
 
+def target_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer`` -> targets(target_id, lat, lon) around the stations and up to 4 degrees beyond them."""
+    c = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        c.alias("target_id"),
+        (F.lit(28.388382) + ((c * 5) % 41 - 20).cast("double") * F.lit(0.2)).alias("lat"),
+        (F.lit(-80.603498) + ((c * 7) % 37 - 18).cast("double") * F.lit(0.2)).alias("lon"))
+
+
+TARGETS_SQL = """
+  SELECT c_custkey AS target_id,
+         28.388382e0 + CAST((c_custkey * 5) % 41 - 20 AS DOUBLE) * 0.2e0 AS lat,
+         -80.603498e0 + CAST((c_custkey * 7) % 37 - 18 AS DOUBLE) * 0.2e0 AS lon
+  FROM customer"""
+
+
 # -- social feed ----------------------------------------------------------------
 
 FOLLOWS_PER_USER = 3
