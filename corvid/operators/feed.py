@@ -20,9 +20,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corvid.plans.joins import broadcast_if_small
 from corvid.plans.ranking import row_number_within
 
 USER, FOLLOWS, TEXT, SCORE = "user_id", "follows_id", "tweet_text", "score"
@@ -32,6 +33,9 @@ USER, FOLLOWS, TEXT, SCORE = "user_id", "follows_id", "tweet_text", "score"
 # DECIMAL(38, 0).
 SUM_TYPE = "decimal(38,0)"
 
+# Longest array of a packed set.
+PACK_WIDTH = 1 << 16
+
 
 def follower_sets(edges: DataFrame) -> DataFrame:
     """Followers of every user, one row per member: ``(user_id, follower_id)``.
@@ -51,15 +55,15 @@ def following_sets(edges: DataFrame) -> DataFrame:
             .distinct())
 
 
-def pack_sets(sets: DataFrame, key: str, member: str, chunks: int = 1) -> DataFrame:
+def pack_sets(sets: DataFrame, key: str, member: str, width: int = PACK_WIDTH) -> DataFrame:
     """Pack a long-form set into sorted arrays: ``(key, chunk, members array)``.
 
-    A member's chunk is ``member mod chunks`` (long members) whatever the size of the
-    set, so the rows of a key do not change shape as it grows, and a key of ``m``
-    members is built by up to ``chunks`` tasks of about ``m / chunks`` members each:
-    choose ``chunks`` for the largest set.
+    A chunk holds the members of one range of ``width`` ids (``floor(member / width)``), so no array is longer than
+    ``width`` however large a set grows, a member's chunk never changes, and the chunks of a hot key are built by
+    as many tasks.  Chunks in order give the sorted set.
     """
-    return (sets.withColumn("chunk", F.pmod(F.col(member), F.lit(chunks)).cast("long"))
+    first = F.col(member) - F.pmod(F.col(member), F.lit(width))  # whole numbers: exact for every long
+    return (sets.withColumn("_first", first.cast("long")).withColumn("chunk", F.expr(f"_first div {int(width)}"))
             .groupBy(key, "chunk")
             .agg(F.sort_array(F.collect_list(member)).alias("members")))
 
@@ -128,6 +132,65 @@ def timeline_ordered(timeline: DataFrame, key: str = USER, score: str = SCORE,
     return row_number_within(timeline, [key], [score, member], out=out)
 
 
+def heavy_authors(edges: DataFrame, min_followers: int, most: int = 1000, tracked: int = 10_000) -> DataFrame:
+    """Authors that a frequent-items sketch gives at least ``min_followers`` followers: ``(user_id)``.
+
+    ``approx_top_k`` keeps ``tracked`` counters a task and merges them: one row of at most ``most`` authors, whatever
+    the number of edges.  The sketch decides only which way an author's posts take, never a result, so its
+    error costs speed at most; ``most`` bounds the pull path, authors beyond it are pushed.
+    """
+    top = edges.filter(F.col(FOLLOWS).isNotNull()).agg(
+        F.expr(f"approx_top_k({FOLLOWS}, {int(most)}, {int(tracked)})").alias("_top"))
+    return (top.select(F.explode("_top").alias("_t")).filter(F.col("_t.count") >= min_followers)
+            .select(F.col("_t.item").alias(USER)))
+
+
+def split_push(tweets: DataFrame, edges: DataFrame, heavy: DataFrame) -> DataFrame:
+    """The stored part of a split feed: timelines from the posts of all authors but the ``heavy`` ones.
+
+    ``heavy`` is a small list (see ``heavy_authors``); both anti joins are map-side, so neither the posts nor the
+    edges of a heavy author reach the fan-out's shuffle.
+    """
+    light = F.broadcast(heavy.select(F.col(USER).alias("_heavy")))  # at most ``most`` rows
+    return timeline_push(tweets.join(light, F.col(USER) == F.col("_heavy"), "left_anti"),
+                         edges.join(light, F.col(FOLLOWS) == F.col("_heavy"), "left_anti"))
+
+
+def split_read(stored: DataFrame, tweets: DataFrame, edges: DataFrame, heavy: DataFrame,
+               reader: int | None = None) -> DataFrame:
+    """Read a split feed: the stored timelines and, merged on read, the posts of the ``heavy`` authors.
+
+    Equal texts keep the newest score, so the result equals ``timeline_push`` whoever is heavy.  The heavy authors'
+    posts, one row per (author, text), are broadcast to their edges if a size check allows; else the join is a
+    shuffle join that adaptive execution splits.  ``reader`` restricts both parts before the join.
+    """
+    few = F.broadcast(heavy.select(F.col(USER).alias("_heavy")))
+    if reader is not None:
+        stored, edges = timeline_of(stored, reader), edges.filter(F.col(USER) == F.lit(reader))
+    posts = posts_by_author(tweets.join(few, F.col(USER) == F.col("_heavy"), "left_semi")).select(
+        F.col(USER).alias("_author"), TEXT, SCORE)
+    small = broadcast_if_small(posts)
+    follows = (edges.join(few, F.col(FOLLOWS) == F.col("_heavy"), "left_semi")
+               .select(F.col(USER).alias("_reader"), F.col(FOLLOWS).alias("_author")))
+    pulled = follows.join(small if small is not None else posts, "_author").select(F.col("_reader").alias(USER), TEXT, SCORE)
+    return (stored.select(USER, TEXT, SCORE).unionByName(pulled)
+            .groupBy(USER, TEXT).agg(F.max(SCORE).alias(SCORE)))
+
+
+def timeline_ends(timeline: DataFrame, n: int, newest: bool = False, key: str = USER, score: str = SCORE,
+                  member: str = TEXT, out: str = "rank") -> DataFrame:
+    """The first ``n`` entries of every timeline in read order, or with ``newest`` the last ``n`` in reverse order.
+
+    ``rank`` 1.. counts from that end (``zrange(key, 0, n - 1)`` and ``zrevrange``).  The limit is pushed below the
+    shuffle (window group limit): a task sends at most ``n`` rows a timeline, so a hot timeline is no hot partition.
+    """
+    if n < 1:
+        raise ValueError("n must be at least 1")
+    by = [F.col(score), F.col(member)]
+    order = Window.partitionBy(key).orderBy(*[c.desc() for c in by] if newest else by)
+    return timeline.withColumn(out, F.row_number().over(order)).filter(F.col(out) <= n)
+
+
 def timeline_of(timeline: DataFrame, user_id: int, key: str = USER) -> DataFrame:
     """One user's timeline rows (unordered)."""
     return timeline.filter(F.col(key) == F.lit(user_id))

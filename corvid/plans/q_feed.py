@@ -49,15 +49,15 @@ def following_sets(spark, sf_dir):
     return feed.following_sets(follow_edges(spark, sf_dir))
 
 
-PACK_CHUNKS = 4
+PACK_WIDTH = 4
 
 
 @register("followers_packed", sql=_CTES + f"""SELECT follows_id AS user_id,
-    CAST(user_id % {PACK_CHUNKS} AS BIGINT) AS chunk, list_sort(list(DISTINCT user_id)) AS members
-    FROM edges GROUP BY follows_id, user_id % {PACK_CHUNKS}""")
+    CAST(user_id // {PACK_WIDTH} AS BIGINT) AS chunk, list_sort(list(DISTINCT user_id)) AS members
+    FROM edges GROUP BY follows_id, user_id // {PACK_WIDTH}""")
 def followers_packed(spark, sf_dir):
-    """A8 as arrays: sorted follower arrays per user, in a fixed number of chunks."""
-    return feed.pack_sets(feed.follower_sets(follow_edges(spark, sf_dir)), "user_id", "follower_id", PACK_CHUNKS)
+    """A8 as arrays: sorted follower arrays per user, each of at most a fixed number of members."""
+    return feed.pack_sets(feed.follower_sets(follow_edges(spark, sf_dir)), "user_id", "follower_id", PACK_WIDTH)
 
 
 @register("followers_of", sql=_CTES + f"""SELECT DISTINCT user_id AS follower_id FROM edges
@@ -143,6 +143,37 @@ def timeline_ordered_text(spark, sf_dir):
     return row_number_within(feed.timeline_push(tw, edges), [feed.USER], [feed.TEXT])
 
 
+# Authors with this many followers (by the sketch) are merged on read.
+HEAVY_FOLLOWERS = 4
+ENDS = 3
+
+
+@register("timeline_split", sql=_CTES + "SELECT user_id, tweet_text, score FROM push")
+def timeline_split(spark, sf_dir):
+    """J2+J3+U1: posts of authors with few followers pushed, those of the others merged on read; equals the push form."""
+    tw, edges = _inputs(spark, sf_dir)
+    heavy = feed.heavy_authors(edges, HEAVY_FOLLOWERS)
+    return feed.split_read(feed.split_push(tw, edges, heavy), tw, edges, heavy)
+
+
+@register("timeline_first", sql=_CTES + f"""SELECT * FROM (SELECT user_id, tweet_text, score,
+    CAST(row_number() OVER (PARTITION BY user_id ORDER BY score, tweet_text) AS INTEGER) AS rank FROM push)
+    WHERE rank <= {ENDS}""")
+def timeline_first(spark, sf_dir):
+    """O1 with bounds: the first three entries of every pushed timeline."""
+    tw, edges = _inputs(spark, sf_dir)
+    return feed.timeline_ends(feed.timeline_push(tw, edges), ENDS)
+
+
+@register("timeline_last", sql=_CTES + f"""SELECT * FROM (SELECT user_id, tweet_text, score,
+    CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, tweet_text DESC) AS INTEGER) AS rank FROM push)
+    WHERE rank <= {ENDS}""")
+def timeline_last(spark, sf_dir):
+    """O1 with bounds: the last three entries of every pushed timeline, newest first."""
+    tw, edges = _inputs(spark, sf_dir)
+    return feed.timeline_ends(feed.timeline_push(tw, edges), ENDS, newest=True)
+
+
 @register("timeline_stream_push", sql=_CTES + "SELECT user_id, tweet_text, score FROM push")
 def timeline_stream_push(spark, sf_dir):
     """J2/K2 as Structured Streaming: two streams with checkpoints of their own, each of several

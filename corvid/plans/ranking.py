@@ -3,18 +3,15 @@
 ``row_number().over(Window.partitionBy(key).orderBy(...))`` sends every row of a
 key to one task.  Here every input goes the same way:
 
-1. the input is written once to the checkpoint folder, so its computation is not
-   repeated by the passes below (each reads that table);
-2. a sample of about ``SAMPLE_PER_RANGE`` rows a range is sorted on the full tuple
-   (keys, order columns), and evenly spaced tuples become range boundaries;
-3. the range of a row is the number of boundaries not above its tuple: monotone in the
-   order and a pure function of the row, so every pass and every re-run after a lost
-   executor agrees.  A hot key, equal scores and text orders are cut like anything else;
-   only rows equal in the whole tuple stay together;
-4. rows are numbered within (key, range), and the row count of the key's earlier
+1. Spark's range partitioning on the full tuple (keys, order columns) cuts the table into ordered ranges: a hot key,
+   equal scores and text orders are cut like anything else; only rows equal in the whole tuple stay together;
+2. the rows are written once to the checkpoint folder with the number of their range, and reread, so every pass and
+   every re-run after a lost executor sees the same ranges;
+3. rows are numbered within (key, range), and the row count of the key's earlier
    ranges is added: at most one row per key and range.
 
-The sample decides how even the ranges are, never the result.
+Spark's sample decides how even the ranges are, never the result.  The number of ranges follows the shuffle
+partitions; small neighbouring ranges are merged by the adaptive planner, which keeps their order.
 """
 
 from __future__ import annotations
@@ -22,47 +19,20 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvid.session import ensure_checkpoint_dir
 
-SAMPLE_PER_RANGE = 60
-SAMPLE_SEED = 17
 
-
-def _store(df: DataFrame) -> DataFrame:
+def _ranged(df: DataFrame, cols: list[str], ranges: int | None) -> DataFrame:
+    """``df`` with ``_range``, the number of its range in the order of ``cols``, stored."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ranking-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _range_of(df: DataFrame, tuple_cols: list[str], ranges: int) -> Column:
-    """The row's range: how many of at most ``ranges - 1`` boundary tuples are not above it."""
-    total = df.count()
-    fraction = min(1.0, SAMPLE_PER_RANGE * ranges / max(total, 1))
-    sample = df.select(*tuple_cols).sample(fraction, SAMPLE_SEED).orderBy(*tuple_cols).collect()
-    picked = [sample[len(sample) * i // ranges] for i in range(1, ranges)] if sample else []
-    types = {f.name: f.dataType for f in df.schema.fields}
-    bounds = []
-    for row in picked:
-        if not bounds or row != bounds[-1]:
-            bounds.append(row)
-    if not bounds:
-        return F.lit(0)
-    one = F.struct(*[F.col(c) for c in tuple_cols])
-
-    def literal(row) -> Column:
-        return F.struct(*[F.lit(row[c]).cast(types[c]).alias(c) for c in tuple_cols])
-
-    # two levels: find the block of boundaries, then the place within it
-    size = max(1, int(len(bounds) ** 0.5))
-    blocks = [bounds[i:i + size] for i in range(0, len(bounds), size)]
-    block = F.size(F.filter(F.array(*[literal(b[0]) for b in blocks]), lambda b: b <= one))
-    inner = F.array(*[F.array(*[literal(r) for r in b]) for b in blocks])
-    place = F.size(F.filter(F.get(inner, block - 1), lambda b: b <= one))
-    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * F.lit(size) + place)
+    cut = df.repartitionByRange(ranges, *cols) if ranges else df.repartitionByRange(*cols)
+    cut = cut.withColumn("_range", F.spark_partition_id())
+    cut.write.parquet(path)
+    return spark.read.schema(cut.schema).parquet(path)
 
 
 def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "rank",
@@ -72,17 +42,15 @@ def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     ``order`` lists column names of any orderable types, ascending (nulls first, as in a
     window); it must make rows unique within a group (add a tie-breaker) for the
     numbering to be deterministic.  ``ranges`` (default: the session's shuffle
-    partitions) is how many ranges the whole table is cut into.
+    partitions, merged where they are small) is how many ranges the whole table is cut into.
     """
     keys, order = list(keys), list(order)
-    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = _store(df)
-    ranged = rows.withColumn("_range", _range_of(rows, [*keys, *order], n))
+    ranged = _ranged(df, [*keys, *order], ranges)
     # Repartition on (keys, range) explicitly: a partitioning by the keys alone would
     # otherwise be reused and number a hot key in one task.
-    local = (ranged.repartition(n, *[F.col(k) for k in keys], F.col("_range"))
-             .withColumn("_lrn", F.row_number().over(
-                 Window.partitionBy(*keys, "_range").orderBy(*order))))
+    place = [*[F.col(k) for k in keys], F.col("_range")]
+    spread = ranged.repartition(ranges, *place) if ranges else ranged.repartition(*place)
+    local = spread.withColumn("_lrn", F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(*order)))
     counts = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_range").alias("_r"),

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corvid.operators import feed
-from corvid.session import ensure_checkpoint_dir
 from corvid.sources.sinks import append_delta
 
 
@@ -37,13 +36,15 @@ def start_timeline_writer(tweet_stream: DataFrame, edges: DataFrame, table_path:
                           query_name: str | None = None) -> StreamingQuery:
     """Run the push write path as a stream into the table at ``table_path``.
 
-    ``checkpoint`` defaults to a folder under the session's checkpoint directory
-    (shared storage on a cluster).  ``trigger`` is passed to ``writeStream.trigger``
-    (e.g. ``{'availableNow': True}``).
+    ``checkpoint`` defaults to a folder of the writer's own beside the table, ``<table_path>/_checkpoints/<query_name>``:
+    the same writer started again, by another application too, goes on where it stopped.  A writer with neither a
+    name nor a checkpoint cannot be told from another one and is refused.  ``trigger`` is passed to
+    ``writeStream.trigger`` (e.g. ``{'availableNow': True}``).
     """
-    spark = tweet_stream.sparkSession
     if checkpoint is None:
-        checkpoint = ensure_checkpoint_dir(spark).rstrip("/") + "/streams/" + (query_name or "timeline")
+        if not query_name:
+            raise ValueError("name the writer (query_name) or its checkpoint folder")
+        checkpoint = f"{table_path.rstrip('/')}/_checkpoints/{query_name}"
 
     def append(batch: DataFrame, epoch_id: int) -> None:
         # the query's id lives in its checkpoint: the same after a restart, another for a new checkpoint

@@ -84,9 +84,8 @@ def test_ranking_spreads_tied_rows(spark):
     """40,000 rows of one key with one score: their ranges are numbered by several tasks."""
     tl = spark.range(40_000).selectExpr("1L AS user_id", "cast(id AS string) AS tweet_text", "7L AS score")
     got = row_number_within(tl, ["user_id"], ["score", "tweet_text"], ranges=16)
-    from corvid.plans.ranking import _range_of
-    sizes = [r["count"] for r in tl.select(_range_of(tl, ["user_id", "score", "tweet_text"], 16).alias("r"))
-             .groupBy("r").count().collect()]
+    from corvid.plans.ranking import _ranged
+    sizes = [r["count"] for r in _ranged(tl, ["user_id", "score", "tweet_text"], 16).groupBy("_range").count().collect()]
     assert len(sizes) >= 14 and max(sizes) < 8_000
     assert got.agg(F.max("rank"), F.countDistinct("rank")).first() == (40_000, 40_000)
 
@@ -98,16 +97,72 @@ def test_upsert_keeps_newest(spark):
     assert out == {(1, "a"): 7, (1, "b"): 9, (2, "c"): 1}
 
 
-def test_pack_sets_chunks_by_member(spark):
-    rows = [(1, i) for i in range(250)] + [(2, 7)]
+def test_pack_sets_chunks_by_member_range(spark):
+    big = 2 ** 62 + 5
+    rows = [(1, i) for i in range(250)] + [(2, 7), (2, -1), (2, big), (2, big + 1)]
     sets = spark.createDataFrame(rows, "user_id long, follower_id long")
-    packed = feed.pack_sets(sets, "user_id", "follower_id", chunks=3).collect()
-    hot = [r for r in packed if r.user_id == 1]
-    assert len(hot) == 3 and all(x % 3 == r.chunk for r in hot for x in r.members)
-    assert sorted(x for r in hot for x in r.members) == list(range(250))
-    assert all(r.members == sorted(r.members) for r in packed)
-    # the same shape whatever the size: a small set has its one chunk
-    assert [(r.chunk, r.members) for r in packed if r.user_id == 2] == [(1, [7])]
+    packed = feed.pack_sets(sets, "user_id", "follower_id", width=100).collect()
+    hot = sorted((r.chunk, r.members) for r in packed if r.user_id == 1)
+    assert hot == [(0, list(range(100))), (1, list(range(100, 200))), (2, list(range(200, 250)))]
+    assert all(len(r.members) <= 100 for r in packed)
+    assert sorted((r.chunk, r.members) for r in packed if r.user_id == 2) == [
+        (-1, [-1]), (0, [7]), (big // 100, [big, big + 1])]
+
+
+def _hot_feed(spark):
+    """One author followed by a third of all edges, posting much; texts shared between authors."""
+    edges = [(u, 0) for u in range(300)] + [(u, 1 + (u * k) % 120) for u in range(300) for k in (3, 7)]
+    tw = [(0, f"t{i % 40}", i) for i in range(100)] + [(1 + i % 120, f"t{i % 55}", 1000 - i) for i in range(400)] + [(None, "n", 1)]
+    return spark.createDataFrame(tw, TWEETS), spark.createDataFrame(edges + [(5, None), (None, 5)], EDGES)
+
+
+def test_heavy_authors_by_sketch(spark):
+    _, edges = _hot_feed(spark)
+    assert [r.user_id for r in feed.heavy_authors(edges, 200).collect()] == [0]
+    assert feed.heavy_authors(edges, 10 ** 6).count() == 0
+    assert feed.heavy_authors(edges, 1, most=7).count() == 7
+    assert feed.heavy_authors(edges.limit(0), 1).count() == 0
+
+
+def test_split_feed_equals_push_whoever_is_heavy(spark):
+    tw, edges = _hot_feed(spark)
+    want = sorted(map(tuple, feed.timeline_push(tw, edges).collect()), key=str)
+    ids = lambda xs: spark.createDataFrame([(x,) for x in xs], "user_id long")
+    for heavy in (ids([]), ids([0]), ids([0, 3, 9, 500]), feed.heavy_authors(edges, 200), feed.heavy_authors(edges, 1)):
+        stored = feed.split_push(tw, edges, heavy)
+        assert sorted(map(tuple, feed.split_read(stored, tw, edges, heavy).collect()), key=str) == want
+    one = feed.split_read(feed.split_push(tw, edges, ids([0])), tw, edges, ids([0]), reader=7).collect()
+    assert sorted(map(tuple, one), key=str) == [w for w in want if w[0] == 7]
+
+
+def test_a_heavy_author_is_not_in_the_stored_part(spark):
+    tw, edges = _hot_feed(spark)
+    heavy = feed.heavy_authors(edges, 200)
+    only_hot = tw.filter("user_id = 0")
+    assert feed.split_push(only_hot, edges, heavy).count() == 0
+    plan = feed.split_push(tw, edges, heavy)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftAnti") == 2  # both sides lose the heavy author before the fan-out join
+
+
+@pytest.mark.parametrize("newest", [False, True])
+def test_timeline_ends(spark, newest):
+    rows = [(0 if i % 3 == 0 else i % 20, f"m{i:03}", i // 4) for i in range(600)] + [(None, "x", 1), (5, None, None)]
+    tl = spark.createDataFrame(rows, TWEETS)
+    got = feed.timeline_ends(tl, 4, newest)
+    by = [F.desc("score"), F.desc("tweet_text")] if newest else [F.asc("score"), F.asc("tweet_text")]
+    want = tl.withColumn("rank", F.row_number().over(Window.partitionBy("user_id").orderBy(*by))).collect()
+    key = lambda r: (r.user_id is None, r.user_id or 0, r["rank"])
+    assert sorted(got.collect(), key=key) == sorted((r for r in want if r["rank"] <= 4), key=key)
+    with pytest.raises(ValueError):
+        feed.timeline_ends(tl, 0)
+
+
+def test_timeline_ends_are_limited_before_the_shuffle(spark):
+    rows = spark.range(0, 20000).selectExpr("id % 3 AS user_id", "cast(id AS string) AS tweet_text", "id AS score")
+    lines = feed.timeline_ends(rows, 5)._jdf.queryExecution().executedPlan().toString().splitlines()
+    limits = [i for i, ln in enumerate(lines) if "WindowGroupLimit" in ln]
+    shuffle = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning(user_id" in ln]
+    assert len(limits) == 2 and limits[0] < shuffle[0] < limits[1]  # final above, partial below the exchange
 
 
 def test_read_timeline_order(spark):

@@ -123,7 +123,7 @@ def test_packed_sets_shuffle_on_key_and_chunk(spark):
         sets = spark.range(0, 30000).select(
             F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500).alias("user_id"),
             F.col("id").alias("follower_id"))
-        plan = plan_of(feed.pack_sets(sets, "user_id", "follower_id", chunks=30))
+        plan = plan_of(feed.pack_sets(sets, "user_id", "follower_id", width=1000))
         assert any("hashpartitioning(user_id" in ln and "chunk" in ln for ln in plan.splitlines())
     finally:
         for k, v in old.items():
@@ -140,3 +140,12 @@ def test_ranking_shuffles_on_key_and_bucket(spark):
     df = spark.createDataFrame(rows, "k long, score long, member long").repartition(8, "k")
     plan = plan_of(row_number_within(df, ["k"], ["score", "member"], ranges=8))
     assert any("hashpartitioning(k" in ln and "_range" in ln for ln in plan.splitlines())
+
+
+def test_ranking_plan_does_not_grow_with_the_ranges(spark):
+    """No boundary is sampled to the driver or written into the plan."""
+    from corvid.plans.ranking import row_number_within
+    df = spark.range(0, 5000).selectExpr("id % 7 AS k", "id % 100 AS score", "id AS member")
+    few, many = (len(row_number_within(df, ["k"], ["score", "member"], ranges=n)._jdf.queryExecution().toString())
+                 for n in (4, 200))
+    assert abs(few - many) < 200

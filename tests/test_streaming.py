@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from corvid.operators import feed
@@ -57,3 +58,28 @@ def test_second_stream_with_a_new_checkpoint_adds_to_the_table(spark, tmpdir_pat
     got = {(r.user_id, r.tweet_text): r.score for r in
            read_merged(spark, table, ["user_id", "tweet_text"], "score").collect()}
     assert got == {(u, t): s for u in (1, 2) for t, s in (("a", 5), ("b", 6), ("c", 7))}
+
+
+def test_writer_restarted_with_defaults_goes_on(spark, tmpdir_path):
+    """The default checkpoint belongs to the table and the name: a second start reads only new files."""
+    edges = spark.createDataFrame([(1, 9)], "user_id long, follows_id long")
+    schema = "user_id long, tweet_text string, score long"
+    src, table = os.path.join(tmpdir_path, "src"), os.path.join(tmpdir_path, "timeline")
+
+    def run(name):
+        q = start_timeline_writer(spark.readStream.schema(schema).parquet(src), edges, table, query_name=name,
+                                  trigger={"availableNow": True})
+        q.awaitTermination(120)
+        return q
+
+    spark.createDataFrame([(9, "a", 5)], schema).write.parquet(src)
+    first = run("posts")
+    spark.createDataFrame([(9, "a", 7), (9, "b", 1)], schema).write.mode("append").parquet(src)
+    second = run("posts")
+    assert first.id == second.id and second.lastProgress["numInputRows"] == 2
+    other = run("others")  # another name is another writer with a checkpoint of its own
+    assert other.id != first.id and other.lastProgress["numInputRows"] == 3
+    got = {(r.user_id, r.tweet_text): r.score for r in read_merged(spark, table, ["user_id", "tweet_text"], "score").collect()}
+    assert got == {(1, "a"): 7, (1, "b"): 1}
+    with pytest.raises(ValueError):
+        start_timeline_writer(spark.readStream.schema(schema).parquet(src), edges, table)
