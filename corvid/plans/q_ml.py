@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from corvid.operators import ml
+from corvid.operators import ml, nb_counts
 from corvid.plans.registry import register
 from corvid.plans.standins import FEATURE_ROWS_SQL, feature_images, image_files, table
 
@@ -81,6 +81,16 @@ def accuracy(spark, sf_dir):
     return acc.select("n", "correct", F.round("accuracy", 6).alias("accuracy"))
 
 
+@register("nb_predict_merged", sql=_NB + "SELECT image_id, label, prediction FROM pred")
+def nb_predict_merged(spark, sf_dir):
+    """M1 from additive counts: three batches of the training split counted apart, added and scored in closed form."""
+    df = ml.with_split(feature_images(spark, sf_dir).select("image_id", "label", "pixels"))
+    train = df.filter("is_train")
+    batches = [nb_counts.nb_counts(train.filter(F.col("image_id") % 3 == k)) for k in range(3)]
+    model = nb_counts.nb_model(nb_counts.merge_counts(batches))
+    return nb_counts.nb_score(df.filter("NOT is_train"), model).select("image_id", "label", "prediction")
+
+
 @register("svc_predict")
 def svc_predict(spark, sf_dir):
     """M2: linear SVM (10 iterations, regParam 0.3) predictions on the test split."""

@@ -1,0 +1,165 @@
+"""Profiles and naive Bayes models that are added up from batches."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.ml.classification import LinearSVC, MultilayerPerceptronClassifier, NaiveBayes
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
+
+from corvid.operators import nb_counts, profile, profile_sketch
+
+
+def _rows(spark, seed=1, n=6000):
+    r = random.Random(seed)
+    return spark.createDataFrame(
+        [(i, r.choice([None, r.gauss(0, 9)]), r.choice(["", None, "a", str(r.randrange(3000))]), str(r.randrange(40)),
+          float("nan") if i % 500 == 0 else float(r.randrange(9000))) for i in range(n)],
+        "id long, x double, mixed string, digits string, wide double")
+
+
+def test_merged_summaries_equal_the_direct_profile(spark):
+    df = _rows(spark)
+    direct = {r.col_name: r for r in profile.profile(df).collect()}
+    parts = [df.filter(F.col("id") % 7 == k) for k in range(7)] + [df.filter("id < 0")]  # one empty batch
+    sums = [profile_sketch.summarize(p) for p in parts]
+    ways = [profile_sketch.merge(sums),
+            profile_sketch.merge([profile_sketch.merge(sums[:3]), profile_sketch.merge(sums[3:])]),
+            profile_sketch.merge([profile_sketch.summarize(df)])]
+    for merged in ways:
+        got = {r.col_name: r for r in profile_sketch.read(merged).collect()}
+        assert set(got) == set(direct)
+        for c, d in direct.items():
+            g = got[c]
+            assert (g.non_empty, g.n_bad, g.min) == (d.non_empty, d.n_bad, d.min)
+            assert g.max == d.max or (np.isnan(g.max) and np.isnan(d.max))
+            assert g.avg == d.avg or g.avg == pytest.approx(d.avg, rel=1e-9) or (np.isnan(g.avg) and np.isnan(d.avg))
+            assert abs(g.n_distinct - d.n_distinct) <= max(1, 0.06 * d.n_distinct)
+        for c in ("id", "x", "wide", "digits"):
+            v = np.sort([float(t[0]) for t in df.select(c).collect() if t[0] is not None and not np.isnan(float(t[0]))])
+            for q, est in zip(profile_sketch.QUANTILES, got[c].quantiles):
+                assert np.searchsorted(v, est, "left") / len(v) - 0.02 <= q <= np.searchsorted(v, est, "right") / len(v) + 0.02
+        assert got["mixed"].quantiles is None and got["mixed"].min is None
+
+
+def test_summaries_are_stored_and_reread(spark, tmpdir_path):
+    df = _rows(spark, 2, 500)
+    for k in range(3):  # one batch a day, appended
+        profile_sketch.summarize(df.filter(F.col("id") % 3 == k)).write.mode("append").parquet(tmpdir_path + "/sums")
+    got = profile_sketch.read(profile_sketch.merge(spark.read.parquet(tmpdir_path + "/sums"))).collect()
+    want = {r.col_name: (r.non_empty, r.n_bad) for r in profile.profile(df).collect()}
+    assert {r.col_name: (r.non_empty, r.n_bad) for r in got} == want
+
+
+def test_summary_of_an_empty_table(spark):
+    got = profile_sketch.read(profile_sketch.summarize(_rows(spark).filter("id < 0"))).collect()
+    assert len(got) == 5 and all((r.non_empty, r.n_bad, r.min, r.avg, r.quantiles) == (0, 0, None, None, None) for r in got)
+
+
+def _images(spark, n=300, width=6, classes=3):
+    r = np.random.default_rng(4)
+    rows = []
+    for i in range(n):
+        c = int(r.integers(classes))
+        rows.append((i, c, (r.random(width) * (1 + np.arange(width) * (c + 1))).tolist()))
+    return spark.createDataFrame(rows, "image_id long, label int, pixels array<double>")
+
+
+def test_counts_give_the_fitted_model_whatever_the_batches(spark):
+    df = _images(spark)
+    vec = df.withColumn("features", array_to_vector("pixels"))
+    fitted = NaiveBayes(smoothing=1.0, modelType="multinomial").fit(vec)
+    want = {r.image_id: r.prediction for r in fitted.transform(vec).collect()}
+    for cut in (1, 2, 5):
+        batches = [nb_counts.nb_counts(df.filter(F.col("image_id") % cut == k)) for k in range(cut)]
+        model = nb_counts.nb_model(nb_counts.merge_counts(batches))
+        theta = np.zeros((3, 6))
+        for r in model.filter("place >= 0").collect():
+            theta[r.label, r.place] = r.weight
+        assert np.allclose(theta, fitted.theta.toArray(), atol=1e-12)
+        prior = [r.weight for r in model.filter("place = -1").orderBy("label").collect()]
+        assert np.allclose(prior, fitted.pi.toArray(), atol=1e-12)
+        assert {r.image_id: r.prediction for r in nb_counts.nb_score(df, model).collect()} == want
+
+
+def test_counts_edges(spark):
+    df = _images(spark, 30)
+    odd = spark.createDataFrame([(100, None, [1.0] * 6), (101, 1, None)], df.schema)
+    model = nb_counts.nb_model(nb_counts.nb_counts(df.union(odd)))
+    plain = sorted(map(tuple, nb_counts.nb_model(nb_counts.nb_counts(df)).collect()))
+    assert np.allclose(sorted(map(tuple, model.collect())), plain, atol=1e-12)
+    short = spark.createDataFrame([(1, 0, [1.0]), (2, 0, None), (3, 0, [1.0, None, 2.0, 0.0, 0.0, 0.0])], df.schema)
+    got = {r.image_id: r.prediction for r in nb_counts.nb_score(short, model).collect()}
+    assert got[1] is None and got[2] is None and got[3] in (0.0, 1.0, 2.0)
+    assert [r.prediction for r in nb_counts.nb_score(short, nb_counts.nb_model(nb_counts.nb_counts(df.limit(0)))).collect()] == [None] * 3
+    with pytest.raises(Exception, match="non-negative"):
+        nb_counts.nb_counts(spark.createDataFrame([(1, 0, [-1.0])], df.schema)).collect()
+
+
+def _two_classes(spark):
+    r = np.random.default_rng(7)
+    y = r.integers(0, 2, 400)
+    x = r.standard_normal((400, 5)) * [1, 3, .5, 2, 1] + np.outer(y, [1.2, -1, .4, .8, 0])
+    df = spark.createDataFrame([(float(a), b.tolist()) for a, b in zip(y, x)], "label double, pixels array<double>")
+    return x, y, df.withColumn("features", array_to_vector("pixels"))
+
+
+def test_svc_against_a_plain_solver(spark):
+    """M2: the fitted weights reach the optimum that subgradient descent on the same loss finds."""
+    x, y, df = _two_classes(spark)
+    fitted = LinearSVC(maxIter=300, regParam=0.3, tol=1e-9).fit(df)
+    scale = x.std(axis=0, ddof=1)
+    z, sign = x / scale, 2 * y - 1
+
+    def loss(w, b):  # hinge on scaled columns, the penalty on their weights
+        return np.maximum(0, 1 - sign * (z @ w + b)).mean() + 0.15 * (w @ w)
+
+    w, b, best = np.zeros(5), 0.0, np.inf
+    for k in range(20000):
+        hit = sign * (z @ w + b) < 1
+        step = 1 / (0.3 * (k + 10))
+        w, b = w - step * (0.3 * w - (sign * hit) @ z / len(y)), b + 0.1 * step * (sign * hit).mean()
+        best = min(best, loss(w, b))
+    mine = loss(np.array(fitted.coefficients) * scale, fitted.intercept)
+    assert mine <= best * 1.002
+    margin = x @ np.array(fitted.coefficients) + fitted.intercept
+    assert [r.prediction for r in fitted.transform(df).collect()] == list((margin > 0).astype(float))
+
+
+def test_perceptron_against_plain_forward_and_gradient(spark):
+    """M3: predictions and probabilities are those of the plain network with the fitted weights, at a point where
+    the loss has (nearly) no slope left."""
+    x, y, df = _two_classes(spark)
+    fitted = MultilayerPerceptronClassifier(layers=[5, 5, 4, 2], blockSize=128, maxIter=500, tol=1e-10, seed=1).fit(df)
+    flat = np.array(fitted.weights)
+
+    def loss(weights):
+        at, h = 0, x
+        for a, b in ((5, 5), (5, 4), (4, 2)):
+            w = weights[at:at + a * b].reshape(a, b)  # stored by column of the transposed layer
+            bias = weights[at + a * b:at + a * b + b]
+            at += a * b + b
+            h = h @ w + bias
+            if b != 2:
+                h = 1 / (1 + np.exp(-h))
+        p = np.exp(h - h.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        return -np.log(p[np.arange(len(y)), y]).mean(), p
+
+    def by_layer(order):
+        out, at = [], 0
+        for a, b in ((5, 5), (5, 4), (4, 2)):
+            w = flat[at:at + a * b]
+            out += [(w.reshape(b, a).T if order == "F" else w.reshape(a, b)).reshape(-1), flat[at + a * b:at + a * b + b]]
+            at += a * b + b
+        return np.concatenate(out)
+
+    rows = fitted.transform(df).select(vector_to_array("probability").alias("p"), "prediction").collect()
+    got = np.array([r.p for r in rows])
+    plain = next(w for w in (by_layer("F"), by_layer("C")) if np.allclose(loss(w)[1], got, atol=1e-9))
+    assert [r.prediction for r in rows] == list(loss(plain)[1].argmax(axis=1).astype(float))
+    slope = [(loss(plain + e)[0] - loss(plain - e)[0]) / 2e-6 for e in 1e-6 * np.eye(len(plain))]
+    start = np.random.default_rng(1).standard_normal(len(plain))
+    steep = [(loss(start + e)[0] - loss(start - e)[0]) / 2e-6 for e in 1e-6 * np.eye(len(plain))]
+    assert np.linalg.norm(slope) < 0.1 * np.linalg.norm(steep) and loss(plain)[0] < loss(start)[0]
