@@ -215,7 +215,7 @@ def find_matches(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     items = _items(benchmark, item_col, text_col)
     total = items.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, -(-int(total) // block_words))
-    out = None
+    out, shared = None, []
     for k in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()
         block = [(r["item_id"], np.frombuffer(bytes(r["terms"]), dtype=np.uint64)) for r in rows]
@@ -223,6 +223,7 @@ def find_matches(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
             continue
         w = _Windows(block, window)
         sent = spark.sparkContext.broadcast(w)
+        shared.append(sent)
         n = shuffle_partitions(spark)
         found = index.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(
             lambda it, sent=sent: _match_batches(it, sent.value, slop),
@@ -230,7 +231,10 @@ def find_matches(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
         out = found if out is None else out.unionByName(found)
     if out is None:
         out = spark.createDataFrame([], "shard long, ordinal int, item_id string, kind string, start long, end long")
-    return stored(out, "matches")
+    out = stored(out, "matches")
+    for sent in shared:
+        sent.destroy()
+    return out
 
 
 def vocabulary_of(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text",

@@ -32,8 +32,9 @@ from corvid.llm.common import ship_package, shuffle_partitions, stored
 
 CAPACITY = 2048
 END_ID = 0
-CACHE_PARTS = 400_000  # per task process; the cache is emptied when full
-SEGMENT = 4 << 20  # bytes of one text that are split at a time
+CACHE_PARTS = 1 << 17  # per task process; the cache is emptied when full
+SLICE = 1 << 19  # bytes of texts that are tokenised at a time: encodings take many times the text
+SEGMENT = 1 << 19  # bytes of one text that are split at a time
 
 # Texts of these characters only (and without "<|", which may begin a special token) need no normalising but case;
 # the tokenizer's pattern then cuts them into these parts, which go straight to its BPE model, each distinct one once.
@@ -110,7 +111,7 @@ def _piece_batches(batches: Iterator[pa.RecordBatch], path: str, capacity: int,
     width = capacity * 4
     for batch in batches:
         ids = batch.column(0)
-        for lo, hi, raw, off in tn.slices(batch.column(1)):
+        for lo, hi, raw, off in tn.slices(batch.column(1), SLICE):
             row, piece, length, crc = [], [], [], []
             texts = [raw[off[i]:off[i + 1]].tobytes() for i in range(hi - lo)]
             found = text_ids(path, [t.decode("utf-8", "replace") for t in texts]) if hi - lo > 1 else None

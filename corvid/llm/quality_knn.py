@@ -197,10 +197,13 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     ``held_out`` marks ids whose crc32 mod 5 is 0 (false for a null id); their labels are
     never learnt.  Null and empty texts, and texts similar to no labelled one, score the
     share of label 1 in the sample (0.5 without any labelled row).  Repeated rows get
-    equal scores.  An empty table gives an empty result; other columns are not read.
+    equal scores.  ``result.shared`` is the broadcast model, to be destroyed once the result is
+    stored (else it stays for the session).  An empty table gives an empty result; other columns are not read.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col, label_col, sample, dims))
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     scored = base.mapInArrow(lambda it: _score_batches(it, model.value, k), "doc_id long, score double")
-    return scored.select("doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score",
-                         (F.col("score") >= F.lit(threshold)).cast("int").alias("predicted"))
+    out = scored.select("doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score",
+                        (F.col("score") >= F.lit(threshold)).cast("int").alias("predicted"))
+    out.shared = model
+    return out

@@ -33,6 +33,7 @@ _inv = np.ones(1, dtype=U)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tables of the hash's powers; those a slice needs are kept, longer ones (one long word) only while in use."""
     global _pow, _inv
     if len(_pow) < n:
         size = max(n, SLICE_BYTES + 1024)
@@ -40,7 +41,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         f[0] = 1
         g = np.full(size, _INV, dtype=U)
         g[0] = 1
-        _pow, _inv = np.cumprod(f), np.cumprod(g)
+        f, g = np.cumprod(f), np.cumprod(g)
+        if size > 2 * SLICE_BYTES:
+            return f[:n], g[:n]
+        _pow, _inv = f, g
     return _pow[:n], _inv[:n]
 
 
