@@ -31,7 +31,9 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     scores = quality_scores(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, scores.filter("predicted = 0"))
+    kept = _without(docs, scores.filter("predicted = 0"))  # the rejected ids are stored there
+    scores.shared.destroy()
+    return kept
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
