@@ -41,6 +41,30 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def _linked_sql(percent: int) -> str:
+    """DuckDB: components of documents by the plain definition (every pair with a common shingle is counted)."""
+    return rf"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS row_id, doc_id, list_filter(regexp_split_to_array(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+           lambda x: x <> '') AS w FROM documents),
+sets AS (
+  SELECT row_id, doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN CAST([] AS VARCHAR[])
+           WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words),
+shingles AS (SELECT row_id, len(s) AS n, unnest(s) AS t FROM sets),
+common AS (SELECT a.row_id AS x, b.row_id AS y, a.n + b.n AS total, count(*) AS c
+           FROM shingles a JOIN shingles b ON a.t = b.t AND a.row_id < b.row_id GROUP BY ALL),
+links AS (SELECT x, y FROM common WHERE 100 * c >= {percent} * (total - c)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT row_id AS n, row_id AS m FROM sets
+          UNION SELECT reach.n, both_ways.y FROM reach JOIN both_ways ON reach.m = both_ways.x),
+named AS (SELECT reach.n, min(doc_id) AS component_id FROM reach JOIN sets ON sets.row_id = reach.m GROUP BY reach.n)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM sets JOIN named ON named.n = sets.row_id
+"""
+
+
 @query("op3_exact_dedup", r"""
 SELECT doc_id,
        first_value(doc_id) OVER (PARTITION BY norm ORDER BY len DESC, doc_id) AS keep_id,
@@ -57,7 +81,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest"))
 
 
-@query("op10_minhash_dedup")
+@query("op10_minhash_dedup", f"""SELECT *, doc_id = component_id AS kept FROM ({_linked_sql(75)})""")
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents (5-word shingles, similarity of at least 0.75)."""
     return near_duplicates(table(spark, sf_dir, "documents"))
@@ -132,7 +156,7 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened_components(table(spark, sf_dir, "embeddings"))
 
 
-@query("op12_ngram_join")
+@query("op12_ngram_join", _linked_sql(80))
 def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents under a shingle similarity of at least 0.8."""
     return linked_documents(table(spark, sf_dir, "documents"))
