@@ -6,10 +6,11 @@ hexadecimal run.  A match that fails its length rule is dropped, but has used up
 
 Token efficiency: a byte-pair vocabulary packs natural language, code and identifiers
 into few tokens; random strings cost about a token per one and a half characters.  A
-run of ``[A-Za-z0-9+/=_-]`` of at least ``MIN_RUN`` characters with letters and digits
-is ``random`` if it has fewer than ``MAX_RATIO`` characters per token.  Known digests
-(hexadecimal of a hash's length), UUIDs, plain numbers and identifiers made of whole
-words and numbers are excluded first, as are runs inside a pattern's span.
+run of ``[A-Za-z0-9+/=_-]`` of at least ``MIN_RUN`` characters, with letters and digits or with
+a change from small to capital letters, is ``random`` if it has fewer than ``MAX_RATIO``
+characters per token (``SHORT_RATIO`` for a run of under ``LONG_RUN``).  Known digests
+(hexadecimal of a hash's length), UUIDs, plain numbers and identifiers (words, camel case,
+numbers and short codes joined by marks) are excluded first, as are runs inside a pattern's span.
 """
 
 from __future__ import annotations
@@ -32,14 +33,16 @@ ACCESS = re.compile("AKIA[A-Z0-9]+")
 HEX = re.compile("[0-9a-f]{16,}")  # a maximal run of 16 or more, as ``[0-9a-f]+`` would find it
 ASSIGN_MIN, ACCESS_MIN = 12, 18
 
-MIN_RUN, MAX_RATIO = 20, 2.2
+MIN_RUN, LONG_RUN, SHORT_RATIO, MAX_RATIO = 16, 20, 1.9, 2.2
 RUN = re.compile("[A-Za-z0-9+/=_-]{%d,}" % MIN_RUN)
-MIXED = re.compile("(?=.*[0-9])(?=.*[A-Za-z])", re.DOTALL)
+DIGIT, LETTER, CASE_CHANGE = re.compile("[0-9]"), re.compile("[A-Za-z]"), re.compile("[a-z][A-Z]")
 DIGEST = re.compile("(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}"
                     "|[0-9a-fA-F]{128})")
 UUID = re.compile("[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-# words and numbers joined by marks: order-2024-item-17, MAX_RETRY_3, src/main/v2
-IDENTIFIER = re.compile("(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]+|v[0-9]+)(?:[+/=_-]+(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]+|v[0-9]+))*")
+# words, camel case, numbers and short codes joined by marks: order-2024-item-17, MAX_RETRY_3, src/getUserName/v2, AB12-CD34
+_PART = ("(?:(?:[A-Z]{2,}|[A-Z]?[a-z]{2,})(?:[A-Z][a-z]{2,})*+|[A-Z]?[a-z]{2,11}[0-9]{1,4}|[A-Za-z]{1,4}[0-9]{1,4}"
+         "|[0-9]+[A-Za-z]?|[0-9]+T[0-9]+|v[0-9]+)")
+IDENTIFIER = re.compile(f"{_PART}(?:[+/=_-]+{_PART})*")
 
 _vocabularies: dict[str, object] = {}
 
@@ -55,9 +58,12 @@ def _vocabulary(path: str, pattern: str):
 
 def is_random(run: str, vocabulary) -> bool:
     """The token-efficiency test for one run."""
-    if not MIXED.match(run) or DIGEST.fullmatch(run) or UUID.fullmatch(run) or IDENTIFIER.fullmatch(run):
+    if not (DIGIT.search(run) and LETTER.search(run) or CASE_CHANGE.search(run)):
         return False
-    return len(run) < MAX_RATIO * len(vocabulary.encode_ordinary(run))
+    if DIGEST.fullmatch(run) or UUID.fullmatch(run) or IDENTIFIER.fullmatch(run):
+        return False
+    ratio = MAX_RATIO if len(run) >= LONG_RUN else SHORT_RATIO
+    return len(run) < ratio * len(vocabulary.encode_ordinary(run))
 
 
 def find_spans(text: str, vocabulary) -> list[tuple[int, int, int]]:
@@ -70,9 +76,11 @@ def find_spans(text: str, vocabulary) -> list[tuple[int, int, int]]:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_MIN]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     base = sorted(found)
+    at, reach = 0, 0  # base spans that start before the run, and the furthest end among them
     for m in RUN.finditer(text):
-        inside = any(s <= m.start() and m.end() <= e for s, _, e in base)
-        if not inside and is_random(m.group(), vocabulary):
+        while at < len(base) and base[at][0] <= m.start():
+            reach, at = max(reach, base[at][2]), at + 1
+        if m.end() > reach and is_random(m.group(), vocabulary):
             found.append((m.start(), 3, m.end()))
     return sorted(found)
 
