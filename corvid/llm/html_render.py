@@ -4,14 +4,15 @@ A tolerant tree builder (implied end tags, implied table rows, void and raw-text
 elements, visibility rules) drives a small renderer that keeps what a reader sees: all
 visible text, blank lines between paragraphs, line breaks between blocks, list markers
 with nested indents, preformatted text, and table cells in aligned columns.  One pass
-over the tags, no recursion.
+over the tags, no recursion; visibility holds at any depth.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,9 +24,11 @@ from corvid.llm.common import ship_package
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*>|[^<]+|<""",
                  re.DOTALL)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
-UNSEEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
-MAX_DEPTH = 512  # deeper start tags are not nested further
-MAX_COLUMN = 80  # wider columns are not padded
+NO_DISPLAY = re.compile(r"display\s*:\s*none", re.IGNORECASE)
+VISIBILITY = re.compile(r"visibility\s*:\s*(visible|hidden|collapse)", re.IGNORECASE)
+NUMBER = re.compile(r"\s*([+-]?[0-9]{1,9})")
+MAX_BOXES = 512  # list items and cells nested deeper are laid out as plain blocks
+MAX_PADDED = 8_000_000  # characters of a table with padding; beyond it, its widest columns are not padded
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset("head script style template noscript iframe noframes noembed object audio video canvas svg "
@@ -86,12 +89,14 @@ class _Box:
 
 class _Open:
     """An open element."""
-    __slots__ = ("tag", "box", "hidden", "closed", "pre", "number", "rows", "span")
+    __slots__ = ("tag", "box", "hidden", "unseen", "closed", "pre", "number", "rows", "span", "depth", "own")
 
-    def __init__(self, tag: str, box: _Box, hidden: bool, pre: bool):
+    def __init__(self, tag: str, box: _Box, hidden: bool, pre: bool, unseen: bool = False, depth: int = 0):
         self.tag, self.box, self.hidden, self.pre = tag, box, hidden, pre
+        self.unseen = unseen  # by visibility, which elements inside may lift
         self.closed = False  # details without ``open``
-        self.number = 0  # next number of an ordered list
+        self.number: int | None = None  # next number of an ordered list, or a list item's own
+        self.depth, self.own = depth, False  # boxes around the element, and whether it has one itself
         self.rows: list[list[tuple[str, int, int]]] = []  # of a table: (text, columns, rows) per cell
         self.span = (1, 1)
 
@@ -116,7 +121,11 @@ def _columns(rows: list[list[tuple[str, int, int]]]) -> str:
         for at, wide, text in row:
             if wide == 1:
                 width[at] = max(width.get(at, 0), *(len(x) for x in text.split("\n")))
-    width = {c: w if w <= MAX_COLUMN else 0 for c, w in width.items()}
+    lines = sum(max((text.count("\n") + 1 for _, _, text in row), default=0) for row in grid)
+    padded = lines * sum(width.values())
+    for c in sorted(width, key=width.get, reverse=True):
+        if padded > MAX_PADDED:
+            padded, width[c] = padded - lines * width[c], 0
     out = []
     for row in grid:
         cells = [(at, wide, text.split("\n")) for at, wide, text in row]
@@ -134,19 +143,19 @@ def _columns(rows: list[list[tuple[str, int, int]]]) -> str:
 class _Renderer:
     def __init__(self):
         self.stack = [_Open("", _Box(), False, False)]
-        self.count: dict[str, int] = {}
+        self.at: dict[str, list[int]] = {}  # tag -> places of its open elements in the stack
 
     def text(self, s: str) -> None:
         top = self.stack[-1]
-        if not (top.hidden or top.closed):
+        if not (top.hidden or top.closed or top.unseen):
             top.box.text(html.unescape(s) if "&" in s else s, top.pre)
 
     def start(self, tag: str, attributes: str) -> None:
-        if tag in ENDS_P and self.count.get("p"):
+        if tag in ENDS_P and self.at.get("p"):
             self._end_open(frozenset(["p"]), P_SCOPE)
         if tag in ENDS:
             self._end_open(*ENDS[tag])
-        if tag in ("td", "th") and self.count.get("table") and not self._has("tr", "table"):
+        if tag in ("td", "th") and self.at.get("table") and self._place(("tr",)) < self._place(_TABLE):
             self._push("tr", {})
         self._push(tag, {a.lower(): (v or "").strip("\"'") for a, v in ATTRIBUTE.findall(attributes)}
                    if attributes.strip(" /") else {})
@@ -154,70 +163,75 @@ class _Renderer:
     def _push(self, tag: str, given: dict[str, str]) -> None:
         top = self.stack[-1]
         hidden = top.hidden or (top.closed and tag != "summary") or tag in UNSEEN or "hidden" in given \
-            or (tag == "dialog" and "open" not in given) or bool(UNSEEN_STYLE.search(given.get("style", "")))
+            or (tag == "dialog" and "open" not in given) or bool(NO_DISPLAY.search(given.get("style", "")))
+        seen = VISIBILITY.findall(given.get("style", ""))
+        unseen = seen[-1].lower() != "visible" if seen else top.unseen
         if not hidden:
             if tag == "br":
                 top.box.lines, top.box.blank = min(top.box.lines + 1, 2), False
             elif tag in SPACE:
                 nested = tag in LISTS and any(e.tag == "li" for e in self.stack[-3:])
                 top.box.block(1 if nested else SPACE[tag])
-        if tag in VOID or len(self.stack) > MAX_DEPTH:
+        if tag in VOID:
             return
-        new = _Open(tag, top.box, hidden, top.pre or tag in ("pre", "textarea", "xmp"))
-        if tag in ("li", "td", "th", "caption"):
-            new.box = _Box()
+        new = _Open(tag, top.box, hidden, top.pre or tag in ("pre", "textarea", "xmp"), unseen, top.depth)
+        number = NUMBER.match(given.get("value" if tag == "li" else "start", "")) if tag in ("li", "ol") else None
+        new.number = int(number.group(1)) if number else 1 if tag == "ol" else None
+        if tag in ("li", "td", "th", "caption") and top.depth < MAX_BOXES:
+            new.box, new.own, new.depth = _Box(), True, top.depth + 1
             new.span = tuple(min(int(given[a]), 1000) if given.get(a, "").isdigit() and int(given[a]) else 1
                              for a in ("colspan", "rowspan"))
-        elif tag == "ol":
-            new.number = int(given["start"]) if given.get("start", "").isdigit() else 1
         elif tag == "details":
             new.closed = "open" not in given
         self.stack.append(new)
-        self.count[tag] = self.count.get(tag, 0) + 1
+        self.at.setdefault(tag, []).append(len(self.stack) - 1)
         if tag == "tr" and (table := self._nearest(_TABLE)):
             table.rows.append([])
 
     def end(self, tag: str) -> None:
-        if tag == "p" and not self.count.get("p"):
+        if tag == "p" and not self.at.get("p"):
             self._push("p", {})
         if tag == "br":
             self._push("br", {})
-        elif self.count.get(tag):
+        elif self.at.get(tag):
             self._end_open(frozenset([tag]), frozenset() if tag in ("table", "body", "html") else
                            _TABLE if tag in ("td", "th", "tr", "tbody", "thead", "tfoot", "caption") else
                            frozenset(("td", "th")))
 
     def _end_open(self, tags: frozenset, scope: frozenset) -> None:
         """End the innermost open element of ``tags`` and all inside it, unless an element of ``scope`` is nearer."""
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k].tag in tags:
-                while len(self.stack) > k:
-                    self._pop()
-                return
-            if self.stack[k].tag in scope:
-                return
+        k = self._place(tags)
+        if k > 0 and k >= self._place(scope):
+            while len(self.stack) > k:
+                self._pop()
 
-    def _has(self, tag: str, scope: str) -> bool:
-        return next((e.tag == tag for e in reversed(self.stack) if e.tag in (tag, scope)), False)
+    def _place(self, tags) -> int:
+        """Place of the innermost open element of ``tags`` in the stack, or -1."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=-1)
 
     def _nearest(self, tags: frozenset) -> _Open | None:
-        return next((e for e in reversed(self.stack) if e.tag in tags), None)
+        k = self._place(tags)
+        return self.stack[k] if k >= 0 else None
 
     def _pop(self) -> None:
         e = self.stack.pop()
-        self.count[e.tag] -= 1
+        if e.tag:
+            self.at[e.tag].pop()
         outer = self.stack[-1].box
         if e.hidden:
             return
-        if e.tag == "li":
+        if e.tag == "li" and e.own:
             holder = self._nearest(LISTS)
             mark = "- "
             if holder is not None and holder.tag == "ol":
+                holder.number = holder.number if e.number is None else e.number
                 mark = f"{holder.number}. "
                 holder.number += 1
             if value := e.box.value():
                 outer.text(mark + value.replace("\n", "\n" + " " * len(mark)).replace("\n" + " " * len(mark) + "\n", "\n\n"),
                            True)
+        elif e.tag in ("td", "th") and not e.own:
+            outer.blank = True
         elif e.tag in ("td", "th"):
             table = self._nearest(_TABLE)
             if table is None or not table.rows:
@@ -225,7 +239,7 @@ class _Renderer:
                 outer.blank = True
             else:
                 table.rows[-1].append((e.box.value(), *e.span))
-        elif e.tag == "caption" and (value := e.box.value()):
+        elif e.tag == "caption" and e.own and (value := e.box.value()):
             (self.stack[-2].box if len(self.stack) > 1 else outer).text(value, True)
             outer.block(1)
         elif e.tag == "table" and (value := _columns(e.rows)):
@@ -239,10 +253,34 @@ class _Renderer:
         return self.stack[0].box.value().strip()
 
 
+def _tag_ends(page: str) -> Callable[[int], bool]:
+    """Whether a tag that starts at a place ends at all, quotes taken into account: one pass over the page."""
+    marks = [m.start() for m in re.finditer("[\"'>]", page)]
+    outside = single = double = False  # is there an end, from here on, outside quotes and inside either kind?
+    ends = [False] * (len(marks) + 1)
+    for k in range(len(marks) - 1, -1, -1):
+        c = page[marks[k]]
+        if c == ">":
+            outside = True
+        elif c == '"':
+            outside, double = double, outside
+        else:
+            outside, single = single, outside
+        ends[k] = outside
+    return lambda at: ends[bisect_left(marks, at)]
+
+
 def render(page: str) -> str:
     """The visible text of one page."""
-    out, at = _Renderer(), 0
-    while m := TAG.match(page, at):
+    out, at, last, ends = _Renderer(), 0, page.rfind(">"), None
+    while at < len(page):
+        if page[at] == "<" and (at > last or ends and page[at + 1:at + 2] not in "!?" and not ends(at)):
+            if page.startswith("<!--", at):
+                break
+            out.text("<")
+            at += 1
+            continue
+        m = TAG.match(page, at)
         at = m.end()
         if tag := m.group(2):
             tag = tag.lower()
@@ -256,8 +294,10 @@ def render(page: str) -> str:
                 if tag in ("textarea", "xmp") and stop > at:
                     out.text(page[at:stop].strip("\n"))
                 at = stop
-        elif page[m.start()] != "<" or m.end() - m.start() == 1:
+        elif page[m.start()] != "<" or at - m.start() == 1:
             out.text(m.group())
+            if ends is None and m.group() == "<":
+                ends = _tag_ends(page)  # an unclosed quote: do not read on to the page's end for every tag
     return out.value()
 
 
