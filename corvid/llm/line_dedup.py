@@ -5,8 +5,9 @@ to equal lines).  Two lines are
 similar if the Jaccard similarity of their token sets is at least ``percent`` / 100;
 a line with a similar line before it, in (doc_id, line number) order, is removed.
 
-1. Lines are stored as arrays of word hashes.  Lines with equal words are one class;
-   all but the first line of a class go at once, so copies never meet in a join.
+1. Lines are stored as text with single blanks between words.  Equal lines are one class (128 bits of
+   hashes); all but the first line of a class go at once, so copies never meet in a join and their
+   words are never cut.
 2. Rarity: the words of all lines are counted in a fixed number of hash buckets.
    The counts make a small table (its size is a constant) that orders tokens, by the
    frequency of their last word and then by hash, the same way in every line: rarest
@@ -30,10 +31,14 @@ from corvid.llm.common import release, stored
 from corvid.plans.joins import broadcast_if_small
 
 SHINGLE = 5
-MIN_WORDS = 4  # shorter lines are never removed, unless every line takes part
-# white space of any kind, and the scripts written without it (Thai to Khmer, kana, Han)
-_SPACES = r"[\\s\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+"
+# white space of any kind but the newline, and the scripts written without it (Thai to Khmer, kana, Han)
+_SPACES = "\t\x0b\f\r\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+_MAY_HAVE_SPACES = r"[\t\x0B\f\r\x{85}\x{A0}\x{1680}\x{2000}-\x{3000}]"  # a quick test, true for more texts than need it
 _UNSPACED = r"[\\x{E00}-\\x{EFF}\\x{1000}-\\x{109F}\\x{1780}-\\x{17FF}\\x{3040}-\\x{30FF}\\x{3400}-\\x{9FFF}\\x{20000}-\\x{323AF}]"
+# a line without blanks in a script that has none is a sequence of characters
+_WORDS = (f"CASE WHEN NOT contains(line, ' ') AND line RLIKE '{_UNSPACED}' THEN array_remove(split(line, ''), '') "
+          "ELSE split(line, ' ') END")
+_HASHES = f"transform({_WORDS}, x -> xxhash64(x))"
 RARITY_BUCKETS = 4096
 BITMAP_WORDS = 8  # 64-bit words of a line's bitmap
 FIRST_TOKENS = 3
@@ -42,23 +47,15 @@ _LAST = 2 ** 63 - 1
 _REST = "100000000"
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, min_words: int, every_line: bool) -> DataFrame:
-    """Lines of at least ``min_words`` words: ``d, line_no, k1, k2, h`` (64-bit word hashes)."""
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Lines that are not blank, words parted by single blanks: ``d, line_no, k1, k2, line``."""
     d = F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("d")
-    lines = docs.select(d, F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
-    # most lines have single blanks between words: nothing to remove from their split
-    cut = ("CASE WHEN contains(line, '  ') OR startswith(line, ' ') OR endswith(line, ' ') "
-           "THEN array_remove(split(line, ' '), '') ELSE split(line, ' ') END")
-    if every_line:
-        min_words = 1
-        lines = lines.withColumn("line", F.expr(f"CASE WHEN line RLIKE '{_SPACES[:-1]}' AND line RLIKE '[^ \\\\S]|[^\\\\x00-\\\\x7F]' "
-                                                f"THEN regexp_replace(line, '{_SPACES}', ' ') ELSE line END"))
-        # a line without blanks in a script that has none is a sequence of characters
-        cut = (f"CASE WHEN NOT contains(trim(line), ' ') AND line RLIKE '{_UNSPACED}' "
-               f"THEN array_remove(split(trim(line), ''), '') ELSE array_remove({cut}, '') END")
-    words = lines.select("d", "line_no", F.expr(f"transform({cut}, x -> xxhash64(x))").alias("h"))
-    return (words.filter(F.size("h") >= min_words)
-            .select("d", "line_no", F.xxhash64("h").alias("k1"), F.xxhash64(F.lit(7), "h").alias("k2"), "h"))
+    text = F.col(text_col)
+    text = F.when(text.rlike(_MAY_HAVE_SPACES), F.translate(text, _SPACES, " " * len(_SPACES))).otherwise(text)
+    line = F.trim("line")
+    lines = (docs.select(d, F.posexplode(F.split(text, "\n")).alias("line_no", "line")).filter(line != "")
+             .withColumn("line", F.when(F.contains("line", F.lit("  ")), F.regexp_replace(line, " +", " ")).otherwise(line)))
+    return lines.select("d", "line_no", F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(7), "line").alias("k2"), "line")
 
 
 def _shingle_hashes(last: str = "xxhash64(a, y)") -> str:
@@ -70,13 +67,13 @@ def _shingle_hashes(last: str = "xxhash64(a, y)") -> str:
     fours = f"zip_with({{0}}, slice({{0}}, 3, {_REST}), (x, y) -> xxhash64(x, y))"
     # each step is computed once: transform over a one-element array binds it
     return (f"element_at(transform(array({pairs}), p -> element_at(transform(array({fours.format('p')}), "
-            f"q -> slice(zip_with(q, slice(h, 5, {_REST}), (a, y) -> {last}), 1, size(h) - 4)), 1)), 1)")
+            f"q -> slice(zip_with(q, slice(h, 5, {_REST}), (a, y) -> {last}), 1, greatest(size(h) - 4, 0))), 1)), 1)")
 
 
 def _rarity(lines: DataFrame) -> str:
     """A constant array: for each bucket of words the rank (logarithm) of how often they occur in all lines."""
-    counts = (lines.select(F.explode("h").alias("x"))
-              .groupBy(F.col("x").bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int").alias("bucket"))
+    counts = (lines.select(F.explode(F.expr(_WORDS)).alias("x"))
+              .groupBy(F.xxhash64("x").bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int").alias("bucket"))
               .agg(F.floor(F.log2(F.count(F.lit(1)).cast("double")) * 2).alias("rank")))
     rank = [0] * RARITY_BUCKETS
     for r in counts.collect():  # RARITY_BUCKETS rows at most
@@ -86,9 +83,10 @@ def _rarity(lines: DataFrame) -> str:
 
 def _tokens(rank: str) -> Column:
     """Distinct tokens of a line in ascending rarity order: rank of the last word in the top byte, hash below."""
-    key = (f"shiftleft(cast(coalesce(get({rank}, cast(y & {RARITY_BUCKETS - 1} AS int)), 0) AS bigint), 56) "
+    key = (f"shiftleft(cast(coalesce(get({rank}, cast(xxhash64(y) & {RARITY_BUCKETS - 1} AS int)), 0) AS bigint), 56) "
            f"| (xxhash64(a, y) & {2 ** 56 - 1}L)")
-    return F.expr(f"sort_array(array_distinct({_shingle_hashes(key)}))")
+    # the words are cut once: transform over a one-element array binds them
+    return F.expr(f"element_at(transform(array({_WORDS}), h -> sort_array(array_distinct({_shingle_hashes(key)}))), 1)")
 
 
 def _need(n: Column, percent: int) -> Column:
@@ -157,8 +155,11 @@ def _with_earlier(asking: DataFrame, postings: DataFrame, lines: DataFrame, maps
             .select("d", "line_no", F.expr(f"array_distinct({_shingle_hashes()})").alias("t")))
     x, y = mine.join(sets, ["d", "line_no"]).alias("x"), partners.join(sets, ["d", "line_no"]).alias("y")
     common = F.size(F.array_intersect("x.t", "y.t"))
-    return stored(x.join(y, _plausible(percent) & _earlier("y", "x") & _bitmaps_allow(percent)
-                         & (common >= _least(percent)), "left_semi").select("d", "line_no").distinct(), name)
+    out = stored(x.join(y, _plausible(percent) & _earlier("y", "x") & _bitmaps_allow(percent)
+                        & (common >= _least(percent)), "left_semi").select("d", "line_no").distinct(), name)
+    release(mine)
+    release(partners)
+    return out
 
 
 def _sent(df: DataFrame) -> DataFrame:
@@ -167,20 +168,17 @@ def _sent(df: DataFrame) -> DataFrame:
     return small if small is not None else df
 
 
-def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
-                  min_words: int = MIN_WORDS, every_line: bool = False) -> DataFrame:
+def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
     """Lines that repeat an earlier one: ``doc_id, line_no`` (from 0) ``, reason`` (``exact`` or ``similar``).
 
-    Lines are cut at newlines and words at blanks, as written.  Lines of fewer than
-    ``min_words`` words are never removed, nor are null and empty texts.  With ``every_line``, all lines that are not
-    blank take part, words are cut at white space of any kind, and a line without any, in a script
-    written without it, is taken character by character.  A line's
-    place is (doc_id, line_no), null ids last; rows that repeat a doc_id are the same
-    document and lose the same lines.  An empty table gives an empty result; other columns
-    are not read.
+    Lines are cut at newlines and words at white space of any kind; a line without any, in a script
+    written without it, is taken character by character.  Every line that is not blank takes part; lines of
+    up to ``SHINGLE`` words are similar to equal lines only.  Null and empty texts have no lines to remove.
+    A line's place is (doc_id, line_no), null ids last; rows that repeat a doc_id are the same
+    document and lose the same lines, and rows without an id are one document.  An empty table gives an
+    empty result; other columns are not read.
     """
-    # word hashes hardly repeat within a page: a dictionary would only cost time
-    lines = stored(_lines(docs, id_col, text_col, min_words, every_line), "lines", **{"parquet.enable.dictionary": "false"})
+    lines = stored(_lines(docs, id_col, text_col), "lines", compression="zstd")
     place = (F.col("d").cast("decimal(20,0)") * F.lit(2 ** 31).cast("decimal(11,0)") + F.col("line_no")
              ).cast("decimal(38,0)")
     repeated = stored(lines.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first"))
@@ -192,19 +190,23 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rank = _rarity(lines)
     prefix = F.col("n") - _need(F.col("n"), percent) + 1
     # a line of one token is similar to equal lines only
-    firsts = stored(marked.filter(is_first & (F.size("h") > SHINGLE)).select("d", "line_no", _tokens(rank).alias("t"))
+    long_enough = (F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) >= SHINGLE) | ~F.contains(
+        "line", F.lit(" "))
+    firsts = stored(marked.filter(is_first & long_enough).select("d", "line_no", _tokens(rank).alias("t"))
                     .select("d", "line_no", F.size("t").alias("n"), "t")
-                    .select("d", "line_no", "n", F.slice("t", F.lit(1), prefix).alias("t")), "prefixes",
+                    .filter("n > 0").select("d", "line_no", "n", F.slice("t", F.lit(1), prefix).alias("t")), "prefixes",
                     **{"parquet.enable.dictionary": "false"})
+    release(repeated)
     postings = firsts.select("d", "line_no", "n", F.posexplode("t").alias("i", "token"))
     shared = stored(postings.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("token"),
                     "tokens")
     postings = stored(postings.join(_sent(shared), "token", "left_semi"), "postings")
     release(firsts)
+    release(shared)
 
     # from here on only lines that share a prefix token with another one
     touched = stored(lines.join(_sent(postings.select("d", "line_no").distinct()), ["d", "line_no"], "left_semi")
-                     .select("d", "line_no", "h"), "touched", **{"parquet.enable.dictionary": "false"})
+                     .select("d", "line_no", F.expr(_HASHES).alias("h")), "touched", **{"parquet.enable.dictionary": "false"})
     release(lines)
     maps = stored(_bitmaps(touched), "bitmaps")
     light = postings.join(maps, ["d", "line_no"])
@@ -220,6 +222,8 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                           percent)
     rest = mine.join(_sent(first), ["d", "line_no"], "left_anti")
     similar = first.unionByName(_with_earlier(rest, postings, touched, maps, "rest", percent))
+    for done in (postings, touched, maps, asking):
+        release(done)
 
     of_id = F.when(F.col("d") != _LAST, F.col("d")).alias("doc_id")
     return (exact.select(of_id, "line_no", F.lit("exact").alias("reason"))

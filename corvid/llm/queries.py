@@ -111,11 +111,11 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document the lines that repeat an earlier line of the corpus."""
     docs = table(spark, sf_dir, "documents")
-    gone = (removed_lines(docs, every_line=True).groupBy("doc_id")
+    gone = (removed_lines(docs).groupBy("doc_id")
             .agg(F.count(F.lit(1)).alias("_removed"), F.count(F.when(F.col("reason") == "similar", 1)).alias("_similar"),
                  F.array_join(F.array_sort(F.collect_list("line_no")).cast("array<string>"), ",").alias("_lines")))
     sizes = docs.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
-    return sizes.join(gone, "doc_id", "left").select(
+    return sizes.join(gone.withColumnRenamed("doc_id", "_doc"), F.col("doc_id").eqNullSafe(F.col("_doc")), "left").select(
         "doc_id", "n_lines", F.coalesce("_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("_similar", F.lit(0)).cast("long").alias("n_similar"),
         F.coalesce("_lines", F.lit("")).alias("removed_lines"))

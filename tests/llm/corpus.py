@@ -62,13 +62,13 @@ def components(rows):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-def removed(rows, min_words=4):
+def removed(rows):
     """{doc_id: line numbers with a similar line before them}."""
     seen, out = [], defaultdict(list)
     for i, t in sorted(rows):
         for k, line in enumerate((t or "").split("\n")):
-            w = [x for x in line.split(" ") if x]
-            if len(w) < min_words:
+            w = re.findall(r"[^\s]+", line)
+            if not w:
                 continue
             s = frozenset(tuple(w[j:j + 5]) for j in range(max(1, len(w) - 4)))
             if any(100 * len(s & q) >= 75 * len(s | q) for q in seen):

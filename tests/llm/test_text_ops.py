@@ -121,11 +121,18 @@ def test_line_dedup_of_every_line(spark):
     rows = [(1, "\n".join(same)), (2, "\n".join(same)), (3, "one two three four five\n\n \t\n\u00a0\nread more\neins  zwei"),
             (4, "\n\n \t\n" + han[:-1] + "\n" + han[::-1] + "\nserial-100001"), (5, "serial-100002")]
     out = {}
-    for r in removed_lines(c.frame(spark, rows), every_line=True).collect():
+    for r in removed_lines(c.frame(spark, rows)).collect():
         out.setdefault(r.doc_id, {})[r.line_no] = r.reason
     assert out == {2: dict.fromkeys(range(5), "exact"), 3: {0: "exact", 5: "exact"}, 4: {3: "similar"}}
-    with_cut = {(r.doc_id, r.line_no) for r in removed_lines(c.frame(spark, rows)).collect()}
-    assert (2, 0) not in with_cut and (2, 4) not in with_cut
+
+
+def test_line_dedup_of_odd_rows(spark):
+    """Null ids are one document after all others; repeated rows lose the same lines; long lines take part."""
+    long = " ".join(f"w{k}" for k in range(20000))
+    rows = [(None, "alpha beta\nx"), (None, "y\nalpha beta"), (3, "alpha beta"), (5, "z\nz"), (5, "z\nz"),
+            (6, None), (7, ""), (8, long), (9, "first " + long)]
+    out = {(r.doc_id, r.line_no, r.reason) for r in removed_lines(c.frame(spark, rows)).collect()}
+    assert out == {(None, 0, "exact"), (None, 1, "exact"), (5, 1, "exact"), (9, 0, "similar")}
 
 
 def test_contamination(spark, docs):
