@@ -33,5 +33,5 @@ def register(name: str, sql: str | None = None):
 
 def all_queries() -> dict[str, NamedQuery]:
     # import for side effects: each module registers its queries
-    from corvid.plans import q_feed, q_geo, q_imaging, q_ml, q_paths, q_profile  # noqa: F401
+    from corvid.plans import q_feed, q_geo, q_imaging, q_ml, q_paths, q_profile, q_sources  # noqa: F401
     return dict(_REGISTRY)
