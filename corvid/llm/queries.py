@@ -65,6 +65,36 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM sets JOIN
 """
 
 
+def _lines_sql(percent: int) -> str:
+    """DuckDB: repeated lines by the plain definition (every pair of lines with a common shingle is counted)."""
+    spaces = r"[ \t\x0B\f\r\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+    unspaced = (r"[\x{E00}-\x{EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}"
+                r"\x{20000}-\x{323AF}]")
+    return rf"""
+WITH cut AS (SELECT coalesce(doc_id, 9223372036854775807) AS d, string_split(text, chr(10)) AS l FROM documents),
+raw AS (SELECT d, unnest(range(len(l))) AS line_no, unnest(l) AS l FROM cut WHERE l IS NOT NULL),
+lines AS (SELECT DISTINCT d, line_no, trim(regexp_replace(l, '{spaces}', ' ', 'g'), ' ') AS line FROM raw),
+placed AS (SELECT *, rank() OVER (PARTITION BY line ORDER BY d, line_no) AS k FROM lines WHERE line <> ''),
+words AS (SELECT d, line_no, line, CASE WHEN NOT contains(line, ' ') AND regexp_matches(line, '{unspaced}')
+                 THEN string_split(line, '') ELSE string_split(line, ' ') END AS w FROM placed WHERE k = 1),
+sets AS (SELECT d, line_no, list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+         FROM words WHERE len(w) > 5 OR (len(w) = 5 AND NOT contains(line, ' '))),
+shingles AS (SELECT d, line_no, len(s) AS n, unnest(s) AS t FROM sets),
+similar_lines AS (
+  SELECT DISTINCT d, line_no FROM (
+    SELECT x.d, x.line_no, count(*) AS c, x.n + y.n AS total
+    FROM shingles x JOIN shingles y ON x.t = y.t AND (y.d < x.d OR (y.d = x.d AND y.line_no < x.line_no))
+    GROUP BY x.d, x.line_no, y.d, y.line_no, x.n, y.n) WHERE 100 * c >= {percent} * (total - c)),
+gone AS (SELECT d, line_no, 0 AS alike FROM placed WHERE k > 1
+         UNION ALL SELECT d, line_no, 1 AS alike FROM similar_lines),
+listed AS (SELECT d, count(*) AS n, CAST(sum(alike) AS BIGINT) AS n_alike,
+                  string_agg(CAST(line_no AS VARCHAR), ',' ORDER BY line_no) AS places FROM gone GROUP BY d)
+SELECT doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS n_lines, coalesce(n, 0) AS n_removed,
+       coalesce(n_alike, 0) AS n_similar, coalesce(places, '') AS removed_lines
+FROM documents LEFT JOIN listed ON listed.d = coalesce(doc_id, 9223372036854775807)
+"""
+
+
 @query("op3_exact_dedup", r"""
 SELECT doc_id,
        first_value(doc_id) OVER (PARTITION BY norm ORDER BY len DESC, doc_id) AS keep_id,
@@ -107,7 +137,7 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query("op9_line_dedup")
+@query("op9_line_dedup", _lines_sql(75))
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document the lines that repeat an earlier line of the corpus."""
     docs = table(spark, sf_dir, "documents")
