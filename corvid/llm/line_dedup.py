@@ -42,7 +42,7 @@ _HASHES = f"transform({_WORDS}, x -> xxhash64(x))"
 RARITY_BUCKETS = 4096
 BITMAP_WORDS = 8  # 64-bit words of a line's bitmap
 FIRST_TOKENS = 3
-MAX_SENT = 4_000_000
+MAX_SENT = 500_000  # rows of a broadcast: the driver holds several at once, each several times its size in longs
 _LAST = 2 ** 63 - 1
 _REST = "100000000"
 

@@ -135,6 +135,14 @@ def test_line_dedup_of_odd_rows(spark):
     assert out == {(None, 0, "exact"), (None, 1, "exact"), (5, 1, "exact"), (9, 0, "similar")}
 
 
+def test_line_dedup_without_broadcasts(docs, monkeypatch):
+    """Beyond the bound of a broadcast the joins are shuffle joins with the same rows."""
+    from corvid.llm import line_dedup as ld
+    want = sorted(map(tuple, removed_lines(docs).collect()))
+    monkeypatch.setattr(ld, "MAX_SENT", 0)
+    assert sorted(map(tuple, removed_lines(docs).collect())) == want and want
+
+
 def test_contamination(spark, docs):
     long = max((t or "" for _, t in ROWS), key=len).split(" ")
     items = [(1, " ".join(long[100:140])), (2, " ".join(long[130:150]).upper()), (3, "one"), (4, None), (5, ""), (6, "?!"),
@@ -165,6 +173,25 @@ def test_empty_table(spark, op):
     assert op(c.frame(spark, [])).count() == 0
 
 
+def _with_sql():
+    from corvid.llm.queries import ORACLES
+    return sorted(ORACLES)
+
+
+@pytest.mark.parametrize("name", _with_sql())
+def test_query_matches_its_sql(spark, name):
+    import os
+    import sys
+    from types import SimpleNamespace
+    sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", "..", "tools"))
+    from check_oracle import compare, duck
+
+    from corvid.llm.queries import ORACLES, QUERIES
+    sf = "/root/testdata/sf0.001"
+    r = compare(spark, duck(sf), name, SimpleNamespace(build=QUERIES[name], sql=ORACLES[name]), sf)
+    assert r["status"] == "ok", r
+
+
 def test_contract_query_columns(spark):
     from corvid.llm.queries import QUERIES
     sf = "/root/testdata/sf0.001"
