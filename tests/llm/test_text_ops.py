@@ -143,6 +143,30 @@ def test_line_dedup_without_broadcasts(docs, monkeypatch):
     assert sorted(map(tuple, removed_lines(docs).collect())) == want and want
 
 
+def test_line_dedup_of_repeated_shingles_and_places(spark):
+    """Lines with repeated shingles, and different lines at one place (repeated and null ids), against all pairs."""
+    words = [f"w{k}" for k in range(12)]
+    rows = [(1, " ".join(words * 3)), (2, " ".join(words * 4)), (2, " ".join(words + words[:6])), (3, "a " * 9), (4, "a " * 12),
+            (None, " ".join(reversed(words))), (None, " ".join([*reversed(words), "x"])), (5, " ".join(words[::2]))]
+    out = {(r.doc_id, r.line_no, r.reason) for r in removed_lines(c.frame(spark, rows)).collect()}
+    # both lines of document 2 are at place (2, 0); those without an id share a place, so none is earlier
+    assert out == {(2, 0, "similar"), (4, 0, "similar")}
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    """The files of a shuffle go with the write of the table it makes; the session's setting stays."""
+    from corvid.llm import common
+
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(k).getName() for k in range(found.size())}
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = files(), spark.conf.get(name)
+    out = common.stored(spark.range(5000).repartition(3, "id"), "shuffled")
+    assert not [x for x in files() - before if x.startswith("shuffle_")]
+    assert out.count() == 5000 and spark.conf.get(name) == setting
+
+
 def test_contamination(spark, docs):
     long = max((t or "" for _, t in ROWS), key=len).split(" ")
     items = [(1, " ".join(long[100:140])), (2, " ".join(long[130:150]).upper()), (3, "one"), (4, None), (5, ""), (6, "?!"),
