@@ -16,15 +16,18 @@ a line with a similar line before it, in (doc_id, line number) order, is removed
    ``n - ceil(t * n) + 1``.  Tokens that occur in one line's prefix only are dropped
    after a count; for nearly all lines nothing is left.
 4. What is left is joined on the token as a semi-join: a line asks whether some
-   earlier line passes the length filter, the positional filter and the exact
-   Jaccard test.  It yields each line once at most, however large a group of alike
-   lines is; pairs are never listed.  A first semi-join with the cheap filters and a
-   bitmap bound on the overlap picks the lines whose full token sets have to take part.
+   earlier line passes the length filter, the positional filter, a bitmap bound on the overlap
+   and the exact Jaccard test.  It yields each line once at most, however large a group of alike
+   lines is; pairs are never listed.  A first semi-join with the cheap filters
+   picks the lines whose full token sets have to take part.
+
+Joins of tables that grow with the input are shuffle joins at every size; generators are outer ones, as
+Spark infers from others a filter that cuts the text a second time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvid.llm.common import release, stored
@@ -41,8 +44,8 @@ _WORDS = (f"CASE WHEN NOT contains(line, ' ') AND line RLIKE '{_UNSPACED}' THEN
 _HASHES = f"transform({_WORDS}, x -> xxhash64(x))"
 RARITY_BUCKETS = 4096
 BITMAP_WORDS = 8  # 64-bit words of a line's bitmap
-FIRST_TOKENS = 3
-MAX_SENT = 500_000  # rows of a broadcast: the driver holds several at once, each several times its size in longs
+MAX_SENT = 10_000  # rows of a broadcast; larger tables are shuffled, at every size of the input
+_LINE = ["d", "line_no", "k1"]  # rows that repeat a doc_id may have different lines at a place
 _LAST = 2 ** 63 - 1
 _REST = "100000000"
 
@@ -53,7 +56,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.col(text_col)
     text = F.when(text.rlike(_MAY_HAVE_SPACES), F.translate(text, _SPACES, " " * len(_SPACES))).otherwise(text)
     line = F.trim("line")
-    lines = (docs.select(d, F.posexplode(F.split(text, "\n")).alias("line_no", "line")).filter(line != "")
+    lines = (docs.select(d, F.posexplode_outer(F.split(text, "\n")).alias("line_no", "line")).filter(line != "")
              .withColumn("line", F.when(F.contains("line", F.lit("  ")), F.regexp_replace(line, " +", " ")).otherwise(line)))
     return lines.select("d", "line_no", F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(7), "line").alias("k2"), "line")
 
@@ -72,7 +75,7 @@ def _shingle_hashes(last: str = "xxhash64(a, y)") -> str:
 
 def _rarity(lines: DataFrame) -> str:
     """A constant array: for each bucket of words the rank (logarithm) of how often they occur in all lines."""
-    counts = (lines.select(F.explode(F.expr(_WORDS)).alias("x"))
+    counts = (lines.select(F.explode_outer(F.expr(_WORDS)).alias("x"))
               .groupBy(F.xxhash64("x").bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int").alias("bucket"))
               .agg(F.floor(F.log2(F.count(F.lit(1)).cast("double")) * 2).alias("rank")))
     rank = [0] * RARITY_BUCKETS
@@ -105,27 +108,27 @@ def _least(percent: int) -> Column:
 
 
 def _plausible(percent: int) -> Column:
-    """Same token, length filter, positional filter (tokens up to the shared one, and after it)."""
+    """Same token, length filter, positional filter (tokens up to the shared one, and after it), bitmaps."""
     nx, ny, i, j = F.col("x.n"), F.col("y.n"), F.col("x.i"), F.col("y.i")
-    return ((F.col("x.token") == F.col("y.token"))
+    return ((F.col("x.token") == F.col("y.token")) & _earlier("y", "x")
             & (ny * 100 >= nx * percent) & (nx * 100 >= ny * percent)
-            & (F.least(i, j) + F.least(nx - i, ny - j) >= _least(percent)))
+            & (F.least(i, j) + F.least(nx - i, ny - j) >= _least(percent)) & _bitmaps_allow(percent))
 
 
 def _bitmaps(lines: DataFrame) -> DataFrame:
     """``b0..b7`` per line: a bit for (the hash of) each of its tokens."""
-    x = lines.select("d", "line_no", F.expr(f"inline({_windows('h')}) AS (w0, w1, w2, w3, w4)")).select(
-        "d", "line_no", F.expr("xxhash64(w0, w1, w2, w3, w4)").alias("x"))
+    x = lines.select(*_LINE, F.expr(f"inline_outer({_windows('h')}) AS (w0, w1, w2, w3, w4)")).select(
+        *_LINE, F.expr("xxhash64(w0, w1, w2, w3, w4)").alias("x"))
     bit = F.expr("shiftleft(1L, cast(x & 63 AS int))")
     word = F.expr(f"cast(shiftrightunsigned(x, 6) & {BITMAP_WORDS - 1} AS int)")
-    return x.groupBy("d", "line_no").agg(*[F.bit_or(F.when(word == k, bit).otherwise(F.lit(0))).alias(f"b{k}")
-                                           for k in range(BITMAP_WORDS)])
+    return x.groupBy(*_LINE).agg(*[F.bit_or(F.when(word == k, bit).otherwise(F.lit(0))).alias(f"b{k}")
+                                   for k in range(BITMAP_WORDS)])
 
 
 def _windows(array: str) -> str:
     """The array's 5-word windows as structs."""
     shifted = ", ".join([array, *(f"slice({array}, {j}, {_REST})" for j in range(2, SHINGLE + 1))])
-    return f"slice(arrays_zip({shifted}), 1, size({array}) - {SHINGLE - 1})"
+    return f"slice(arrays_zip({shifted}), 1, greatest(size({array}) - {SHINGLE - 1}, 0))"
 
 
 def _bitmaps_allow(percent: int) -> Column:
@@ -139,27 +142,11 @@ def _bitmaps_allow(percent: int) -> Column:
             & (F.col("y.n") - only("y", "x") >= _least(percent)))
 
 
-def _with_earlier(asking: DataFrame, postings: DataFrame, lines: DataFrame, maps: DataFrame, name: str,
-                  percent: int) -> DataFrame:
-    """Lines of ``asking`` (postings) that are similar to an earlier line with the same token.
-
-    Only postings of earlier lines that pass the cheap filters for some asking line carry
-    their token set into the exact join.
-    """
-    mine = stored(asking.join(maps, ["d", "line_no"]), name)
-    tokens = _sent(mine.select("token").distinct())
-    x, y = mine.alias("x"), postings.join(tokens, "token", "left_semi").join(maps, ["d", "line_no"]).alias("y")
-    partners = stored(y.join(x, _plausible(percent) & _earlier("y", "x") & _bitmaps_allow(percent), "left_semi"), name)
-    needed = _sent(mine.select("d", "line_no").unionByName(partners.select("d", "line_no")).distinct())
-    sets = (lines.join(needed, ["d", "line_no"], "left_semi")
-            .select("d", "line_no", F.expr(f"array_distinct({_shingle_hashes()})").alias("t")))
-    x, y = mine.join(sets, ["d", "line_no"]).alias("x"), partners.join(sets, ["d", "line_no"]).alias("y")
-    common = F.size(F.array_intersect("x.t", "y.t"))
-    out = stored(x.join(y, _plausible(percent) & _earlier("y", "x") & _bitmaps_allow(percent)
-                        & (common >= _least(percent)), "left_semi").select("d", "line_no").distinct(), name)
-    release(mine)
-    release(partners)
-    return out
+def _similar(asking: DataFrame, partners: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The lines of ``asking`` (postings) whose full set is similar to that of a partner with the same token."""
+    x, y = asking.join(sets, _LINE).alias("x"), partners.join(sets, _LINE).alias("y")
+    return x.join(y, _plausible(percent) & (F.size(F.array_intersect("x.s", "y.s")) >= _least(percent)),
+                  "left_semi").select(*_LINE).distinct()
 
 
 def _sent(df: DataFrame) -> DataFrame:
@@ -188,42 +175,43 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     exact = stored(marked.filter(~is_first).select("d", "line_no").distinct(), "exact")
 
     rank = _rarity(lines)
-    prefix = F.col("n") - _need(F.col("n"), percent) + 1
     # a line of one token is similar to equal lines only
     long_enough = (F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) >= SHINGLE) | ~F.contains(
         "line", F.lit(" "))
-    firsts = stored(marked.filter(is_first & long_enough).select("d", "line_no", _tokens(rank).alias("t"))
-                    .select("d", "line_no", F.size("t").alias("n"), "t")
-                    .select("d", "line_no", "n", F.slice("t", F.lit(1), prefix).alias("t")), "prefixes",
+    prefix = F.col("n") - _need(F.col("n"), percent) + 1
+    firsts = stored(marked.filter(is_first & long_enough).select(*_LINE, _tokens(rank).alias("t"))
+                    .select(*_LINE, F.size("t").alias("n"), F.slice("t", F.lit(1), prefix).alias("t")), "prefixes",
                     **{"parquet.enable.dictionary": "false"})
     release(repeated)
-    postings = firsts.select("d", "line_no", "n", F.posexplode("t").alias("i", "token"))
-    shared = stored(postings.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("token"),
-                    "tokens")
-    postings = stored(postings.join(_sent(shared), "token", "left_semi"), "postings")
+    of_token = Window.partitionBy("token")
+    postings = stored(firsts.select(*_LINE, "n", F.posexplode_outer("t").alias("i", "token")).filter("token IS NOT NULL")
+                      .withColumn("_shared", F.min("k1").over(of_token) < F.max("k1").over(of_token))
+                      .filter("_shared").drop("_shared"), "postings", compression="zstd")
     release(firsts)
-    release(shared)
 
     # from here on only lines that share a prefix token with another one
-    touched = stored(lines.join(_sent(postings.select("d", "line_no").distinct()), ["d", "line_no"], "left_semi")
-                     .select("d", "line_no", F.expr(_HASHES).alias("h")), "touched", **{"parquet.enable.dictionary": "false"})
+    touched = stored(lines.join(postings.select(*_LINE).distinct(), _LINE, "left_semi")
+                     .select(*_LINE, F.expr(_HASHES).alias("h")), "touched", **{"parquet.enable.dictionary": "false"})
     release(lines)
-    maps = stored(_bitmaps(touched), "bitmaps")
-    light = postings.join(maps, ["d", "line_no"])
+    light = stored(postings.join(_bitmaps(touched), _LINE), "light", compression="zstd")
+    release(postings)
     x, y = light.alias("x"), light.alias("y")
-    asking = stored(x.join(y, _plausible(percent) & _earlier("y", "x") & _bitmaps_allow(percent), "left_semi")
-                    .select("d", "line_no").distinct(), "asking")
-
-    # The exact test: first on the few rarest shared tokens, then, for lines that found nothing, on all of them.
-    mine = postings.join(_sent(asking), ["d", "line_no"], "left_semi")
-    rarest = (mine.groupBy("d", "line_no").agg(F.slice(F.sort_array(F.collect_set("token")), 1, FIRST_TOKENS).alias("t"))
-              .select("d", "line_no", F.explode("t").alias("token")))
-    first = _with_earlier(mine.join(rarest, ["d", "line_no", "token"], "left_semi"), postings, touched, maps, "first",
-                          percent)
-    rest = mine.join(_sent(first), ["d", "line_no"], "left_anti")
-    similar = first.unionByName(_with_earlier(rest, postings, touched, maps, "rest", percent))
-    for done in (postings, touched, maps, asking):
+    mine = stored(x.join(y, _plausible(percent), "left_semi"), "asking")
+
+    # The exact test, for the tokens that found a plausible partner: only these lines' full sets take part.
+    x, y = mine.alias("x"), light.join(mine.select("token").distinct(), "token", "left_semi").alias("y")
+    partners = stored(y.join(x, _plausible(percent), "left_semi"), "partners")
+    needed = mine.select(*_LINE).unionByName(partners.select(*_LINE)).distinct()
+    sets = stored(touched.join(needed, _LINE, "left_semi")
+                  .select(*_LINE, F.expr(f"array_distinct({_shingle_hashes()})").alias("s")), "sets",
+                  **{"parquet.enable.dictionary": "false"})
+    # first on the lowest token of a line, then, for lines that found nothing, on all of them
+    lowest = mine.join(mine.groupBy(*_LINE).agg(F.min("token").alias("_low")), _LINE).filter("token = _low").drop("_low")
+    first = stored(_similar(lowest, partners, sets, percent), "first")
+    rest = stored(_similar(mine.join(first, _LINE, "left_anti"), partners, sets, percent), "rest")
+    for done in (touched, light, mine, partners, sets):
         release(done)
+    similar = first.unionByName(rest).select("d", "line_no").distinct()
 
     of_id = F.when(F.col("d") != _LAST, F.col("d")).alias("doc_id")
     return (exact.select(of_id, "line_no", F.lit("exact").alias("reason"))
