@@ -27,6 +27,8 @@ Spark infers from others a filter that cuts the text a second time.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +46,7 @@ _WORDS = (f"CASE WHEN NOT contains(line, ' ') AND line RLIKE '{_UNSPACED}' THEN
 _HASHES = f"transform({_WORDS}, x -> xxhash64(x))"
 RARITY_BUCKETS = 4096
 BITMAP_WORDS = 8  # 64-bit words of a line's bitmap
+WAVES = 2  # parts of the prefix tokens that are shuffled one after another
 MAX_SENT = 10_000  # rows of a broadcast; larger tables are shuffled, at every size of the input
 _LINE = ["d", "line_no", "k1"]  # rows that repeat a doc_id may have different lines at a place
 _LAST = 2 ** 63 - 1
@@ -115,22 +118,21 @@ def _plausible(percent: int) -> Column:
             & (F.least(i, j) + F.least(nx - i, ny - j) >= _least(percent)) & _bitmaps_allow(percent))
 
 
-def _bitmaps(lines: DataFrame) -> DataFrame:
-    """``b0..b7`` per line: a bit for (the hash of) each of its tokens."""
-    x = lines.select(*_LINE, F.expr(f"inline_outer({_windows('h')}) AS (w0, w1, w2, w3, w4)")).select(
-        *_LINE, F.expr("xxhash64(w0, w1, w2, w3, w4)").alias("x"))
+def _set() -> Column:
+    """The distinct 5-word shingles of a line, as hashes."""
+    # the words are cut once: transform over a one-element array binds them
+    return F.expr(f"element_at(transform(array({_HASHES}), h -> array_distinct({_shingle_hashes()})), 1)")
+
+
+def _bitmaps(sets: DataFrame) -> DataFrame:
+    """``b0..b7`` per line: a bit for each of its tokens."""
+    x = sets.select(*_LINE, F.explode_outer("s").alias("x"))
     bit = F.expr("shiftleft(1L, cast(x & 63 AS int))")
     word = F.expr(f"cast(shiftrightunsigned(x, 6) & {BITMAP_WORDS - 1} AS int)")
     return x.groupBy(*_LINE).agg(*[F.bit_or(F.when(word == k, bit).otherwise(F.lit(0))).alias(f"b{k}")
                                    for k in range(BITMAP_WORDS)])
 
 
-def _windows(array: str) -> str:
-    """The array's 5-word windows as structs."""
-    shifted = ", ".join([array, *(f"slice({array}, {j}, {_REST})" for j in range(2, SHINGLE + 1))])
-    return f"slice(arrays_zip({shifted}), 1, greatest(size({array}) - {SHINGLE - 1}, 0))"
-
-
 def _bitmaps_allow(percent: int) -> Column:
     """Every bit that only one line has is a token the other lacks: an upper bound of the overlap, never too low."""
     def only(a: str, b: str) -> Column:
@@ -144,7 +146,8 @@ def _bitmaps_allow(percent: int) -> Column:
 
 def _similar(asking: DataFrame, partners: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The lines of ``asking`` (postings) whose full set is similar to that of a partner with the same token."""
-    x, y = asking.join(sets, _LINE).alias("x"), partners.join(sets, _LINE).alias("y")
+    asked = partners.join(asking.select("token").distinct(), "token", "left_semi")  # sets go with these tokens only
+    x, y = asking.join(sets, _LINE).alias("x"), asked.join(sets, _LINE).alias("y")
     return x.join(y, _plausible(percent) & (F.size(F.array_intersect("x.s", "y.s")) >= _least(percent)),
                   "left_semi").select(*_LINE).distinct()
 
@@ -184,17 +187,21 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     **{"parquet.enable.dictionary": "false"})
     release(repeated)
     of_token = Window.partitionBy("token")
-    postings = stored(firsts.select(*_LINE, "n", F.posexplode_outer("t").alias("i", "token")).filter("token IS NOT NULL")
-                      .withColumn("_shared", F.min("k1").over(of_token) < F.max("k1").over(of_token))
-                      .filter("_shared").drop("_shared"), "postings", compression="zstd")
+    tokens = firsts.select(*_LINE, "n", F.posexplode_outer("t").alias("i", "token")).filter("token IS NOT NULL")
+    # every token in one of the waves, so that the shuffle files of one part only are on disk at a time
+    waves = [stored(tokens.filter(F.pmod("token", F.lit(WAVES)) == wave)
+                    .withColumn("_shared", F.min("k1").over(of_token) < F.max("k1").over(of_token))
+                    .filter("_shared").drop("_shared"), "postings", compression="zstd") for wave in range(WAVES)]
+    postings = reduce(DataFrame.unionByName, waves)
     release(firsts)
 
     # from here on only lines that share a prefix token with another one
     touched = stored(lines.join(postings.select(*_LINE).distinct(), _LINE, "left_semi")
-                     .select(*_LINE, F.expr(_HASHES).alias("h")), "touched", **{"parquet.enable.dictionary": "false"})
+                     .select(*_LINE, _set().alias("s")), "touched", **{"parquet.enable.dictionary": "false"})
     release(lines)
     light = stored(postings.join(_bitmaps(touched), _LINE), "light", compression="zstd")
-    release(postings)
+    for wave in waves:
+        release(wave)
     x, y = light.alias("x"), light.alias("y")
     mine = stored(x.join(y, _plausible(percent), "left_semi"), "asking")
 
@@ -202,14 +209,13 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     x, y = mine.alias("x"), light.join(mine.select("token").distinct(), "token", "left_semi").alias("y")
     partners = stored(y.join(x, _plausible(percent), "left_semi"), "partners")
     needed = mine.select(*_LINE).unionByName(partners.select(*_LINE)).distinct()
-    sets = stored(touched.join(needed, _LINE, "left_semi")
-                  .select(*_LINE, F.expr(f"array_distinct({_shingle_hashes()})").alias("s")), "sets",
-                  **{"parquet.enable.dictionary": "false"})
+    sets = stored(touched.join(needed, _LINE, "left_semi"), "sets", **{"parquet.enable.dictionary": "false"})
+    release(touched)
     # first on the lowest token of a line, then, for lines that found nothing, on all of them
     lowest = mine.join(mine.groupBy(*_LINE).agg(F.min("token").alias("_low")), _LINE).filter("token = _low").drop("_low")
     first = stored(_similar(lowest, partners, sets, percent), "first")
     rest = stored(_similar(mine.join(first, _LINE, "left_anti"), partners, sets, percent), "rest")
-    for done in (touched, light, mine, partners, sets):
+    for done in (light, mine, partners, sets):
         release(done)
     similar = first.unionByName(rest).select("d", "line_no").distinct()
 

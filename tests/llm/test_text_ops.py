@@ -143,6 +143,32 @@ def test_line_dedup_without_broadcasts(docs, monkeypatch):
     assert sorted(map(tuple, removed_lines(docs).collect())) == want and want
 
 
+def test_line_dedup_in_waves(docs, monkeypatch):
+    """The prefix tokens are shuffled in waves; their number changes no row, and no token is left out."""
+    from corvid.llm import line_dedup as ld
+    want = sorted(map(tuple, removed_lines(docs).collect()))
+    for waves in (1, 3):
+        monkeypatch.setattr(ld, "WAVES", waves)
+        assert sorted(map(tuple, removed_lines(docs).collect())) == want and want
+
+
+def test_sets_go_only_with_tokens_that_are_asked_for(spark):
+    """Of a partner's postings those are joined with its full set whose token a line asks for."""
+    from corvid.llm import line_dedup as ld
+    bits = {f"b{k}": 0 for k in range(ld.BITMAP_WORDS)}
+
+    def posting(d, i, token):
+        return {"d": d, "line_no": 0, "k1": d, "n": 3, "i": i, "token": token, **bits}
+    kind = "d long, line_no int, k1 long, n int, i int, token long, " + ", ".join(f"{b} long" for b in bits)
+    asking = spark.createDataFrame([posting(2, 0, 5)], kind)
+    partners = spark.createDataFrame([posting(1, 0, 5), posting(1, 1, 6), posting(3, 0, 7)], kind)
+    sets = spark.createDataFrame([(d, 0, d, [1, 2, 3]) for d in (1, 2, 3)], "d long, line_no int, k1 long, s array<long>")
+    out = ld._similar(asking, partners, sets, 75)
+    assert [r.d for r in out.collect()] == [2]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") == 2, plan  # the asked tokens, and the similar lines
+
+
 def test_line_dedup_of_repeated_shingles_and_places(spark):
     """Lines with repeated shingles, and different lines at one place (repeated and null ids), against all pairs."""
     words = [f"w{k}" for k in range(12)]
