@@ -21,11 +21,18 @@ for them; the totals per class come to the driver (a fixed number of sums).  Sha
 each block with the counts and probabilities of its pairs.  Seeds derive from the shard, so a
 lost task is repeated exactly.  Without contexts (``fit`` on counts per class) the customers of
 the classes are the tokens themselves.
+
+*On disk.*  A message names each of its words once, with its contexts (their classes in the low bits).
+Messages are stored by wave of shards; a wave goes to its shards, one shard a task, and is deleted once its
+records are stored.  A record has the distinct pairs of a shard, its contexts as places in the list of the
+shard's contexts, and each message's pairs as steps between their places in the record, so that keys
+move once.  The answers are made and stored wave by wave as well.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm import text_np as tn
-from corvid.llm.common import crc_mod, release, ship_package, shuffle_partitions, stored
+from corvid.llm.common import crc_mod, release, ship_package, shuffle_partitions, stored, stored_by
 
 CLASS_BITS = 5
 CLASSES = 1 << CLASS_BITS  # the last one is the start of a text
@@ -51,6 +58,8 @@ _CLASS_OF = (tn.mix(np.arange(1 << 16, dtype=np.uint64) + tn.U(1)) % tn.U(START)
 _TRIVIAL = 16  # customers seated one by one
 _STEP = 65535
 START_CONTEXT = tn.U(START)  # no word hash: those have empty class bits
+WAVES = 4  # parts of the shards that are shuffled one after another
+LISTING, RECORD = -1, -3  # wave of the listings of blocks; block of a record
 
 
 def tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -156,6 +165,54 @@ def _block_batches(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[p
                  pa.nulls(1, pa.binary())], _NAMES)
 
 
+def _runs(keys: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of the keys of each row (rows end at ``off[1:]``), once each: words, pairs per word, rows' ends in words."""
+    new = _new(keys >> tn.U(CLASS_BITS))
+    new[off[:-1][off[:-1] < off[1:]]] = True
+    first = np.flatnonzero(new)
+    sizes = np.diff(np.append(first, len(keys))).astype(np.uint32)
+    return keys[first] & ~_CLASS, sizes, np.searchsorted(first, off[1:])
+
+
+def _bare(contexts: np.ndarray) -> np.ndarray:
+    """Contexts without their class; the start of a text is the only one of its class."""
+    return np.where(contexts & _CLASS == START_CONTEXT, START_CONTEXT, contexts & ~_CLASS)
+
+
+_PACKED = f"{_SCHEMA}, sizes binary, wave int"
+
+
+def _packed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Messages with each word once and classes in the contexts, and the wave of their shard; listings as they are."""
+    names = [x.split()[0] for x in _PACKED.split(", ")]
+    for batch in batches:
+        columns = dict(zip(_NAMES, batch.columns))
+        shard = columns["shard"].to_numpy()
+        n = len(shard)
+        if n and shard[0] >= 0:
+            keys, off = tn.binary_values(columns["keys"], np.uint64)
+            contexts, _ = tn.binary_values(columns["contexts"], np.uint64)
+            words, sizes, ends = _runs(keys, off)
+            columns |= {"keys": tn.binary_column(words, ends), "sizes": tn.binary_column(sizes, ends),
+                        "contexts": tn.binary_column(contexts | (keys & _CLASS), off[1:]),
+                        "wave": pa.array((shard % WAVES).astype(np.int32))}
+        else:
+            columns |= {"sizes": pa.nulls(n, pa.binary()), "wave": pa.array(np.full(n, LISTING, dtype=np.int32))}
+        yield pa.RecordBatch.from_arrays([columns[c] for c in names], names)
+
+
+def _plain_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Inverse of ``_packed_batches`` for messages: a key and a context for each pair."""
+    for batch in batches:
+        words, _ = tn.binary_values(batch["keys"], np.uint64)
+        sizes, _ = tn.binary_values(batch["sizes"], np.uint32)
+        contexts, off = tn.binary_values(batch["contexts"], np.uint64)
+        keys = np.repeat(words, sizes) | (contexts & _CLASS)
+        yield pa.RecordBatch.from_arrays(
+            [batch["shard"], batch["block"], tn.binary_column(keys, off[1:]), batch["counts"],
+             tn.binary_column(_bare(contexts), off[1:])], ["shard", "block", "keys", "counts", "contexts"])
+
+
 def _merged(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """(Word, class) keys of a shard's messages with their training counts, seen ones only."""
     keys, _ = tn.binary_values(t["keys"], np.uint64)
@@ -206,6 +263,70 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 [x.split()[0] for x in _COUNTS.split(", ")])
 
 
+_RECORDS = "shard int, block long, keys binary, sizes binary, counts binary, contexts binary, at binary, steps binary"
+
+
+def _record_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A shard's record (all its pairs, those of held-out texts too), and for each message the steps to its pairs."""
+    names = [x.split()[0] for x in _RECORDS.split(", ")]
+    for t, starts in tn.whole_groups(_plain_batches(batches), ["shard"]):
+        shard = t["shard"].to_numpy()
+        for s, e in zip(starts, np.append(starts[1:], len(shard))):
+            part = t.slice(s, e - s)
+            off = tn.binary_values(part["keys"], np.uint64)[1]
+            keys, contexts, n, code = _merged_pairs(part)
+            asked, at = np.unique(contexts, return_inverse=True)
+            asked[at] |= keys & _CLASS
+            words, sizes, _ = _runs(keys, np.array([0, len(keys)]))
+            one = [pa.array([x.tobytes()], type=pa.binary()) for x in (words, sizes, n, asked, at.astype(np.uint32))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(shard[s])], type=pa.int32()), pa.array([RECORD], type=pa.int64()), *one,
+                 pa.nulls(1, pa.binary())], names)
+            size = np.diff(off)
+            place = np.repeat(np.arange(e - s), size) * len(keys) + code
+            place.sort()
+            steps, n_steps = _deltas(place % max(len(keys), 1), size)
+            yield pa.RecordBatch.from_arrays(
+                [part["shard"].combine_chunks(), part["block"].combine_chunks(),
+                 *(pa.nulls(e - s, pa.binary()) for _ in range(5)), tn.binary_column(steps, np.cumsum(n_steps))], names)
+
+
+def _of_record(own: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, contexts and training counts of the pairs of a record (one row), and its distinct contexts."""
+    words, sizes, n, asked, at = (tn.binary_values(own[c], kind)[0] for c, kind in (
+        ("keys", np.uint64), ("sizes", np.uint32), ("counts", np.int64), ("contexts", np.uint64), ("at", np.uint32)))
+    contexts = asked[at]
+    return np.repeat(words, sizes) | (contexts & _CLASS), _bare(contexts), n, _bare(asked)
+
+
+def _message_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A shard's messages again, from its record and their steps, after the totals of its contexts.
+
+    A pair's training count, summed over the messages, is in the first that has it.
+    """
+    for t, starts in tn.whole_groups(batches, ["shard"]):
+        number = t["shard"].to_numpy()
+        for s, e in zip(starts, np.append(starts[1:], len(number))):
+            part = t.slice(s, e - s).combine_chunks()
+            keys, contexts, n, _ = _of_record(part.filter(pc.equal(part["block"], RECORD)))
+            known = part.filter(pc.and_(pc.less(part["block"], 0), pc.greater(part["block"], RECORD)))
+            part = part.filter(pc.greater_equal(part["block"], 0)).combine_chunks()
+            steps, off = tn.binary_values(part["steps"], np.uint16)
+            place, message = _indices(steps, np.diff(off))
+            # in a message the contexts of a word ascend, whatever their class; the start of a text comes last
+            x = contexts[place]
+            x = np.where(x == START_CONTEXT, ~tn.U(0), x)
+            place = place[np.lexsort((x, keys[place] >> tn.U(CLASS_BITS), message))]
+            ends = np.cumsum(np.bincount(message, minlength=part.num_rows))
+            _, first = np.unique(place, return_index=True)
+            count = np.zeros(len(place), dtype=np.uint32)
+            count[first] = n
+            columns = ["shard", "block", "keys", "counts", "contexts"]
+            messages = pa.table([part["shard"], part["block"], tn.binary_column(keys[place], ends),
+                                 tn.binary_column(count, ends), tn.binary_column(contexts[place], ends)], columns)
+            yield from pa.concat_tables([known.select(columns), messages]).combine_chunks().to_batches()
+
+
 _CONTEXTS = "shard int, block long, keys binary, contexts binary"
 
 
@@ -296,21 +417,17 @@ class _Shard:
             yield t, up, own, over, top
 
 
-_TOTALS = ("name string, sample int, class int, value double, "
-           "to int, shard int, contexts binary, sums binary")
+_TOTALS = "name string, sample int, by_class array<double>, to int, shard int, contexts binary, sums binary"
 
 
 def _total_batches(batches: Iterator[pa.RecordBatch], m: dict | None, shards: int) -> Iterator[pa.RecordBatch]:
-    """Sums over a task's shards, as (name, sample, class, value) rows, and a shard's sums by context."""
-    names, samples, classes, values = [], [], [], []
+    """Sums over a task's shards, a row for each name and sample (single values as class 0), and a shard's sums by context."""
+    summed: dict[tuple[str, int], np.ndarray] = {}
     columns = [x.split()[0] for x in _TOTALS.split(", ")]
 
     def add(name: str, sample: int, by_class) -> None:
-        for c, v in enumerate(np.atleast_1d(by_class)):
-            names.append(name)
-            samples.append(sample)
-            classes.append(c)
-            values.append(float(v))
+        v = np.atleast_1d(by_class)
+        summed.setdefault((name, sample), np.zeros(CLASSES))[:len(v)] += v
 
     def by_class(s: _Shard, v: np.ndarray) -> np.ndarray:
         return np.bincount(s.cls, weights=v, minlength=CLASSES)
@@ -320,8 +437,13 @@ def _total_batches(batches: Iterator[pa.RecordBatch], m: dict | None, shards: in
         for lo, hi in zip(starts, np.append(starts[1:], len(number))):
             part = t.slice(lo, hi - lo)
             own = part.slice(part.num_rows - 1)  # after the answers of the contexts
-            keys, n = (tn.binary_values(own[c], kind)[0] for c, kind in (("keys", np.uint64), ("counts", np.int64)))
-            contexts = tn.binary_values(own["contexts"], np.uint64)[0] if "contexts" in own.column_names else None
+            if "at" in own.column_names:
+                keys, contexts, n, asked = _of_record(own)
+                keys, contexts, n = keys[n > 0], contexts[n > 0], n[n > 0]
+            else:
+                keys, n = (tn.binary_values(own[c], kind)[0] for c, kind in (("keys", np.uint64), ("counts", np.int64)))
+                contexts, asked = (tn.binary_values(own[c], np.uint64)[0] if c in own.column_names else None
+                                   for c in ("contexts", "asked"))
             s = _Shard(int(number[lo]), keys, n, contexts)
             if m is None:
                 over = _sums(np.ones_like(s.start), s.first)
@@ -345,7 +467,6 @@ def _total_batches(batches: Iterator[pa.RecordBatch], m: dict | None, shards: in
                         seated += tables / SAMPLES
             if contexts is None:
                 continue
-            asked, _ = tn.binary_values(own["asked"], np.uint64)
             at = np.searchsorted(asked, contexts)
             sums = np.stack([np.bincount(at, weights=w, minlength=len(asked)) for w in (n, seated)], 1)
             to = (tn.mix(asked) % tn.U(shards)).astype(np.int64)
@@ -353,14 +474,15 @@ def _total_batches(batches: Iterator[pa.RecordBatch], m: dict | None, shards: in
             ends = np.cumsum(np.bincount(to, minlength=shards))
             sent = np.flatnonzero(np.bincount(to, minlength=shards))
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(sent), pa.string()), pa.nulls(len(sent), pa.int32()), pa.nulls(len(sent), pa.int32()),
-                 pa.nulls(len(sent), pa.float64()), pa.array(sent.astype(np.int32)),
+                [pa.nulls(len(sent), pa.string()), pa.nulls(len(sent), pa.int32()),
+                 pa.nulls(len(sent), pa.list_(pa.float64())), pa.array(sent.astype(np.int32)),
                  pa.array(np.full(len(sent), number[lo], dtype=np.int32)), tn.binary_column(asked[order], ends[sent]),
                  tn.binary_column(sums[order].ravel(), 2 * ends[sent])], columns)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(names, type=pa.string()), pa.array(samples, type=pa.int32()), pa.array(classes, type=pa.int32()),
-         pa.array(values, type=pa.float64()), *(pa.nulls(len(names), pa.int32()) for _ in range(2)),
-         *(pa.nulls(len(names), pa.binary()) for _ in range(2))], columns)
+        [pa.array([k for k, _ in summed], type=pa.string()), pa.array([k for _, k in summed], type=pa.int32()),
+         pa.array([v.tolist() for v in summed.values()], type=pa.list_(pa.float64())),
+         *(pa.nulls(len(summed), pa.int32()) for _ in range(2)), *(pa.nulls(len(summed), pa.binary()) for _ in range(2))],
+        columns)
 
 
 def _totals(counts: DataFrame, m: dict | None, known: DataFrame | None, block: int
@@ -370,20 +492,19 @@ def _totals(counts: DataFrame, m: dict | None, known: DataFrame | None, block: i
     by_context = "contexts" in counts.columns
     if known is not None:
         counts = (counts.unionByName(known.withColumn("block", F.lit(-1).cast("long")), allowMissingColumns=True)
-                  .repartition(shards, "shard").sortWithinPartitions("shard", "block"))
+                  .repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "block"))
     found = counts.mapInArrow(lambda it: _total_batches(it, m, shards), _TOTALS)
     if by_context:
-        found = stored(found, "totals", **{"parquet.enable.dictionary": "false"})
-    rows = (found.filter("name IS NOT NULL").groupBy("name", "sample", "class")
-            .agg(F.sum("value").alias("value")).collect())  # a fixed number of sums
-    out: dict[tuple[str, int], np.ndarray] = {}
-    for r in rows:
-        out.setdefault((r["name"], r["sample"]), np.zeros(CLASSES))[r["class"]] = r["value"]
+        found = stored(found, "totals", compression="zstd", **{"parquet.enable.dictionary": "false"})
+    rows = (found.filter("name IS NOT NULL").groupBy("name", "sample")
+            .agg(F.array(*[F.sum(F.get("by_class", F.lit(c))) for c in range(CLASSES)]).alias("by_class"))
+            .collect())  # a fixed number of sums
+    out = {(r["name"], r["sample"]): np.array(r["by_class"]) for r in rows}
     if not by_context:
         return out, None
     sums = stored(found.filter("name IS NULL").select("to", "shard", "contexts", "sums")
-                  .repartition(shards, "to").sortWithinPartitions("to")
-                  .mapInArrow(lambda it: _context_batches(it, block), _CONTEXTS), "contexts",
+                  .repartitionById(shards, F.col("to")).sortWithinPartitions("to")
+                  .mapInArrow(lambda it: _context_batches(it, block), _CONTEXTS), "contexts", compression="zstd",
                   **{"parquet.enable.dictionary": "false"})
     release(found)
     return out, sums
@@ -405,6 +526,8 @@ def fit(counts: DataFrame, seed: int = 11) -> dict:
          "tokens": one("tokens"), "d_pair": discount("pair"), "d": discount("class"), "d_root": discount("root"),
          "tables": tables, "root_customers": float(tables.sum()), "root_tables": one("types")}
     settled, seated = _totals(counts, m, opened, -2)  # the sums that the sweeps settle at ...
+    if opened is not None:
+        release(opened)
     last = BURN_IN + SAMPLES - 1
     if ("tables", last) in settled:
         m |= {"customers": settled["customers", last], "tables": settled["tables", last],
@@ -519,26 +642,35 @@ def language_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str
     shards = shuffle_partitions(spark)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).select(
         "doc_id", F.coalesce(crc_mod("doc_id", folds) == held_fold, F.lit(False)).alias("held_out"), "text")
-    blocks = stored(base.mapInArrow(lambda it: _block_batches(it, shards), _SCHEMA), "blocks",
-                    **{"parquet.enable.dictionary": "false"})
-
-    def by_shard() -> DataFrame:
-        return blocks.filter("shard >= 0").select("shard", "block", "keys", "counts", "contexts")
+    options = {"compression": "zstd", "parquet.enable.dictionary": "false"}
+    blocks = stored_by(base.mapInArrow(lambda it: _packed_batches(_block_batches(it, shards)), _PACKED), "blocks", "wave",
+                       [LISTING, *range(WAVES)], **options)
 
     def in_shards(rows: DataFrame) -> DataFrame:
-        return rows.repartition(shards, "shard").sortWithinPartitions("shard", "block")
-
-    counts = stored(in_shards(by_shard()).mapInArrow(_count_batches, _COUNTS), "counts",
-                    **{"parquet.enable.dictionary": "false"})
-    fitted = fit(counts, seed)
+        """One shard of a wave a task."""
+        return rows.repartitionById(max(-(-shards // WAVES), 1), F.floor(F.col("shard") / WAVES).cast("int")
+                                    ).sortWithinPartitions("shard", "block")
+
+    records = []
+    for wave in range(WAVES):
+        messages = blocks[wave].select("shard", "block", "keys", "sizes", "counts", "contexts")
+        records.append(stored(in_shards(messages).mapInArrow(_record_batches, _RECORDS), "records", **options))
+        release(blocks[wave])
+    counts = reduce(DataFrame.unionByName, records).filter(F.col("block") == RECORD).drop("steps")
+    fitted = fit(counts.withColumn("block", F.lit(0).cast("long")), seed)
     seated, final = fitted.pop("contexts")
     model = spark.sparkContext.broadcast(fitted)
-    release(counts)
-    messages = by_shard()
+    answers = []
+    for wave in range(WAVES):
+        asked = records[wave]
+        for totals in (seated, final):
+            asked = asked.unionByName(totals.filter(F.col("shard") % WAVES == wave), allowMissingColumns=True)
+        answers.append(stored(in_shards(asked).mapInArrow(lambda it: _answer_batches(_message_batches(it), model.value),
+                                                          _SCHEMA), "answers", **options))
+        release(records[wave])
     for totals in (seated, final):
-        messages = messages.unionByName(totals, allowMissingColumns=True)
-    answers = in_shards(messages).mapInArrow(lambda it: _answer_batches(it, model.value), _SCHEMA)
-    return (blocks.filter("shard < 0").unionByName(answers)
+        release(totals)
+    return (reduce(DataFrame.unionByName, [blocks[LISTING].select(*_NAMES), *answers])
             .repartition(shards, "block").sortWithinPartitions("block", "shard")
             .mapInArrow(lambda it: _text_batches(it, model.value),
                         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "

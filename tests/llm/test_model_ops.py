@@ -1,5 +1,6 @@
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -7,8 +8,9 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql.functions import spark_partition_id
 
-from corvid.llm import packing, pitman_yor, quality_knn, toxicity
+from corvid.llm import common, packing, pitman_yor, quality_knn, toxicity
 from corvid.llm.common import stored
 from corvid.llm.html_render import render, render_pages
 from corvid.llm.packing import fullest, minimum_bin_slack, pack_documents, text_ids
@@ -344,6 +346,73 @@ def test_steps_round_trip():
     assert got.tolist() == index.tolist() and text.tolist() == [0, 0, 0, 1, 2, 2]
 
 
+def _op8_blocks(shards):
+    texts = [t for _, t in ROWS] * 2 + [None, "", "b a b a the the"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([i % 3 == 0 for i in range(len(texts))]),
+                                        pa.array(texts)], ["doc_id", "held_out", "text"])
+    return batch, lambda: pitman_yor._block_batches(iter([batch]), shards)
+
+
+def test_language_model_messages_come_back_from_records(spark, monkeypatch):
+    """Packed messages, and those made again from records, have the same pairs in the same order, and all counts."""
+    monkeypatch.setattr(pitman_yor, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(pitman_yor, "TaskContext", type("T", (), {"get": lambda: type("P", (), {"partitionId": lambda s: 1})()}))
+    columns = ["shard", "block", "keys", "counts", "contexts"]
+    _, made = _op8_blocks(5)
+    plain = [b.select(columns) for b in made() if b.column(0)[0].as_py() >= 0]
+    packed = [b for b in pitman_yor._packed_batches(made()) if b.column(0)[0].as_py() >= 0]
+    assert pa.Table.from_batches(pitman_yor._plain_batches(packed)).to_pylist() == pa.Table.from_batches(plain).to_pylist()
+    size = {k: sum(len(x) for b in some for c in cs for x in b[c].to_pylist())
+            for k, some, cs in (("plain", plain, columns[2:]), ("packed", packed, [*columns[2:], "sizes"]))}
+    assert len(plain) > 2 and size["packed"] < 0.9 * size["plain"]
+    by_shard = pa.Table.from_batches(packed).sort_by([("shard", "ascending"), ("block", "ascending")]).to_batches()
+    records = pa.Table.from_batches(pitman_yor._record_batches(iter(by_shard))).sort_by(
+        [("shard", "ascending"), ("block", "ascending")])
+    again = {(r["shard"], r["block"]): r for r in pa.Table.from_batches(
+        pitman_yor._message_batches(iter(records.combine_chunks().to_batches()))).to_pylist()}
+    want = pa.Table.from_batches(plain).to_pylist()
+    assert len(again) == len(want) and {s for s, _ in again} == set(range(5))
+    summed = {}
+    for r in want:
+        other = again[r["shard"], r["block"]]
+        assert (other["keys"], other["contexts"]) == (r["keys"], r["contexts"])
+        for sign, x in ((1, r), (-1, other)):
+            for pair in zip(np.frombuffer(x["keys"], np.uint64).tolist(), np.frombuffer(x["contexts"], np.uint64).tolist(),
+                            np.frombuffer(x["counts"], np.uint32).tolist()):
+                summed[pair[:2]] = summed.get(pair[:2], 0) + sign * pair[2]
+    assert summed and not any(summed.values())
+
+
+def test_language_model_deals_one_shard_a_task(spark, docs, monkeypatch):
+    """No task gathers several shards, the sums are rows of 32 classes, and messages and records are deleted when read."""
+    made, seen = {}, {}
+
+    def keep(df, name, *args, **options):
+        if name in ("records", "totals"):
+            seen.setdefault(name, []).append([r.asDict() for r in df.drop(*(
+                c for c, kind in df.dtypes if kind == "binary")).withColumn("task", spark_partition_id()).collect()])
+        made.setdefault(name, []).append(common.stored(df, name, *args, **options))
+        return made[name][-1]
+
+    def keep_by(*args, **options):
+        made["blocks"] = list(common.stored_by(*args, **options).values())
+        return dict(zip(args[3], made["blocks"]))
+
+    monkeypatch.setattr(pitman_yor, "stored", keep)
+    monkeypatch.setattr(pitman_yor, "stored_by", keep_by)
+    assert language_model_scores(docs).count() == len(ROWS)
+    for rows in seen["records"]:
+        tasks = {}
+        for r in rows:
+            tasks.setdefault(r["task"], set()).add(r["shard"])
+        assert all(len(x) == 1 for x in tasks.values())
+    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert all(sum(r["name"] is not None for r in rows) <= 30 * shards for rows in seen["totals"])
+    gone = [*made["blocks"][1:], *made["records"], *made["totals"], *made["contexts"]]
+    assert len(made["records"]) == pitman_yor.WAVES and not any(
+        os.path.exists(x.scratch_path.removeprefix("file:")) for x in gone)
+
+
 def test_toxicity_stems():
     raw = np.frombuffer("awfully awfulness x".encode(), dtype=np.uint8)
     features, counts = toxicity.word_features(raw, np.array([0, 7, 17, 19]))
